@@ -17,7 +17,7 @@ def crosstab(df, a, b):
 
 def crosstab_pivot(df, a, b, levels):
     """The crosstab with one column per given level of b and zeros for empty cells."""
-    wide = df.na.drop(subset=[a, b]).groupBy(a).pivot(b, levels).agg(F.count("*"))
+    wide = df.na.drop(subset=[a, b]).groupBy(a).pivot(b, levels).agg(F.count(F.lit(1)))
     return wide.na.fill(0)
 
 

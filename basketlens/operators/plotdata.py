@@ -98,7 +98,7 @@ def qq_fit(df, columns, chunk=RANK_CHUNK):
     size = F.col("b") - F.col("a") + 1
     # The quantiles have mean zero; values are centred so that large amounts keep their digits.
     centres = F.broadcast(per_column(df, columns, centre=F.avg))
-    summed = (chunks.repartition().withColumn("q", tails.normal_quantile_sum("a", "b", "n"))
+    summed = (chunks.repartition("variable", "a").withColumn("q", tails.normal_quantile_sum("a", "b", "n"))
               .withColumn("qq", tails.normal_quantile_squares("a", "b", "n"))
               .join(centres, "variable").withColumn("v", F.col("value") - F.col("centre"))
               .groupBy("variable", "n", "centre").agg(

@@ -11,8 +11,8 @@ from basketlens import config
 from basketlens.config import present
 from basketlens.functions import columns as C
 from basketlens.operators import features, order_stats
-from basketlens.operators.skew import checkpoint
 from basketlens.sources.delimited import seeded_sample
+from basketlens.sources.staging import materialize
 
 
 def customer_table(df, customer="customer_id"):
@@ -183,11 +183,11 @@ def segment_customers(df, k=config.CLUSTERS, starts=config.KMEANS_STARTS, seed=c
     """The whole segmentation of prepared sales lines.
 
     Returns the assigned customers and the elbow, metrics, profile and interpretation tables.
-    The scaled customers are checkpointed once, because every fit passes over them many times.
+    The scaled customers are written once, because every fit passes over them many times.
     """
     customers = customer_table(df)
     columns = usable_features(customers)
-    scaled = checkpoint(scale_features(customers, columns))
+    scaled = materialize(scale_features(customers, columns))
     vectors = as_vectors(scaled, columns)
     if vectors.isEmpty():
         raise ValueError("no customers left to cluster after removing null and infinite values")

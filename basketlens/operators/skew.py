@@ -1,21 +1,27 @@
 """Joins and numbering that hold when one key owns a large share of the rows."""
 
-import tempfile
-
 from pyspark.sql import Window, functions as F
 
+from basketlens.sources.staging import checkpoint, materialize
+
+BROADCAST_ROWS = 100_000
 HOT_KEYS = 1_000
 
 
-def attach_by_key(rows, table, keys, weight, hot_keys=HOT_KEYS):
+def attach_by_key(rows, table, keys, weight, broadcast_rows=BROADCAST_ROWS, hot_keys=HOT_KEYS):
     """Left join a per-key table onto its rows without sending a hot key to one task.
 
-    ``table`` has one row per key and ``weight`` says how many rows that key owns. The
-    ``hot_keys`` heaviest keys are broadcast (a fixed number of rows, whatever the data size);
-    any other key then owns less than 1/hot_keys of the rows and goes through a plain shuffle
-    join. Rows already served, and rows with a null key, take a random salt in that join, so
-    they spread over all tasks and match nothing.
+    ``table`` has one row per key and ``weight`` says how many rows that key owns. It is written
+    once and counted: up to ``broadcast_rows`` rows it is broadcast. Beyond that the ``hot_keys``
+    heaviest keys are broadcast (a fixed number, whatever the data size); any other key then
+    owns less than 1/hot_keys of the rows and goes through a shuffle join. Rows already served,
+    and rows with a null key, take a salt of their own in that join, so they spread over all
+    tasks and match nothing.
     """
+    table = materialize(table)
+    if table.count() <= broadcast_rows:
+        return rows.join(F.broadcast(table), keys, "left").select(
+            *rows.columns, *[c for c in table.columns if c not in keys])
     payload = [c for c in table.columns if c not in keys]
     hot = (table.orderBy(F.desc(weight), *keys).limit(hot_keys)
            .select(*keys, F.struct(*payload).alias("_hot")))
@@ -31,24 +37,6 @@ def attach_by_key(rows, table, keys, weight, hot_keys=HOT_KEYS):
     return joined.select(*rows.columns, *[match[c].alias(c) for c in payload])
 
 
-def checkpoint(df):
-    """Materialize a frame in the shared checkpoint folder, which outlives any executor.
-
-    The folder is the session's ``spark.checkpoint.dir``. Only a local session without one
-    gets a temporary folder.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="basketlens-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
-
-
 def with_row_number(df, order_by, name="row_number"):
     """Consecutive 1-based numbers in a total order, without a single-task window.
 

@@ -56,12 +56,11 @@ def write_clusters(assigned, path, mode="errorifexists"):
     assigned.write.mode(mode).parquet(path)
 
 
-def table_shape(df, partitions=None):
+def table_shape(df):
     """One row: number of rows and columns, and how many input partitions hold rows."""
-    shape = df.agg(F.count("*").alias("n_rows"),
-                   F.count_distinct(F.spark_partition_id()).alias("n_partitions"))
-    return shape.select("n_rows", F.lit(len(df.columns)).cast("bigint").alias("n_columns"),
-                        F.col("n_partitions").cast("bigint").alias("n_partitions"))
+    parts = df.select(F.spark_partition_id().alias("part")).groupBy("part").agg(F.count("*").alias("n"))
+    return parts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.count("*").alias("n_partitions")).select(
+        "n_rows", F.lit(len(df.columns)).cast("bigint").alias("n_columns"), "n_partitions")
 
 
 def head_sample(df, order_by=None, n=config.HEAD_ROWS, columns=None):
