@@ -7,9 +7,10 @@ from statistics import NormalDist
 import numpy as np
 import pandas as pd
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, StructType
 
 NORMAL = NormalDist()
+QUANTILE_SUMS = StructType().add("s", DoubleType()).add("ss", DoubleType())
 
 
 def normal_cdf_array(z):
@@ -200,17 +201,15 @@ def normal_quantile(p: pd.Series) -> pd.Series:
     return pd.Series([NORMAL.inv_cdf(v) if 0 < v < 1 else None for v in p], dtype="float64")
 
 
-@pandas_udf(DoubleType())
-def normal_quantile_sum(first: pd.Series, last: pd.Series, n: pd.Series) -> pd.Series:
-    """Sum of the normal quantiles at the Filliben positions of ranks first…last of n."""
-    return pd.Series([sum(map(NORMAL.inv_cdf, filliben(np.arange(a, b + 1), m)))
-                      for a, b, m in zip(first, last, n)], dtype="float64")
-
-
-@pandas_udf(DoubleType())
-def normal_quantile_squares(first: pd.Series, last: pd.Series, n: pd.Series) -> pd.Series:
-    return pd.Series([sum(NORMAL.inv_cdf(p) ** 2 for p in filliben(np.arange(a, b + 1), m))
-                      for a, b, m in zip(first, last, n)], dtype="float64")
+@pandas_udf(QUANTILE_SUMS)
+def normal_quantile_sums(first: pd.Series, last: pd.Series, n: pd.Series) -> pd.DataFrame:
+    """Sum and sum of squares of the normal quantiles at the positions of ranks first…last of n."""
+    sizes = (last - first + 1).to_numpy()
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    ranks = np.repeat(first.to_numpy() - starts, sizes) + np.arange(sizes.sum())
+    p = filliben(ranks, np.repeat(n.to_numpy(dtype=float), sizes))
+    q = np.fromiter(map(NORMAL.inv_cdf, p), float, p.size)
+    return pd.DataFrame({"s": np.add.reduceat(q, starts), "ss": np.add.reduceat(q * q, starts)})
 
 
 def filliben(rank, n):

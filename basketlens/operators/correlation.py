@@ -26,9 +26,11 @@ def _correlate(df, columns_of):
     aggregates = []
     for i, (a, b) in enumerate(columns_of.values()):
         both = F.col(a).isNotNull() & F.col(b).isNotNull()
-        varies = ((F.min(F.when(both, F.col(a))) < F.max(F.when(both, F.col(a))))
-                  & (F.min(F.when(both, F.col(b))) < F.max(F.when(both, F.col(b)))))
-        aggregates.append(F.struct(F.when(varies, F.corr(a, b)).alias("corr"),
+        x, y = F.when(both, F.col(a)), F.when(both, F.col(b))
+        varies = (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))
+        # corr() itself fails on a constant side.
+        spread = F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0))
+        aggregates.append(F.struct(F.when(varies, F.covar_pop(x, y) / spread).alias("corr"),
                                    F.count_if(both).alias("n")).alias(f"p{i}"))
     one = df.agg(*aggregates)
     rows = F.array(*[F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"), F.col(f"p{i}.corr").alias("corr"),

@@ -34,8 +34,8 @@ def is_weekend(ts="ts"):
 
 def segment_cutoffs(df, column="amount", probabilities=config.SEGMENT_PROBABILITIES):
     """The two exact quantiles that separate the segments; two numbers reach the driver."""
-    rows = order_stats.quantiles(df, [column], list(probabilities)).orderBy("probability").collect()
-    return [r["quantile"] for r in rows] or [None, None]
+    found = order_stats.fit_quantiles(df, [column], probabilities)
+    return [found.get((column, float(p)), (None, 0))[0] for p in probabilities]
 
 
 def segment(value, cutoffs):

@@ -4,6 +4,8 @@ Spark's ``percentile``, ``median`` and ``mode`` hold every distinct value of a g
 buffer. Here rows are counted per value first, and only narrow slices are ever ordered.
 """
 
+import math
+from functools import reduce
 from itertools import chain
 
 from pyspark.ml.feature import Bucketizer
@@ -12,7 +14,9 @@ from pyspark.sql import Window, functions as F
 from basketlens.functions.columns import INF, number
 from basketlens.operators.skew import attach_by_key
 
-ACCURACY = 50_000
+ACCURACY = 10_000
+GROUP_ACCURACY = 50_000
+ENUMERATE_UP_TO = 1_000_000
 
 
 def long_values(df, columns, by=()):
@@ -23,19 +27,126 @@ def long_values(df, columns, by=()):
             .select(*by, "_v.variable", "_v.value").where("value IS NOT NULL"))
 
 
-def quantiles(df, columns, probabilities, by=(), accuracy=ACCURACY):
-    """Exact interpolated quantiles: (by…, variable, probability, quantile, n).
+def quantiles(df, columns, probabilities, accuracy=ACCURACY, enumerate_up_to=ENUMERATE_UP_TO):
+    """Exact interpolated quantiles of whole columns: (variable, probability, quantile, n)."""
+    found = fit_quantiles(df, columns, probabilities, accuracy, enumerate_up_to)
+    return df.sparkSession.createDataFrame([(c, float(p), value, n) for (c, p), (value, n) in found.items()],
+                                           "variable STRING, probability DOUBLE, quantile DOUBLE, n BIGINT")
 
-    A sketch first brackets each quantile between two values. Rows below and above the bracket
-    are only counted, map side; the slice inside, about 4/accuracy of the rows, is counted per
-    value and ordered. If a sketch were ever too far off, the query fails rather than return a
-    wrong value.
+
+def fit_quantiles(df, columns, probabilities, accuracy=ACCURACY, enumerate_up_to=ENUMERATE_UP_TO):
+    """{(column, probability): (exact quantile, n)}; columns without values are left out.
+
+    A sketch brackets each quantile between two values. One pass of plain conditional counts
+    says how many rows lie below and inside each bracket; brackets with many rows are narrowed
+    by a further sketch of their rows only. What is left, at most ``enumerate_up_to`` rows or a
+    single value per quantile, is counted per value and ordered. Each pass handles all columns,
+    and only a fixed number of values per quantile reaches the driver.
     """
-    return quantiles_long(long_values(df, columns, by), probabilities, by, accuracy)
+    wide = df.select(*[number(df, c).alias(c) for c in columns])
+    targets = _sketch_all(wide, columns, [float(p) for p in probabilities], accuracy)
+    _count(wide, targets)
+    while True:
+        # A bracket that no longer shrinks has its rows on the two end values, which the count
+        # per value folds together.
+        large = [t for t in targets if enumerate_up_to < t["inside"] < t.get("wider", math.inf) / 2
+                 and t["low"] < t["high"]]
+        if not large:
+            break
+        _narrow(wide, large, accuracy)
+        _count(wide, large)
+    values = _enumerate(wide, [t for t in targets if t["low"] < t["high"] and t["inside"]])
+    return {(t["column"], t["p"]): (_interpolate(t, values), t["n"]) for t in targets}
+
+
+def _sketch_all(wide, columns, probabilities, accuracy):
+    slack = 2.0 / accuracy
+    asked = F.array(*[F.lit(x) for p in probabilities for x in (max(p - slack, 0.0), min(p + slack, 1.0))])
+    one = wide.agg(*[F.struct(F.percentile_approx(c, asked, accuracy).alias("ends"), F.count(c).alias("n")).alias(c)
+                     for c in columns]).first()
+    targets = []
+    for c in columns:
+        n = one[c]["n"]
+        for i, p in enumerate(probabilities if n else []):
+            place = (n - 1) * p
+            targets.append({"column": c, "p": p, "n": n, "place": place, "first": math.floor(place),
+                            "last": math.ceil(place), "low": one[c]["ends"][2 * i], "high": one[c]["ends"][2 * i + 1]})
+    return targets
+
+
+def _inside(t):
+    return F.col(t["column"]).between(t["low"], t["high"])
+
+
+def _count(wide, targets):
+    """Rows below and inside each bracket, and the values next to it on either side."""
+    if not targets:
+        return
+    one = wide.agg(*[F.struct(
+        F.count_if(F.col(t["column"]) < t["low"]).alias("below"), F.count_if(_inside(t)).alias("inside"),
+        F.max(F.when(F.col(t["column"]) < t["low"], F.col(t["column"]))).alias("previous"),
+        F.min(F.when(F.col(t["column"]) > t["high"], F.col(t["column"]))).alias("following")).alias(f"t{i}")
+        for i, t in enumerate(targets)]).first()
+    for i, t in enumerate(targets):
+        t |= one[f"t{i}"].asDict()
+        if t["first"] < t["below"] - 1 or t["last"] > t["below"] + t["inside"]:
+            raise RuntimeError(f"the quantile sketch of {t['column']} missed its bracket")
+
+
+def _narrow(wide, targets, accuracy):
+    slack = 2.0 / accuracy
+    asked = []
+    for i, t in enumerate(targets):
+        low = max((t["first"] - t["below"]) / t["inside"] - slack, 0.0)
+        high = min((t["last"] + 1 - t["below"]) / t["inside"] + slack, 1.0)
+        ends = F.array(F.lit(low), F.lit(high))
+        asked.append(F.percentile_approx(F.when(_inside(t), F.col(t["column"])), ends, accuracy).alias(f"t{i}"))
+    one = wide.agg(*asked).first()
+    for i, t in enumerate(targets):
+        t["wider"] = t["inside"]
+        t["low"], t["high"] = one[f"t{i}"]
+
+
+def _enumerate(wide, targets):
+    """{(target, rank): value} for the two ranks of each target, among the values inside."""
+    if not targets:
+        return {}
+    wanted = reduce(lambda x, y: x | y, [_inside(t) for t in targets])
+    options = F.array(*[F.when(_inside(t), F.struct(F.lit(i).alias("t"), F.col(t["column"]).alias("value")))
+                        for i, t in enumerate(targets)])
+    counts = (wide.where(wanted).select(F.explode(options).alias("o")).where("o IS NOT NULL")
+              .groupBy("o.t", "o.value").agg(F.count("*").alias("w")))
+    ranks = wide.sparkSession.createDataFrame(
+        [(i, t["below"], rank) for i, t in enumerate(targets) for rank in {t["first"], t["last"]}],
+        "t INT, below BIGINT, rank BIGINT")
+    earlier = Window.partitionBy("t").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counts.withColumn("_before", F.coalesce(F.sum("w").over(earlier), F.lit(0)))
+    at = F.col("rank") - F.col("below") - F.col("_before")
+    picked = placed.join(F.broadcast(ranks), "t").where((at >= 0) & (at < F.col("w")))
+    return {(targets[r["t"]]["column"], targets[r["t"]]["p"], r["rank"]): r["value"]
+            for r in picked.select("t", "rank", "value").collect()}
+
+
+def _interpolate(t, values):
+    def value_at(rank):
+        if rank < t["below"]:
+            return t["previous"]
+        if rank >= t["below"] + t["inside"]:
+            return t["following"]
+        return t["low"] if t["low"] == t["high"] else values[t["column"], t["p"], rank]
+
+    a, b = value_at(t["first"]), value_at(t["last"])
+    return a if a == b else a + (b - a) * (t["place"] - t["first"])
+
 
+def group_quantiles(values, probabilities, by, accuracy=GROUP_ACCURACY):
+    """Exact interpolated quantiles per group: (by…, variable, probability, quantile, n).
 
-def quantiles_long(values, probabilities, by=(), accuracy=ACCURACY):
-    """``quantiles`` over a frame that already is (by…, variable, value)."""
+    ``values`` is (by…, variable, value); the groups may be many, so their brackets are a table
+    that is joined to the rows. Rows outside a bracket are only counted, map side; the slice
+    inside, about 4/accuracy of the group, is counted per value and ordered. If a sketch were
+    ever too far off, the query fails rather than return a wrong value.
+    """
     keys = [*by, "variable"]
     slack = 2.0 / accuracy
     lows = [max(p - slack, 0.0) for p in probabilities]
@@ -46,9 +157,7 @@ def quantiles_long(values, probabilities, by=(), accuracy=ACCURACY):
         *keys, "n", F.array(*[F.struct(F.lit(float(p)).alias("probability"), F.col("_e")[i].alias("low"),
                                        F.col("_e")[m + i].alias("high"))
                               for i, p in enumerate(probabilities)]).alias("_brackets"))
-    # Without groups there is one row per requested column; otherwise groups may be many.
-    bracketed = (attach_by_key(values, brackets, keys, "n") if by
-                 else values.join(F.broadcast(brackets), keys))
+    bracketed = attach_by_key(values, brackets, keys, "n")
     zone = F.when(F.col("value") < F.col("_b.low"), -1).when(F.col("value") > F.col("_b.high"), 1).otherwise(0)
     slots = (bracketed.select(*keys, "n", "value", F.explode("_brackets").alias("_b"))
              .select(*keys, "n", "value", F.col("_b.probability").alias("probability"), zone.alias("zone"))
@@ -75,9 +184,9 @@ def quantiles_long(values, probabilities, by=(), accuracy=ACCURACY):
     return found.select(*keys, "probability", between.alias("quantile"), "n")
 
 
-def quantiles_wide(df, columns, names, by=(), accuracy=ACCURACY):
-    """One row per (by…, variable) with a column per entry of ``names`` {name: probability}."""
-    return widen(quantiles(df, columns, list(names.values()), by, accuracy), names, by)
+def quantiles_wide(df, columns, names):
+    """One row per variable with a column per entry of ``names`` {name: probability}."""
+    return widen(quantiles(df, columns, list(names.values())), names)
 
 
 def widen(found, names, by=()):
@@ -96,15 +205,12 @@ def quantiles_approx(df, columns, probabilities, accuracy=10_000):
 
 
 def medians(df, columns, conditions=None):
-    """{column: exact median} for a known list of columns; one row per column reaches the driver.
-
-    ``conditions`` may restrict the rows used for a column.
-    """
+    """{column: exact median}; ``conditions`` may restrict the rows used for a column."""
     if not columns:
         return {}
     conditions = conditions or {}
     masked = df.select(*[F.when(conditions.get(c, F.lit(True)), number(df, c)).alias(c) for c in columns])
-    return {r["variable"]: r["quantile"] for r in quantiles(masked, columns, [0.5]).collect()}
+    return {c: value for (c, _), (value, _) in fit_quantiles(masked, columns, [0.5]).items()}
 
 
 def value_counts(df, columns):

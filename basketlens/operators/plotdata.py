@@ -13,7 +13,7 @@ from basketlens.operators.describe import per_column
 from basketlens.operators.order_stats import long_values
 from basketlens.operators.skew import attach_by_key
 
-RANK_CHUNK = 100_000
+RANK_CHUNK = 1_000
 
 
 def histogram(df, columns, bins=config.HISTOGRAM_BINS):
@@ -98,8 +98,9 @@ def qq_fit(df, columns, chunk=RANK_CHUNK):
     size = F.col("b") - F.col("a") + 1
     # The quantiles have mean zero; values are centred so that large amounts keep their digits.
     centres = F.broadcast(per_column(df, columns, centre=F.avg))
-    summed = (chunks.repartition("variable", "a").withColumn("q", tails.normal_quantile_sum("a", "b", "n"))
-              .withColumn("qq", tails.normal_quantile_squares("a", "b", "n"))
+    summed = (chunks.repartition("variable", "a")
+              .withColumn("_q", tails.normal_quantile_sums("a", "b", "n"))
+              .withColumns({"q": F.col("_q.s"), "qq": F.col("_q.ss")})
               .join(centres, "variable").withColumn("v", F.col("value") - F.col("centre"))
               .groupBy("variable", "n", "centre").agg(
                   F.sum("q").alias("sq"), F.sum("qq").alias("sqq"), F.sum(F.col("q") * F.col("v")).alias("sqv"),
@@ -114,23 +115,28 @@ def qq_fit(df, columns, chunk=RANK_CHUNK):
                          (cqv / F.nullif(F.sqrt(cqq * cvv), F.lit(0.0))).alias("r"))
 
 
-def box_stats(df, value, by):
-    """(by, n, q1, median, q3, whisker_low, whisker_high, outliers) of a value per group.
+def box_stats(df, pairs):
+    """(value_column, group_column, level, n, q1, median, q3, whisker_low, whisker_high, outliers).
 
-    Whiskers end at the last value within 1.5 IQR of the box.
+    Boxes of several (value, group) column pairs in one pass; levels as text. Whiskers end at the
+    last value within 1.5 IQR of the box.
     """
-    rows = long_values(df.na.drop(subset=[by]), [value], [by])
+    keys = ["value_column", "group_column", "level"]
+    cells = F.array(*[F.struct(F.lit(v).alias("value_column"), F.lit(g).alias("group_column"),
+                               F.col(g).cast("string").alias("level"), number(df, v).alias("value"))
+                      for v, g in pairs])
+    rows = (df.select(F.explode(cells).alias("c")).select("c.*")
+            .where("level IS NOT NULL AND value IS NOT NULL").withColumn("variable", F.col("value_column")))
     names = {"q1": 0.25, "median": 0.5, "q3": 0.75}
-    found = order_stats.quantiles_long(rows, list(names.values()), [by])
-    boxes = found.groupBy(by, "variable", "n").agg(
-        *[F.max(F.when(F.col("probability") == p, F.col("quantile"))).alias(c) for c, p in names.items()])
+    boxes = order_stats.widen(order_stats.group_quantiles(rows, list(names.values()), keys), names, [*keys, "n"])
     reach = (F.col("q3") - F.col("q1")) * config.IQR_FACTOR
     x = F.col("value")
     inside = x.between(F.col("q1") - reach, F.col("q3") + reach)
-    ends = attach_by_key(rows, boxes, [by, "variable"], "n").groupBy(by, "n", "q1", "median", "q3").agg(
+    box = [*keys, "n", "q1", "median", "q3"]
+    ends = attach_by_key(rows, boxes.drop("variable"), keys, "n").groupBy(*box).agg(
         F.min(F.when(inside, x)).alias("low"), F.max(F.when(inside, x)).alias("high"),
         F.count_if(~inside).alias("outliers"))
-    return ends.select(by, "n", "q1", "median", "q3", F.least("low", "q1").alias("whisker_low"),
+    return ends.select(*box, F.least("low", "q1").alias("whisker_low"),
                        F.greatest("high", "q3").alias("whisker_high"), "outliers")
 
 

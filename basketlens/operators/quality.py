@@ -175,17 +175,23 @@ def _pct(part, total):
 
 # ---- outliers ---------------------------------------------------------------------------
 
-def iqr_bounds(df, columns=config.NUMERIC):
-    """(variable, q1, q3, lower, upper); columns without data or without spread are left out."""
-    found = order_stats.quantiles_wide(df, present(df, columns), {"q1": 0.25, "q3": 0.75})
-    reach = (F.col("q3") - F.col("q1")) * config.IQR_FACTOR
-    return found.where("q3 - q1 > 0").select(
-        "variable", "q1", "q3", (F.col("q1") - reach).alias("lower"), (F.col("q3") + reach).alias("upper"))
+def fit_iqr(df, columns=config.NUMERIC):
+    """{column: (q1, q3, lower, upper)}; columns without data or without spread are left out."""
+    columns = present(df, columns)
+    found = order_stats.fit_quantiles(df, columns, [0.25, 0.75])
+    bounds = {}
+    for c in columns:
+        q1, q3 = (found.get((c, p), (None, 0))[0] for p in (0.25, 0.75))
+        if q1 is not None and q3 > q1:
+            reach = (q3 - q1) * config.IQR_FACTOR
+            bounds[c] = (q1, q3, q1 - reach, q3 + reach)
+    return bounds
 
 
-def fit_iqr(df, columns=config.NUMERIC):
-    """{column: (lower, upper)}; at most one row per column reaches the driver."""
-    return {r["variable"]: (r["lower"], r["upper"]) for r in iqr_bounds(df, columns).collect()}
+def iqr_bounds(df, columns=config.NUMERIC):
+    """(variable, q1, q3, lower, upper)"""
+    return df.sparkSession.createDataFrame([(c, *b) for c, b in fit_iqr(df, columns).items()],
+                                           "variable STRING, q1 DOUBLE, q3 DOUBLE, lower DOUBLE, upper DOUBLE")
 
 
 def iqr_outlier_counts(df, columns=config.NUMERIC):
@@ -194,9 +200,9 @@ def iqr_outlier_counts(df, columns=config.NUMERIC):
     bounds = fit_iqr(df, columns)
     listed = [c for c in columns if c in bounds]
     one = df.agg(F.count("*").alias("rows"),
-                 *[F.count_if(~C.number(df, c).between(*bounds[c])).alias(c) for c in listed])
-    rows = F.array(*[F.struct(F.lit(c).alias("variable"), F.lit(bounds[c][0]).alias("lower"),
-                              F.lit(bounds[c][1]).alias("upper"), F.col(c).alias("outliers"),
+                 *[F.count_if(~C.number(df, c).between(*bounds[c][2:])).alias(c) for c in listed])
+    rows = F.array(*[F.struct(F.lit(c).alias("variable"), F.lit(bounds[c][2]).alias("lower"),
+                              F.lit(bounds[c][3]).alias("upper"), F.col(c).alias("outliers"),
                               _pct(F.col(c), F.col("rows")).alias("pct")) for c in listed])
     return one.select(F.explode(rows).alias("r")).select("r.*")
 
@@ -205,7 +211,7 @@ def iqr_null_outliers(df, columns=config.NUMERIC, passes=1):
     """Values outside the IQR bounds become null; rows stay. Each pass fits new bounds."""
     for _ in range(passes):
         bounds = fit_iqr(df, columns)
-        df = df.withColumns({c: C.in_range(F.col(c), *bounds[c]) for c in present(df, columns) if c in bounds})
+        df = df.withColumns({c: C.in_range(F.col(c), *bounds[c][2:]) for c in present(df, columns) if c in bounds})
     return df
 
 

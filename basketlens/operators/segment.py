@@ -2,7 +2,6 @@
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
@@ -14,6 +13,8 @@ from basketlens.operators import features, order_stats
 from basketlens.sources.delimited import seeded_sample
 from basketlens.sources.staging import materialize
 
+INITIAL_SAMPLE = 10_000
+
 
 def customer_table(df, customer="customer_id"):
     """One row per customer: means, sum and minimum of the sales lines, and their number.
@@ -70,16 +71,95 @@ def as_vectors(scaled, columns, suffix="_z"):
     return VectorAssembler(inputCols=[c + suffix for c in columns], outputCol="features").transform(scaled)
 
 
-def fit_kmeans(vectors, k=config.CLUSTERS, starts=config.KMEANS_STARTS, seed=config.SEED, max_iter=300):
-    """The best of several seeded starts by training cost."""
-    fits = (KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=1e-4).fit(vectors) for i in range(starts))
-    return min(fits, key=lambda m: m.summary.trainingCost)
+# ---- K-Means ----------------------------------------------------------------------------
 
+def fit_kmeans(scaled, columns, ks=(config.CLUSTERS,), starts=config.KMEANS_STARTS, seed=config.SEED,
+               max_iter=300, tolerance=1e-4, key="customer_id", suffix="_z"):
+    """{k: (centres, inertia)}: the best of several seeded starts, for every k at once.
 
-def elbow(vectors, ks=config.ELBOW_RANGE, starts=config.KMEANS_STARTS, seed=config.SEED):
+    Lloyd's iteration for all (k, start) models shares its passes: a pass sums, per task, the
+    members of every centre of every model, and Spark adds the tasks' sums. So the elbow scan
+    costs about as many passes as its slowest model, not the sum over all models. Only the sums
+    of the centres reach the driver. Starts are chosen by k-means++ on a seeded sample.
+    """
+    names = [c + suffix for c in columns]
+    points = scaled.select(*names)
+    sample = seeded_sample(scaled.select(key, *names), [key], INITIAL_SAMPLE, seed).select(*names)
+    drawn = sample.toPandas().to_numpy(dtype=float)
+    ks = [k for k in ks if k <= len(np.unique(drawn, axis=0))]
+    models = {(k, start): _plus_plus(drawn, k, np.random.default_rng([seed, k, start]))
+              for k in ks for start in range(starts)}
+    moving = set(models)
+    for _ in range(max_iter):
+        if not moving:
+            break
+        found = _lloyd_pass(points, {m: models[m] for m in moving})
+        for m, (sizes, sums, _) in found.items():
+            # A centre that lost its members stays where it is.
+            new = np.where(sizes[:, None] > 0, sums / np.maximum(sizes, 1)[:, None], models[m])
+            if ((new - models[m]) ** 2).sum() <= tolerance:
+                moving.discard(m)
+            models[m] = new
+    costs = {m: cost for m, (_, _, cost) in _lloyd_pass(points, models).items()}
+    best = {k: min((m for m in models if m[0] == k), key=lambda m: (costs[m], m)) for k in ks}
+    return {k: (models[m], costs[m]) for k, m in best.items()}
+
+
+def _plus_plus(points, k, draw):
+    """k-means++: each further centre is drawn in proportion to its squared distance."""
+    centres = [points[draw.integers(len(points))]]
+    nearest = ((points - centres[0]) ** 2).sum(axis=1)
+    for _ in range(k - 1):
+        centres.append(points[draw.choice(len(points), p=nearest / nearest.sum())])
+        nearest = np.minimum(nearest, ((points - centres[-1]) ** 2).sum(axis=1))
+    return np.array(centres)
+
+
+def _lloyd_pass(points, models):
+    """{model: (sizes, sums, cost)} of the nearest-centre assignment, in one pass."""
+    names = points.columns
+    order = list(models)
+    stacked = np.vstack([models[m] for m in order])
+    edges = np.cumsum([0] + [len(models[m]) for m in order])
+    shared = points.sparkSession.sparkContext.broadcast((stacked, edges))
+
+    def partial(batches):
+        centres, ends = shared.value
+        sizes, sums, costs = np.zeros(len(centres)), np.zeros(centres.shape), np.zeros(len(centres))
+        for batch in batches:
+            x = batch.to_numpy(dtype=float)
+            rows = np.arange(len(x))
+            away = (x * x).sum(axis=1)[:, None] - 2 * x @ centres.T + (centres * centres).sum(axis=1)[None, :]
+            for low, high in zip(ends[:-1], ends[1:]):
+                own = away[:, low:high].argmin(axis=1)
+                member = np.zeros((len(x), high - low))
+                member[rows, own] = 1.0
+                sizes[low:high] += member.sum(axis=0)
+                sums[low:high] += member.T @ x
+                costs[low:high] += member.T @ np.maximum(away[rows, low + own], 0.0)
+        yield pd.DataFrame({"centre": np.arange(len(centres)), "n": sizes, "cost": costs,
+                            **{f"s{i}": sums[:, i] for i in range(sums.shape[1])}})
+
+    dims = [f"s{i}" for i in range(len(names))]
+    schema = "centre BIGINT, n DOUBLE, cost DOUBLE, " + ", ".join(f"{c} DOUBLE" for c in dims)
+    added = points.mapInPandas(partial, schema).groupBy("centre").agg(*[F.sum(c).alias(c) for c in ("n", "cost", *dims)])
+    rows = added.orderBy("centre").toPandas()
+    shared.unpersist()
+    out = {}
+    for m, low, high in zip(order, edges[:-1], edges[1:]):
+        part = rows.iloc[low:high]
+        out[m] = (part["n"].to_numpy(), part[dims].to_numpy(), float(part["cost"].sum()))
+    return out
+
+
+def elbow(scaled, columns, ks=config.ELBOW_RANGE, starts=config.KMEANS_STARTS, seed=config.SEED):
     """(k, inertia) for each k; the result has one row per k."""
-    costs = [(k, float(fit_kmeans(vectors, k, starts, seed).summary.trainingCost)) for k in ks]
-    return vectors.sparkSession.createDataFrame(costs, "k BIGINT, inertia DOUBLE")
+    fits = fit_kmeans(scaled, columns, ks, starts, seed)
+    return elbow_table(scaled.sparkSession, fits)
+
+
+def elbow_table(spark, fits):
+    return spark.createDataFrame([(k, cost) for k, (_, cost) in sorted(fits.items())], "k BIGINT, inertia DOUBLE")
 
 
 def assign_to_centres(df, columns, centres, name="cluster"):
@@ -148,7 +228,8 @@ def cluster_profile(assigned, columns, cluster="cluster"):
     sizes = assigned.groupBy(cluster).agg(
         F.count("*").alias("size"),
         *[f(c).alias(f"{c}_{name}") for c in columns for name, f in (("mean", F.avg), ("min", F.min), ("max", F.max))])
-    medians = order_stats.quantiles(assigned, columns, [0.5], [cluster]).groupBy(cluster).agg(
+    medians = order_stats.group_quantiles(
+        order_stats.long_values(assigned, columns, [cluster]), [0.5], [cluster]).groupBy(cluster).agg(
         *[F.max(F.when(F.col("variable") == c, F.col("quantile"))).alias(f"{c}_median") for c in columns])
     ordered = [f"{c}_{name}" for c in columns for name in ("mean", "median", "min", "max")]
     return (sizes.join(medians, cluster)
@@ -179,24 +260,24 @@ def cluster_interpretation(assigned, columns, cluster="cluster", tolerance=0.0):
     return means.select(cluster, text.alias("interpretation"))
 
 
-def segment_customers(df, k=config.CLUSTERS, starts=config.KMEANS_STARTS, seed=config.SEED, ks=None):
+def segment_customers(df, k=config.CLUSTERS, starts=config.KMEANS_STARTS, seed=config.SEED,
+                      ks=config.ELBOW_RANGE):
     """The whole segmentation of prepared sales lines.
 
     Returns the assigned customers and the elbow, metrics, profile and interpretation tables.
-    The scaled customers are written once, because every fit passes over them many times.
+    The scaled customers are written once, because the fits pass over them many times.
     """
     customers = customer_table(df)
     columns = usable_features(customers)
     scaled = materialize(scale_features(customers, columns))
-    vectors = as_vectors(scaled, columns)
-    if vectors.isEmpty():
+    if scaled.isEmpty():
         raise ValueError("no customers left to cluster after removing null and infinite values")
-    model = fit_kmeans(vectors, k, starts, seed)
-    assigned = model.transform(vectors).withColumn("cluster", F.col("prediction").cast("bigint"))
-    score = silhouette_squared(assigned)
+    fits = fit_kmeans(scaled, columns, sorted({k, *ks}), starts, seed)
+    assigned = assign_to_centres(scaled, [c + "_z" for c in columns], fits[k][0])
+    score = silhouette_squared(as_vectors(assigned, columns))
     return {
-        "customers": assigned.drop("features", "prediction"),
-        "elbow": elbow(vectors, ks or config.ELBOW_RANGE, starts, seed),
+        "customers": assigned,
+        "elbow": elbow_table(df.sparkSession, {n: fits[n] for n in ks if n in fits}),
         "metrics": clustering_metrics(assigned, k, columns, score),
         "profile": cluster_profile(assigned, columns),
         "interpretation": cluster_interpretation(assigned, columns),

@@ -7,12 +7,12 @@ from basketlens.functions import columns as C
 from basketlens.operators import describe, features, order_stats
 from basketlens.plans.catalog import query
 from basketlens.plans.quality_queries import rounded, union_sql
-from basketlens.plans.sales_view import derived, oracle, valid
-from basketlens.sources.staging import materialize
+from basketlens.plans.sales_view import derived, oracle, staged, valid
 
 
 def feature(spark, d, name):
-    return features.derive_features(valid(spark, d), [name])
+    lines = valid(spark, d)
+    return features.derive_features(staged(lines, "receipt_id", "amount") if name == "amount_segment" else lines, [name])
 
 
 @query("feature_amount_per_unit", oracle("features", "SELECT receipt_id, amount_per_unit FROM features"))
@@ -78,7 +78,7 @@ def derived_rows(df):
 
 @query("derive_features", oracle("features", f"SELECT {DERIVED_ROWS} FROM features"))
 def derive_features(spark, d):
-    return derived_rows(features.derive_features(valid(spark, d)))
+    return derived_rows(features.derive_features(staged(valid(spark, d))))
 
 
 @query("validate_derived", oracle("derived", f"SELECT {DERIVED_ROWS} FROM derived"))
@@ -115,7 +115,7 @@ def describe_sql(c, table):
 @query("describe", oracle("valid", "w AS (SELECT * REPLACE (receipt_id::DOUBLE AS receipt_id) FROM valid) "
                           + union_sql([describe_sql(c, "w") for c in config.NUMERIC])))
 def describe_base(spark, d):
-    found = describe.describe(valid(spark, d), config.NUMERIC)
+    found = describe.describe(staged(valid(spark, d), *config.NUMERIC), config.NUMERIC)
     return rounded(found, 4, "mean", "std", "min", "q1", "median", "q3", "max")
 
 
@@ -142,12 +142,12 @@ def full_rows(found):
 
 @query("full_stats_base", oracle("valid", full_sql(config.MEASURES, "valid")))
 def full_stats_base(spark, d):
-    return full_rows(describe.full_statistics(valid(spark, d), config.MEASURES))
+    return full_rows(describe.full_statistics(staged(valid(spark, d), *config.MEASURES), config.MEASURES))
 
 
 @query("full_stats_derived", oracle("derived", full_sql(config.DERIVED_NUMERIC, "derived")))
 def full_stats_derived(spark, d):
-    return full_rows(describe.full_statistics(materialize(derived(spark, d)), config.DERIVED_NUMERIC))
+    return full_rows(describe.full_statistics(staged(derived(spark, d), *config.DERIVED_NUMERIC), config.DERIVED_NUMERIC))
 
 
 PROBABILITIES = [0.25, 0.33, 0.5, 0.66, 0.75]
@@ -157,7 +157,7 @@ PROBABILITIES = [0.25, 0.33, 0.5, 0.66, 0.75]
     f"SELECT '{c}' AS variable, {p}::DOUBLE AS probability, round(quantile_cont({c}::DOUBLE, {p}), 4) AS quantile FROM valid"
     for c in config.NUMERIC for p in PROBABILITIES])))
 def quantiles(spark, d):
-    found = order_stats.quantiles(valid(spark, d), config.NUMERIC, PROBABILITIES)
+    found = order_stats.quantiles(staged(valid(spark, d), *config.NUMERIC), config.NUMERIC, PROBABILITIES)
     return rounded(found, 4, "quantile").select("variable", "probability", "quantile")
 
 

@@ -6,8 +6,7 @@ from basketlens import config
 from basketlens.operators import plotdata
 from basketlens.plans.catalog import query
 from basketlens.plans.quality_queries import rounded, union_sql
-from basketlens.plans.sales_view import derived, oracle, valid
-from basketlens.sources.staging import materialize
+from basketlens.plans.sales_view import derived, oracle, staged, valid
 
 HISTOGRAMS = ["units", "discount_pct", "amount", "age"]
 
@@ -18,9 +17,9 @@ FROM (SELECT min({c}) AS low, (max({c}) - min({c})) / 30 AS width FROM derived)
 CROSS JOIN (SELECT unnest(range(30)) AS bin) b
 LEFT JOIN derived v ON least(floor((v.{c} - l.low) / l.width)::BIGINT, 29) = b.bin
 GROUP BY ALL""" for c in HISTOGRAMS]) + """)
-SELECT variable, bin, round(low + bin * width, 4) AS lower, round(low + (bin + 1) * width, 4) AS upper, n FROM h"""))
+SELECT variable, bin, round(low + bin * width, 6) AS lower, round(low + (bin + 1) * width, 6) AS upper, n FROM h"""))
 def histogram(spark, d):
-    return rounded(plotdata.histogram(derived(spark, d, "age"), HISTOGRAMS), 4, "lower", "upper")
+    return rounded(plotdata.histogram(derived(spark, d, "age"), HISTOGRAMS), 6, "lower", "upper")
 
 
 DENSITIES = ["units", "discount_pct"]
@@ -54,18 +53,21 @@ FROM (SELECT {c} AS value, count(*) AS copies, min(r) AS rank_first, max(r) AS r
       FROM (SELECT {c}, row_number() OVER (ORDER BY {c}) AS r, count(*) OVER () AS n FROM valid WHERE {c} IS NOT NULL)
       GROUP BY {c})""" for c in QQ])))
 def qq_points(spark, d):
-    points = rounded(plotdata.qq_points(valid(spark, d), QQ), 4, "value")
+    points = rounded(plotdata.qq_points(staged(valid(spark, d), *QQ), QQ), 4, "value")
     return rounded(points, 6, "position_first", "position_last")
 
 
 @query("qq_quantiles")
 def qq_quantiles(spark, d):
-    return plotdata.with_normal_quantiles(plotdata.qq_points(valid(spark, d), QQ))
+    return plotdata.with_normal_quantiles(plotdata.qq_points(staged(valid(spark, d), *QQ), QQ))
+
+
+QQ_COLUMNS = [*config.MEASURES, *config.DERIVED_NUMERIC]
 
 
 @query("qq_fit")
 def qq_fit(spark, d):
-    return plotdata.qq_fit(materialize(derived(spark, d)), [*config.MEASURES, *config.DERIVED_NUMERIC])
+    return plotdata.qq_fit(staged(derived(spark, d), *QQ_COLUMNS), QQ_COLUMNS)
 
 
 BOXES = [("amount", "channel"), ("amount", "store"), ("amount_per_unit", "amount_segment"), ("amount", "is_weekend")]
@@ -83,13 +85,9 @@ SELECT value_column, group_column, level, count(*) AS n, round(any_value(q1), 6)
   count(*) FILTER (WHERE x < q1 - 1.5 * (q3 - q1) OR x > q3 + 1.5 * (q3 - q1)) AS outliers
 FROM s GROUP BY value_column, group_column, level"""))
 def box_stats(spark, d):
-    lines = materialize(derived(spark, d, "amount_per_unit", "amount_segment", "is_weekend"))
-    out = None
-    for v, g in BOXES:
-        boxes = plotdata.box_stats(lines, v, g).withColumn("level", F.col(g).cast("string")).drop(g).select(
-            F.lit(v).alias("value_column"), F.lit(g).alias("group_column"), "*")
-        out = boxes if out is None else out.unionByName(boxes)
-    return rounded(out, 6, "q1", "median", "q3", "whisker_low", "whisker_high")
+    lines = staged(derived(spark, d, "amount_per_unit", "amount_segment", "is_weekend"), "amount", "amount_per_unit",
+                   "channel", "store", "amount_segment", "is_weekend")
+    return rounded(plotdata.box_stats(lines, BOXES), 6, "q1", "median", "q3", "whisker_low", "whisker_high")
 
 
 def place_sql(c, low, high, bins):

@@ -6,7 +6,7 @@ from basketlens import config
 from basketlens.functions import columns as C
 from basketlens.operators import features, order_stats, quality, skew
 from basketlens.plans.catalog import query
-from basketlens.plans.sales_view import customers, derived, oracle, sales, valid
+from basketlens.plans.sales_view import customers, derived, oracle, sales, staged, valid
 from basketlens.sources import delimited
 from basketlens.sources.staging import materialize
 
@@ -270,7 +270,7 @@ def trimmed_sql(source):
 q AS ({iqr_sql('valid')}) SELECT variable, round(q1, 4) AS q1, round(q3, 4) AS q3,
   round(q1 - 1.5 * (q3 - q1), 4) AS lower, round(q3 + 1.5 * (q3 - q1), 4) AS upper FROM q WHERE q3 > q1"""))
 def iqr_bounds(spark, d):
-    return rounded(quality.iqr_bounds(valid(spark, d)), 4, "q1", "q3", "lower", "upper")
+    return rounded(quality.iqr_bounds(staged(valid(spark, d), *config.NUMERIC)), 4, "q1", "q3", "lower", "upper")
 
 
 @query("iqr_outlier_counts", oracle("valid", f"""q AS ({iqr_sql('valid')}),
@@ -281,7 +281,7 @@ SELECT variable, round(any_value(lower), 4) AS lower, round(any_value(upper), 4)
   round(count(*) FILTER (WHERE value < lower OR value > upper) * 100.0::DOUBLE / any_value(total), 6) AS pct
 FROM x JOIN b USING (variable) GROUP BY variable"""))
 def iqr_outlier_counts(spark, d):
-    found = quality.iqr_outlier_counts(valid(spark, d))
+    found = quality.iqr_outlier_counts(staged(valid(spark, d), *config.NUMERIC))
     return rounded(rounded(found, 4, "lower", "upper"), 6, "pct")
 
 
@@ -296,13 +296,13 @@ TRIMMED_ROWS = ("receipt_id, CAST(line_no AS BIGINT) AS line_no, sku, units, dis
 
 @query("iqr_null_outliers", oracle("valid", f"t AS ({trimmed_sql('valid')}) SELECT {TRIMMED_ROWS} FROM t"))
 def iqr_null_outliers(spark, d):
-    return trimmed_rows(quality.iqr_null_outliers(valid(spark, d)))
+    return trimmed_rows(quality.iqr_null_outliers(staged(valid(spark, d), "line_no", *config.NUMERIC)))
 
 
 @query("iqr_two_pass", oracle("valid", f"""t1 AS ({trimmed_sql('valid')}), t2 AS ({trimmed_sql('t1')})
 SELECT {TRIMMED_ROWS} FROM t2"""))
 def iqr_two_pass(spark, d):
-    return trimmed_rows(quality.iqr_null_outliers(materialize(valid(spark, d)), passes=2))
+    return trimmed_rows(quality.iqr_null_outliers(staged(valid(spark, d), "line_no", *config.NUMERIC), passes=2))
 
 
 # ---- null policy and imputation ---------------------------------------------------------
@@ -317,7 +317,7 @@ ACTION = ("CASE WHEN nulls = 0 THEN 'keep' WHEN nulls * 100.0::DOUBLE / total <=
     for i, c in enumerate(PLANNED)]) + f""")
 SELECT position, variable, nulls, round(nulls * 100.0::DOUBLE / total, 6) AS pct, {ACTION} AS action FROM n"""))
 def null_policy_plan(spark, d):
-    trimmed = quality.iqr_null_outliers(valid(spark, d))
+    trimmed = quality.iqr_null_outliers(staged(valid(spark, d), *PLANNED))
     return rounded(quality.null_policy_plan(trimmed, PLANNED), 6, "pct")
 
 
@@ -328,7 +328,7 @@ m AS (SELECT quantile_cont(amount, 0.5) AS amount FROM t WHERE units IS NOT NULL
 SELECT receipt_id, sku, units, discount_pct, round(coalesce(t.amount, m.amount), 4) AS amount, store, gender
 FROM t, m WHERE units IS NOT NULL AND discount_pct IS NOT NULL AND gender IS NOT NULL"""))
 def null_policy(spark, d):
-    cleaned = quality.apply_null_policy(quality.iqr_null_outliers(materialize(valid(spark, d)), passes=2), PLANNED)
+    cleaned = quality.apply_null_policy(quality.iqr_null_outliers(staged(valid(spark, d), *PLANNED), passes=2), PLANNED)
     return cleaned.select("receipt_id", "sku", "units", "discount_pct", F.round("amount", 4).alias("amount"),
                           "store", "gender")
 
@@ -347,7 +347,7 @@ m AS (SELECT quantile_cont(units, 0.5) AS units, quantile_cont(amount, 0.5) AS a
 SELECT receipt_id, coalesce(v.units, m.units) AS units, round(coalesce(v.amount, m.amount), 4) AS amount
 FROM valid v, m"""))
 def impute_median(spark, d):
-    filled = quality.impute_median(valid(spark, d), ["units", "amount"])
+    filled = quality.impute_median(staged(valid(spark, d), "receipt_id", "units", "amount"), ["units", "amount"])
     return filled.select("receipt_id", "units", F.round("amount", 4).alias("amount"))
 
 

@@ -3,7 +3,9 @@
 The same SELECT runs on Spark and on DuckDB; only the spelling of a double literal differs.
 """
 
+from basketlens import config
 from basketlens.operators import features, quality, segment
+from basketlens.sources.staging import materialize
 
 TABLES = ["lineitem", "orders", "customer", "part"]
 
@@ -57,8 +59,14 @@ def valid(spark, sf_dir):
 def derived(spark, sf_dir, *only):
     """Validated lines with the wanted derived columns (default: all), validated too."""
     lines = valid(spark, sf_dir)
-    return quality.validate_derived(features.derive_features(lines, only) if only
-                                    else features.derive_features(lines))
+    if not only or {"amount_segment", "purchase_freq"} & set(only):
+        lines = staged(lines)
+    return quality.validate_derived(features.derive_features(lines, only or config.DERIVED))
+
+
+def staged(frame, *columns):
+    """The wanted columns, written once: for operators that pass over the joined view several times."""
+    return materialize(frame.select(*columns) if columns else frame)
 
 
 def customers(spark, sf_dir):

@@ -25,18 +25,24 @@ def labelled(spark, d):
     return complete(spark, d).withColumn("cluster", F.pmod("purchase_count", F.lit(3)).cast("bigint"))
 
 
-def scaled_vectors(spark, d):
+def scaled(spark, d):
     """Scaled customers, written once because the fits pass over them many times."""
-    return segment.as_vectors(materialize(segment.scale_features(customers(spark, d), FEATURES)), FEATURES)
+    return materialize(segment.scale_features(customers(spark, d), FEATURES))
+
+
+def clustered(spark, d):
+    frame = scaled(spark, d)
+    centres, _ = segment.fit_kmeans(frame, FEATURES)[config.CLUSTERS]
+    return segment.assign_to_centres(frame, [f"{c}_z" for c in FEATURES], centres)
 
 
 @query("customer_table", oracle("customers", """
-SELECT customer_id, round(amount_mean, 4) AS amount_mean, round(amount_sum, 2) AS amount_sum,
+SELECT customer_id, round(amount_mean, 3) AS amount_mean, round(amount_sum, 4) AS amount_sum,
   round(discount_mean, 6) AS discount_mean, round(age_mean, 4) AS age_mean, recency_min,
   round(amount_per_unit_mean, 4) AS amount_per_unit_mean, purchase_count FROM customers"""))
 def customer_table(spark, d):
-    found = rounded(customers(spark, d), 4, "amount_mean", "age_mean", "amount_per_unit_mean")
-    return rounded(rounded(found, 6, "discount_mean"), 2, "amount_sum")
+    found = rounded(customers(spark, d), 4, "amount_sum", "age_mean", "amount_per_unit_mean")
+    return rounded(rounded(found, 6, "discount_mean"), 3, "amount_mean")
 
 
 @query("customer_features_scaled", oracle("customers", LABELLED_SQL + ", p AS (SELECT " + ", ".join(
@@ -44,8 +50,8 @@ def customer_table(spark, d):
     + " FROM k) SELECT customer_id, " + ", ".join(f"round(({c} - {c}_m) / {c}_s, 6) AS {c}_z" for c in FEATURES)
     + " FROM k, p"))
 def customer_features_scaled(spark, d):
-    scaled = [f"{c}_z" for c in FEATURES]
-    return rounded(segment.scale_features(customers(spark, d), FEATURES).select("customer_id", *scaled), 6, *scaled)
+    names = [f"{c}_z" for c in FEATURES]
+    return rounded(segment.scale_features(customers(spark, d), FEATURES).select("customer_id", *names), 6, *names)
 
 
 CENTRE_COLUMNS = ["amount_mean", "recency_min", "purchase_count"]
@@ -69,11 +75,11 @@ PROFILE = [f"{c}_{s}" for c in FEATURES for s in ("mean", "median", "min", "max"
 
 @query("cluster_profile", oracle("customers", LABELLED_SQL + """
 SELECT cluster, count(*) AS size, round(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM k), 6) AS pct, """ + ", ".join(
-    f"round(avg({c}), 4) AS {c}_mean, round(quantile_cont({c}::DOUBLE, 0.5), 4) AS {c}_median, "
-    f"round(min({c})::DOUBLE, 4) AS {c}_min, round(max({c})::DOUBLE, 4) AS {c}_max" for c in FEATURES)
+    f"round(avg({c}), 6) AS {c}_mean, round(quantile_cont({c}::DOUBLE, 0.5), 6) AS {c}_median, "
+    f"round(min({c})::DOUBLE, 6) AS {c}_min, round(max({c})::DOUBLE, 6) AS {c}_max" for c in FEATURES)
     + " FROM k GROUP BY cluster"))
 def cluster_profile(spark, d):
-    return rounded(rounded(segment.cluster_profile(labelled(spark, d), FEATURES), 6, "pct"), 4, *PROFILE)
+    return rounded(rounded(segment.cluster_profile(labelled(spark, d), FEATURES), 6, "pct"), 6, *PROFILE)
 
 
 def level_sql(c):
@@ -125,9 +131,9 @@ s AS (SELECT customer_id, max(away * n / (n - 1)) FILTER (WHERE cluster = other)
         min(away) FILTER (WHERE cluster <> other) AS b FROM t GROUP BY customer_id)
 SELECT 'squared euclidean' AS measure, round(avg((b - a) / greatest(a, b)), 6) AS silhouette FROM s"""))
 def silhouette(spark, d):
-    scaled = scaled_vectors(spark, d).withColumn("cluster", F.pmod("purchase_count", F.lit(3)))
-    score = segment.silhouette_squared(scaled)
-    return scaled.agg(F.lit("squared euclidean").alias("measure"), F.round(F.lit(score), 6).alias("silhouette"))
+    frame = scaled(spark, d).withColumn("cluster", F.pmod("purchase_count", F.lit(3)))
+    score = segment.silhouette_squared(segment.as_vectors(frame, FEATURES))
+    return frame.agg(F.lit("squared euclidean").alias("measure"), F.round(F.lit(score), 6).alias("silhouette"))
 
 
 @query("silhouette_euclidean", oracle("customers", f"""{SCALED_SQL},
@@ -139,28 +145,26 @@ s AS (SELECT customer_id, max(away / (n - 1)) FILTER (WHERE cluster = other) AS
 SELECT 'euclidean' AS measure, round(avg((b - a) / greatest(a, b)), 6) AS silhouette FROM s"""))
 def silhouette_euclidean(spark, d):
     """The measure on a seeded sample of 30,000 customers; the check's data has fewer."""
-    scaled = scaled_vectors(spark, d).withColumn("cluster", F.pmod("purchase_count", F.lit(3)))
-    score = segment.silhouette_euclidean(scaled, [f"{c}_z" for c in FEATURES], "cluster", ["customer_id"])
-    return scaled.agg(F.lit("euclidean").alias("measure"), F.round(F.lit(score), 6).alias("silhouette"))
+    frame = scaled(spark, d).withColumn("cluster", F.pmod("purchase_count", F.lit(3)))
+    score = segment.silhouette_euclidean(frame, [f"{c}_z" for c in FEATURES], "cluster", ["customer_id"])
+    return frame.agg(F.lit("euclidean").alias("measure"), F.round(F.lit(score), 6).alias("silhouette"))
 
 
 @query("kmeans_elbow")
 def kmeans_elbow(spark, d):
-    return segment.elbow(scaled_vectors(spark, d))
+    return segment.elbow(scaled(spark, d), FEATURES)
 
 
 @query("kmeans_assign")
 def kmeans_assign(spark, d):
-    vectors = scaled_vectors(spark, d)
-    model = segment.fit_kmeans(vectors)
-    return model.transform(vectors).select("customer_id", F.col("prediction").cast("bigint").alias("cluster"))
+    return clustered(spark, d).select("customer_id", "cluster")
 
 
 @query("clustering_metrics")
 def clustering_metrics(spark, d):
-    vectors = scaled_vectors(spark, d)
-    assigned = segment.fit_kmeans(vectors).transform(vectors).withColumnRenamed("prediction", "cluster")
-    return segment.clustering_metrics(assigned, config.CLUSTERS, FEATURES, segment.silhouette_squared(assigned))
+    assigned = clustered(spark, d)
+    score = segment.silhouette_squared(segment.as_vectors(assigned, FEATURES))
+    return segment.clustering_metrics(assigned, config.CLUSTERS, FEATURES, score)
 
 
 @query("segment_customers")
@@ -169,4 +173,4 @@ def segment_customers(spark, d):
     cleaned = quality.clean_base(materialize(valid(spark, d)))
     wanted = ["amount_per_unit", "age", "recency_days"]
     lines = quality.validate_derived(features.derive_features(cleaned, wanted))
-    return segment.segment_customers(lines, ks=[config.CLUSTERS])["profile"]
+    return segment.segment_customers(lines)["profile"]

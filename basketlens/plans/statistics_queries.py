@@ -8,8 +8,7 @@ from basketlens import config
 from basketlens.operators import anova, association, correlation, normality, order_stats, skew
 from basketlens.plans.catalog import query
 from basketlens.plans.quality_queries import ALL, TOTAL_ORDER, rounded, union_sql
-from basketlens.plans.sales_view import derived, oracle, valid
-from basketlens.sources.staging import materialize
+from basketlens.plans.sales_view import derived, oracle, staged, valid
 
 NUMBERS = ["units", "discount_pct", "amount", "sku"]
 DERIVED_NUMBERS = ["amount_per_unit", "age", "recency_days", "gross_amount", "amount"]
@@ -23,7 +22,7 @@ RANK_PAIRS = [("age", "amount"), ("recency_days", "purchase_freq"), ("gross_amou
 FROM (SELECT {c}, row_number() OVER (ORDER BY {c}) AS r FROM valid WHERE {c} IS NOT NULL) GROUP BY {c}"""
     for c in ("units", "amount", "discount_pct")])))
 def average_rank(spark, d):
-    return order_stats.average_ranks(valid(spark, d), ["units", "amount", "discount_pct"])
+    return order_stats.average_ranks(staged(valid(spark, d), *config.MEASURES), ["units", "amount", "discount_pct"])
 
 
 # ---- correlation ------------------------------------------------------------------------
@@ -58,7 +57,7 @@ def spearman_sql(a, b, extra=""):
 
 @query("spearman_pairs", oracle("derived", union_sql([spearman_sql(a, b) for a, b in RANK_PAIRS])))
 def spearman_pairs(spark, d):
-    lines = materialize(derived(spark, d, "amount_per_unit", "age", "recency_days", "gross_amount", "purchase_freq"))
+    lines = staged(derived(spark, d), "units", "discount_pct", "amount", *config.DERIVED_NUMERIC)
     return rounded(correlation.spearman_pairs(lines, RANK_PAIRS), 6, "corr")
 
 
@@ -69,7 +68,7 @@ AUTO = ["units", "discount_pct", "amount", "age"]
 @query("corr_auto", oracle("derived", union_sql([
     spearman_sql(a, b, ", 'spearman' AS method") for a, b in combinations_with_replacement(AUTO, 2)])))
 def corr_auto(spark, d):
-    lines = materialize(derived(spark, d, "age"))
+    lines = staged(derived(spark, d, "age"), *AUTO)
     return rounded(correlation.correlations(lines, correlation.all_pairs(AUTO)), 6, "corr")
 
 
@@ -82,17 +81,17 @@ GROUPED_DERIVED_PAIRS = config.DERIVED_PAIRS[6:]
     + [f"SELECT '{a}', '{b}', 'boxplot', CAST(NULL AS DOUBLE), count(*) FILTER (WHERE {a} IS NOT NULL AND {b} IS NOT NULL) "
        "FROM derived" for a, b in GROUPED_DERIVED_PAIRS])))
 def derived_pairs(spark, d):
-    return rounded(correlation.pair_analysis(materialize(derived(spark, d))), 6, "corr")
+    return rounded(correlation.pair_analysis(staged(derived(spark, d), "amount", *config.DERIVED)), 6, "corr")
 
 
 @query("regression_line", oracle("derived", union_sql([
-    f"SELECT '{x}' AS var1, '{y}' AS var2, round(regr_slope({y}, {x}), 4) AS slope, "
+    f"SELECT '{x}' AS var1, '{y}' AS var2, round(regr_slope({y}, {x}), 8) AS slope, "
     f"round(regr_intercept({y}, {x}), 4) AS intercept, round(min({x}) FILTER (WHERE {y} IS NOT NULL), 4) AS x_min, "
     f"round(max({x}) FILTER (WHERE {y} IS NOT NULL), 4) AS x_max, regr_count({y}, {x})::BIGINT AS n FROM derived"
     for x, y in NUMERIC_DERIVED_PAIRS])))
 def regression_line(spark, d):
     lines = correlation.regression_lines(derived(spark, d), NUMERIC_DERIVED_PAIRS)
-    return rounded(lines, 4, "slope", "intercept", "x_min", "x_max")
+    return rounded(rounded(lines, 8, "slope"), 4, "intercept", "x_min", "x_max")
 
 
 # ---- association ------------------------------------------------------------------------
@@ -233,7 +232,7 @@ def shapiro_blocks(spark, d):
 
 @query("ks_normal")
 def ks_normal(spark, d):
-    return normality.ks_normal(valid(spark, d), config.MEASURES)
+    return normality.ks_normal(staged(valid(spark, d), *config.MEASURES), config.MEASURES)
 
 
 @query("normality_verdict")
