@@ -80,15 +80,16 @@ def fit_kmeans(scaled, columns, ks=(config.CLUSTERS,), starts=config.KMEANS_STAR
     Lloyd's iteration for all (k, start) models shares its passes: a pass sums, per task, the
     members of every centre of every model, and Spark adds the tasks' sums. So the elbow scan
     costs about as many passes as its slowest model, not the sum over all models. Only the sums
-    of the centres reach the driver. Starts are chosen by k-means++ on a seeded sample.
+    of the centres reach the driver. Each start is chosen by k-means++ and settled on a seeded
+    sample first (one small task per model), which leaves few passes over the full data.
     """
     names = [c + suffix for c in columns]
     points = scaled.select(*names)
     sample = seeded_sample(scaled.select(key, *names), [key], INITIAL_SAMPLE, seed).select(*names)
     drawn = sample.toPandas().to_numpy(dtype=float)
     ks = [k for k in ks if k <= len(np.unique(drawn, axis=0))]
-    models = {(k, start): _plus_plus(drawn, k, np.random.default_rng([seed, k, start]))
-              for k in ks for start in range(starts)}
+    models = _starts(scaled.sparkSession, drawn, [(k, i) for k in ks for i in range(starts)], seed,
+                     max_iter, tolerance)
     moving = set(models)
     for _ in range(max_iter):
         if not moving:
@@ -105,6 +106,31 @@ def fit_kmeans(scaled, columns, ks=(config.CLUSTERS,), starts=config.KMEANS_STAR
     return {k: (models[m], costs[m]) for k, m in best.items()}
 
 
+def _starts(spark, sample, wanted, seed, max_iter, tolerance):
+    """{model: centres} from the sample; the models are spread over the cluster's tasks."""
+    shared = spark.sparkContext.broadcast(sample)
+
+    def settle(batches):
+        points = shared.value
+        for batch in batches:
+            found = []
+            for k, start in zip(batch["k"], batch["start"]):
+                centres = _plus_plus(points, k, np.random.default_rng([seed, k, start]))
+                for _ in range(max_iter):
+                    sizes, sums, _ = _assign(points, centres)
+                    new = np.where(sizes[:, None] > 0, sums / np.maximum(sizes, 1)[:, None], centres)
+                    shift, centres = ((new - centres) ** 2).sum(), new
+                    if shift <= tolerance:
+                        break
+                found.append((k, start, centres.ravel().tolist()))
+            yield pd.DataFrame(found, columns=["k", "start", "centres"])
+
+    models = spark.createDataFrame(wanted, "k INT, start INT").repartition(len(wanted))
+    rows = models.mapInPandas(settle, "k INT, start INT, centres ARRAY<DOUBLE>").collect()
+    shared.unpersist()
+    return {(r["k"], r["start"]): np.array(r["centres"]).reshape(r["k"], -1) for r in rows}
+
+
 def _plus_plus(points, k, draw):
     """k-means++: each further centre is drawn in proportion to its squared distance."""
     centres = [points[draw.integers(len(points))]]
@@ -115,6 +141,15 @@ def _plus_plus(points, k, draw):
     return np.array(centres)
 
 
+def _assign(x, centres):
+    """(sizes, sums, costs) per centre of the rows nearest to it."""
+    away = (x * x).sum(axis=1)[:, None] - 2 * x @ centres.T + (centres * centres).sum(axis=1)[None, :]
+    own = away.argmin(axis=1)
+    member = np.zeros(away.shape)
+    member[np.arange(len(x)), own] = 1.0
+    return member.sum(axis=0), member.T @ x, member.T @ np.maximum(away.min(axis=1), 0.0)
+
+
 def _lloyd_pass(points, models):
     """{model: (sizes, sums, cost)} of the nearest-centre assignment, in one pass."""
     names = points.columns
@@ -128,15 +163,11 @@ def _lloyd_pass(points, models):
         sizes, sums, costs = np.zeros(len(centres)), np.zeros(centres.shape), np.zeros(len(centres))
         for batch in batches:
             x = batch.to_numpy(dtype=float)
-            rows = np.arange(len(x))
-            away = (x * x).sum(axis=1)[:, None] - 2 * x @ centres.T + (centres * centres).sum(axis=1)[None, :]
             for low, high in zip(ends[:-1], ends[1:]):
-                own = away[:, low:high].argmin(axis=1)
-                member = np.zeros((len(x), high - low))
-                member[rows, own] = 1.0
-                sizes[low:high] += member.sum(axis=0)
-                sums[low:high] += member.T @ x
-                costs[low:high] += member.T @ np.maximum(away[rows, low + own], 0.0)
+                size, total, cost = _assign(x, centres[low:high])
+                sizes[low:high] += size
+                sums[low:high] += total
+                costs[low:high] += cost
         yield pd.DataFrame({"centre": np.arange(len(centres)), "n": sizes, "cost": costs,
                             **{f"s{i}": sums[:, i] for i in range(sums.shape[1])}})
 

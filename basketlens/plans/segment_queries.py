@@ -37,12 +37,12 @@ def clustered(spark, d):
 
 
 @query("customer_table", oracle("customers", """
-SELECT customer_id, round(amount_mean, 3) AS amount_mean, round(amount_sum, 4) AS amount_sum,
+SELECT customer_id, round(amount_mean, 2) AS amount_mean, round(amount_sum, 4) AS amount_sum,
   round(discount_mean, 6) AS discount_mean, round(age_mean, 4) AS age_mean, recency_min,
   round(amount_per_unit_mean, 4) AS amount_per_unit_mean, purchase_count FROM customers"""))
 def customer_table(spark, d):
     found = rounded(customers(spark, d), 4, "amount_sum", "age_mean", "amount_per_unit_mean")
-    return rounded(rounded(found, 6, "discount_mean"), 3, "amount_mean")
+    return rounded(rounded(found, 6, "discount_mean"), 2, "amount_mean")
 
 
 @query("customer_features_scaled", oracle("customers", LABELLED_SQL + ", p AS (SELECT " + ", ".join(
