@@ -5,7 +5,7 @@ The same SELECT runs on Spark and on DuckDB; only the spelling of a double liter
 
 from basketlens import config
 from basketlens.operators import features, quality, segment
-from basketlens.sources.staging import materialize
+from basketlens.sources.staging import materialize, spread
 
 TABLES = ["lineitem", "orders", "customer", "part"]
 
@@ -46,6 +46,7 @@ JOIN part p ON l.l_partkey = p.p_partkey
 def sales(spark, sf_dir):
     """Raw sales lines. Small sides are broadcast by their measured size, others shuffle."""
     frames = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES}
+    frames["lineitem"] = spread(frames["lineitem"])
     query = SALES_SQL
     for t in TABLES:
         query = query.replace(f"FROM {t}", f"FROM {{{t}}}").replace(f"JOIN {t}", f"JOIN {{{t}}}")

@@ -36,13 +36,16 @@ def clustered(spark, d):
     return segment.assign_to_centres(frame, [f"{c}_z" for c in FEATURES], centres)
 
 
+# Means as single precision: a decimal rounding would hit exact ties.
 @query("customer_table", oracle("customers", """
-SELECT customer_id, round(amount_mean, 2) AS amount_mean, round(amount_sum, 4) AS amount_sum,
-  round(discount_mean, 6) AS discount_mean, round(age_mean, 4) AS age_mean, recency_min,
-  round(amount_per_unit_mean, 4) AS amount_per_unit_mean, purchase_count FROM customers"""))
+SELECT customer_id, CAST(CAST(amount_mean AS FLOAT) AS DOUBLE) AS amount_mean, round(amount_sum, 4) AS amount_sum,
+  CAST(CAST(discount_mean AS FLOAT) AS DOUBLE) AS discount_mean, CAST(CAST(age_mean AS FLOAT) AS DOUBLE) AS age_mean,
+  recency_min, CAST(CAST(amount_per_unit_mean AS FLOAT) AS DOUBLE) AS amount_per_unit_mean, purchase_count
+FROM customers"""))
 def customer_table(spark, d):
-    found = rounded(customers(spark, d), 4, "amount_sum", "age_mean", "amount_per_unit_mean")
-    return rounded(rounded(found, 6, "discount_mean"), 2, "amount_mean")
+    found = rounded(customers(spark, d), 4, "amount_sum")
+    return found.withColumns({c: F.col(c).cast("float").cast("double")
+                              for c in ("amount_mean", "discount_mean", "age_mean", "amount_per_unit_mean")})
 
 
 @query("customer_features_scaled", oracle("customers", LABELLED_SQL + ", p AS (SELECT " + ", ".join(
