@@ -74,12 +74,13 @@ def pairwise(df, value=config.ANOVA_VALUE, factors=config.ANOVA_FACTORS):
             .withColumn("q", F.abs("meandiff") / F.nullif(F.col("se"), F.lit(0.0))))
 
 
-def tukey(df, value=config.ANOVA_VALUE, factors=config.ANOVA_FACTORS, alpha=config.ALPHA):
-    """Tukey HSD of the factors whose F test is significant.
+def tukey(df, value=config.ANOVA_VALUE, factors=config.ANOVA_FACTORS, alpha=config.ALPHA, only_if=None):
+    """Tukey HSD of the factors whose F test is significant (at ``only_if``, default alpha).
 
     (factor, group1, group2, meandiff, p_adj, lower, upper, reject)
     """
-    pairs = with_anova_p(pairwise(df, value, factors)).where(F.col("pvalue") <= alpha)
+    pairs = with_anova_p(pairwise(df, value, factors)).where(
+        F.col("pvalue") <= (alpha if only_if is None else only_if))
     judged = (pairs.withColumn("p_adj", tails.studentized_range_tail("q", "n_groups", "df_within"))
               .withColumn("_critical", tails.studentized_range_quantile(F.lit(1 - alpha), "n_groups", "df_within")))
     reach = F.col("_critical") * F.col("se")

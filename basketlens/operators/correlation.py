@@ -2,7 +2,7 @@
 
 from itertools import combinations_with_replacement
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from basketlens import config
 from basketlens.functions import tails
@@ -79,6 +79,29 @@ def with_average_ranks(df):
                                         for c in names])
 
 
+def correlation_by_block(blocked, pairs, block="block"):
+    """(var1, var2, pearson, spearman, n, n_blocks): both coefficients per block, averaged.
+
+    Blocks are bounded (see skew.with_blocks), so ranking one in a window is bounded too.
+    """
+    cells = F.array(*[F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"), number(blocked, a).alias("x"),
+                               number(blocked, b).alias("y")) for a, b in present_pairs(blocked, pairs)])
+    rows = (blocked.select(block, F.explode(cells).alias("c")).select(block, "c.*")
+            .where("x IS NOT NULL AND y IS NOT NULL"))
+    keys = [block, "var1", "var2"]
+    ranked = rows.withColumns({f"rank_{c}": F.rank().over(Window.partitionBy(*keys).orderBy(c))
+                               + (F.count("*").over(Window.partitionBy(*keys, c)) - 1) / 2 for c in ("x", "y")})
+
+    def corr(x, y):
+        spread = F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0))
+        return F.covar_pop(x, y) / spread
+
+    found = ranked.groupBy(*keys).agg(corr("x", "y").alias("pearson"), corr("rank_x", "rank_y").alias("spearman"),
+                                      F.count("*").alias("n"))
+    return found.groupBy("var1", "var2").agg(F.avg("pearson").alias("pearson"), F.avg("spearman").alias("spearman"),
+                                             F.sum("n").alias("n"), F.count("*").alias("n_blocks"))
+
+
 def correlation_matrix(df, columns, method="pearson"):
     """(var1, var2, corr) of the full symmetric matrix."""
     columns = [c for c in columns if c in df.columns]

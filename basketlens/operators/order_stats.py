@@ -255,7 +255,7 @@ def value_ranks(df, columns, buckets=None):
     the work and never change a rank.
     """
     spark = df.sparkSession
-    buckets = buckets or max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = buckets or max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     wide = df.select(*[number(df, c).alias(c) for c in columns])
     cuts = wide.approxQuantile(list(columns), [i / buckets for i in range(1, buckets)], 0.5 / buckets)
     splits = []

@@ -119,6 +119,12 @@ def describe_base(spark, d):
     return rounded(found, 4, "mean", "std", "min", "q1", "median", "q3", "max")
 
 
+@query("describe_derived", oracle("derived", union_sql([describe_sql(c, "derived") for c in config.DERIVED_NUMERIC])))
+def describe_derived(spark, d):
+    found = describe.describe(staged(derived(spark, d), *config.DERIVED_NUMERIC), config.DERIVED_NUMERIC)
+    return rounded(found, 4, "mean", "std", "min", "q1", "median", "q3", "max")
+
+
 def full_sql(columns, table):
     def one(c):
         # Biased moments about the mean; a null that is the most frequent is the mode.
@@ -175,6 +181,13 @@ def freq_table(spark, d):
                                                   "gender", "ts"])
 
 
+@query("freq_table_derived", oracle("derived", union_sql([
+    f"SELECT '{c}' AS variable, CAST({c} AS VARCHAR) AS value, count(*) AS n FROM derived GROUP BY {c}"
+    for c in ("is_weekend", "amount_segment")])))
+def freq_table_derived(spark, d):
+    return describe.frequencies(derived(spark, d, "is_weekend", "amount_segment"), ["is_weekend", "amount_segment"])
+
+
 @query("freq_by_day", oracle("valid", """
 SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, count(*) AS n FROM valid GROUP BY 1"""))
 def freq_by_day(spark, d):

@@ -161,6 +161,14 @@ def test_delimited_round_trip(spark, tmp_path):
     assert delimited.table_shape(df).first()["n_rows"] == 2
 
 
+def test_report_and_cluster_sinks(spark, tmp_path):
+    lines = spark.createDataFrame([("one",), ("two",)], "line STRING")
+    delimited.write_report(lines, str(tmp_path / "report"))
+    assert sorted(r[0] for r in spark.read.text(str(tmp_path / "report")).collect()) == ["one", "two"]
+    delimited.write_clusters(lines.withColumn("cluster", F.lit(1)), str(tmp_path / "clusters"))
+    assert spark.read.parquet(str(tmp_path / "clusters")).count() == 2
+
+
 def test_head_and_seeded_sample(spark):
     df = spark.range(1000).withColumn("t", F.col("id") % 7)
     assert values(delimited.head_sample(df, ["id"], 5), "id") == [0, 1, 2, 3, 4]
