@@ -6,9 +6,9 @@ from basketlens import config
 from basketlens.functions import columns as C
 from basketlens.operators import features, order_stats, quality, skew
 from basketlens.plans.catalog import query
-from basketlens.plans.sales_view import customers, derived, oracle, sales, staged, valid
+from basketlens.plans.sales_view import (
+    DERIVED_SQL, FEATURES_SQL, customers, derived, oracle, sales, staged, valid)
 from basketlens.sources import delimited
-from basketlens.sources.staging import materialize
 
 ALL = ["receipt_id", "line_no", "sku", "units", "discount_pct", "amount", "store", "gender", "channel",
        "status", "product", "first_name", "last_name", "customer_run", "customer_id", "ts", "birth_date"]
@@ -333,13 +333,22 @@ def null_policy(spark, d):
                           "store", "gender")
 
 
-@query("null_policy_derived")
+# On the cleaned lines only the age has nulls among the derived columns, and it is imputed.
+@query("null_policy_derived", oracle("valid", f"""t1 AS ({trimmed_sql('valid')}), t2 AS ({trimmed_sql('t1')}),
+m AS (SELECT quantile_cont(amount, 0.5) AS amount FROM t2 WHERE units IS NOT NULL AND discount_pct IS NOT NULL),
+cleaned AS (SELECT t2.* REPLACE (coalesce(t2.amount, m.amount) AS amount) FROM t2, m
+            WHERE units IS NOT NULL AND discount_pct IS NOT NULL AND gender IS NOT NULL),
+features AS ({FEATURES_SQL.replace('FROM valid', 'FROM cleaned')}), derived AS ({DERIVED_SQL}),
+a AS (SELECT quantile_cont(age, 0.5) AS age FROM derived)
+SELECT receipt_id, CAST(CAST(amount_per_unit AS FLOAT) AS DOUBLE) AS amount_per_unit, coalesce(derived.age, a.age) AS age,
+  hour, purchase_freq, recency_days, CAST(CAST(gross_amount AS FLOAT) AS DOUBLE) AS gross_amount, is_weekend, amount_segment
+FROM derived, a"""))
 def null_policy_derived(spark, d):
     # Each stage fits its decisions on the previous one, so stages are written once.
-    cleaned = materialize(quality.clean_base(materialize(valid(spark, d))))
-    frame = materialize(quality.validate_derived(features.derive_features(cleaned)))
-    treated = quality.apply_null_policy(frame, config.DERIVED)
-    return treated.select("receipt_id", *config.present(treated, config.DERIVED))
+    cleaned = staged(quality.clean_base(staged(valid(spark, d))))
+    frame = staged(quality.validate_derived(features.derive_features(cleaned)))
+    treated = quality.apply_null_policy(frame, config.DERIVED).select("receipt_id", *config.DERIVED)
+    return treated.withColumns({c: F.col(c).cast("float").cast("double") for c in ("amount_per_unit", "gross_amount")})
 
 
 @query("impute_median", oracle("valid", """

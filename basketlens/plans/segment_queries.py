@@ -7,8 +7,7 @@ from basketlens.operators import features, plotdata, quality, segment
 from basketlens.plans.catalog import query
 from basketlens.plans.plot_queries import grid_sql
 from basketlens.plans.quality_queries import rounded
-from basketlens.plans.sales_view import customers, derived, oracle, valid
-from basketlens.sources.staging import materialize
+from basketlens.plans.sales_view import customers, oracle, staged, valid
 
 FEATURES = config.CLUSTER_FEATURES
 # Labels that both engines can compute, so that the reports have a SQL equivalent.
@@ -27,7 +26,7 @@ def labelled(spark, d):
 
 def scaled(spark, d):
     """Scaled customers, written once because the fits pass over them many times."""
-    return materialize(segment.scale_features(customers(spark, d), FEATURES))
+    return staged(segment.scale_features(customers(spark, d), FEATURES))
 
 
 def clustered(spark, d):
@@ -173,7 +172,7 @@ def clustering_metrics(spark, d):
 @query("segment_customers")
 def segment_customers(spark, d):
     """Cleaned and derived lines through the whole segmentation; the profile of its clusters."""
-    cleaned = quality.clean_base(materialize(valid(spark, d)))
+    cleaned = quality.clean_base(staged(valid(spark, d)))
     wanted = ["amount_per_unit", "age", "recency_days"]
     lines = quality.validate_derived(features.derive_features(cleaned, wanted))
     return segment.segment_customers(lines)["profile"]
