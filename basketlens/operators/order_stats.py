@@ -267,7 +267,9 @@ def value_ranks(df, columns, buckets=None):
                         handleInvalid="keep").transform(wide)
     triples = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).alias("value"),
                                  F.col(p).cast("int").alias("bucket")) for c, p in zip(columns, places)])
-    counted = (placed.select(F.explode(triples).alias("_v")).select("_v.*").where("value IS NOT NULL")
+    # The bucket filter changes no row; it makes both uses below one and the same shuffle.
+    counted = (placed.select(F.explode(triples).alias("_v")).select("_v.*")
+               .where("value IS NOT NULL AND bucket IS NOT NULL")
                .groupBy("variable", "bucket", "value").agg(F.count("*").alias("copies")))
     inside = (Window.partitionBy("variable", "bucket").orderBy("value")
               .rowsBetween(Window.unboundedPreceding, -1))
