@@ -19,5 +19,6 @@ def table(spark, sf_dir, name):
 
 
 def load():
-    from basketlens.llm import minhash_dedup  # noqa: F401  (imported for its registration)
+    from basketlens.llm import (  # noqa: F401  (imported for their registrations)
+        chat_format, url_filter, minhash_dedup, token_files, secret_scan)
     return QUERIES, ORACLES
