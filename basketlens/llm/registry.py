@@ -20,5 +20,6 @@ def table(spark, sf_dir, name):
 
 def load():
     from basketlens.llm import (  # noqa: F401  (imported for their registrations)
-        chat_format, piece_lattice, url_filter, minhash_dedup, toxicity, token_files, source_mix, secret_scan)
+        chat_format, piece_lattice, url_filter, minhash_dedup, toxicity, token_files, multi_index, source_mix, secret_scan,
+        bloom_digest)
     return QUERIES, ORACLES
