@@ -40,6 +40,12 @@ DISCOUNT_RANGE = (0.0, 1.0)
 AGE_RANGE = (12.0, 100.0)
 GENDERS = [1.0, 2.0]
 UUID_PATTERN = "^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
+# Texts of the reports.
+NORMAL_NOT_REJECTED = "No se rechaza normalidad (p>0.05)"
+NORMAL_REJECTED = "Rechazo de normalidad (p<=0.05)"
+LEVEL_ABOVE, LEVEL_BELOW, LEVEL_SAME = "alto", "bajo", "similar"
+PHRASE_FREQUENT = "Clientes frecuentes y de mayor valor."
+PHRASE_INACTIVE = "Clientes menos activos con mayor recencia."
 SEGMENT_LOW, SEGMENT_MIDDLE, SEGMENT_HIGH, SEGMENT_UNKNOWN = "Bajo", "Medio", "Alto", "Desconocido"
 SEGMENT_PROBABILITIES = (0.33, 0.66)
 IQR_FACTOR = 1.5
@@ -54,8 +60,7 @@ HISTOGRAM_BINS = 30
 DENSITY_POINTS = 200
 CLUSTERS = 3
 ELBOW_RANGE = range(2, 9)
-KMEANS_STARTS = 10
-SILHOUETTE_SAMPLE = 30_000
+KMEANS_STARTS = 3  # each start is itself chosen by several oversampling passes (k-means||)
 SEED = 42
 
 

@@ -1,7 +1,6 @@
 """Customer table, standardization, K-Means, silhouette and cluster reports."""
 
-import numpy as np
-import pandas as pd
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
@@ -10,11 +9,8 @@ from basketlens import config
 from basketlens.config import present
 from basketlens.functions import columns as C
 from basketlens.operators import features, order_stats
-from basketlens.sources.delimited import seeded_sample
 from basketlens.sources.staging import materialize
 
-INITIAL_SAMPLE = 10_000
-
 
 def customer_table(df, customer="customer_id"):
     """One row per customer: means, sum and minimum of the sales lines, and their number.
@@ -74,113 +70,28 @@ def as_vectors(scaled, columns, suffix="_z"):
 # ---- K-Means ----------------------------------------------------------------------------
 
 def fit_kmeans(scaled, columns, ks=(config.CLUSTERS,), starts=config.KMEANS_STARTS, seed=config.SEED,
-               max_iter=300, tolerance=1e-4, key="customer_id", suffix="_z"):
-    """{k: (centres, inertia)}: the best of several seeded starts, for every k at once.
-
-    Lloyd's iteration for all (k, start) models shares its passes: a pass sums, per task, the
-    members of every centre of every model, and Spark adds the tasks' sums. So the elbow scan
-    costs about as many passes as its slowest model, not the sum over all models. Only the sums
-    of the centres reach the driver. Each start is chosen by k-means++ and settled on a seeded
-    sample first (one small task per model), which leaves few passes over the full data.
+               max_iter=300, tolerance=1e-4, suffix="_z"):
+    """{k: (centres, inertia)}: the best of several seeded fits for every k, each over all rows.
+
+    A k below two, or beyond the number of different points, has no fit and is left out. The vectors are kept on the
+    executors' disks and memory while the fits pass over them.
     """
     names = [c + suffix for c in columns]
-    points = scaled.select(*names)
-    sample = seeded_sample(scaled.select(key, *names), [key], INITIAL_SAMPLE, seed).select(*names)
-    drawn = sample.toPandas().to_numpy(dtype=float)
-    ks = [k for k in ks if k <= len(np.unique(drawn, axis=0))]
-    models = _starts(scaled.sparkSession, drawn, [(k, i) for k in ks for i in range(starts)], seed,
-                     max_iter, tolerance)
-    moving = set(models)
-    for _ in range(max_iter):
-        if not moving:
-            break
-        found = _lloyd_pass(points, {m: models[m] for m in moving})
-        for m, (sizes, sums, _) in found.items():
-            # A centre that lost its members stays where it is.
-            new = np.where(sizes[:, None] > 0, sums / np.maximum(sizes, 1)[:, None], models[m])
-            if ((new - models[m]) ** 2).sum() <= tolerance:
-                moving.discard(m)
-            models[m] = new
-    costs = {m: cost for m, (_, _, cost) in _lloyd_pass(points, models).items()}
-    best = {k: min((m for m in models if m[0] == k), key=lambda m: (costs[m], m)) for k in ks}
-    return {k: (models[m], costs[m]) for k, m in best.items()}
-
-
-def _starts(spark, sample, wanted, seed, max_iter, tolerance):
-    """{model: centres} from the sample; the models are spread over the cluster's tasks."""
-    shared = spark.sparkContext.broadcast(sample)
-
-    def settle(batches):
-        points = shared.value
-        for batch in batches:
-            found = []
-            for k, start in zip(batch["k"], batch["start"]):
-                centres = _plus_plus(points, k, np.random.default_rng([seed, k, start]))
-                for _ in range(max_iter):
-                    sizes, sums, _ = _assign(points, centres)
-                    new = np.where(sizes[:, None] > 0, sums / np.maximum(sizes, 1)[:, None], centres)
-                    shift, centres = ((new - centres) ** 2).sum(), new
-                    if shift <= tolerance:
-                        break
-                found.append((k, start, centres.ravel().tolist()))
-            yield pd.DataFrame(found, columns=["k", "start", "centres"])
-
-    models = spark.createDataFrame(wanted, "k INT, start INT").repartition(len(wanted))
-    rows = models.mapInPandas(settle, "k INT, start INT, centres ARRAY<DOUBLE>").collect()
-    shared.unpersist()
-    return {(r["k"], r["start"]): np.array(r["centres"]).reshape(r["k"], -1) for r in rows}
-
-
-def _plus_plus(points, k, draw):
-    """k-means++: each further centre is drawn in proportion to its squared distance."""
-    centres = [points[draw.integers(len(points))]]
-    nearest = ((points - centres[0]) ** 2).sum(axis=1)
-    for _ in range(k - 1):
-        centres.append(points[draw.choice(len(points), p=nearest / nearest.sum())])
-        nearest = np.minimum(nearest, ((points - centres[-1]) ** 2).sum(axis=1))
-    return np.array(centres)
-
-
-def _assign(x, centres):
-    """(sizes, sums, costs) per centre of the rows nearest to it."""
-    away = (x * x).sum(axis=1)[:, None] - 2 * x @ centres.T + (centres * centres).sum(axis=1)[None, :]
-    own = away.argmin(axis=1)
-    member = np.zeros(away.shape)
-    member[np.arange(len(x)), own] = 1.0
-    return member.sum(axis=0), member.T @ x, member.T @ np.maximum(away.min(axis=1), 0.0)
-
-
-def _lloyd_pass(points, models):
-    """{model: (sizes, sums, cost)} of the nearest-centre assignment, in one pass."""
-    names = points.columns
-    order = list(models)
-    stacked = np.vstack([models[m] for m in order])
-    edges = np.cumsum([0] + [len(models[m]) for m in order])
-    shared = points.sparkSession.sparkContext.broadcast((stacked, edges))
-
-    def partial(batches):
-        centres, ends = shared.value
-        sizes, sums, costs = np.zeros(len(centres)), np.zeros(centres.shape), np.zeros(len(centres))
-        for batch in batches:
-            x = batch.to_numpy(dtype=float)
-            for low, high in zip(ends[:-1], ends[1:]):
-                size, total, cost = _assign(x, centres[low:high])
-                sizes[low:high] += size
-                sums[low:high] += total
-                costs[low:high] += cost
-        yield pd.DataFrame({"centre": np.arange(len(centres)), "n": sizes, "cost": costs,
-                            **{f"s{i}": sums[:, i] for i in range(sums.shape[1])}})
-
-    dims = [f"s{i}" for i in range(len(names))]
-    schema = "centre BIGINT, n DOUBLE, cost DOUBLE, " + ", ".join(f"{c} DOUBLE" for c in dims)
-    added = points.mapInPandas(partial, schema).groupBy("centre").agg(*[F.sum(c).alias(c) for c in ("n", "cost", *dims)])
-    rows = added.orderBy("centre").toPandas()
-    shared.unpersist()
-    out = {}
-    for m, low, high in zip(order, edges[:-1], edges[1:]):
-        part = rows.iloc[low:high]
-        out[m] = (part["n"].to_numpy(), part[dims].to_numpy(), float(part["cost"].sum()))
-    return out
+    ks = sorted(set(ks))
+    if not ks:
+        return {}
+    # Only whether there are k different points matters, so counting stops at the largest k.
+    different = scaled.select(names).distinct().limit(max(ks)).count()
+    vectors = as_vectors(scaled, columns, suffix).select("features").persist()
+    try:
+        fits = {}
+        for k in (k for k in ks if 2 <= k <= different):
+            models = [KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=tolerance).fit(vectors) for i in range(starts)]
+            best = min(models, key=lambda m: m.summary.trainingCost)
+            fits[k] = ([list(c) for c in best.clusterCenters()], float(best.summary.trainingCost))
+        return fits
+    finally:
+        vectors.unpersist()
 
 
 def elbow(scaled, columns, ks=config.ELBOW_RANGE, starts=config.KMEANS_STARTS, seed=config.SEED):
@@ -211,41 +122,6 @@ def silhouette_squared(vectors, cluster="cluster"):
         vectors.withColumn(cluster, F.col(cluster).cast("double")))
 
 
-def silhouette_euclidean(df, columns, cluster, key, rows=config.SILHOUETTE_SAMPLE, seed=config.SEED):
-    """Mean silhouette by Euclidean distance within a seeded sample of at most ``rows`` rows.
-
-    This is the reference's measure, and like there the sample is the feature: the distance sums
-    are quadratic. The sample (a fixed bound) is shipped to all tasks, which share its rows.
-    """
-    sample = seeded_sample(df.select(*key, *columns, cluster), key, rows, seed).select(*columns, cluster)
-    local = sample.toPandas()
-    points = local[columns].to_numpy(dtype=float)
-    ids, labels = np.unique(local[cluster].to_numpy(), return_inverse=True)
-    if ids.size < 2:
-        raise ValueError("a silhouette needs at least two clusters")
-    spark = df.sparkSession
-    shared = spark.sparkContext.broadcast((points, labels, ids.size))
-
-    def score(batches):
-        x, label, k = shared.value
-        member = np.eye(k)[label]
-        sizes = member.sum(axis=0)
-        for batch in batches:
-            for chunk in np.array_split(batch["id"].to_numpy(), max(1, len(batch) // 32)):
-                gap = x[chunk][:, None, :] - x[None, :, :]
-                sums = np.sqrt((gap * gap).sum(axis=2)) @ member
-                own = label[chunk]
-                at = np.arange(chunk.size)
-                a = sums[at, own] / np.maximum(sizes[own] - 1, 1)
-                means = sums / sizes
-                means[at, own] = np.inf
-                b = means.min(axis=1)
-                s = np.where(sizes[own] > 1, (b - a) / np.maximum(np.maximum(a, b), 1e-300), 0.0)
-                yield pd.DataFrame({"s": s})
-
-    return spark.range(len(points)).mapInPandas(score, "s DOUBLE").agg(F.avg("s")).first()[0]
-
-
 def clustering_metrics(assigned, k, columns, score, cluster="cluster"):
     """(model, k, silhouette, n_customers, variables)"""
     return assigned.agg(F.count(cluster).alias("n_customers")).select(
@@ -278,14 +154,14 @@ def cluster_interpretation(assigned, columns, cluster="cluster", tolerance=0.0):
     def below(c):
         return F.col(c) < overall[c] - tolerance
 
-    levels = [F.concat(F.lit(f"{c} "), F.when(above(c), "alto").when(below(c), "bajo").otherwise("similar"))
+    levels = [F.concat(F.lit(f"{c} "), F.when(above(c), config.LEVEL_ABOVE).when(below(c), config.LEVEL_BELOW).otherwise(config.LEVEL_SAME))
               for c in columns]
     phrase = F.lit(None).cast("string")
     if {"purchase_count", "amount_sum"} <= set(columns):
-        phrase = F.when(above("purchase_count") & above("amount_sum"), "Clientes frecuentes y de mayor valor.")
+        phrase = F.when(above("purchase_count") & above("amount_sum"), config.PHRASE_FREQUENT)
         if "recency_min" in columns:
             phrase = phrase.when(below("purchase_count") & above("recency_min"),
-                                 "Clientes menos activos con mayor recencia.")
+                                 config.PHRASE_INACTIVE)
     text = F.concat_ws(" ", F.concat(F.lit("Cluster "), F.col(cluster).cast("string"), F.lit(":")),
                        F.concat(F.lit("Promedios: "), F.concat_ws(", ", *levels), F.lit(".")), phrase)
     return means.select(cluster, text.alias("interpretation"))
@@ -296,14 +172,17 @@ def segment_customers(df, k=config.CLUSTERS, starts=config.KMEANS_STARTS, seed=c
     """The whole segmentation of prepared sales lines.
 
     Returns the assigned customers and the elbow, metrics, profile and interpretation tables.
-    The scaled customers are written once, because the fits pass over them many times.
+    The customers are written before they are scaled, and the scaled ones before the fits, which pass
+    over them many times.
     """
-    customers = customer_table(df)
+    customers = materialize(customer_table(df))
     columns = usable_features(customers)
     scaled = materialize(scale_features(customers, columns))
     if scaled.isEmpty():
         raise ValueError("no customers left to cluster after removing null and infinite values")
-    fits = fit_kmeans(scaled, columns, sorted({k, *ks}), starts, seed)
+    fits = fit_kmeans(scaled, columns, {k, *ks}, starts, seed)
+    if k not in fits:
+        raise ValueError(f"there are fewer than {k} different customers to cluster")
     assigned = assign_to_centres(scaled, [c + "_z" for c in columns], fits[k][0])
     score = silhouette_squared(as_vectors(assigned, columns))
     return {

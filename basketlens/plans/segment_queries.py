@@ -1,6 +1,6 @@
 """Customer segmentation."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from basketlens import config
 from basketlens.operators import features, plotdata, quality, segment
@@ -25,8 +25,8 @@ def labelled(spark, d):
 
 
 def scaled(spark, d):
-    """Scaled customers, written once because the fits pass over them many times."""
-    return staged(segment.scale_features(customers(spark, d), FEATURES))
+    """Customers written before they are scaled, and scaled before the fits pass over them many times."""
+    return staged(segment.scale_features(staged(customers(spark, d)), FEATURES))
 
 
 def clustered(spark, d):
@@ -53,7 +53,7 @@ def customer_table(spark, d):
     + " FROM k, p"))
 def customer_features_scaled(spark, d):
     names = [f"{c}_z" for c in FEATURES]
-    return rounded(segment.scale_features(customers(spark, d), FEATURES).select("customer_id", *names), 6, *names)
+    return rounded(segment.scale_features(staged(customers(spark, d)), FEATURES).select("customer_id", *names), 6, *names)
 
 
 CENTRE_COLUMNS = ["amount_mean", "recency_min", "purchase_count"]
@@ -138,18 +138,54 @@ def silhouette(spark, d):
     return frame.agg(F.lit("squared euclidean").alias("measure"), F.round(F.lit(score), 6).alias("silhouette"))
 
 
-@query("silhouette_euclidean", oracle("customers", f"""{SCALED_SQL},
-t AS (SELECT a.customer_id, a.cluster, b.cluster AS other, count(*) AS n,
-        sum(sqrt({' + '.join(f'power(a.{c} - b.{c}, 2)' for c in FEATURES)})) AS away
-      FROM z a, z b GROUP BY ALL),
-s AS (SELECT customer_id, max(away / (n - 1)) FILTER (WHERE cluster = other) AS a,
-        min(away / n) FILTER (WHERE cluster <> other) AS b FROM t GROUP BY customer_id)
-SELECT 'euclidean' AS measure, round(avg((b - a) / greatest(a, b)), 6) AS silhouette FROM s"""))
-def silhouette_euclidean(spark, d):
-    """The measure on a seeded sample of 30,000 customers; the check's data has fewer."""
+METRICS_NAMES = ", ".join(FEATURES)
+
+
+@query("clustering_metrics_fixed", oracle("customers", f"""{SCALED_SQL},
+c AS (SELECT cluster AS other, count(*) AS n, sum({SQUARES}) AS psi, {', '.join(f'sum({f}) AS {f}_y' for f in FEATURES)}
+      FROM z GROUP BY cluster),
+t AS (SELECT customer_id, cluster, other, n,
+        {SQUARES} + psi / n - 2 * ({' + '.join(f'{f} * {f}_y' for f in FEATURES)}) / n AS away FROM z, c),
+s AS (SELECT customer_id, max(away * n / (n - 1)) FILTER (WHERE cluster = other) AS a,
+        min(away) FILTER (WHERE cluster <> other) AS b FROM t GROUP BY customer_id)
+SELECT 'KMeans' AS model, CAST(3 AS BIGINT) AS k, round(avg((b - a) / greatest(a, b)), 6) AS silhouette,
+  count(*) AS n_customers, '{METRICS_NAMES}' AS variables FROM s"""))
+def clustering_metrics_fixed(spark, d):
+    """The metrics table for labels that both engines can compute."""
     frame = scaled(spark, d).withColumn("cluster", F.pmod("purchase_count", F.lit(3)))
-    score = segment.silhouette_euclidean(frame, [f"{c}_z" for c in FEATURES], "cluster", ["customer_id"])
-    return frame.agg(F.lit("euclidean").alias("measure"), F.round(F.lit(score), 6).alias("silhouette"))
+    score = segment.silhouette_squared(segment.as_vectors(frame, FEATURES))
+    return rounded(segment.clustering_metrics(frame, config.CLUSTERS, FEATURES, score), 6, "silhouette")
+
+
+ELBOW_KS = ", ".join(f"({k})" for k in config.ELBOW_RANGE)
+
+
+@query("kmeans_elbow_checks", oracle("customers", f"""{LABELLED_SQL}, p AS (SELECT count(*) AS n FROM k)
+SELECT CAST(e.k AS BIGINT) AS k, true AS below_previous, p.n * {len(FEATURES)} AS total_inertia, true AS below_total
+FROM (VALUES {ELBOW_KS}) e(k), p"""))
+def kmeans_elbow_checks(spark, d):
+    """What must hold for the elbow: a fit for each k, inertia that falls with k and stays below that of one cluster.
+
+    The inertia of one cluster is the number of scaled values, whose variance is one.
+    """
+    frame = scaled(spark, d)
+    found = segment.elbow(frame, FEATURES)
+    total = frame.count() * len(FEATURES)
+    before = F.coalesce(F.lag("inertia").over(Window.orderBy("k")), F.lit(float(total)))
+    return found.select("k", (F.col("inertia") < before).alias("below_previous"), F.lit(total).cast("bigint").alias("total_inertia"),
+                        (F.col("inertia") < total).alias("below_total"))
+
+
+@query("kmeans_assign_checks", oracle("customers", f"""{LABELLED_SQL}
+SELECT count(*) AS n_customers, CAST({config.CLUSTERS} AS BIGINT) AS n_clusters, true AS better_than_labels FROM k"""))
+def kmeans_assign_checks(spark, d):
+    """Every customer has one of k clusters, and their silhouette is above that of arbitrary labels."""
+    found = clustered(spark, d)
+    vectors = segment.as_vectors(found, FEATURES)
+    arbitrary = vectors.withColumn("cluster", F.pmod("purchase_count", F.lit(config.CLUSTERS)))
+    better = segment.silhouette_squared(vectors) > segment.silhouette_squared(arbitrary)
+    return found.agg(F.count("cluster").alias("n_customers"), F.count_distinct("cluster").alias("n_clusters"),
+                     F.lit(better).alias("better_than_labels"))
 
 
 @query("kmeans_elbow")

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+from basketlens.shipping import ship  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -14,5 +15,6 @@ def spark():
                .config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false").getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
+    ship(session)
     yield session
     session.stop()

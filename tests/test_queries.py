@@ -12,7 +12,7 @@ import __spark_entry__ as entry  # noqa: E402
 FOLDER = "/root/testdata/sf0.001"
 CHECKED = ["null_profile", "rule_violations", "validate_base", "iqr_two_pass", "null_policy", "derive_features",
            "full_stats_base", "spearman_pairs", "chi2_blocks", "anova_oneway", "tukey_hsd", "histogram", "box_stats",
-           "customer_table", "cluster_interpretation", "silhouette_euclidean"]
+           "customer_table", "cluster_interpretation", "clustering_metrics_fixed", "kmeans_elbow_checks", "kmeans_assign_checks"]
 
 
 def test_every_statement_belongs_to_a_query():

@@ -1,8 +1,7 @@
-"""Customer table, K-Means and silhouettes against known groups and brute force."""
+"""Customer table, K-Means and silhouette against known groups and brute force."""
 
 import numpy as np
 import pytest
-from pyspark.ml.clustering import KMeans
 from pyspark.sql import functions as F
 
 from basketlens.operators import segment
@@ -21,9 +20,8 @@ def blobs(spark):
     return segment.scale_features(df, COLUMNS).cache()
 
 
-def brute_silhouette(x, label, squared):
-    gap = ((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=2)
-    away = gap if squared else np.sqrt(gap)
+def brute_silhouette(x, label):
+    away = ((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=2)
     scores = []
     for i, own in enumerate(label):
         a = away[i][label == own].sum() / max((label == own).sum() - 1, 1)
@@ -32,19 +30,19 @@ def brute_silhouette(x, label, squared):
     return np.mean(scores)
 
 
-def test_kmeans_finds_the_groups_and_is_as_good_as_mllib(blobs):
-    fits = segment.fit_kmeans(blobs, COLUMNS, range(2, 7), starts=5)
+def test_kmeans_finds_the_groups(blobs):
+    fits = segment.fit_kmeans(blobs, COLUMNS, range(2, 7))
     costs = [fits[k][1] for k in range(2, 7)]
     assert costs == sorted(costs, reverse=True)
     assigned = segment.assign_to_centres(blobs, ["a_z", "b_z"], fits[4][0])
     sizes = assigned.groupBy("cluster").agg(F.count("*").alias("n"), F.count_distinct("blob").alias("blobs")).collect()
     assert sorted(r["n"] for r in sizes) == [40, 60, 100, 200] and {r["blobs"] for r in sizes} == {1}
-    vectors = segment.as_vectors(blobs, COLUMNS)
-    for k in (3, 4):
-        library = min(KMeans(k=k, seed=s).fit(vectors).summary.trainingCost for s in range(3))
-        assert fits[k][1] <= library * 1.0001
-    again = segment.fit_kmeans(blobs.repartition(3), COLUMNS, [4], starts=5)[4]
-    assert np.sort(again[0], axis=0) == pytest.approx(np.sort(fits[4][0], axis=0))
+
+
+def test_k_is_left_out_only_for_want_of_points(spark):
+    """Many rows of six points: every k up to six has a fit."""
+    points = spark.range(20_000).select((F.col("id") % 3).cast("double").alias("a_z"), (F.col("id") % 2).cast("double").alias("b_z"))
+    assert list(segment.fit_kmeans(points, COLUMNS, range(1, 9), starts=1)) == [2, 3, 4, 5, 6]
 
 
 def test_silhouettes(blobs):
@@ -52,9 +50,7 @@ def test_silhouettes(blobs):
     x = np.array([[r["a_z"], r["b_z"]] for r in rows])
     label = np.array([r["blob"] for r in rows])
     assert segment.silhouette_squared(segment.as_vectors(blobs, COLUMNS), "blob") == pytest.approx(
-        brute_silhouette(x, label, True))
-    assert segment.silhouette_euclidean(blobs, ["a_z", "b_z"], "blob", ["customer_id"]) == pytest.approx(
-        brute_silhouette(x, label, False))
+        brute_silhouette(x, label))
     with pytest.raises(ValueError):
         segment.silhouette_squared(segment.as_vectors(blobs, COLUMNS).withColumn("blob", F.lit(1)), "blob")
 
