@@ -7,15 +7,11 @@ from statistics import NormalDist
 import numpy as np
 import pandas as pd
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import DoubleType, StructType
-
-NORMAL = NormalDist()
-QUANTILE_SUMS = StructType().add("s", DoubleType()).add("ss", DoubleType())
+from pyspark.sql.types import DoubleType
 
+from basketlens.functions.normal import normal_cdf_array
 
-def normal_cdf_array(z):
-    scaled = (-np.asarray(z, dtype=float) / math.sqrt(2.0)).ravel()
-    return np.fromiter((0.5 * math.erfc(x) for x in scaled), float, scaled.size).reshape(np.shape(z))
+NORMAL = NormalDist()
 
 
 def gamma_upper(a, x):
@@ -191,27 +187,6 @@ def studentized_range_quantile(p: pd.Series, k: pd.Series, dof: pd.Series) -> pd
     return _each(studentized_range_ppf, p, k, dof)
 
 
-@pandas_udf(DoubleType())
-def normal_cdf(z: pd.Series) -> pd.Series:
-    return pd.Series(normal_cdf_array(z.to_numpy()))
-
-
-@pandas_udf(DoubleType())
-def normal_quantile(p: pd.Series) -> pd.Series:
-    return pd.Series([NORMAL.inv_cdf(v) if 0 < v < 1 else None for v in p], dtype="float64")
-
-
-@pandas_udf(QUANTILE_SUMS)
-def normal_quantile_sums(first: pd.Series, last: pd.Series, n: pd.Series) -> pd.DataFrame:
-    """Sum and sum of squares of the normal quantiles at the positions of ranks first…last of n."""
-    sizes = (last - first + 1).to_numpy()
-    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    ranks = np.repeat(first.to_numpy() - starts, sizes) + np.arange(sizes.sum())
-    p = filliben(ranks, np.repeat(n.to_numpy(dtype=float), sizes))
-    q = np.fromiter(map(NORMAL.inv_cdf, p), float, p.size)
-    return pd.DataFrame({"s": np.add.reduceat(q, starts), "ss": np.add.reduceat(q * q, starts)})
-
-
 def filliben(rank, n):
     """Filliben's median plotting positions of the given 1-based ranks."""
     rank = np.asarray(rank, dtype=float)

@@ -52,9 +52,10 @@ def association(cells, by=()):
     other = cols.groupBy(*keys).agg(F.count("*").alias("levels2"),
                                     F.sum(1 / F.col("col_n")).alias("inverse_cols"))
     totals = sides.join(other, keys)
+    # Without blocks there is one row of totals for each requested pair.
     expected = F.col("row_n") * F.col("col_n") / F.col("total")
     deviation = F.abs(F.col("n") - F.col("expected"))
-    summed = (cells.join(rows, [*keys, "a"]).join(cols, [*keys, "b"]).join(totals, keys)
+    summed = (cells.join(rows, [*keys, "a"]).join(cols, [*keys, "b"]).join(totals if by else F.broadcast(totals), keys)
               .withColumn("expected", expected)
               .groupBy(*keys, "levels1", "levels2", "total", "inverse_rows", "inverse_cols")
               .agg(F.sum(deviation * deviation / F.col("expected")).alias("occupied"),

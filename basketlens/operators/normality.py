@@ -4,18 +4,16 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from basketlens import config
 from basketlens.functions import tails
+from basketlens.functions.normal import normal_cdf, normal_cdf_array
 from basketlens.functions.columns import number
 from basketlens.functions.shapiro import shapiro_wilk
 from basketlens.operators import order_stats
 from basketlens.operators.describe import per_column
-
-NOT_REJECTED = "No se rechaza normalidad (p>0.05)"
-REJECTED = "Rechazo de normalidad (p<=0.05)"
+from basketlens.operators.skew import with_blocks
 
 
 def block_statistics(x):
@@ -27,49 +25,30 @@ def block_statistics(x):
     sd = x.std()
     if sd == 0 or not math.isfinite(sd):
         return n, w, p, None, None
-    cdf = tails.normal_cdf_array((np.sort(x) - x.mean()) / sd)
+    cdf = normal_cdf_array((np.sort(x) - x.mean()) / sd)
     steps = np.arange(n + 1) / n
     d = max((steps[1:] - cdf).max(), (cdf - steps[:-1]).max())
     return n, w, p, d, tails.kolmogorov_sf(d, n)
 
 
 def normality_blocks(df, columns, block_rows=config.BLOCK_ROWS):
-    """(variable, block, n, shapiro_stat, shapiro_p, ks_stat, ks_p) of consecutive rows.
+    """(variable, block, n, shapiro_stat, shapiro_p, ks_stat, ks_p) of blocks of ``block_rows`` rows.
 
-    Blocks are cut inside each scan partition as rows stream by, so nothing is shuffled and a
-    task holds at most one block per column. Both tests are defined for small samples only.
+    Both tests are defined for small samples only, so rows are dealt into blocks: in the order of a hash of
+    the used values, which has nothing to do with the values' order nor with the layout of the data. Equal
+    rows are interchangeable, so every layout gives the same blocks. A task holds one block at a time.
     """
     wide = df.select(*[number(df, c).alias(c) for c in columns])
+    blocked = with_blocks(wide.withColumn("_key", F.xxhash64(*columns)), ["_key", *columns], block_rows, "_block")
+
+    def judge(rows):
+        block = int(rows["_block"].iloc[0])
+        found = [(c, block, *block_statistics(rows[c].dropna().to_numpy(dtype=float))) for c in columns]
+        return pd.DataFrame([r for r in found if r[2]], columns=[
+            "variable", "block", "n", "shapiro_stat", "shapiro_p", "ks_stat", "ks_p"])
 
-    def cut(batches):
-        partition = TaskContext.get().partitionId()
-        waiting = {c: np.empty(0) for c in columns}
-        blocks = dict.fromkeys(columns, 0)
-
-        def rows_for(c, x):
-            blocks[c] += 1
-            return (c, f"{partition}-{blocks[c] - 1}", *block_statistics(x))
-
-        def table(rows):
-            return pd.DataFrame(rows, columns=["variable", "block", "n", "shapiro_stat", "shapiro_p",
-                                               "ks_stat", "ks_p"])
-
-        for batch in batches:
-            done = []
-            for c in columns:
-                x = np.concatenate([waiting[c], batch[c].dropna().to_numpy(dtype=float)])
-                while x.size >= block_rows:
-                    done.append(rows_for(c, x[:block_rows]))
-                    x = x[block_rows:]
-                waiting[c] = x
-            if done:
-                yield table(done)
-        rest = [rows_for(c, x) for c, x in waiting.items() if x.size]
-        if rest:
-            yield table(rest)
-
-    return wide.mapInPandas(cut, "variable STRING, block STRING, n BIGINT, shapiro_stat DOUBLE, "
-                                 "shapiro_p DOUBLE, ks_stat DOUBLE, ks_p DOUBLE")
+    return blocked.drop("_key").groupBy("_block").applyInPandas(
+        judge, "variable STRING, block BIGINT, n BIGINT, shapiro_stat DOUBLE, shapiro_p DOUBLE, ks_stat DOUBLE, ks_p DOUBLE")
 
 
 def normality_table(df, columns, block_rows=config.BLOCK_ROWS):
@@ -82,7 +61,7 @@ def normality_table(df, columns, block_rows=config.BLOCK_ROWS):
 
 def verdict(table, alpha=config.ALPHA):
     passes = (F.col("shapiro_p") > alpha) & (F.col("ks_p") > alpha)
-    return table.withColumn("verdict", F.when(passes, NOT_REJECTED).otherwise(REJECTED))
+    return table.withColumn("verdict", F.when(passes, config.NORMAL_NOT_REJECTED).otherwise(config.NORMAL_REJECTED))
 
 
 def verdict_lines(judged):
@@ -100,7 +79,7 @@ def ks_normal(df, columns):
     """
     fitted = per_column(df, columns, n=F.count, mean=F.avg, sd=F.stddev_pop)
     steps = order_stats.value_ranks(df, columns).join(F.broadcast(fitted), "variable").where("sd > 0")
-    cdf = tails.normal_cdf((F.col("value") - F.col("mean")) / F.col("sd"))
+    cdf = normal_cdf((F.col("value") - F.col("mean")) / F.col("sd"))
     gap = steps.withColumn("cdf", cdf).select("variable", F.greatest(
         F.col("cdf") - F.col("before") / F.col("n"),
         (F.col("before") + F.col("copies")) / F.col("n") - F.col("cdf")).alias("gap"))

@@ -9,7 +9,7 @@ from functools import reduce
 from itertools import chain
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Window, functions as F
+from pyspark.sql import Window, functions as F, types as T
 
 from basketlens.functions.columns import INF, number
 from basketlens.operators.skew import attach_by_key
@@ -233,8 +233,16 @@ def numeric_modes(df, columns, keep_null=False):
 
 
 def modes(df, columns):
-    """(variable, mode as text, n) for any column type, nulls ignored, smallest on ties."""
-    return _most_frequent(value_counts(df, columns), keep_null=False)
+    """(variable, mode as text, n) for any column type, nulls ignored, smallest on ties.
+
+    Numbers are compared as numbers: 9.0 is smaller than 10.0.
+    """
+    numeric = [c for c in columns if isinstance(df.schema[c].dataType, T.NumericType)]
+    counts = value_counts(df, columns).where("value IS NOT NULL")
+    size = F.when(F.col("variable").isin(numeric), F.col("value").try_cast("double"))
+    first = F.min(F.struct((-F.col("n")).alias("less"), size.alias("size"), F.col("value")))
+    return counts.groupBy("variable").agg(first.alias("f")).select(
+        "variable", F.col("f.value").alias("mode"), (-F.col("f.less")).alias("n"))
 
 
 def _most_frequent(counts, keep_null):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from basketlens import config
 from basketlens.config import present
-from basketlens.functions import tails
+from basketlens.functions.normal import normal_quantile
 from basketlens.functions.columns import number
 from basketlens.operators import order_stats
 from basketlens.operators.describe import per_column
@@ -82,8 +82,8 @@ def plotting_position(rank, n):
 
 def with_normal_quantiles(points):
     """Add the theoretical quantiles of a run's first and last position."""
-    return points.withColumn("quantile_first", tails.normal_quantile("position_first")).withColumn(
-        "quantile_last", tails.normal_quantile("position_last"))
+    return points.withColumn("quantile_first", normal_quantile("position_first")).withColumn(
+        "quantile_last", normal_quantile("position_last"))
 
 
 def qq_fit(df, columns, chunk=RANK_CHUNK):
@@ -95,16 +95,14 @@ def qq_fit(df, columns, chunk=RANK_CHUNK):
     runs = qq_points(df, columns).select("variable", "value", "rank_first", "rank_last", "n")
     chunks = (runs.withColumn("a", F.explode(F.sequence("rank_first", "rank_last", F.lit(chunk).cast("bigint"))))
               .withColumn("b", F.least(F.col("a") + chunk - 1, F.col("rank_last"))))
-    size = F.col("b") - F.col("a") + 1
     # The quantiles have mean zero; values are centred so that large amounts keep their digits.
     centres = F.broadcast(per_column(df, columns, centre=F.avg))
-    summed = (chunks.repartition("variable", "a")
-              .withColumn("_q", tails.normal_quantile_sums("a", "b", "n"))
-              .withColumns({"q": F.col("_q.s"), "qq": F.col("_q.ss")})
-              .join(centres, "variable").withColumn("v", F.col("value") - F.col("centre"))
+    ranks = (chunks.repartition("variable", "a").withColumn("rank", F.explode(F.sequence("a", "b")))
+             .withColumn("q", normal_quantile(plotting_position("rank", "n"))))
+    summed = (ranks.join(centres, "variable").withColumn("v", F.col("value") - F.col("centre"))
               .groupBy("variable", "n", "centre").agg(
-                  F.sum("q").alias("sq"), F.sum("qq").alias("sqq"), F.sum(F.col("q") * F.col("v")).alias("sqv"),
-                  F.sum(size * F.col("v")).alias("sv"), F.sum(size * F.col("v") * F.col("v")).alias("svv")))
+                  F.sum("q").alias("sq"), F.sum(F.col("q") * F.col("q")).alias("sqq"), F.sum(F.col("q") * F.col("v")).alias("sqv"),
+                  F.sum("v").alias("sv"), F.sum(F.col("v") * F.col("v")).alias("svv")))
     n = F.col("n")
     cqq = F.col("sqq") - F.col("sq") * F.col("sq") / n
     cvv = F.col("svv") - F.col("sv") * F.col("sv") / n

@@ -172,13 +172,15 @@ def quantiles_approx(spark, d):
     return order_stats.quantiles_approx(valid(spark, d), config.MEASURES, PROBABILITIES)
 
 
+FREQUENCY_COLUMNS = [*config.CATEGORICAL, "birth_date"]
+
+
 @query("freq_table", oracle("valid", union_sql([
     f"SELECT '{c}' AS variable, CAST({c} AS VARCHAR) AS value, count(*) AS n FROM valid GROUP BY {c}"
-    for c in ("channel", "product", "customer_id", "customer_run", "store", "gender")])
+    for c in FREQUENCY_COLUMNS])
     + " UNION ALL SELECT 'ts', strftime(ts, '%Y-%m-%d %H:%M:%S'), count(*) FROM valid GROUP BY ts"))
 def freq_table(spark, d):
-    return describe.frequencies(valid(spark, d), ["channel", "product", "customer_id", "customer_run", "store",
-                                                  "gender", "ts"])
+    return describe.frequencies(valid(spark, d), [*FREQUENCY_COLUMNS, "ts"])
 
 
 @query("freq_table_derived", oracle("derived", union_sql([

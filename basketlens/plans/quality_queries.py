@@ -53,9 +53,11 @@ def scan_delimited(spark, d):
                       F.count_distinct("customer_id").alias("customers"))
 
 
-@query("table_shape", oracle("valid", f"SELECT count(*) AS n_rows, CAST({len(ALL)} AS BIGINT) AS n_columns FROM valid"))
+@query("table_shape", oracle("valid", f"SELECT count(*) AS n_rows, CAST({len(ALL)} AS BIGINT) AS n_columns, true AS in_partitions FROM valid"))
 def table_shape(spark, d):
-    return delimited.table_shape(valid(spark, d)).select("n_rows", "n_columns")
+    """The number of partitions depends on the cluster; what can be checked is that there are any, and no more than rows."""
+    return delimited.table_shape(valid(spark, d)).select(
+        "n_rows", "n_columns", F.col("n_partitions").between(1, F.col("n_rows")).alias("in_partitions"))
 
 
 @query("head_sample", oracle("valid", f"""
@@ -219,7 +221,15 @@ def type_table(spark, d):
     return quality.type_table(valid(spark, d))
 
 
-@query("column_roles")
+def column_role_sql(c):
+    if c in config.DATES:
+        return "temporal"
+    return "numeric" if c in (*config.MEASURES, *config.DERIVED_NUMERIC, "line_no") else "categorical"
+
+
+@query("column_roles", oracle("derived", union_sql([
+    f"SELECT '{c}' AS variable, '{column_role_sql(c)}' AS role, count(DISTINCT {c}) AS n_values FROM derived"
+    for c in [*ALL, *config.DERIVED]])))
 def column_roles(spark, d):
     return quality.column_roles(derived(spark, d))
 

@@ -5,13 +5,14 @@ from itertools import combinations_with_replacement
 from pyspark.sql import functions as F
 
 from basketlens import config
+from basketlens.functions.normal import normal_cdf_sql, normal_quantile, normal_quantile_sql
 from basketlens.operators import anova, association, correlation, normality, order_stats, skew
 from basketlens.plans.catalog import query
 from basketlens.plans.quality_queries import ALL, TOTAL_ORDER, rounded, union_sql
 from basketlens.plans.sales_view import derived, oracle, staged, valid
 
 NUMBERS = ["units", "discount_pct", "amount", "sku"]
-DERIVED_NUMBERS = ["amount_per_unit", "age", "recency_days", "gross_amount", "amount"]
+DERIVED_NUMBERS = [*config.DERIVED_NUMERIC, "amount"]
 PAIRS = [p for p in combinations_with_replacement(DERIVED_NUMBERS, 2) if p[0] != p[1]]
 RANK_PAIRS = [("age", "amount"), ("recency_days", "purchase_freq"), ("gross_amount", "amount_per_unit"),
               ("units", "discount_pct")]
@@ -38,14 +39,19 @@ def corr_matrix(spark, d):
     f"SELECT '{a}' AS var1, '{b}' AS var2, round(corr({a}, {b}), 6) AS corr, "
     f"count(*) FILTER (WHERE {a} IS NOT NULL AND {b} IS NOT NULL) AS n FROM derived" for a, b in PAIRS])))
 def corr_pairs(spark, d):
-    lines = derived(spark, d, "amount_per_unit", "age", "recency_days", "gross_amount")
-    return rounded(correlation.pearson_pairs(lines, PAIRS), 6, "corr")
+    return rounded(correlation.pearson_pairs(derived(spark, d), PAIRS), 6, "corr")
+
+
+@query("corr_matrix_derived", oracle("derived", union_sql([
+    f"SELECT '{a}' AS var1, '{b}' AS var2, round(corr({a}, {b}), 6) AS corr FROM derived"
+    for a in config.DERIVED_NUMERIC for b in config.DERIVED_NUMERIC])))
+def corr_matrix_derived(spark, d):
+    return rounded(correlation.correlation_matrix(derived(spark, d), config.DERIVED_NUMERIC), 6, "corr")
 
 
 @query("corr_pvalues")
 def corr_pvalues(spark, d):
-    lines = derived(spark, d, "amount_per_unit", "age", "recency_days", "gross_amount")
-    return correlation.with_correlation_p(correlation.pearson_pairs(lines, PAIRS))
+    return correlation.with_correlation_p(correlation.pearson_pairs(derived(spark, d), PAIRS))
 
 
 def spearman_sql(a, b, extra=""):
@@ -251,11 +257,42 @@ def shapiro_blocks(spark, d):
         "variable", "block", "n", "shapiro_stat", "shapiro_p")
 
 
-@query("ks_normal")
+@query("ks_normal", oracle("valid", "f AS (" + union_sql([
+    f"SELECT '{c}' AS variable, {c} AS x, count(*) OVER () AS n, avg({c}) OVER () AS mean, stddev_pop({c}) OVER () AS sd "
+    f"FROM valid WHERE {c} IS NOT NULL" for c in config.MEASURES]) + f"""),
+d AS (SELECT variable, x, any_value(n) AS n, any_value((x - mean) / sd) AS z, count(*) AS copies FROM f GROUP BY variable, x),
+r AS (SELECT *, sum(copies) OVER (PARTITION BY variable ORDER BY x) - copies AS before FROM d),
+g AS (SELECT variable, n, before, copies, {normal_cdf_sql('z')} AS cdf FROM r)
+SELECT variable, any_value(n) AS n,
+  round(max(greatest(cdf - before / n::DOUBLE, (before + copies) / n::DOUBLE - cdf)), 6) AS ks_stat FROM g GROUP BY variable"""))
 def ks_normal(spark, d):
+    found = normality.ks_normal(staged(valid(spark, d), *config.MEASURES), config.MEASURES)
+    return rounded(found, 6, "ks_stat").drop("ks_p")
+
+
+@query("ks_normal_pvalues")
+def ks_normal_pvalues(spark, d):
     return normality.ks_normal(staged(valid(spark, d), *config.MEASURES), config.MEASURES)
 
 
+# Two columns that are normal by construction, from a number of the row, so that a pair takes Pearson's branch.
+NORMAL_SQL = [("n1", "((receipt_id * 7919 + line_no * 104729) % 9973 + 0.5::DOUBLE) / 9973"),
+              ("n2", "((receipt_id * 611953 + line_no * 7727) % 9967 + 0.5::DOUBLE) / 9967")]
+MIXED = ["n1", "n2", "amount"]
+
+
+@query("corr_auto_normal", oracle("valid", "derived AS (SELECT amount, " + ", ".join(
+    f"{normal_quantile_sql(f'({u})')} AS {n}" for n, u in NORMAL_SQL) + """ FROM valid)
+SELECT 'n1' AS var1, 'n2' AS var2, 'pearson' AS method, round(corr(n1, n2), 6) AS corr, count(*) AS n FROM derived
+UNION ALL """ + union_sql([spearman_sql(a, "amount", ", 'spearman' AS method") for a in ("n1", "n2")])))
+def corr_auto_normal(spark, d):
+    lines = valid(spark, d)
+    normals = [normal_quantile((F.pmod(F.col("receipt_id") * a + F.col("line_no") * b, F.lit(m)) + 0.5) / m).alias(n)
+               for n, a, b, m in (("n1", 7919, 104729, 9973), ("n2", 611953, 7727, 9967))]
+    pairs = [("n1", "n2"), ("n1", "amount"), ("n2", "amount")]
+    return rounded(correlation.correlations(staged(lines.select("amount", *normals)), pairs), 6, "corr")
+
+
 @query("normality_verdict")
 def normality_verdict(spark, d):
     lines = derived(spark, d)

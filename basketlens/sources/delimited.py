@@ -63,16 +63,55 @@ def table_shape(df):
         "n_rows", F.lit(len(df.columns)).cast("bigint").alias("n_columns"), "n_partitions")
 
 
+def _smallest(df, order, n, sketch_error=1e-3):
+    """About the first n rows by a leading order column, and never fewer: what is left to sort is near n.
+
+    A quantile sketch of the leading column gives a bound a little above the n-th row; a count proves it. A top-n
+    of the whole frame would send up to n rows of every partition to one task.
+    """
+    total = df.count()
+    if total <= 2 * n:
+        return df
+    lead = order[0]
+    share = n / total
+    while True:
+        share = min(1.0, share + 2 * sketch_error)
+        bound = df.agg(F.percentile_approx(lead, F.lit(share), F.lit(int(1 / sketch_error) * 10)).alias("b")).first()["b"]
+        chosen = df.where((F.col(lead) <= F.lit(bound)) | F.col(lead).isNull())
+        if share >= 1.0 or bound is None or chosen.count() >= n:
+            return df if bound is None else chosen
+        share *= 2
+
+
 def head_sample(df, order_by=None, n=config.HEAD_ROWS, columns=None):
     """The first n rows by the given order (default: all columns), so the head is repeatable.
 
-    Runs as a distributed top-n: each partition keeps at most n rows.
+    Rows beyond a sketched bound of the first (numeric or temporal) order column are filtered out before the sort.
     """
     columns = columns or df.columns
-    return df.orderBy(*(order_by or df.columns)).limit(n).select(*columns)
+    order = list(order_by or df.columns)
+    lead = df.schema[order[0]].dataType if isinstance(order[0], str) else None
+    if isinstance(lead, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        df = _smallest(df, order, n)
+    return df.orderBy(*order).limit(n).select(*columns)
 
 
 def seeded_sample(df, key, n, seed=config.SEED):
-    """Exactly n rows (fewer if there are fewer), chosen by a hash of a key and a seed."""
+    """Exactly n rows (fewer if there are fewer), chosen by a hash of a key and a seed.
+
+    The hash is uniform, so the rows below n / total of its range, and a margin, hold the n smallest; a
+    count proves it. Only they are sorted.
+    """
     draw = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in key], F.lit(str(seed))))
-    return df.withColumn("_draw", draw).orderBy("_draw", *key).limit(n).drop("_draw")
+    drawn = df.withColumn("_draw", draw)
+    total, margin = df.count(), 1.2
+    while n < total:
+        limit = min(1.0, margin * n / total + 100 / total)
+        if limit >= 1.0:
+            break
+        some = drawn.where(F.conv(F.substring("_draw", 1, 12), 16, 10).cast("double") < limit * 16.0 ** 12)
+        if some.count() >= n:
+            drawn = some
+            break
+        margin *= 2
+    return drawn.orderBy("_draw", *key).limit(n).drop("_draw")

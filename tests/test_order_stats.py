@@ -132,3 +132,9 @@ def test_spearman_with_ties_and_gaps(frame):
             assert corr is None
         else:
             assert corr == pytest.approx(np.corrcoef(ranks([x for x, _ in both]), ranks([y for _, y in both]))[0, 1])
+
+
+def test_mode_ties_of_numbers(spark):
+    df = spark.createDataFrame([(9.0, "9", 9)] * 2 + [(10.0, "10", 10)] * 2 + [(None, None, None)], "x DOUBLE, s STRING, i INT")
+    found = {r["variable"]: r["mode"] for r in order_stats.modes(df, ["x", "s", "i"]).collect()}
+    assert found == {"x": "9.0", "s": "10", "i": "9"}

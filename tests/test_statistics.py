@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from basketlens.functions import tails
+from basketlens import config
+from basketlens.functions import normal, tails
 from basketlens.operators import anova, association, correlation, describe, normality, plotdata
 
 
@@ -105,14 +106,14 @@ def test_pearson(spark):
 def test_method_follows_normality(spark):
     draw = np.random.default_rng(8)
     rows = [tuple(map(float, r)) for r in zip(draw.normal(size=400), draw.normal(size=400), draw.exponential(size=400))]
-    df = spark.createDataFrame(rows, "x DOUBLE, y DOUBLE, e DOUBLE").coalesce(1)
+    df = spark.createDataFrame(rows, "x DOUBLE, y DOUBLE, e DOUBLE").repartition(3)
     found = {(r["var1"], r["var2"]): r["method"] for r in correlation.correlations(df).collect()}
     assert (found["x", "y"], found["x", "e"]) == ("pearson", "spearman")
     judged = {r["variable"]: r["verdict"] for r in normality.verdict(
         normality.normality_table(df, ["x", "e"])).collect()}
-    assert judged == {"x": normality.NOT_REJECTED, "e": normality.REJECTED}
+    assert judged == {"x": config.NORMAL_NOT_REJECTED, "e": config.NORMAL_REJECTED}
     lines = normality.verdict_lines(normality.verdict(normality.normality_table(df, ["x"]))).first()["line"]
-    assert lines.startswith("x: shapiro_p=") and lines.endswith("-> " + normality.NOT_REJECTED)
+    assert lines.startswith("x: shapiro_p=") and lines.endswith("-> " + config.NORMAL_NOT_REJECTED)
 
 
 def test_normality_blocks_are_bounded_and_complete(spark):
@@ -124,11 +125,31 @@ def test_normality_blocks_are_bounded_and_complete(spark):
     assert {r["ks_stat"] for r in blocks if r["variable"] == "k"} == {None}
 
 
+def test_normality_does_not_depend_on_the_layout(spark):
+    values = [(float(v), float(v % 7)) for v in np.random.default_rng(9).integers(0, 5000, 7000)]
+    df = spark.createDataFrame(values, "x DOUBLE, k DOUBLE")
+    found = [sorted(map(tuple, normality.normality_blocks(df.repartition(n), ["x", "k"], 1000).collect())) for n in (1, 4, 8)]
+    assert found[0] == found[1] == found[2] and len(found[0]) == 14
+
+
+def test_normal_arithmetic(spark):
+    z = [-40.0, -8.0, -7.0, -3.3, -0.5, 0.0, 1e-9, 2.0, 6.9, 7.2, 40.0]
+    p = [1e-12, 1e-7, 0.01, 0.074, 0.08, 0.5, 0.9, 0.926, 1 - 1e-9]
+    df = spark.createDataFrame([(x,) for x in z], "z DOUBLE").select("z", normal.normal_cdf("z").alias("p"))
+    for r in df.collect():
+        assert r["p"] == pytest.approx(0.5 * math.erfc(-r["z"] / math.sqrt(2)), rel=1e-7, abs=1e-300)
+    df = spark.createDataFrame([(x,) for x in p], "p DOUBLE").select("p", normal.normal_quantile("p").alias("z"))
+    for r in df.collect():
+        assert r["z"] == pytest.approx(tails.NORMAL.inv_cdf(r["p"]), rel=1e-13, abs=1e-15)
+    odd = spark.createDataFrame([(0.0,), (1.0,), (None,)], "p DOUBLE").select(normal.normal_quantile("p").alias("z"))
+    assert {r["z"] for r in odd.collect()} == {None}
+
+
 def test_ks_on_full_data(spark):
     values = [float(v) for v in np.random.default_rng(4).integers(0, 30, 500)]
     df = spark.createDataFrame([(v,) for v in values], "x DOUBLE").repartition(3)
     x = np.sort(values)
-    cdf = tails.normal_cdf_array((x - x.mean()) / x.std())
+    cdf = normal.normal_cdf_array((x - x.mean()) / x.std())
     d = max((np.arange(1, 501) / 500 - cdf).max(), (cdf - np.arange(500) / 500).max())
     assert normality.ks_normal(df, ["x"]).first()["ks_stat"] == pytest.approx(d)
 

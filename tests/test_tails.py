@@ -55,12 +55,3 @@ def test_shapiro_tells_normal_from_skewed():
 def test_shapiro_edges():
     assert shapiro_wilk([1.0, 1.0, 1.0, 1.0]) == (1.0, 1.0)
     assert all(math.isnan(x) for x in shapiro_wilk([1.0, 2.0]))
-
-
-def test_quantile_sums_match_single_quantiles():
-    import pandas as pd
-    first, last, n = pd.Series([1, 4]), pd.Series([3, 10]), pd.Series([10, 10])
-    q = [tails.NORMAL.inv_cdf(p) for p in tails.filliben(np.arange(1, 11), 10)]
-    found = tails.normal_quantile_sums.func(first, last, n)
-    assert found["s"].tolist() == pytest.approx([sum(q[:3]), sum(q[3:])])
-    assert found["ss"].tolist() == pytest.approx([sum(x * x for x in q[:3]), sum(x * x for x in q[3:])])
