@@ -27,6 +27,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Window, functions as F
 
+from basketlens.llm.ordered import bounded_sample
 from basketlens.llm.registry import query, table
 from basketlens.sources.staging import materialize
 
@@ -51,7 +52,7 @@ def usable(vectors, id_column, vector_column):
 def fit_codebooks(rows, d, centroids=CENTROIDS, most=TRAIN_VECTORS, seed=42):
     """Two arrays of centroids, one for each half of the unit vectors."""
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
-    sample = materialize(rows.orderBy(F.xxhash64("vec_id", F.lit(seed)), "vec_id").limit(most)
+    sample = materialize(bounded_sample(rows, "vec_id", most, seed)
                          .select(F.transform("vector", lambda x: x / norm).alias("unit")))
     cut = d // 2
     books = []

@@ -1,4 +1,4 @@
-"""Running sums within groups of any size, without sending a group to one task."""
+"""Running sums within groups of any size, and bounded samples, without sending a group to one task."""
 
 from pyspark.sql import Window, functions as F
 
@@ -29,3 +29,14 @@ def running_totals(df, group, order, value):
             .withColumn("position", F.col("_rows") + F.coalesce("_n", F.lit(0)))
             .withColumn("before", F.col("_sum") + F.coalesce("_s", F.lit(0)))
             .select(*[c for c in df.columns], "position", "before"))
+
+
+def bounded_sample(df, key, most, seed):
+    """At most ``most`` rows, chosen by a hash of a key column; all rows where there are no more.
+
+    A threshold on the hash leaves about that many rows before the limit, so the limit gathers few.
+    """
+    total = df.count()
+    if total <= most:
+        return df
+    return df.where(F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 30)) < int((1 << 30) * most / total)).limit(most)

@@ -18,6 +18,7 @@ import math
 
 from pyspark.sql import functions as F
 
+from basketlens.llm.ordered import bounded_sample
 from basketlens.llm.registry import query, table
 
 # Fixed patterns of the base kinds, in their order, with the group whose length counts.
@@ -109,8 +110,7 @@ def learn(docs, labels, id_column="doc_id", text_column="text"):
     """Ratios learnt from labelled documents: what the fixed patterns find there, and the other words."""
     def chosen(most):
         # At most this many ids: the broadcast has a fixed size.
-        ids = (labels.select(F.col(id_column).alias("id")).where("id is not null").distinct()
-               .orderBy(F.xxhash64("id", F.lit(17)), "id").limit(most))
+        ids = bounded_sample(labels.select(F.col(id_column).alias("id")).where("id is not null").distinct(), "id", most, 17)
         return docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).join(F.broadcast(ids), "id", "left_semi")
 
     text = F.col("text")

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from basketlens.llm import textbytes
+from basketlens.llm.ordered import bounded_sample
 from basketlens.llm.registry import query, table
 
 TRAIN_DOCUMENTS = 20_000
@@ -140,8 +141,8 @@ def train(docs, labels, id_column="doc_id", text_column="text", most=TRAIN_DOCUM
     spark = docs.sparkSession
     # A bounded number of labels, so the broadcast has a fixed size.
     chosen = (labels.select(F.col(id_column).alias("id"), F.col("toxic").cast("int").alias("toxic"))
-              .where("id is not null and toxic in (0, 1)").groupBy("id").agg(F.max("toxic").alias("toxic"))
-              .orderBy(F.xxhash64("id", F.lit(23)), "id").limit(most))
+              .where("id is not null and toxic in (0, 1)").groupBy("id").agg(F.max("toxic").alias("toxic")))
+    chosen = bounded_sample(chosen, "id", most, 23)
     sample = (docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
               .join(F.broadcast(chosen), "id").select("text", "toxic")
               .groupBy(F.xxhash64("text").alias("key")).agg(F.first("text").alias("text"), F.max("toxic").alias("toxic")).drop("key"))
