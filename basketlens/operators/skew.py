@@ -2,24 +2,24 @@
 
 from pyspark.sql import Window, functions as F
 
-from basketlens.sources.staging import checkpoint, materialize
+from basketlens.sources.staging import checkpoint, materialize, written_bytes
 
-BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 8 << 20  # as written; a few times that in memory
 HOT_KEYS = 1_000
 
 
-def attach_by_key(rows, table, keys, weight, broadcast_rows=BROADCAST_ROWS, hot_keys=HOT_KEYS):
+def attach_by_key(rows, table, keys, weight, broadcast_bytes=BROADCAST_BYTES, hot_keys=HOT_KEYS):
     """Left join a per-key table onto its rows without sending a hot key to one task.
 
     ``table`` has one row per key and ``weight`` says how many rows that key owns. It is written
-    once and counted: up to ``broadcast_rows`` rows it is broadcast. Beyond that the ``hot_keys``
+    once: up to ``broadcast_bytes`` of files it is broadcast. Beyond that the ``hot_keys``
     heaviest keys are broadcast (a fixed number, whatever the data size); any other key then
     owns less than 1/hot_keys of the rows and goes through a shuffle join. Rows already served,
     and rows with a null key, take a salt of their own in that join, so they spread over all
     tasks and match nothing.
     """
     table = materialize(table)
-    if table.count() <= broadcast_rows:
+    if written_bytes(table) <= broadcast_bytes:
         return rows.join(F.broadcast(table), keys, "left").select(
             *rows.columns, *[c for c in table.columns if c not in keys])
     payload = [c for c in table.columns if c not in keys]

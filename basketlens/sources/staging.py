@@ -7,6 +7,8 @@ Both forms outlive any executor. The folder is the session's checkpoint director
 import tempfile
 import uuid
 
+_written = {}  # paths by application
+
 
 def shared_folder(spark):
     context = spark.sparkContext
@@ -31,9 +33,23 @@ def materialize(df):
     the planner knows the true size."""
     path = f"{shared_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written_bytes(table):
+    """Size of the files behind a frame that ``materialize`` returned."""
+    return int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def release(spark):
+    """Delete the tables this session has written, once results that read them are written themselves."""
+    context = spark.sparkContext
+    for path in _written.pop(context.applicationId, []):
+        place = context._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def spread(scan):
     """Spread a scan that has fewer splits than the cluster has cores; larger scans are left alone."""
     cores = scan.sparkSession.sparkContext.defaultParallelism

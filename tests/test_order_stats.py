@@ -138,3 +138,13 @@ def test_mode_ties_of_numbers(spark):
     df = spark.createDataFrame([(9.0, "9", 9)] * 2 + [(10.0, "10", 10)] * 2 + [(None, None, None)], "x DOUBLE, s STRING, i INT")
     found = {r["variable"]: r["mode"] for r in order_stats.modes(df, ["x", "s", "i"]).collect()}
     assert found == {"x": "9.0", "s": "10", "i": "9"}
+
+
+def test_release_deletes_the_written_tables(spark):
+    import os
+    from basketlens.sources import staging
+    table = staging.materialize(spark.range(10))
+    path = table.inputFiles()[0].removeprefix("file://")
+    assert os.path.exists(path) and 0 < staging.written_bytes(table) < 100_000
+    staging.release(spark)
+    assert not os.path.exists(path)
