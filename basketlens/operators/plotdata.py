@@ -14,6 +14,7 @@ from basketlens.operators.order_stats import long_values
 from basketlens.operators.skew import attach_by_key
 
 RANK_CHUNK = 1_000
+STRETCH = 10  # grid points that are summed side by side
 
 
 def histogram(df, columns, bins=config.HISTOGRAM_BINS):
@@ -42,21 +43,29 @@ def histogram(df, columns, bins=config.HISTOGRAM_BINS):
 def density(df, columns, points=config.DENSITY_POINTS):
     """(variable, point, x, density): Gaussian kernel density with Scott's bandwidth.
 
-    Each distinct value adds to every grid point; the grid sums are combined on the map side,
-    so what is shuffled afterwards is ``points`` sums per task.
+    A distinct value is repeated for each stretch of the grid, whose points are aggregates side by side; the
+    sums are combined on the map side, so what is shuffled afterwards is ``points`` sums per task and column.
     """
     columns = present(df, columns)
     fitted = per_column(df, columns, n=F.count, sd=F.stddev_samp, low=F.min, high=F.max).where("n > 1 AND sd > 0")
-    fitted = F.broadcast(fitted.withColumn("h", F.col("sd") * F.pow("n", F.lit(-0.2))))
-    step = (F.col("high") - F.col("low")) / (points - 1)
+    # One row per requested column.
+    fitted = F.broadcast(fitted.withColumn("h", F.col("sd") * F.pow("n", F.lit(-0.2)))
+                         .withColumn("step", (F.col("high") - F.col("low")) / (points - 1)))
     weighted = long_values(df, columns).groupBy("variable", "value").agg(F.count("*").alias("w"))
-    z = (F.col("x") - F.col("value")) / F.col("h")
-    return (weighted.join(fitted, "variable")
-            .withColumn("point", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(points - 1).cast("bigint"))))
-            .withColumn("x", F.col("low") + F.col("point") * step)
-            .groupBy("variable", "point", "x", "n", "h").agg(F.sum(F.col("w") * F.exp(-z * z / 2)).alias("kernels"))
-            .select("variable", "point", "x",
-                    (F.col("kernels") / (F.col("n") * F.col("h") * math.sqrt(2 * math.pi))).alias("density")))
+    stretch = F.explode(F.sequence(F.lit(0), F.lit((points - 1) // STRETCH))).alias("stretch")
+    placed = weighted.join(fitted, "variable").select("*", stretch)
+
+    def kernel(k):
+        x = F.col("low") + (F.col("stretch") * STRETCH + k) * F.col("step")
+        z = (x - F.col("value")) / F.col("h")
+        return F.sum(F.col("w") * F.exp(-z * z / 2)).alias(f"k{k}")
+
+    summed = placed.groupBy("variable", "stretch", "n", "h", "low", "step").agg(*[kernel(k) for k in range(STRETCH)])
+    point = (F.col("stretch") * STRETCH + F.col("k")).cast("bigint")
+    return (summed.select("*", F.posexplode(F.array(*[f"k{k}" for k in range(STRETCH)])).alias("k", "kernels"))
+            .select("variable", point.alias("point"), (F.col("low") + point * F.col("step")).alias("x"),
+                    (F.col("kernels") / (F.col("n") * F.col("h") * math.sqrt(2 * math.pi))).alias("density"))
+            .where(F.col("point") < points))
 
 
 def qq_points(df, columns):
