@@ -11,7 +11,9 @@
 4. A task names only a spanning forest of the surviving pairs, the most similar first. These are
    confirmed on the full shingle sets and give first components. Then the buckets that still hold
    several components name all their surviving pairs between components, which are confirmed too.
-   So no link between different components is lost, and pairs within a component aren't listed.
+   Where these would be more than ``PAIRS_PER_MEMBER`` for each member, the members' full sets are
+   brought to the task instead, compared there, and only confirmed links between components leave it.
+   So no link between different components is lost, and the pairs of a group are never listed.
 
 Defined cases: a text that is null, empty or without words has no shingles and no link. A text of
 fewer than five words has its whole sequence as its only shingle. Rows repeated or with equal texts
@@ -36,7 +38,9 @@ HASHES = 128
 ROWS_PER_BAND = 4
 BATCH = 16
 MISS_PROBABILITY = 1e-5
-BLOCK_MEMBERS = 1024
+BLOCK_MEMBERS = 4096
+SET_BLOCK_MEMBERS = 512  # of full sets, which are larger than signatures
+PAIRS_PER_MEMBER = 4
 PAIRS_AT_ONCE = 1 << 16
 #: Class numbers sent to every task when there are at most so many (8 bytes each); else a join.
 SENT_CLASSES = 4_000_000
@@ -168,58 +172,124 @@ def _compare(forest):
     needed = needed_matches()
 
     def pairs_of(rows):
+        """(a, b, bucket, blocks): a pair, or nulls for a group that has too many."""
         group, node, label, side, sig = rows
         n = node.size
-        new = np.ones(n, bool)
-        new[1:] = (group[1:] != group[:-1]).any(axis=1)
-        starts = np.flatnonzero(new)
+        starts = _group_starts(group)
         found = []
         for left, right in _bucket_pairs(starts, np.diff(np.append(starts, n))):
             # In a task of two different blocks (sides 1 and 2) only pairs across them count.
             use = (label[left] != label[right]) & ((side[left] == 0) | (side[left] != side[right]))
             found.append(_survivors(sig, left[use], right[use], needed))
         if not found:
-            return np.empty(0, np.int64), np.empty(0, np.int64)
+            return None
         left, right, matches = (np.concatenate(x) for x in zip(*found))
+        dense = np.empty(0, np.int64)
         if forest:
             take = _forest(left, right, matches, n)
             left, right = left[take], right[take]
-        return np.minimum(node[left], node[right]), np.maximum(node[left], node[right])
+        else:
+            of_row = np.searchsorted(starts, np.arange(n), side="right") - 1
+            many = np.bincount(of_row[left], minlength=starts.size) > PAIRS_PER_MEMBER * np.diff(np.append(starts, n))
+            dense = starts[many]
+            sparse = ~many[of_row[left]]
+            left, right = left[sparse], right[sparse]
+        absent = np.concatenate([np.zeros(left.size, bool), np.ones(dense.size, bool)])
+        at = np.concatenate([left, dense])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([np.minimum(node[left], node[right]), dense]), mask=absent),
+             pa.array(np.concatenate([np.maximum(node[left], node[right]), dense]), mask=absent),
+             pa.array(group[at, 0]), pa.array(group[at, 1])], ["a", "b", "bucket", "blocks"])
 
     def run(batches):
-        held = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = [np.stack([batch["bucket"].to_numpy(), batch["blocks"].to_numpy()], axis=1),
-                    batch["class"].to_numpy(), batch["label"].to_numpy(), batch["side"].to_numpy(),
+        def columns(batch):
+            return [_group_keys(batch), batch["class"].to_numpy(), batch["label"].to_numpy(), batch["side"].to_numpy(),
                     np.frombuffer(b"".join(batch["signature"].to_pylist()), np.uint16).reshape(-1, HASHES)]
-            if held is not None:
-                rows = [np.concatenate(x) for x in zip(held, rows)]
-            open_from = np.flatnonzero((rows[0] != rows[0][-1]).any(axis=1))
-            cut = int(open_from[-1]) + 1 if open_from.size else 0
-            held = [x[cut:] for x in rows]
-            if cut:
-                a, b = pairs_of([x[:cut] for x in rows])
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
-        if held is not None:
-            a, b = pairs_of(held)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+        for rows in _whole_groups(batches, columns):
+            out = pairs_of(rows)
+            if out is not None:
+                yield out
 
     return run
 
 
-def _candidates(members, classes, labels, forest):
-    """Surviving pairs (a, b) of the members of each bucket that have different labels."""
-    blocks = F.ceil(F.col("size") / BLOCK_MEMBERS).cast("int")
+def _group_keys(batch):
+    return np.stack([batch["bucket"].to_numpy(), batch["blocks"].to_numpy()], axis=1)
+
+
+def _group_starts(group):
+    new = np.ones(len(group), bool)
+    new[1:] = (group[1:] != group[:-1]).any(axis=1)
+    return np.flatnonzero(new)
+
+
+def _whole_groups(batches, columns):
+    """Lists of arrays (the first: group keys) cut between groups; the open group waits for more rows."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = columns(batch)
+        if held is not None:
+            rows = [np.concatenate(x) for x in zip(held, rows)]
+        other = np.flatnonzero((rows[0] != rows[0][-1]).any(axis=1))
+        cut = int(other[-1]) + 1 if other.size else 0
+        held = [x[cut:] for x in rows]
+        if cut:
+            yield [x[:cut] for x in rows]
+    if held is not None:
+        yield held
+
+
+def _link_dense(batches):
+    """Confirmed links between components of each group, from the members' full sets: a forest."""
+    def columns(batch):
+        sets = np.empty(batch.num_rows, dtype=object)
+        sets[:] = [np.frombuffer(x, np.uint64) for x in batch["shingles"].to_pylist()]
+        return [_group_keys(batch), batch["class"].to_numpy(), batch["label"].to_numpy(), batch["side"].to_numpy(), sets]
+
+    for group, node, label, side, sets in _whole_groups(batches, columns):
+        bounds = np.append(_group_starts(group), len(group))
+        found = []
+        for low, high in zip(bounds[:-1], bounds[1:]):
+            sizes = np.array([x.size for x in sets[low:high]])
+            offsets = np.concatenate([[0], np.cumsum(sizes)])
+            _, flat = np.unique(np.concatenate(sets[low:high]), return_inverse=True)
+            own, sides = label[low:high].copy(), side[low:high]
+            marked = np.zeros(flat.max() + 1, dtype=np.int32)
+            for i in range(high - low):
+                try_ = (own != own[i]) & ((sides == 0) | (sides != sides[i]))
+                try_[:i] = False
+                if not try_.any():
+                    continue
+                mine = flat[offsets[i]:offsets[i + 1]]
+                marked[mine] = 1
+                shared = np.add.reduceat(marked[flat], offsets[:-1])
+                marked[mine] = 0
+                near = try_ & (SIMILARITY[1] * shared >= SIMILARITY[0] * (sizes + sizes[i] - shared))
+                for j in np.flatnonzero(near):
+                    if own[j] != own[i]:
+                        found.append((min(node[low + i], node[low + j]), max(node[low + i], node[low + j])))
+                        own[own == own[j]] = own[i]
+        yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())],
+                                         ["a", "b"])
+
+
+def _labelled(members, labels):
+    """Members with the label of their component; only buckets that hold several."""
+    if labels is None:
+        return members.withColumn("label", F.col("class"))
+    labelled = (members.join(labels.select(F.col("node").alias("class"), "root"), "class", "left")
+                .withColumn("label", F.coalesce("root", "class")).drop("root"))
+    mixed = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    return labelled.join(mixed.where("low <> high").select("bucket"), "bucket", "left_semi")
+
+
+def _dealt(labelled, block_members):
+    """(bucket, blocks, class, label, side): each member in every task of its bucket that it belongs to."""
+    blocks = F.ceil(F.col("size") / block_members).cast("int")
     own = F.pmod(F.col("class"), blocks).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    labelled = (members.withColumn("label", F.col("class")) if labels is None else
-                members.join(labels.select(F.col("node").alias("class"), "root"), "class", "left")
-                .withColumn("label", F.coalesce("root", "class")).drop("root"))
-    if labels is not None:
-        mixed = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        labelled = labelled.join(mixed.where("low <> high").select("bucket"), "bucket", "left_semi")
     dealt = (labelled.withColumn("blocks", blocks).withColumn("own", own)
              .select("*", other)
              .withColumn("side", F.when(F.col("own") == F.col("other"), 0)
@@ -227,10 +297,14 @@ def _candidates(members, classes, labels, forest):
              .select("bucket", "class", "label", F.least("own", "other").cast("long").alias("low"),
                      F.greatest("own", "other").cast("long").alias("high"), "side", "blocks"))
     # A block's own members join the tasks of its pairs once; the block with itself is side 0.
-    dealt = dealt.select("bucket", "class", "label", "side", (F.col("low") * F.col("blocks") + F.col("high")).alias("blocks"))
+    return dealt.select("bucket", (F.col("low") * F.col("blocks") + F.col("high")).alias("blocks"), "class", "label", "side")
+
+
+def _candidates(dealt, classes, forest):
+    """Surviving pairs (a, b) of members with different labels, and null pairs for dense groups."""
     rows = (dealt.join(classes, "class").select("bucket", "blocks", "class", "label", "side", "signature")
             .repartition("bucket", "blocks").sortWithinPartitions("bucket", "blocks"))
-    return rows.mapInArrow(_compare(forest), "a BIGINT, b BIGINT").distinct()
+    return rows.mapInArrow(_compare(forest), "a BIGINT, b BIGINT, bucket BIGINT, blocks BIGINT")
 
 
 # ---- exact confirmation -----------------------------------------------------------------
@@ -252,7 +326,7 @@ def _sets(wanted):
                         at = np.searchsorted(wanted.value, c)
                         if at == wanted.value.size or wanted.value[at] != c:
                             continue
-                    if len(seen) < 1_000_000:  # only spares work: copies are folded again below
+                    if len(seen) < 100_000:  # only spares work: copies are folded again below
                         seen.add(c)
                     found.append((c, distinct.tobytes()))
             if found:
@@ -265,8 +339,8 @@ def _sets(wanted):
 def _confirm(batches):
     for batch in batches:
         keep = []
-        for one, two in zip(batch["one"].to_pylist(), batch["two"].to_pylist()):
-            one, two = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
+        for one, two in zip(batch["one"], batch["two"]):
+            one, two = np.frombuffer(one.as_buffer(), np.uint64), np.frombuffer(two.as_buffer(), np.uint64)
             if one.size > two.size:
                 one, two = two, one
             at = np.minimum(np.searchsorted(two, one), two.size - 1)
@@ -275,31 +349,34 @@ def _confirm(batches):
         yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _confirmed(texts, pairs):
-    """The pairs whose full shingle sets are similar enough."""
-    spark = texts.sparkSession
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    n = wanted.count()
-    if not n:
-        return pairs
+def _shingle_sets(texts, wanted):
+    """(class, shingles) of the wanted classes, one row each."""
     sent = None
-    if n <= SENT_CLASSES:
-        sent = spark.sparkContext.broadcast(np.sort(wanted.toPandas()["class"].to_numpy(dtype=np.int64)))
+    if wanted.count() <= SENT_CLASSES:
+        sent = texts.sparkSession.sparkContext.broadcast(np.sort(wanted.toPandas()["class"].to_numpy(dtype=np.int64)))
     sets = texts.mapInArrow(_sets(sent), "class BIGINT, shingles BINARY")
     if sent is None:
         sets = sets.join(wanted, "class", "left_semi")
-    sets = sets.groupBy("class").agg(F.first("shingles").alias("shingles"))
-    sets = materialize(sets)
+    return materialize(sets.groupBy("class").agg(F.first("shingles").alias("shingles")))
+
+
+def _confirmed(pairs, sets):
+    """The pairs whose full shingle sets are similar enough."""
     joined = (pairs.join(sets.select(F.col("class").alias("a"), F.col("shingles").alias("one")), "a")
               .join(sets.select(F.col("class").alias("b"), F.col("shingles").alias("two")), "b")
               .select("a", "b", "one", "two"))
     return joined.mapInArrow(_confirm, "a BIGINT, b BIGINT")
 
 
+def _ends(pairs):
+    return pairs.select(F.explode(F.array("a", "b")).alias("class"))
+
+
 def near_duplicates(docs, id_column="doc_id", text_column="text"):
-    """(id, n_shingles, component_id, kept, digest, class): see the module's description.
+    """(id, n_shingles, component_id, kept, digest, class, component): see the module's description.
 
-    ``digest`` is xxhash64 of the raw text, ``class`` a number of its shingle set (null without).
+    ``digest`` is xxhash64 of the raw text, ``class`` a number of its shingle set and ``component`` of its
+    component (null without shingles); they tell texts apart where ids are null or repeated.
     """
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.xxhash64(text_column).alias("digest"),
                         F.col(text_column).alias("text"))
@@ -314,21 +391,27 @@ def near_duplicates(docs, id_column="doc_id", text_column="text"):
     members = materialize(bands.join(buckets.select("band", "size"), "band")
                           .select(F.col("band").alias("bucket"), "size", "class").distinct())
     texts = texts.select("text")
-    tried = materialize(_candidates(members, classes, None, forest=True))
-    links = materialize(_confirmed(texts, tried))
-    labels = components(links)
-    rest = materialize(_candidates(members, classes, labels, forest=False).join(tried, ["a", "b"], "left_anti"))
-    labels = components(links.union(_confirmed(texts, rest)))
+    tried = materialize(_candidates(_dealt(_labelled(members, None), BLOCK_MEMBERS), classes, forest=True).select("a", "b").distinct())
+    links = materialize(_confirmed(tried, _shingle_sets(texts, _ends(tried).distinct())))
+    mixed = materialize(_labelled(members, components(links)))
+    rest = materialize(_candidates(_dealt(mixed, BLOCK_MEMBERS), classes, forest=False))
+    pairs = materialize(rest.where("a is not null").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
+    dense = _dealt(mixed.join(rest.where("a is null").select("bucket").distinct(), "bucket", "left_semi"), SET_BLOCK_MEMBERS)
+    sets = _shingle_sets(texts, _ends(pairs).union(dense.select("class")).distinct())
+    linked = (dense.join(sets, "class").select("bucket", "blocks", "class", "label", "side", "shingles")
+              .repartition("bucket", "blocks").sortWithinPartitions("bucket", "blocks")
+              .mapInArrow(_link_dense, "a BIGINT, b BIGINT"))
+    labels = components(links.union(_confirmed(pairs, sets)).union(linked))
     # Names of the components: the smallest id of all rows of all their classes.
     named = (described.where("class is not null").groupBy("class").agg(F.min("id").alias("least"))
              .join(labels.withColumnRenamed("node", "class"), "class", "left")
              .withColumn("root", F.coalesce("root", "class")))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_class = named.select("class", "root").join(least, "root").select("class", "component_id")
+    by_class = named.select("class", "root").join(least, "root").select("class", "root", "component_id")
     found = described.drop("signature").join(by_class, "class", "left")
     component = F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("component_id"))
     return found.select(F.col("id").alias(id_column), "n_shingles", component.alias("component_id"),
-                        F.col("id").eqNullSafe(component).alias("kept"), "digest", "class")
+                        F.col("id").eqNullSafe(component).alias("kept"), "digest", "class", F.col("root").alias("component"))
 
 
 @query("op4_minhash_dedup")
