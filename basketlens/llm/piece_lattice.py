@@ -16,12 +16,14 @@ Words of more than ``FOLD_LENGTH`` characters are first cut where no piece has t
 changes nothing. What is still longer takes the same recurrence in a loop over its characters, as a fold over arrays
 would copy them at every step.
 
-Pieces and scores are read from the model file (never trained): the score of a path is the sum of its pieces' scores.
+Pieces and scores are read from the model file (never trained): the score of a path is the sum of its pieces' scores
+(``log_scores`` says what the scores of a merge model count as).
 Text isn't normalised; a blank before the first word is added as the model asks and taken off by decoding. The blank
 mark U+2581 in a text is a blank. Defined cases: null and empty texts have no ids. Rows are encoded each, whatever their ids
 (null or repeated). Other columns are ignored. An empty table gives an empty table.
 """
 
+import math
 import re
 import uuid
 
@@ -35,15 +37,29 @@ from basketlens.sources.staging import materialize, shared_folder
 
 BLANK = "▁"
 FOLD_LENGTH = 200
-BATCH_BYTES = 32 << 20
-SENT_WORDS = 100_000
+BATCH_BYTES = 16 << 20
+SENT_WORDS = 300_000
 SENT_LENGTH = 32
-SAMPLE_TEXTS = 5_000
+SAMPLE_TEXTS = 20_000
+WORDS_AT_ONCE = 20_000  # per partition of the lattice, so that its edges fit a task's memory
 RUNS = re.compile(" *[^ ]+| +")
 UNKNOWN_PENALTY = 10.0
 BYTE_PIECE = -1  # an edge of a character without a piece
 
 
+def log_scores(scores):
+    """Scores that add up like log-probabilities.
+
+    A unigram model has log-probabilities. A merge model has whole numbers, minus the rank of each piece; these get the
+    log-probability of their rank under Zipf's law. Rounding to multiples of 2**-20 makes sums exact, so ties are ties.
+    """
+    if any(s != int(s) for s in scores):
+        return scores
+    n = len(scores)
+    total = sum(1 / k for k in range(1, n + 1))
+    return [round(-math.log((min(-s, n - 1) + 1) * total) * 2 ** 20) / 2 ** 20 for s in scores]
+
+
 class Pieces:
     """The pieces of a model file: their scores and ids, and the bytes of every id."""
 
@@ -54,7 +70,8 @@ class Pieces:
         ids = range(model.get_piece_size())
         self.byte_ids = [i for i in ids if model.is_byte(i)]
         plain = [i for i in ids if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
-        self.table = {model.id_to_piece(i): (i, model.get_score(i)) for i in plain}
+        scores = log_scores([model.get_score(i) for i in plain])
+        self.table = {model.id_to_piece(i): (i, s) for i, s in zip(plain, scores)}
         self.unknown = min(s for _, s in self.table.values()) - UNKNOWN_PENALTY
         self.longest = max(map(len, self.table))
         self.pairs = {p[k:k + 2] for p in self.table for k in range(len(p) - 1)}
@@ -103,20 +120,25 @@ class Pieces:
 # ---- the lattice ------------------------------------------------------------------------
 
 def encode_words(words, pieces):
-    """(word, ids) of a frame of different words (one column, ``word``)."""
+    """(word, ids, places) of a frame (word, place) in which words repeat: their places are gathered.
+
+    One exchange by word serves all: places, edges and path of a word are grouped where the word is.
+    """
     spark = words.sparkSession
     size = F.length("word")
+    parts = max(1, -(-words.count() // WORDS_AT_ONCE))
+    words = words.repartition(parts, "word").groupBy("word").agg(F.collect_list("place").alias("places"))
     short = words.where(size <= FOLD_LENGTH)
     # As many pieces as the model has: a table of fixed size.
     known = F.broadcast(pieces.frame(spark))
-    edges = (short.where(size > 0).select("word", F.explode(F.sequence(F.lit(0), size - 1)).alias("start"))
-             .select("word", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(pieces.longest), size - F.col("start")))).alias("width"))
+    edges = (short.where(size > 0).select("word", "places", F.explode(F.sequence(F.lit(0), size - 1)).alias("start"))
+             .select("word", "places", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(pieces.longest), size - F.col("start")))).alias("width"))
              .withColumn("piece", F.substring("word", F.col("start") + 1, F.col("width")))
              .join(known, "piece", "left").where("id is not null or width = 1")
-             .select("word", F.struct((F.col("start") + F.col("width")).alias("end"), "start",
+             .select("word", "places", F.struct((F.col("start") + F.col("width")).alias("end"), "start",
                                       F.coalesce("id", F.lit(BYTE_PIECE)).alias("id"),
                                       F.coalesce("score", F.lit(pieces.unknown)).alias("score")).alias("edge")))
-    lattice = edges.groupBy("word").agg(F.array_sort(F.collect_list("edge")).alias("edges"))
+    lattice = edges.groupBy("word").agg(F.array_sort(F.collect_list("edge")).alias("edges"), F.first("places").alias("places"))
 
     node = "STRUCT<score: DOUBLE, start: INT, id: INT>"
     first = F.struct(F.array().cast(f"ARRAY<{node}>").alias("nodes"), F.lit(0).alias("end"),
@@ -130,7 +152,7 @@ def encode_words(words, pieces):
         better = closed | (score > state["best"]["score"])
         return F.struct(nodes.alias("nodes"), e["end"].alias("end"), F.when(better, own).otherwise(state["best"]).alias("best"))
 
-    nodes = lattice.select("word", F.aggregate("edges", first, step, lambda s: F.concat(s["nodes"], F.array(s["best"]))).alias("nodes"))
+    nodes = lattice.select("word", "places", F.aggregate("edges", first, step, lambda s: F.concat(s["nodes"], F.array(s["best"]))).alias("nodes"))
     part = "STRUCT<start: INT, end: INT, id: INT>"
 
     def back(state, _):
@@ -141,7 +163,7 @@ def encode_words(words, pieces):
 
     end = F.struct(F.size("nodes").alias("at"), F.array().cast(f"ARRAY<{part}>").alias("path"))
     end = end.withField("at", F.size("nodes") - 1)
-    path = nodes.select("word", F.aggregate(F.sequence(F.lit(1), F.size("nodes") - 1), end, back, lambda s: s["path"]).alias("path"))
+    path = nodes.select("word", "places", F.aggregate(F.sequence(F.lit(1), F.size("nodes") - 1), end, back, lambda s: s["path"]).alias("path"))
     lowest = pieces.byte_ids[0] if pieces.byte_ids else 0
 
     def ids_of(x):
@@ -150,14 +172,16 @@ def encode_words(words, pieces):
                              lambda k: F.conv(F.substring(character, k, F.lit(2)), 16, 10).cast("int") + lowest)
         return F.when(x["id"] == BYTE_PIECE, bytes_).otherwise(F.array(x["id"]))
 
-    folded = path.select("word", F.flatten(F.transform("path", ids_of)).alias("ids"))
+    folded = path.select("word", F.flatten(F.transform("path", ids_of)).alias("ids"), "places")
 
     def by_characters(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
-                [batch["word"], pa.array([pieces.viterbi(w) for w in batch["word"].to_pylist()], pa.list_(pa.int32()))], ["word", "ids"])
+                [batch["word"], pa.array([pieces.viterbi(w) for w in batch["word"].to_pylist()], pa.list_(pa.int32())), batch["places"]],
+                ["word", "ids", "places"])
 
-    return folded.union(words.where(size > FOLD_LENGTH).mapInArrow(by_characters, "word STRING, ids ARRAY<INT>"))
+    schema = folded.schema
+    return folded.union(words.where(size > FOLD_LENGTH).mapInArrow(by_characters, schema))
 
 
 # ---- texts as lists of words ------------------------------------------------------------
@@ -275,7 +299,7 @@ def encode(docs, model_path, id_column="doc_id", text_column="text"):
     sample = texts.select("text").sample(min(1.0, SAMPLE_TEXTS / max(1, texts.count())), seed=5)
     counted = (sample.mapInArrow(_count_words(pieces), "word STRING, n BIGINT").groupBy("word").agg(F.sum("n").alias("n"))
                .orderBy(F.desc("n"), "word").limit(SENT_WORDS).select("word"))
-    frequent = encode_words(materialize(counted), pieces).toArrow()
+    frequent = encode_words(materialize(counted.withColumn("place", F.lit(0))), pieces).toArrow()
     values, bounds = _flat(frequent["ids"].to_pylist())
     sent = spark.sparkContext.broadcast((frequent["word"].to_pylist(), (values, bounds)))
 
@@ -283,8 +307,9 @@ def encode(docs, model_path, id_column="doc_id", text_column="text"):
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     (texts.mapInArrow(_batches_of(pieces, sent), BATCHED).write.bucketBy(buckets, "batch").option("compression", "zstd")
      .option("path", f"{shared_folder(spark)}/tables/{name}").saveAsTable(name))
-    words = spark.table(name).where("word is not null").select("batch", "code", "word")
-    encoded = words.join(encode_words(words.select("word").distinct(), pieces), "word").select(F.col("batch").alias("of"), "code", "ids")
+    words = spark.table(name).where("word is not null").select("word", F.struct("batch", "code").alias("place"))
+    encoded = (encode_words(words, pieces).select(F.explode("places").alias("place"), "ids")
+               .select(F.col("place.batch").alias("of"), F.col("place.code").alias("code"), "ids"))
     lists = spark.table(name).where("codes is not null").select("batch", "id", "codes")
     found = (lists.groupBy("batch").cogroup(encoded.groupBy("of"))
              .applyInArrow(_assemble(sent), "id BIGINT, ids ARRAY<INT>"))
