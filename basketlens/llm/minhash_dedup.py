@@ -287,17 +287,18 @@ def _labelled(members, labels):
 
 def _dealt(labelled, block_members):
     """(bucket, blocks, class, label, side): each member in every task of its bucket that it belongs to."""
+    # A bucket of one block is a task's group as it is.
+    whole = labelled.where(F.col("size") <= block_members).select(
+        "bucket", F.lit(0).cast("long").alias("blocks"), "class", "label", F.lit(0).alias("side"))
     blocks = F.ceil(F.col("size") / block_members).cast("int")
     own = F.pmod(F.col("class"), blocks).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = (labelled.withColumn("blocks", blocks).withColumn("own", own)
-             .select("*", other)
-             .withColumn("side", F.when(F.col("own") == F.col("other"), 0)
-                         .when(F.col("own") < F.col("other"), 1).otherwise(2))
-             .select("bucket", "class", "label", F.least("own", "other").cast("long").alias("low"),
-                     F.greatest("own", "other").cast("long").alias("high"), "side", "blocks"))
-    # A block's own members join the tasks of its pairs once; the block with itself is side 0.
-    return dealt.select("bucket", (F.col("low") * F.col("blocks") + F.col("high")).alias("blocks"), "class", "label", "side")
+    # A block's members join the tasks of its pairs once; the block with itself is side 0.
+    side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)
+    pair = F.least("own", "other").cast("long") * F.col("blocks") + F.greatest("own", "other")
+    cut = (labelled.where(F.col("size") > block_members).withColumn("blocks", blocks).withColumn("own", own)
+           .select("*", other).select("bucket", pair.alias("blocks"), "class", "label", side.alias("side")))
+    return whole.union(cut)
 
 
 def _candidates(dealt, classes, forest):
