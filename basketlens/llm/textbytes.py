@@ -6,7 +6,7 @@ temporary arrays stay small whatever the batch; only a single longer text makes
 
 import numpy as np
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 
 # The six ASCII white-space bytes, and A-Z to a-z.
 BLANK = np.zeros(256, dtype=bool)
@@ -41,7 +41,7 @@ def powers(base, n):
         steps = np.full(max(n, SLICE_BYTES + 1), base, dtype=np.uint64)
         steps[0] = 1
         known = np.cumprod(steps)
-        if known.size <= 2 * SLICE_BYTES:
+        if known.size <= 4 * SLICE_BYTES:
             _powers[base] = known
     return known[:n]
 

@@ -8,7 +8,8 @@ encoded (format 2 pages), and page indexes let a reader of some documents skip t
 
 Encoding runs on whole texts, once they are sorted. ASCII white space never is inside a token and
 is dropped by the tokenizer used here, so a text's ids are those of its blank-separated chunks in
-order, and a task encodes a repeated chunk once. Chunks longer than ``CACHED_BYTES`` aren't kept.
+order, and a worker process encodes a repeated chunk once (chunks are known by a 64-bit hash). A chunk of ASCII letters and a
+final comma or full stop is encoded in these two parts, if the tokenizer separates them, and in lower case, if it folds case.
 
 Defined cases: a null or empty text has only the end id. Rows with equal document ids, or without
 one (these come first), stay separate rows next to each other. Other columns are ignored. An empty
@@ -18,6 +19,7 @@ table gives files without rows.
 import itertools
 import uuid
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +30,9 @@ from basketlens.llm import textbytes
 from basketlens.llm.registry import query, table
 from basketlens.sources.staging import shared_folder
 
-CACHED_BYTES = 64
-CACHED_CHUNKS = 400_000  # a worker's memory for chunks; it starts anew beyond that
+CACHED_CHUNKS = 2_000_000  # a worker's memory for chunks; it starts anew beyond that
+LETTER = np.zeros(256, dtype=bool)
+LETTER[65:91] = LETTER[97:123] = True
 FILE_OPTIONS = {
     "compression": "zstd",
     "parquet.writer.version": "PARQUET_2_0",
@@ -42,41 +45,96 @@ FILE_OPTIONS = {
 SCHEMA = "part INT, doc_id BIGINT, local_start BIGINT, n_tokens BIGINT, ids ARRAY<INT>"
 
 
-def _encoder(definition, end_id):
-    """A function of Arrow batches (doc_id, text) in order; its state is one task's."""
-    def run(batches):
+class _Chunks:
+    """Ids of chunks by their 64-bit hash, kept for the worker process and its tokenizer."""
+
+    def __init__(self, definition, end_id):
         import os
         os.environ.setdefault("RAYON_NUM_THREADS", "1")
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_str(definition.value)
-        known, start, part = {}, 0, TaskContext.get().partitionId()
+        self.tokenizer = Tokenizer.from_str(definition)
+        self.end_id = end_id
+        ids = lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids
+        self.marks = [m for m in b",." if ids(f"ab{chr(m)}") == ids("ab") + ids(chr(m))]
+        self.folds = ids("AB") == ids("ab")
+        self.clear()
+
+    def clear(self):
+        """Slot 0 is the end id, the next ones are the marks."""
+        self.slots, self.flat, self.starts = {}, array("i"), array("q", [0])
+        self._add([[self.end_id], *(self.tokenizer.encode(chr(m), add_special_tokens=False).ids for m in self.marks)])
+
+    def _add(self, lists):
+        for ids in lists:
+            self.flat.extend(ids)
+            self.starts.append(len(self.flat))
+
+    def encode(self, data, offsets):
+        """(ids of all texts one after the other, each with the end id; bounds of the texts)."""
+        if len(self.starts) > CACHED_CHUNKS or len(self.flat) > 16 * CACHED_CHUNKS:
+            self.clear()
+        starts, ends, first = textbytes.words(data, offsets)
+        # A chunk of ASCII letters with a mark after it is two units, the letters in lower case.
+        letters = np.concatenate([[0], np.cumsum(LETTER[data], dtype=np.int64)])
+        last = data[ends - 1]
+        mark = np.zeros(starts.size, np.int64)
+        for k, m in enumerate(self.marks):
+            mark[(last == m) & (ends - starts > 1)] = k + 1
+        plain = letters[ends - (mark > 0)] - letters[starts] == ends - (mark > 0) - starts
+        mark[~plain] = 0
+        ends = ends - (mark > 0)
+        if self.folds:
+            edge = np.zeros(data.size + 1, np.int8)
+            edge[starts[plain]] = 1
+            edge[ends[plain]] -= 1
+            data = np.where(np.cumsum(edge[:-1], dtype=np.int8) > 0, textbytes.LOWER[data], data)
+        hashes = textbytes.span_hash(textbytes.prefix_hash(data), starts, ends)
+        different, at, back = np.unique(hashes, return_index=True, return_inverse=True)
+        keys = different.tolist()
+        fresh = [k for k, key in enumerate(keys) if key not in self.slots]
+        raw = data.tobytes()
+        for low in range(0, len(fresh), 4096):
+            some = fresh[low:low + 4096]
+            texts = [raw[starts[at[k]]:ends[at[k]]].decode("utf-8", "replace") for k in some]
+            found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            self.slots.update(zip((keys[k] for k in some), range(len(self.starts) - 1, len(self.starts) - 1 + len(some))))
+            self._add(e.ids for e in found)
+        slot = np.fromiter(map(self.slots.__getitem__, keys), np.int64, len(keys))[back] if keys else np.empty(0, np.int64)
+        # Units in order: each chunk, its mark if it has one, and the end after each text.
+        texts = first.size - 1
+        marked = np.concatenate([[0], np.cumsum(mark > 0)])
+        place = np.arange(starts.size) + marked[:-1] + np.repeat(np.arange(texts), np.diff(first))
+        closing = first[1:] + marked[first[1:]] + np.arange(texts)
+        units = np.zeros(starts.size + int(marked[-1]) + texts, np.int64)
+        units[place] = slot
+        units[place[mark > 0] + 1] = mark[mark > 0]
+        bounds, flat = np.frombuffer(self.starts, np.int64), np.frombuffer(self.flat, np.int32)
+        sizes = (bounds[1:] - bounds[:-1])[units]
+        until = np.cumsum(sizes)
+        ids = flat[np.arange(until[-1]) + np.repeat(bounds[units] - until + sizes, sizes)]
+        return ids, np.concatenate([[0], until[closing]])
+
+
+_chunks = {}  # of this process
 
-        def learn(chunks):
-            fresh = list(chunks)
-            for k in range(0, len(fresh), 4096):
-                some = fresh[k:k + 4096]
-                encoded = tokenizer.encode_batch([c.decode("utf-8", "replace") for c in some], add_special_tokens=False)
-                known.update(zip(some, (tuple(e.ids) for e in encoded)))
 
+def _encoder(definition, end_id):
+    """A function of Arrow batches (doc_id, text) in order; its counts are one task's."""
+    def run(batches):
+        key = (definition.value, end_id)
+        if key not in _chunks:
+            _chunks.clear()
+            _chunks[key] = _Chunks(*key)
+        start, part = 0, TaskContext.get().partitionId()
         for batch in batches:
-            for low, data, offsets in textbytes.slices(batch["text"]):
-                raw = data.tobytes()
-                texts = [raw[a:b].split() for a, b in itertools.pairwise(offsets.tolist())]
-                if len(known) > CACHED_CHUNKS:
-                    known.clear()
-                learn(set(itertools.chain.from_iterable(texts)) - known.keys())
-                ids = [np.fromiter(itertools.chain(itertools.chain.from_iterable(map(known.__getitem__, chunks)),
-                                                   (end_id,)), np.int32) for chunks in texts]
-                for chunk in [c for c in known if len(c) > CACHED_BYTES]:
-                    del known[chunk]
-                sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-                bounds = np.concatenate([[0], np.cumsum(sizes)])
+            for low, data, offsets in textbytes.slices(batch["text"], 2 * textbytes.SLICE_BYTES):
+                ids, bounds = _chunks[key].encode(data, offsets)
+                n = bounds.size - 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(ids), part, np.int32)), batch["doc_id"].slice(low, len(ids)),
-                     pa.array(start + bounds[:-1]), pa.array(sizes),
-                     pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(np.concatenate(ids)))],
+                    [pa.array(np.full(n, part, np.int32)), batch["doc_id"].slice(low, n), pa.array(start + bounds[:-1]),
+                     pa.array(np.diff(bounds)), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids))],
                     ["part", "doc_id", "local_start", "n_tokens", "ids"])
                 start += int(bounds[-1])
     return run
