@@ -20,6 +20,7 @@ are ignored. An empty table gives an empty table.
 """
 
 import hashlib
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from pyspark.sql import Window, functions as F
 
 from basketlens.llm import textbytes
 from basketlens.llm.registry import query, table
-from basketlens.sources.staging import materialize
+from basketlens.sources.staging import shared_folder
 
 WINDOW = 16
 REACH = 10
@@ -213,7 +214,10 @@ def compare_with_next(docs, id_column="doc_id", text_column="text"):
     # Equal ids go by a hash of their text, equal rows by their place: many of them still spread over tasks.
     ordered = (texts.withColumn("tie", F.xxhash64("text")).orderBy(F.desc_nulls_last("doc_id"), "tie", "place")
                .select("doc_id", "text"))
-    walked = materialize(ordered.mapInArrow(_neighbours(information), ROWS))
+    # Hexadecimal digests shrink to half under a stronger codec.
+    path = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
+    ordered.mapInArrow(_neighbours(information), ROWS).write.option("compression", "zstd").parquet(path)
+    walked = spark.read.schema(ROWS).parquet(path)
     # One row for each sorted part; the part after the last is the first.
     firsts = walked.where("edge = 'first'").select("part", F.col("text").alias("after"), F.col("fingerprint").alias("after_fingerprint"))
     parts = firsts.select("part")
