@@ -5,8 +5,10 @@ matches: the lengths of the pieces between and of the matches add up to the offs
 
 Two first-order character models are trained from labelled samples: the values that the fixed
 patterns find (random strings), and the other words (ordinary identifiers). Both are smoothed tables of character pairs. A candidate is a run of token characters
-outside the base spans; it is a secret when the mean log-likelihood ratio of its pairs is above the
-threshold. Training takes labelled documents only, up to fixed numbers of them (``SECRET_DOCUMENTS``,
+outside the base spans, of any length; it is a secret when the mean log-likelihood ratio of its pairs is above the
+threshold. Below ``ASSIGN_LEAST`` characters, the least that the fixed patterns count as a value, few pairs could
+be above it by chance, so there the summed ratio must be above that of ``SHORT_PAIRS`` pairs at the threshold. Runs
+without any pair above the threshold can't be secrets and aren't scored. Training takes labelled documents only, up to fixed numbers of them (``SECRET_DOCUMENTS``,
 ``WORD_DOCUMENTS``, chosen by a hash of the id); scanning covers all texts.
 
 Defined cases: a null or empty text has no spans. Overlapping finds of different kinds are all
@@ -15,6 +17,7 @@ no positive sample, so it gets base spans only. Repeated rows are scanned each;
 """
 
 import math
+import re
 
 from pyspark.sql import functions as F
 
@@ -30,10 +33,11 @@ KINDS = ["assign", "access", "hex", "markov"]
 ASSIGN_LEAST = 12
 
 # What the models see: runs of token characters.
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}+"
+TOKEN = "[A-Za-z0-9+/_=-]"
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
-WORD = r"[A-Za-z0-9+/_=-]++"
+WORD = TOKEN + "++"
 THRESHOLD = 0.5  # mean log-likelihood ratio (nats) per pair
+SHORT_PAIRS = 15  # a run of under ASSIGN_LEAST characters needs the evidence of so many pairs
 SMOOTHING = 0.5
 SECRET_DOCUMENTS = 20_000
 WORD_DOCUMENTS = 4_000
@@ -42,8 +46,8 @@ MASK = "[SECRET]"
 SPAN = "STRUCT<start: BIGINT, end: BIGINT, kind: INT, value: STRING>"
 
 
-def _spans(text, pattern, kind):
-    """Array of (start, end, kind, value) of the leftmost non-overlapping matches."""
+def _spans(text, pattern, kind, wanted=lambda value: F.lit(True)):
+    """Array of (start, end, kind, value) of the leftmost non-overlapping matches whose value is wanted."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pieces = F.split(text, pattern, -1)
     steps = F.arrays_zip(pieces.alias("before"), found.alias("value"))
@@ -56,7 +60,8 @@ def _spans(text, pattern, kind):
                         F.lit(kind).alias("kind"), x["value"].alias("value"))
         # The last piece has no match after it.
         return F.struct(F.coalesce(end, start).cast("long").alias("at"),
-                        F.when(x["value"].isNull(), state["spans"]).otherwise(F.concat(state["spans"], F.array(span))).alias("spans"))
+                        F.when(x["value"].isNotNull() & wanted(x["value"]), F.concat(state["spans"], F.array(span)))
+                        .otherwise(state["spans"]).alias("spans"))
 
     first = F.struct(F.lit(0).cast("long").alias("at"), empty.alias("spans"))
     return F.when(F.size(found) > 0, F.aggregate(steps, first, step, lambda s: s["spans"])).otherwise(empty)
@@ -122,22 +127,41 @@ def learn(docs, labels, id_column="doc_id", text_column="text"):
     return train_ratios(secrets, words)
 
 
+def _screen(ratios, threshold):
+    """Pattern of the runs that hold a pair above the threshold: no mean can be above it without one."""
+    size = len(ALPHABET)
+    above = [(a, [b for j, b in enumerate(ALPHABET) if ratios[i * size + j] >= threshold]) for i, a in enumerate(ALPHABET)]
+    pairs = "|".join(f"{re.escape(a)}[{''.join(map(re.escape, b))}]" for a, b in above if b)
+    return f"(?<!{TOKEN}){TOKEN}*?(?:{pairs}){TOKEN}*+" if pairs else None
+
+
+def _once(value, use):
+    """``use(value)`` with the value computed once for each row."""
+    return F.transform(F.array(value), use)[0]
+
+
 def scan(text, ratios, threshold=THRESHOLD):
     """(base, all): arrays of spans (start, end, kind, value), by start and then kind."""
     base = base_spans(text)
-    if ratios is None:
+    screen = ratios and _screen(ratios, threshold)
+    if not screen:
         return base, base
     # One constant array: the optimizer folds the text into a literal.
     table_of_ratios = F.split(F.lit(",".join(map(repr, ratios))), ",").cast("ARRAY<DOUBLE>")
 
-    def ratio(value):
-        pairs = _pairs(value)
-        total = F.aggregate(pairs, F.lit(0.0), lambda s, p: s + F.get(table_of_ratios, p))
-        return total / F.size(pairs)
+    def secret(value):
+        total = F.aggregate(_pairs(value), F.lit(0.0), lambda s, p: s + F.get(table_of_ratios, p))
+        pairs = F.when(F.length(value) < ASSIGN_LEAST, SHORT_PAIRS).otherwise(F.length(value) - 1)
+        return total > F.lit(threshold) * pairs
+
+    def joined(base, values):
+        found = _spans(text, screen, 3, lambda value: F.array_contains(values, value))
+        free = F.filter(found, lambda s: ~F.exists(base, lambda b: (s["start"] < b["end"]) & (s["end"] > b["start"])))
+        return F.array_sort(F.concat(base, free))
 
-    found = F.filter(_spans(text, CANDIDATE, 3), lambda s: ratio(s["value"]) > threshold)
-    free = F.filter(found, lambda s: ~F.exists(base, lambda b: (s["start"] < b["end"]) & (s["end"] > b["start"])))
-    return base, F.when(F.size(found) > 0, F.array_sort(F.concat(base, free))).otherwise(base)
+    # Each different run of a text is scored once; positions are only needed where one is a secret.
+    values = F.filter(F.array_distinct(F.regexp_extract_all(text, F.lit(screen), F.lit(0))), secret)
+    return base, _once(base, lambda b: _once(values, lambda v: F.when(F.size(v) > 0, joined(b, v)).otherwise(b)))
 
 
 def written(spans):

@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import string
 
 import pytest
 from pyspark.sql import functions as F
@@ -43,6 +45,43 @@ def test_markov_tells_random_from_words(spark, ratios):
     assert got == {1: "markov:4:26", 2: ""}
 
 
+WORDS = """according additional afternoon agreement anything application appropriate argument atmosphere attention beautiful
+beginning breakfast building business candidate carefully celebration certainly challenge character children circumstance collection
+combination comfortable commercial communication community comparison competition completely concentration condition conference
+confidence connection consequence consideration construction contribution conversation corporation dangerous department description
+development difference difficult direction discussion distribution documentation education efficient electricity environment equipment
+especially essential establishment evidence examination excellent experience experiment explanation expression following foundation
+generation government important impossible improvement independent individual information institution instrument intelligence
+interesting introduction investigation investment knowledge language literature management manufacturer measurement movement
+necessary observation operation opportunity organisation particular performance permission philosophy political population position
+possibility preparation presentation president probably production professional programme protection qualification recommendation
+relationship representative requirement responsible revolution satisfaction secretary significant situation something statement
+structure subsequent successful sufficient suggestion surprising technology temperature tradition transformation transport
+understanding unfortunately university vegetable yesterday""".split()
+
+
+def test_short_runs(spark):
+    """Random strings of 8 to 15 characters, alone, in a cell or after an unknown keyword, between ordinary words of those lengths."""
+    draw = random.Random(11)
+    fresh = lambda n: "".join(draw.choices(string.ascii_letters + string.digits, k=n))
+    known, unseen = WORDS[::3] + WORDS[1::3], WORDS[2::3]
+    frame = lambda x: spark.createDataFrame([(w,) for w in x], "token STRING")
+    usual = known + [w.capitalize() for w in known] + [w.upper() for w in known] + [f"{w}_{k}" for k, w in enumerate(known)]
+    ratios = m.train_ratios(frame([fresh(24) for _ in range(200)]), frame((usual + [str(7919 * k) for k in range(300)]) * 20))
+    rows, want = [], {}
+    for k in range(400):
+        words, secret = draw.sample(unseen, 4), fresh(8 + k % 8)
+        before = " ".join(words[:2]) + (" ", " | ", " 😀 pwd: ")[k % 3]
+        rows.append((k, before + secret + " " + " ".join(words[2:])))
+        want[k] = f"markov:{len(before)}:{len(before) + len(secret)}", len(secret)
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING")
+    got = {r["doc_id"]: r["s"] for r in m.find_secrets(docs, ratios).select("doc_id", m.written(F.col("spans")).alias("s")).collect()}
+    for least, lengths in ((0.97, range(12, 16)), (0.85, range(8, 12))):
+        of = [k for k in want if want[k][1] in lengths]
+        assert sum(want[k][0] in got[k].split(",") for k in of) >= least * len(of)
+    assert sum(bool(set(got[k].split(",")) - {"", want[k][0]}) for k in want) <= 0.02 * len(want)
+
+
 def test_held_out_labels(spark, ratios):
     """Strings that training hasn't seen."""
     held = [hashlib.sha256(f"new {k}".encode()).hexdigest()[:22].upper() for k in range(100)]
