@@ -14,7 +14,9 @@ second centroids) are dealt by hash into blocks of about ``BLOCK_ROWS``, and eac
 a few rows for each query. So one vector that a third of all rows share spreads over many tasks, and no pairs are listed.
 
 Defined cases: vectors that are null, zero, hold null or non-finite components, or lack an id take no part; of several
-lengths the most frequent counts (on ties the longer). Rows repeated are entries each; a query isn't its own neighbour, and
+lengths the most frequent counts (on ties the longer). Rows repeated are entries each, and copies of a neighbour fill a rank
+each; they are folded to one row with a count before the search. A query row repeated asks once. With different vectors under a
+query's id each of them asks, and every entry counts once, with its best score to any of them. A query isn't its own neighbour, and
 neither is another row with its id. Fewer than ``k`` candidates give fewer rows. Other columns are ignored. An empty table gives
 an empty table.
 """
@@ -82,8 +84,8 @@ def _assign(books, d):
         for batch in batches:
             one, two = _distances(_matrix(batch["vector"], d), books)
             yield pa.RecordBatch.from_arrays(
-                [batch["vec_id"], pa.array(one.argmin(axis=1).astype(np.int32)), pa.array(two.argmin(axis=1).astype(np.int32)), batch["vector"]],
-                ["vec_id", "first", "second", "vector"])
+                [batch["vec_id"], batch["key"], batch["copies"], pa.array(one.argmin(axis=1).astype(np.int32)),
+                 pa.array(two.argmin(axis=1).astype(np.int32)), batch["vector"]], ["vec_id", "key", "copies", "first", "second", "vector"])
     return run
 
 
@@ -126,10 +128,11 @@ def _probes(books, d, sizes, wanted):
 def _rerank(d, k):
     def run(entries, queries):
         if not entries.num_rows or not queries.num_rows:
-            return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        ids = entries["vec_id"].to_numpy()
-        order = np.argsort(ids, kind="stable")
-        ids, e = ids[order], _matrix(entries["vector"].combine_chunks(), d)[order]
+            return pa.table({c: pa.array([], pa.float64() if c == "score" else pa.int64()) for c in ("query_id", "vec_id", "key", "copies", "score")})
+        ids, keys = entries["vec_id"].to_numpy(), entries["key"].to_numpy()
+        order = np.lexsort((keys, ids))
+        copies = entries["copies"].to_numpy()[order]
+        ids, keys, e = ids[order], keys[order], _matrix(entries["vector"].combine_chunks(), d)[order]
         second = entries["second"].to_numpy()[order]
         q, owners = _matrix(queries["vector"].combine_chunks(), d), queries["query_id"].to_numpy()
         length = np.sqrt((e * e).sum(axis=1))
@@ -141,9 +144,9 @@ def _rerank(d, k):
             # Sums along rows: equal vectors have equal scores wherever they lie.
             score = (e[at] * x).sum(axis=1) / (length[at] * np.sqrt((x * x).sum()))
             best = np.argsort(-score, kind="stable")[:k]
-            out.append((np.full(best.size, owner), ids[at[best]], score[best]))
+            out.append((np.full(best.size, owner), ids[at[best]], keys[at[best]], copies[at[best]], score[best]))
         found = [np.concatenate(c) for c in zip(*out)]
-        return pa.table({"query_id": found[0], "vec_id": found[1], "score": found[2]})
+        return pa.table(dict(zip(("query_id", "vec_id", "key", "copies", "score"), found)))
     return run
 
 
@@ -158,28 +161,37 @@ def search(vectors, is_query, k=5, id_column="vec_id", vector_column="embedding"
     if not d:
         return spark.createDataFrame([], RESULT)
     books = fit_codebooks(rows, d, centroids)
-    entries = materialize(rows.mapInArrow(_assign(books, d), "vec_id BIGINT, first INT, second INT, vector ARRAY<DOUBLE>"))
+    # Equal rows are one, with their count.
+    folded = (rows.groupBy("vec_id", "vector").agg(F.count("*").alias("copies"))
+              .select("vec_id", F.xxhash64("vector").alias("key"), "copies", "vector"))
+    entries = materialize(folded.mapInArrow(_assign(books, d),
+                                            "vec_id BIGINT, key BIGINT, copies BIGINT, first INT, second INT, vector ARRAY<DOUBLE>"))
     # At most one row for each pair of centroids.
-    sizes = {(r["first"], r["second"]): r["n"] for r in entries.groupBy("first", "second").agg(F.count("*").alias("n")).collect()}
+    cells = entries.groupBy("first", "second").agg(F.sum("copies").alias("n"), F.count("*").alias("rows")).collect()
+    sizes = {(r["first"], r["second"]): r["n"] for r in cells}
     wanted = max(least, k + 1, share * sum(sizes.values()))
     probes = materialize(entries.where(is_query).select("vec_id", "vector").mapInArrow(
         _probes(books, d, sizes, wanted), "query_id BIGINT, first INT, seconds ARRAY<INT>, vector ARRAY<DOUBLE>"))
     held = {}
-    for (first, _), n in sizes.items():
-        held[first] = held.get(first, 0) + n
+    for r in cells:
+        held[r["first"]] = held.get(r["first"], 0) + r["rows"]
     asked = {r["first"]: r["n"] for r in probes.groupBy("first").agg(F.count("*").alias("n")).collect()}
     blocks = spark.createDataFrame([(c, -(-n // BLOCK_ROWS), -(-asked[c] // BLOCK_ROWS)) for c, n in held.items() if c in asked],
                                    "first INT, entry_blocks INT, query_blocks INT")
     blocks = F.broadcast(blocks)
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    dealt = (entries.join(blocks, "first").withColumn("e", F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), "entry_blocks").cast("int"))
-             .select("first", "e", each("query_blocks").alias("q"), "vec_id", "second", "vector"))
-    asking = (probes.join(blocks, "first").withColumn("q", F.pmod(F.xxhash64("query_id"), "query_blocks").cast("int"))
+    dealt = (entries.join(blocks, "first").withColumn("e", F.pmod(F.xxhash64("vec_id", "key"), "entry_blocks").cast("int"))
+             .select("first", "e", each("query_blocks").alias("q"), "vec_id", "key", "copies", "second", "vector"))
+    asking = (probes.join(blocks, "first").withColumn("q", F.pmod(F.xxhash64("query_id", "vector"), "query_blocks").cast("int"))
               .select("first", each("entry_blocks").alias("e"), "q", "query_id", "seconds", "vector"))
     near = (dealt.groupBy("first", "e", "q").cogroup(asking.groupBy("first", "e", "q"))
-            .applyInArrow(_rerank(d, k), "query_id BIGINT, vec_id BIGINT, score DOUBLE"))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+            .applyInArrow(_rerank(d, k), "query_id BIGINT, vec_id BIGINT, key BIGINT, copies BIGINT, score DOUBLE"))
+    # An entry found by several vectors of a query counts once.
+    hits = near.groupBy("query_id", "vec_id", "key").agg(F.max("score").alias("score"), F.max("copies").alias("copies"))
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id", "key")
+    hits = hits.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k)
+    each_copy = hits.withColumn("copy", F.explode(F.sequence(F.lit(1), F.least("copies", F.lit(k)).cast("int"))))
+    return (each_copy.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("place"))).where(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
 
 

@@ -48,6 +48,25 @@ def test_blocks_change_nothing(spark, rows, monkeypatch):
     test_all_cells_give_the_exact_answer(spark, rows)
 
 
+def test_repeated_rows(spark, monkeypatch):
+    """Query rows twice and seven times, one id with two vectors, and copies of a neighbour, against brute force."""
+    monkeypatch.setattr(m, "BLOCK_ROWS", 50)
+    draw = np.random.default_rng(8)
+    out = [(k, draw.normal(size=8).tolist()) for k in range(400)]
+    near = (np.array(out[0][1]) + 0.01).tolist()
+    out += [out[0]] + [out[50]] * 6 + [(100, draw.normal(size=8).tolist())] + [(901, near)] * 3 + [out[150]] * 120
+    found = m.search(spark.createDataFrame([(*r, "x") for r in out], SCHEMA).repartition(4), QUERY, share=1.0, centroids=6).collect()
+    got, want = {}, {}
+    for r in sorted(found, key=lambda r: (r["query_id"], r["rank"])):
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], round(r["score"], 12)))
+    for q in range(0, 400, 50):
+        asked = [np.array(v) for i, v in out if i == q]
+        best = sorted((-max((x @ np.array(v)) / np.sqrt((x @ x) * np.dot(v, v)) for x in asked), i) for i, v in out if i != q)[:5]
+        want[q] = [(n, i, round(-s, 12)) for n, (s, i) in enumerate(best, 1)]
+    assert got == want
+    assert [i for _, i, _ in got[0]][:3] == [901] * 3
+
+
 def test_recall_of_a_part(spark, rows):
     found = m.search(spark.createDataFrame(rows, SCHEMA), QUERY, share=0.45, least=100, centroids=8).collect()
     want = brute(rows)
