@@ -12,7 +12,7 @@ without any pair above the threshold can't be secrets and aren't scored. Trainin
 ``WORD_DOCUMENTS``, chosen by a hash of the id); scanning covers all texts.
 
 Defined cases: a null or empty text has no spans. Overlapping finds of different kinds are all
-kept; a candidate that touches a base span is dropped. A table without any labelled secret has
+kept; a run that overlaps base spans is cut at them, and what is left on each side is a candidate of its own. A table without any labelled secret has
 no positive sample, so it gets base spans only. Repeated rows are scanned each; a null id stays.
 """
 
@@ -140,6 +140,18 @@ def _once(value, use):
     return F.transform(F.array(value), use)[0]
 
 
+def _blanked(text, spans):
+    """The text with spaces in place of the spans, so that offsets stay."""
+    def step(state, s):
+        kept = F.substring(text, (state["at"] + 1).cast("int"), F.greatest(s["start"] - state["at"], F.lit(0)).cast("int"))
+        blank = F.repeat(F.lit(" "), F.greatest(s["end"] - F.greatest(s["start"], state["at"]), F.lit(0)).cast("int"))
+        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), F.concat(state["out"], kept, blank).alias("out"))
+
+    first = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+    rest = lambda s: F.concat(s["out"], F.substring(text, (s["at"] + 1).cast("int"), F.length(text)))
+    return F.when(F.size(spans) > 0, F.aggregate(spans, first, step, rest)).otherwise(text)
+
+
 def scan(text, ratios, threshold=THRESHOLD):
     """(base, all): arrays of spans (start, end, kind, value), by start and then kind."""
     base = base_spans(text)
@@ -154,14 +166,13 @@ def scan(text, ratios, threshold=THRESHOLD):
         pairs = F.when(F.length(value) < ASSIGN_LEAST, SHORT_PAIRS).otherwise(F.length(value) - 1)
         return total > F.lit(threshold) * pairs
 
-    def joined(base, values):
-        found = _spans(text, screen, 3, lambda value: F.array_contains(values, value))
-        free = F.filter(found, lambda s: ~F.exists(base, lambda b: (s["start"] < b["end"]) & (s["end"] > b["start"])))
-        return F.array_sort(F.concat(base, free))
+    def joined(base, rest):
+        # Each different run of a text is scored once; positions are only needed where one is a secret.
+        values = F.filter(F.array_distinct(F.regexp_extract_all(rest, F.lit(screen), F.lit(0))), secret)
+        found = lambda v: _spans(rest, screen, 3, lambda value: F.array_contains(v, value))
+        return _once(values, lambda v: F.when(F.size(v) > 0, F.array_sort(F.concat(base, found(v)))).otherwise(base))
 
-    # Each different run of a text is scored once; positions are only needed where one is a secret.
-    values = F.filter(F.array_distinct(F.regexp_extract_all(text, F.lit(screen), F.lit(0))), secret)
-    return base, _once(base, lambda b: _once(values, lambda v: F.when(F.size(v) > 0, joined(b, v)).otherwise(b)))
+    return base, _once(base, lambda b: _once(_blanked(text, b), lambda rest: joined(b, rest)))
 
 
 def written(spans):
