@@ -60,7 +60,7 @@ HISTOGRAM_BINS = 30
 DENSITY_POINTS = 200
 CLUSTERS = 3
 ELBOW_RANGE = range(2, 9)
-KMEANS_STARTS = 3  # each start is itself chosen by several oversampling passes (k-means||)
+KMEANS_STARTS = 10  # each start is itself chosen by several oversampling passes (k-means||)
 SEED = 42
 
 

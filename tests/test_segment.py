@@ -39,6 +39,16 @@ def test_kmeans_finds_the_groups(blobs):
     assert sorted(r["n"] for r in sizes) == [40, 60, 100, 200] and {r["blobs"] for r in sizes} == {1}
 
 
+def test_best_of_ten_starts(blobs, monkeypatch):
+    seeds, library = [], segment.KMeans
+    monkeypatch.setattr(segment, "KMeans", lambda **given: seeds.append(given["seed"]) or library(**given))
+    cost = segment.fit_kmeans(blobs, COLUMNS, [6])[6][1]
+    assert len(set(seeds)) == 10
+    vectors = segment.as_vectors(blobs, COLUMNS)
+    costs = [library(k=6, seed=s, maxIter=300, tol=1e-4).fit(vectors).summary.trainingCost for s in seeds]
+    assert cost <= min(costs) * (1 + 1e-9)
+
+
 def test_k_is_left_out_only_for_want_of_points(spark):
     """Many rows of six points: every k up to six has a fit."""
     points = spark.range(20_000).select((F.col("id") % 3).cast("double").alias("a_z"), (F.col("id") % 2).cast("double").alias("b_z"))
