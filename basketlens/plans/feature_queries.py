@@ -169,7 +169,7 @@ def quantiles(spark, d):
 
 @query("quantiles_approx")
 def quantiles_approx(spark, d):
-    return order_stats.quantiles_approx(valid(spark, d), config.MEASURES, PROBABILITIES)
+    return order_stats.quantiles_approx(valid(spark, d), config.NUMERIC, PROBABILITIES)
 
 
 FREQUENCY_COLUMNS = [*config.CATEGORICAL, "birth_date"]

@@ -249,6 +249,12 @@ def tukey_pvalues(spark, d):
     return anova.tukey(valid(spark, d), only_if=1.0)
 
 
+@query("tukey_gated")
+def tukey_gated(spark, d):
+    """The comparison for the factors whose F test is significant."""
+    return anova.tukey(valid(spark, d))
+
+
 # ---- normality --------------------------------------------------------------------------
 
 @query("shapiro_blocks")

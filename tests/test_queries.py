@@ -8,6 +8,8 @@ import pytest
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 import __spark_entry__ as entry  # noqa: E402
+from basketlens import config  # noqa: E402
+from basketlens.plans.sales_view import valid  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
 CHECKED = ["null_profile", "rule_violations", "validate_base", "iqr_two_pass", "null_policy", "derive_features",
@@ -33,6 +35,25 @@ def tables():
     return con
 
 
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="the given tables are not here")
+def test_approximate_quantiles_by_rank(spark):
+    found = entry.queries()["quantiles_approx"](spark, FOLDER).collect()
+    assert len(found) == len(config.NUMERIC) * 5
+    rows = valid(spark, FOLDER).select(config.NUMERIC).toPandas()
+    for r in found:
+        x = rows[r["variable"]].dropna().astype(float)
+        below, upto = (x < r["quantile"]).mean(), (x <= r["quantile"]).mean()
+        assert below - 0.001 <= r["probability"] <= upto + 0.001
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="the given tables are not here")
+def test_gated_tukey(spark):
+    queries = entry.queries()
+    passed = {r["factor"] for r in queries["anova_pvalues"](spark, FOLDER).collect() if r["pvalue"] <= config.ALPHA}
+    pairs = lambda name: {(r["factor"], r["group1"], r["group2"]) for r in queries[name](spark, FOLDER).collect()}
+    assert pairs("tukey_gated") == {p for p in pairs("tukey_pvalues") if p[0] in passed}
+
+
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="the given tables are not here")
 @pytest.mark.parametrize("name", CHECKED)
 def test_query_matches_sql(spark, tables, name):
