@@ -126,8 +126,13 @@ def _places(key, passes, blocks, source, seed):
             F.xxhash64(F.lit(seed), F.col(passes), F.col(key)).alias("place"))
 
 
-def mix(docs, plan, id_column="doc_id", text_column="text", source_column="source", pass_name="pass", seed=42):
-    """The drawn documents with the number of the pass (from 0) that drew them."""
+def mix(docs, plan, id_column="doc_id", text_column="text", source_column="source", pass_name="pass", seed=42,
+        order_names=None):
+    """The drawn documents with the number of the pass (from 0) that drew them.
+
+    ``order_names``: names of two more columns, the order of a document's block in its pass and its place in the block.
+    Sorted by them, the rows of a source and pass are a permutation of its blocks.
+    """
     keep = docs.columns
     rows = docs.select(F.struct(*keep).alias("row"), F.coalesce(F.col(source_column).cast("string"), F.lit("")).alias("source"),
                        F.xxhash64(F.col(id_column), F.col(text_column), F.lit(seed)).alias("key"))
@@ -138,12 +143,13 @@ def mix(docs, plan, id_column="doc_id", text_column="text", source_column="sourc
     partial = (F.col("rest") > 0) & (F.col("cut_block").isNull() | (block < F.col("cut_block")) |
                                      ((block == F.col("cut_block")) & (place <= F.col("cut_place"))))
     copies = F.col("passes") + F.when(F.coalesce(partial, F.lit(False)), 1).otherwise(0)
-    drawn = decided.select("row", copies.alias("copies")).where("copies > 0")
-    return drawn.select("row", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("_pass")).select(
-        *[F.col("row")[c].alias(c) for c in keep], *([F.col("_pass").alias(pass_name)] if pass_name else []))
+    drawn = decided.select("row", "source", "key", "blocks", copies.alias("copies")).where("copies > 0")
+    passes = drawn.select("row", "source", "key", "blocks", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("_pass"))
+    places = [p.alias(n) for p, n in zip(_places("key", "_pass", "blocks", "source", seed), order_names)] if order_names else []
+    return passes.select(*[F.col("row")[c].alias(c) for c in keep], *([F.col("_pass").alias(pass_name)] if pass_name else []), *places)
 
 
 @query("op8_source_mix")
 def op8(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    return mix(docs, plan_mix(docs)).select("doc_id", "source", "pass")
+    return mix(docs, plan_mix(docs), order_names=("block", "place")).select("doc_id", "source", "pass", "block", "place")

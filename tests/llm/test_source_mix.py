@@ -54,6 +54,22 @@ def test_budget_and_nested_draws(docs):
     assert less < more and len(less) < 160
 
 
+def test_passes_are_permutations_of_blocks(docs):
+    """Blocks are the same documents in every pass, in another order; the partial pass is the head of its order."""
+    rows = m.mix(docs.drop("pass"), m.plan_mix(docs, block_tokens=100), order_names=("at", "place")).collect()
+    blocks = {}
+    for r in rows:
+        blocks.setdefault((r["source"], r["pass"]), {}).setdefault(r["at"], set()).add(r["doc_id"])
+    for source in {s for s, _ in blocks}:
+        passes = [blocks[source, p] for p in range(max(p for s, p in blocks if s == source) + 1)]
+        orders = [[frozenset(found[b]) for b in sorted(found)] for found in passes]
+        for whole in orders[1:-1]:
+            assert set(whole) == set(orders[0]) and (len(whole) < 3 or whole != orders[0])
+        if len(orders) > 1:
+            assert set(orders[-1][:-1]) <= set(orders[0]) and any(orders[-1][-1] <= b for b in orders[0])
+    assert any(len(found) > 1 for found in blocks.values()) and len({p for _, p in blocks}) > 1
+
+
 def test_odd_rows(spark):
     rows = [(1, "a b", "x", 1, "k")] * 3 + [(None, None, None, 1, "k"), (2, "", None, 1, "k"), (3, "z " * 5000, "y", 1, "k")]
     docs = spark.createDataFrame(rows, SCHEMA)
