@@ -8,6 +8,7 @@ import tempfile
 import uuid
 
 _written = {}  # paths by application
+_tables = {}  # names of bucketed tables by application
 
 
 def shared_folder(spark):
@@ -37,6 +38,26 @@ def materialize(df):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialize_bucketed(df, keys, sort_by=()):
+    """A copy in as many buckets of the keys as there are shuffle partitions: joins on the keys don't move it again."""
+    spark = df.sparkSession
+    name = f"bucketed_{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/tables/{name}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = df.write.bucketBy(buckets, *keys).option("compression", "zstd").option("path", path)
+    (writer.sortBy(*sort_by) if sort_by else writer).saveAsTable(name)
+    application = spark.sparkContext.applicationId
+    _written.setdefault(application, []).append(path)
+    _tables.setdefault(application, []).append(name)
+    return spark.table(name)
+
+
+def remember(spark, path):
+    """Let ``release`` delete a path that was written by other means."""
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def written_bytes(table):
     """Size of the files behind a frame that ``materialize`` returned."""
     return int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
@@ -45,6 +66,8 @@ def written_bytes(table):
 def release(spark):
     """Delete the tables this session has written, once results that read them are written themselves."""
     context = spark.sparkContext
+    for name in _tables.pop(context.applicationId, []):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     for path in _written.pop(context.applicationId, []):
         place = context._jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
