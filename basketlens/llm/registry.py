@@ -21,5 +21,5 @@ def table(spark, sf_dir, name):
 def load():
     from basketlens.llm import (  # noqa: F401  (imported for their registrations)
         chat_format, piece_lattice, url_filter, minhash_dedup, toxicity, token_files, multi_index, source_mix, secret_scan,
-        bloom_digest, fill_middle, hard_negatives)
+        bloom_digest, fill_middle, hard_negatives, repeated_windows)
     return QUERIES, ORACLES

@@ -19,6 +19,10 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _powers = {}
 
+# The four largest primes below 2**31.
+PRIMES = (2147483647, 2147483629, 2147483587, 2147483579)
+_lanes = []  # (powers, inverse powers) of each prime field, up to SLICE_BYTES
+
 
 def mix(x):
     """A bijective scrambling of 64-bit numbers (the finalizer of splitmix64)."""
@@ -97,6 +101,75 @@ def span_hash(sums, starts, ends):
     return mix((sums[ends] - sums[starts]) * powers(_INVERSE, int(starts.max()) + 1)[starts])
 
 
+def _lane(k):
+    """Powers of a fixed base and of its inverse in the k-th prime field, from 0 to SLICE_BYTES."""
+    while len(_lanes) <= k:
+        prime = PRIMES[len(_lanes)]
+        base = int(salted(23, len(PRIMES))[len(_lanes)]) % (prime - 2) + 2
+        both = []
+        for x in (base, pow(base, -1, prime)):
+            steps = np.ones(1, np.uint64)
+            while steps.size <= SLICE_BYTES:
+                steps = np.concatenate([steps, steps * np.uint64(pow(x, steps.size, prime)) % np.uint64(prime)])
+            both.append(steps[:SLICE_BYTES + 1].astype(np.uint32))
+        _lanes.append(both)
+    return _lanes[k]
+
+
+def _field_spans(data, starts, ends, k):
+    """Each span's polynomial in the k-th prime field: sum of (byte + 1) · base**(place in the span)."""
+    powers_k, inverse_k = _lane(k)
+    prime = np.uint64(PRIMES[k])
+    sums = np.zeros(data.size + 1, np.uint64)
+    # A block's sum stays below 2**60; later blocks start from a scaled power and the sum so far.
+    for low in range(0, data.size, SLICE_BYTES):
+        block = data[low:low + SLICE_BYTES].astype(np.uint64)
+        block += np.uint64(1)
+        block *= powers_k[:block.size]
+        np.cumsum(block, out=sums[low + 1:low + 1 + block.size])
+        if low:
+            part = sums[low + 1:low + 1 + block.size]
+            part %= prime
+            part *= np.uint64(pow(int(powers_k[1]), low, int(prime)))
+            part += sums[low] % prime
+    value = (sums[ends] % prime + prime - sums[starts] % prime) % prime
+    value = value * inverse_k[starts % SLICE_BYTES] % prime
+    for block in np.unique(starts // SLICE_BYTES):
+        if block:
+            far = starts // SLICE_BYTES == block
+            value[far] = value[far] * np.uint64(pow(int(inverse_k[1]), int(block) * SLICE_BYTES, int(prime))) % prime
+    return value
+
+
+def span_keys(data, starts, ends):
+    """Two 64-bit keys of each span, by which spans of many texts can be told apart.
+
+    Four polynomials in different prime fields and the length go into the keys. Unlike sums modulo 2**64, which are
+    equal for some pairs of strings whatever the base, each field tells two different spans of n bytes apart but for n of its 2**31 bases.
+    """
+    if starts.size == 0:
+        return np.empty(0, np.uint64), np.empty(0, np.uint64)
+    lanes = [_field_spans(data, starts, ends, k) for k in range(len(PRIMES))]
+    length = (ends - starts).astype(np.uint64) * np.uint64(_BASE)
+    return mix((lanes[0] | lanes[1] << np.uint64(32)) + length), mix((lanes[2] | lanes[3] << np.uint64(32)) ^ length)
+
+
+def paired(a, b):
+    """Keys of pairs: the two 64-bit lanes of the first and the second, each lane one to one in either."""
+    salts = salted(31, 4)
+    return tuple(mix((x * (salts[2 * k] | np.uint64(1))) ^ mix(y + salts[2 * k + 1])) for k, (x, y) in enumerate(zip(a, b)))
+
+
+def runs_of(keys, length):
+    """Keys of each run of ``length`` consecutive items, by doubling; the last length - 1 places have none."""
+    size = 1
+    while size < length:
+        step = min(size, length - size)
+        keys = paired([x[:-step] for x in keys], [x[step:] for x in keys]) if keys[0].size > step else [x[:0] for x in keys]
+        size += step
+    return keys
+
+
 def word_hashes(data, offsets, lower=True):
     """(64-bit hash of each word, first word of each text and the total)."""
     starts, ends, first = words(data, offsets)
