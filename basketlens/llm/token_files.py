@@ -8,7 +8,7 @@ encoded (format 2 pages), and page indexes let a reader of some documents skip t
 
 Encoding runs on whole texts, once they are sorted. ASCII white space never is inside a token and
 is dropped by the tokenizer used here, so a text's ids are those of its blank-separated chunks in
-order, and a worker process encodes a repeated chunk once (chunks are known by a 64-bit hash). A chunk of ASCII letters and a
+order, and a worker process encodes a repeated chunk once (found by a hash, taken by its bytes). A chunk of ASCII letters and a
 final comma or full stop is encoded in these two parts, if the tokenizer separates them, and in lower case, if it folds case.
 
 Defined cases: a null or empty text has only the end id. Rows with equal document ids, or without
@@ -17,11 +17,13 @@ table gives files without rows.
 """
 
 import itertools
+import re
 import uuid
 import zlib
 from array import array
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Window, functions as F
@@ -31,6 +33,8 @@ from basketlens.llm.registry import query, table
 from basketlens.sources.staging import shared_folder
 
 CACHED_CHUNKS = 2_000_000  # a worker's memory for chunks; it starts anew beyond that
+CHUNKS_AT_ONCE = 1024
+LETTERS_BELOW = 0x530  # Latin, Greek, Cyrillic
 LETTER = np.zeros(256, dtype=bool)
 LETTER[65:91] = LETTER[97:123] = True
 FILE_OPTIONS = {
@@ -46,7 +50,11 @@ SCHEMA = "part INT, doc_id BIGINT, local_start BIGINT, n_tokens BIGINT, ids ARRA
 
 
 class _Chunks:
-    """Ids of chunks by their 64-bit hash, kept for the worker process and its tokenizer."""
+    """Ids of chunks, kept for the worker process and its tokenizer.
+
+    A chunk is looked up by a 64-bit hash and taken only if its bytes are those kept for the hash; one that shares
+    its hash with another is kept by its bytes.
+    """
 
     def __init__(self, definition, end_id):
         import os
@@ -56,24 +64,106 @@ class _Chunks:
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.end_id = end_id
-        ids = lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids
+        ids = self._ids
         self.marks = [m for m in b",." if ids(f"ab{chr(m)}") == ids("ab") + ids(chr(m))]
+        self.mark_ids = {chr(m): ids(chr(m)) for m in self.marks}
         self.folds = ids("AB") == ids("ab")
+        self._find_letters()
         self.clear()
 
-    def clear(self):
-        """Slot 0 is the end id, the next ones are the marks."""
-        self.slots, self.flat, self.starts = {}, array("i"), array("q", [0])
-        self._add([[self.end_id], *(self.tokenizer.encode(chr(m), add_special_tokens=False).ids for m in self.marks)])
+    def _ids(self, text):
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _add(self, lists):
-        for ids in lists:
-            self.flat.extend(ids)
-            self.starts.append(len(self.flat))
+    def clear(self):
+        """Slot 0 is the end id, the next ones are the marks; they have no bytes."""
+        self.slots, self.rare = {}, {}
+        self.flat, self.starts, self.raw, self.edges = array("i"), array("q", [0]), bytearray(), array("q", [0])
+        for ids in ([self.end_id], *self.mark_ids.values()):
+            self._add([b""], np.array(ids, np.int32), [len(ids)])
+
+    def _add(self, chunks, ids, sizes):
+        """Keep chunks with their ids, given one after the other; the number of the first one's slot."""
+        first, end, edge = len(self.starts) - 1, len(self.flat), len(self.raw)
+        self.flat.frombytes(ids.astype(np.int32).tobytes())
+        self.starts.frombytes((end + np.cumsum(sizes, dtype=np.int64)).tobytes())
+        self.raw += b"".join(chunks)
+        self.edges.frombytes((edge + np.cumsum([len(c) for c in chunks], dtype=np.int64)).tobytes())
+        return first
+
+    def _find_letters(self):
+        """The letters whose words the tokenizer's model encodes as they are, each with what the model is given for it.
+
+        Letters are never joined to their neighbours by normalisation, and a word of letters is one piece to the model, so each
+        letter is tried alone and between others. A word with another character goes through the whole tokenizer.
+        """
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = (b for b in range(256) if b not in printable)
+        byte_signs = {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
+        self.letters = {}
+        for c in filter(str.isalpha, map(chr, range(LETTERS_BELOW))):
+            given = "".join(byte_signs[b] for b in (c.lower() if self.folds else c).encode())
+            if all(self._model_ids(a + given + b) == self._ids(a + c + b) for a, b in (("", ""), ("x", ""), ("", "x"), ("x", "x"))):
+                self.letters[ord(c)] = given
+        letters, marks = "".join(map(chr, self.letters)), re.escape("".join(map(chr, self.marks)))
+        self.word = re.compile(f"([{letters}]+)([{marks}]?)" if marks else f"([{letters}]+)()") if letters else re.compile("(?!)")
+
+    def _model_ids(self, given):
+        return [t.id for t in self.tokenizer.model.tokenize(given)]
+
+    def _learn(self, chunks):
+        """Encode new chunks and keep them; the number of the first one's slot."""
+        found, rest = [None] * len(chunks), []
+        for k, chunk in enumerate(chunks):
+            text = chunk.decode("utf-8", "replace")
+            word = self.word.fullmatch(text)
+            if word:
+                found[k] = self._model_ids(word[1].translate(self.letters))
+                if word[2]:
+                    found[k] += self.mark_ids[word[2]]
+            else:
+                rest.append((k, text))
+        for (k, _), e in zip(rest, self.tokenizer.encode_batch_fast([t for _, t in rest], add_special_tokens=False)):
+            found[k] = e.ids
+        return self._add(chunks, np.fromiter(itertools.chain.from_iterable(found), np.int32), [len(ids) for ids in found])
+
+    def _slots_of(self, data, starts, ends):
+        """The slot of each chunk."""
+        hashes = textbytes.span_hash(textbytes.prefix_hash(data), starts, ends)
+        back, different = pd.factorize(hashes)
+        at = np.empty(different.size, np.int64)
+        at[back[::-1]] = np.arange(back.size)[::-1]
+        keys = different.tolist()
+        fresh = [k for k, key in enumerate(keys) if key not in self.slots]
+        raw, low, high = data.tobytes(), starts[at].tolist(), ends[at].tolist()
+        for few in range(0, len(fresh), CHUNKS_AT_ONCE):
+            some = fresh[few:few + CHUNKS_AT_ONCE]
+            slot = self._learn([raw[low[k]:high[k]] for k in some])
+            self.slots.update(zip((keys[k] for k in some), range(slot, slot + len(some))))
+        slot = np.fromiter(map(self.slots.__getitem__, keys), np.int64, len(keys))[back] if keys else np.empty(0, np.int64)
+        for k in np.flatnonzero(~self._same(data, starts, ends, slot)).tolist():
+            chunk = raw[starts[k]:ends[k]]
+            if chunk not in self.rare:
+                self.rare[chunk] = self._learn([chunk])
+            slot[k] = self.rare[chunk]
+        return slot
+
+    def _same(self, data, starts, ends, slot):
+        """Whether each chunk's bytes are those of its slot."""
+        edges, kept = np.frombuffer(self.edges, np.int64), np.frombuffer(self.raw, np.uint8)
+        sizes = ends - starts
+        same = edges[slot + 1] - edges[slot] == sizes
+        at = np.flatnonzero(same & (sizes > 0))
+        until = np.cumsum(sizes[at])
+        if until.size:
+            steps = np.arange(until[-1])
+            equal = (data[steps + np.repeat(starts[at] - until + sizes[at], sizes[at])]
+                     == kept[steps + np.repeat(edges[slot[at]] - until + sizes[at], sizes[at])])
+            same[at] = np.logical_and.reduceat(equal, until - sizes[at])
+        return same
 
     def encode(self, data, offsets):
         """(ids of all texts one after the other, each with the end id; bounds of the texts)."""
-        if len(self.starts) > CACHED_CHUNKS or len(self.flat) > 16 * CACHED_CHUNKS:
+        if len(self.starts) > CACHED_CHUNKS or len(self.flat) > 16 * CACHED_CHUNKS or len(self.raw) > 16 * CACHED_CHUNKS:
             self.clear()
         starts, ends, first = textbytes.words(data, offsets)
         # A chunk of ASCII letters with a mark after it is two units, the letters in lower case.
@@ -90,18 +180,7 @@ class _Chunks:
             edge[starts[plain]] = 1
             edge[ends[plain]] -= 1
             data = np.where(np.cumsum(edge[:-1], dtype=np.int8) > 0, textbytes.LOWER[data], data)
-        hashes = textbytes.span_hash(textbytes.prefix_hash(data), starts, ends)
-        different, at, back = np.unique(hashes, return_index=True, return_inverse=True)
-        keys = different.tolist()
-        fresh = [k for k, key in enumerate(keys) if key not in self.slots]
-        raw = data.tobytes()
-        for low in range(0, len(fresh), 4096):
-            some = fresh[low:low + 4096]
-            texts = [raw[starts[at[k]]:ends[at[k]]].decode("utf-8", "replace") for k in some]
-            found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-            self.slots.update(zip((keys[k] for k in some), range(len(self.starts) - 1, len(self.starts) - 1 + len(some))))
-            self._add(e.ids for e in found)
-        slot = np.fromiter(map(self.slots.__getitem__, keys), np.int64, len(keys))[back] if keys else np.empty(0, np.int64)
+        slot = self._slots_of(data, starts, ends)
         # Units in order: each chunk, its mark if it has one, and the end after each text.
         texts = first.size - 1
         marked = np.concatenate([[0], np.cumsum(mark > 0)])

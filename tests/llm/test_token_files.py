@@ -1,3 +1,4 @@
+import random
 import uuid
 import zlib
 
@@ -72,3 +73,31 @@ def test_checksums_and_empty_table(spark, written, whole, tmp_path):
     path = str(tmp_path / "none")
     m.write_tokens(spark.createDataFrame([], "doc_id LONG, text STRING"), path, PATH, 2)
     assert m.read_tokens(spark, path).count() == 0
+
+
+def morse(n, swap):
+    return "".join("ab"[(bin(k).count("1") + swap) % 2] for k in range(n))
+
+
+def test_chunks_are_told_apart_by_their_bytes(spark, tmp_path, whole):
+    """Complementary Thue-Morse words, whose sums modulo 2**64 are equal: alone, in texts, and with marks."""
+    texts = []
+    for n in (1024, 2048, 4096):
+        a, b = morse(n, 0), morse(n, 1)
+        texts += [a, b, f"{b} some {a} words {b}, {a}. {b}", f"é{a} é{b}"]
+    path = str(tmp_path / "morse")
+    m.write_tokens(spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING").repartition(1), path, PATH, 2)
+    got = {r["doc_id"]: list(r["ids"]) for r in m.read_tokens(spark, path).collect()}
+    assert got == {i: whole(t) for i, t in enumerate(texts)}
+
+
+def test_letters_through_the_model(whole):
+    chunks = m._Chunks(open(PATH, encoding="utf-8").read(), 2)
+    letters = [chr(c) for c in chunks.letters]
+    assert {"a", "Z", "é", "Ж", "ß", "Σ"} <= set(letters)
+    draw = random.Random(1)
+    words = ["".join(draw.choice(letters) for _ in range(draw.randrange(1, 12))) + draw.choice(["", ",", ".", "!", "1"])
+             for _ in range(4000)] + ["ΑΣ", "ΣΑΣ.", "İİ", "ŉa", "ǆ,", "don't", "l'eau", "x's"]
+    data = " ".join(words).encode()
+    ids, bounds = chunks.encode(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+    assert ids.tolist() == whole(" ".join(words)) and bounds.tolist() == [0, len(ids)]
