@@ -1,7 +1,8 @@
 """Near-duplicate documents: MinHash bands, sequential Bayesian verification, exact confirmation.
 
-1. Each text becomes a set of 64-bit hashes of its five-word shingles. Texts with equal sets form a
-   class, and from there on a class stands for all its copies, so copies never meet in pairs.
+1. Each text becomes a set of 128-bit keys of its five-word shingles (``textbytes.span_keys`` of the words, paired).
+   Texts whose sets are equal, known by a 128-bit digest of the set, form a class, and from there on a class, which
+   has a number, stands for all its copies, so copies never meet in pairs.
 2. Signatures (128 minima, 16 bits kept of each) are cut into bands; classes with an equal band
    share a bucket. Buckets with the same members are kept once.
 3. Members of a bucket are compared by their signatures, 16 minima at a time. After each batch a
@@ -22,6 +23,7 @@ null component. Columns other than id and text are ignored, whatever their names
 gives an empty table.
 """
 
+import hashlib
 import math
 
 import numpy as np
@@ -31,6 +33,7 @@ from pyspark.sql import functions as F
 from basketlens.llm import textbytes
 from basketlens.llm.components import components
 from basketlens.llm.registry import query, table
+from basketlens.operators.skew import attach_by_key
 from basketlens.sources.staging import materialize
 
 SIMILARITY = (75, 100)
@@ -42,8 +45,6 @@ BLOCK_MEMBERS = 4096
 SET_BLOCK_MEMBERS = 512  # of full sets, which are larger than signatures
 PAIRS_PER_MEMBER = 4
 PAIRS_AT_ONCE = 1 << 16
-#: Class numbers sent to every task when there are at most so many (8 bytes each); else a join.
-SENT_CLASSES = 4_000_000
 
 
 def needed_matches(hashes=HASHES, batch=BATCH, similarity=SIMILARITY, miss=MISS_PROBABILITY):
@@ -65,16 +66,39 @@ def needed_matches(hashes=HASHES, batch=BATCH, similarity=SIMILARITY, miss=MISS_
 # ---- sets and signatures ----------------------------------------------------------------
 
 def text_sets(column):
-    """For each slice of whole texts: (first row, shingle hashes, bounds by text)."""
+    """For each slice of whole texts: (first row, the two lanes of the shingles' keys, bounds by text)."""
     for low, data, offsets in textbytes.slices(column):
-        hashes, bounds = textbytes.shingles(data, offsets)
-        yield low, hashes, bounds
+        (hashes, more), bounds = textbytes.shingle_keys(data, offsets)
+        yield low, hashes, more, bounds
+
+
+def distinct_keys(hashes, more):
+    """The different keys in ascending order, one row of two numbers each."""
+    order = np.argsort(hashes, kind="stable")
+    a, b = hashes[order], more[order]
+    again = a[1:] == a[:-1]
+    if (again & (b[1:] != b[:-1])).any():  # one lane alone is equal: order by both
+        order = np.lexsort((more, hashes))
+        a, b = hashes[order], more[order]
+        again = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
+    fresh = np.concatenate([np.ones(min(1, a.size), bool), ~again])
+    return np.stack([a[fresh], b[fresh]], axis=1)
 
 
 def class_of(distinct):
-    """A 64-bit number of a set of hashes, independent of their order."""
-    total = textbytes.mix(distinct ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)
-    return int(textbytes.mix(np.array([total + np.uint64(distinct.size)], np.uint64)).view(np.int64)[0])
+    """The digest of a set of keys in ascending order, as two signed 64-bit numbers."""
+    return np.frombuffer(hashlib.blake2b(distinct.tobytes(), digest_size=16).digest(), np.int64).tolist()
+
+
+def shared_keys(one, two):
+    """How many keys two sets in ascending order have in common."""
+    if one.shape[0] > two.shape[0]:
+        one, two = two, one
+    at = np.minimum(np.searchsorted(two[:, 0], one[:, 0]), len(two) - 1)
+    if (two[1:, 0] == two[:-1, 0]).any():  # keys equal in one lane alone lie next to each other
+        pairs = set(map(tuple, two.tolist()))
+        return sum(tuple(x) in pairs for x in one.tolist())
+    return int((two[at] == one).all(axis=1).sum())
 
 
 def signatures(hashes, bounds):
@@ -94,19 +118,19 @@ def signatures(hashes, bounds):
 
 def _describe(batches):
     for batch in batches:
-        for low, hashes, bounds in text_sets(batch["text"]):
+        for low, hashes, more, bounds in text_sets(batch["text"]):
             n = bounds.size - 1
-            sizes, classes = np.zeros(n, np.int64), np.zeros(n, np.int64)
+            sizes, classes = np.zeros(n, np.int64), np.zeros((2, n), np.int64)
             for i in range(n):
                 if bounds[i + 1] > bounds[i]:
-                    distinct = np.unique(hashes[bounds[i]:bounds[i + 1]])
-                    sizes[i], classes[i] = distinct.size, class_of(distinct)
+                    distinct = distinct_keys(hashes[bounds[i]:bounds[i + 1]], more[bounds[i]:bounds[i + 1]])
+                    sizes[i], classes[:, i] = len(distinct), class_of(distinct)
             filled = iter(signatures(hashes, bounds))
             sig = [next(filled).tobytes() if s else None for s in sizes]
             yield pa.RecordBatch.from_arrays(
                 [batch["id"].slice(low, n), batch["digest"].slice(low, n), pa.array(sizes),
-                 pa.array(classes, mask=sizes == 0), pa.array(sig, pa.binary())],
-                ["id", "digest", "n_shingles", "class", "signature"])
+                 *(pa.array(c, mask=sizes == 0) for c in classes), pa.array(sig, pa.binary())],
+                ["id", "digest", "n_shingles", "c1", "c2", "signature"])
 
 
 def _bands(batches):
@@ -241,20 +265,29 @@ def _whole_groups(batches, columns):
         yield held
 
 
+def numbered(keys):
+    """A number from 0 for each different key."""
+    order = np.lexsort((keys[:, 1], keys[:, 0]))
+    ordered = keys[order]
+    out = np.empty(len(keys), np.int64)
+    out[order] = np.concatenate([[0], np.cumsum((ordered[1:] != ordered[:-1]).any(axis=1))])
+    return out
+
+
 def _link_dense(batches):
     """Confirmed links between components of each group, from the members' full sets: a forest."""
     def columns(batch):
         sets = np.empty(batch.num_rows, dtype=object)
-        sets[:] = [np.frombuffer(x, np.uint64) for x in batch["shingles"].to_pylist()]
+        sets[:] = [np.frombuffer(x, np.uint64).reshape(-1, 2) for x in batch["shingles"].to_pylist()]
         return [_group_keys(batch), batch["class"].to_numpy(), batch["label"].to_numpy(), batch["side"].to_numpy(), sets]
 
     for group, node, label, side, sets in _whole_groups(batches, columns):
         bounds = np.append(_group_starts(group), len(group))
         found = []
         for low, high in zip(bounds[:-1], bounds[1:]):
-            sizes = np.array([x.size for x in sets[low:high]])
+            sizes = np.array([len(x) for x in sets[low:high]])
             offsets = np.concatenate([[0], np.cumsum(sizes)])
-            _, flat = np.unique(np.concatenate(sets[low:high]), return_inverse=True)
+            flat = numbered(np.concatenate(sets[low:high]))
             own, sides = label[low:high].copy(), side[low:high]
             marked = np.zeros(flat.max() + 1, dtype=np.int32)
             for i in range(high - low):
@@ -310,54 +343,35 @@ def _candidates(dealt, classes, forest):
 
 # ---- exact confirmation -----------------------------------------------------------------
 
-def _sets(wanted):
-    def run(batches):
-        seen = set()
-        for batch in batches:
-            found = []
-            for low, hashes, bounds in text_sets(batch["text"]):
-                for i in range(bounds.size - 1):
-                    if bounds[i + 1] == bounds[i]:
-                        continue
-                    distinct = np.unique(hashes[bounds[i]:bounds[i + 1]])
-                    c = class_of(distinct)
-                    if c in seen:
-                        continue
-                    if wanted is not None:
-                        at = np.searchsorted(wanted.value, c)
-                        if at == wanted.value.size or wanted.value[at] != c:
-                            continue
-                    if len(seen) < 100_000:  # only spares work: copies are folded again below
-                        seen.add(c)
-                    found.append((c, distinct.tobytes()))
-            if found:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([c for c, _ in found], pa.int64()), pa.array([s for _, s in found], pa.binary())],
-                    ["class", "shingles"])
-    return run
+def _sets(batches):
+    """The sets of texts, where they are those of the class that is named with the text."""
+    for batch in batches:
+        found = []
+        for low, hashes, more, bounds in text_sets(batch["text"]):
+            named = batch.slice(low, bounds.size - 1).select(["class", "c1", "c2"]).to_pylist()
+            for i, row in enumerate(named):
+                distinct = distinct_keys(hashes[bounds[i]:bounds[i + 1]], more[bounds[i]:bounds[i + 1]])
+                if class_of(distinct) == [row["c1"], row["c2"]]:
+                    found.append((row["class"], distinct.tobytes()))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([c for c, _ in found], pa.int64()), pa.array([s for _, s in found], pa.binary())], ["class", "shingles"])
 
 
 def _confirm(batches):
     for batch in batches:
         keep = []
         for one, two in zip(batch["one"], batch["two"]):
-            one, two = np.frombuffer(one.as_buffer(), np.uint64), np.frombuffer(two.as_buffer(), np.uint64)
-            if one.size > two.size:
-                one, two = two, one
-            at = np.minimum(np.searchsorted(two, one), two.size - 1)
-            shared = int((two[at] == one).sum())
-            keep.append(SIMILARITY[1] * shared >= SIMILARITY[0] * (one.size + two.size - shared))
+            one, two = (np.frombuffer(x.as_buffer(), np.uint64).reshape(-1, 2) for x in (one, two))
+            shared = shared_keys(one, two)
+            keep.append(SIMILARITY[1] * shared >= SIMILARITY[0] * (len(one) + len(two) - shared))
         yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _shingle_sets(texts, wanted):
-    """(class, shingles) of the wanted classes, one row each."""
-    sent = None
-    if wanted.count() <= SENT_CLASSES:
-        sent = texts.sparkSession.sparkContext.broadcast(np.sort(wanted.toPandas()["class"].to_numpy(dtype=np.int64)))
-    sets = texts.mapInArrow(_sets(sent), "class BIGINT, shingles BINARY")
-    if sent is None:
-        sets = sets.join(wanted, "class", "left_semi")
+def _shingle_sets(texts, classes, wanted):
+    """(class, shingles) of the wanted classes, one row each, from the texts that stand for them."""
+    named = materialize(classes.join(wanted, "class", "left_semi").select("class", "c1", "c2", "known.*"))
+    same = texts["id"].eqNullSafe(named["known_id"]) & (texts["digest"] == named["known_digest"])
+    sets = texts.join(named, same).select("text", "class", "c1", "c2").mapInArrow(_sets, "class BIGINT, shingles BINARY")
     return materialize(sets.groupBy("class").agg(F.first("shingles").alias("shingles")))
 
 
@@ -382,34 +396,35 @@ def near_duplicates(docs, id_column="doc_id", text_column="text"):
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.xxhash64(text_column).alias("digest"),
                         F.col(text_column).alias("text"))
     described = materialize(texts.mapInArrow(
-        _describe, "id BIGINT, digest BIGINT, n_shingles BIGINT, class BIGINT, signature BINARY"))
-    classes = described.where("class is not null").select("class", "signature")
-    classes = materialize(classes.groupBy("class").agg(F.first("signature").alias("signature")))
-    bands = classes.mapInArrow(_bands, "band BIGINT, class BIGINT")
-    stats = (bands.groupBy("band").agg(F.count("*").alias("size"), F.bit_xor("class").alias("x"),
-                                       F.bit_xor(F.xxhash64("class")).alias("y")).where("size > 1"))
+        _describe, "id BIGINT, digest BIGINT, n_shingles BIGINT, c1 BIGINT, c2 BIGINT, signature BINARY"))
+    known = F.struct(F.col("id").alias("known_id"), F.col("digest").alias("known_digest"))
+    filled = described.where("c1 is not null").groupBy("c1", "c2").agg(
+        F.first("signature").alias("signature"), F.min("id").alias("least"), F.count("*").alias("copies"), F.min(known).alias("known"))
+    classes = materialize(filled.withColumn("class", F.monotonically_increasing_id()))
+    signed = classes.select("class", "signature")
+    bands = signed.mapInArrow(_bands, "band BIGINT, class BIGINT")
+    stats = (bands.groupBy("band").agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("class")).alias("x"),
+                                       F.bit_xor(F.xxhash64(F.lit(1), "class")).alias("y")).where("size > 1"))
     buckets = stats.groupBy("size", "x", "y").agg(F.min("band").alias("band"))
     members = materialize(bands.join(buckets.select("band", "size"), "band")
                           .select(F.col("band").alias("bucket"), "size", "class").distinct())
-    texts = texts.select("text")
-    tried = materialize(_candidates(_dealt(_labelled(members, None), BLOCK_MEMBERS), classes, forest=True).select("a", "b").distinct())
-    links = materialize(_confirmed(tried, _shingle_sets(texts, _ends(tried).distinct())))
+    tried = materialize(_candidates(_dealt(_labelled(members, None), BLOCK_MEMBERS), signed, forest=True).select("a", "b").distinct())
+    links = materialize(_confirmed(tried, _shingle_sets(texts, classes, _ends(tried).distinct())))
     mixed = materialize(_labelled(members, components(links)))
-    rest = materialize(_candidates(_dealt(mixed, BLOCK_MEMBERS), classes, forest=False))
+    rest = materialize(_candidates(_dealt(mixed, BLOCK_MEMBERS), signed, forest=False))
     pairs = materialize(rest.where("a is not null").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
     dense = _dealt(mixed.join(rest.where("a is null").select("bucket").distinct(), "bucket", "left_semi"), SET_BLOCK_MEMBERS)
-    sets = _shingle_sets(texts, _ends(pairs).union(dense.select("class")).distinct())
+    sets = _shingle_sets(texts, classes, _ends(pairs).union(dense.select("class")).distinct())
     linked = (dense.join(sets, "class").select("bucket", "blocks", "class", "label", "side", "shingles")
               .repartition("bucket", "blocks").sortWithinPartitions("bucket", "blocks")
               .mapInArrow(_link_dense, "a BIGINT, b BIGINT"))
     labels = components(links.union(_confirmed(pairs, sets)).union(linked))
     # Names of the components: the smallest id of all rows of all their classes.
-    named = (described.where("class is not null").groupBy("class").agg(F.min("id").alias("least"))
-             .join(labels.withColumnRenamed("node", "class"), "class", "left")
+    named = (classes.select("class", "c1", "c2", "least", "copies").join(labels.withColumnRenamed("node", "class"), "class", "left")
              .withColumn("root", F.coalesce("root", "class")))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_class = named.select("class", "root").join(least, "root").select("class", "root", "component_id")
-    found = described.drop("signature").join(by_class, "class", "left")
+    by_class = named.drop("least").join(least, "root").select("c1", "c2", "copies", "class", "root", "component_id")
+    found = attach_by_key(described.drop("signature"), by_class, ["c1", "c2"], "copies")
     component = F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("component_id"))
     return found.select(F.col("id").alias(id_column), "n_shingles", component.alias("component_id"),
                         F.col("id").eqNullSafe(component).alias("kept"), "digest", "class", F.col("root").alias("component"))

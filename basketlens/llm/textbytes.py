@@ -202,3 +202,31 @@ def shingles(data, offsets, size=5):
         own = hashes[first[text]:first[text + 1]]
         out[bounds[text]] = mix(np.array([(own * weights[:own.size]).sum() + np.uint64(own.size)], np.uint64))[0]
     return out, bounds
+
+
+def shingle_keys(data, offsets, size=5):
+    """(two lanes of a key of each run of ``size`` lower-case words, bounds of each text's runs).
+
+    A text of fewer words has one shingle, its whole sequence; a text without words has none. Repeated shingles are kept.
+    """
+    starts, ends, first = words(data, offsets)
+    items = span_keys(LOWER[data], starts, ends)
+    counts = np.diff(first)
+    runs = np.where(counts >= size, counts - size + 1, np.minimum(counts, 1))
+    bounds = np.concatenate([[0], np.cumsum(runs)])
+    rolled = runs_of(items, size)
+    places = np.arange(bounds[-1]) + np.repeat(first[:-1] - bounds[:-1], runs)
+    whole = np.repeat(counts >= size, runs)
+    out = [np.empty(bounds[-1], np.uint64) for _ in items]
+    for lane, x in zip(out, rolled):
+        lane[whole] = x[places[whole]]
+    for n in range(1, size):
+        # Sequences of n words, told apart from runs by their length.
+        some = np.flatnonzero(counts == n)
+        if some.size:
+            keys = [x[first[some]] for x in items]
+            for k in range(1, n):
+                keys = paired(keys, [x[first[some] + k] for x in items])
+            for lane, x in zip(out, paired(keys, [np.full(some.size, n, np.uint64)] * 2)):
+                lane[bounds[some]] = x
+    return out, bounds

@@ -71,7 +71,6 @@ def test_dense_groups_and_blocks(spark, rows, monkeypatch):
     monkeypatch.setattr(m, "BLOCK_MEMBERS", 8)
     monkeypatch.setattr(m, "SET_BLOCK_MEMBERS", 4)
     monkeypatch.setattr(m, "PAIRS_PER_MEMBER", 0)
-    monkeypatch.setattr(m, "SENT_CLASSES", 0)
     key = lambda x: str(x)
     assert sorted(found(spark, rows), key=key) == sorted(brute(rows), key=key)
 
@@ -105,3 +104,24 @@ def test_components_of_chains_and_stars(spark):
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a LONG, b LONG")).collect()}
     want = {k: 0 for k in range(1, 41)} | {200 + k: 100 for k in range(50)} | {300: 299}
     assert {k: v for k, v in got.items() if k != v} == want
+
+
+def test_words_that_sums_modulo_a_power_of_two_mistake(spark):
+    """Complementary Thue-Morse words share nothing: alone, and as one word of several."""
+    def morse(n, swap):
+        return "".join("ab"[(bin(k).count("1") + swap) % 2] for k in range(n))
+
+    rows = []
+    for n in (1024, 4096):
+        rows += [(len(rows) + k, t) for k, t in enumerate([morse(n, 0), morse(n, 1), f"x {morse(n, 0)}", f"x {morse(n, 1)}", morse(n, 0).upper()])]
+    assert sorted(found(spark, rows)) == sorted(brute(rows))
+
+
+def test_sets_with_keys_equal_in_one_lane():
+    a = np.array([5, 5, 5, 7, 7, 9], np.uint64)
+    b = np.array([2, 1, 2, 3, 3, 4], np.uint64)
+    one = m.distinct_keys(a, b)
+    assert one.tolist() == [[5, 1], [5, 2], [7, 3], [9, 4]]
+    two = m.distinct_keys(np.array([5, 7, 9, 11, 12], np.uint64), np.array([2, 3, 5, 1, 1], np.uint64))
+    assert m.shared_keys(one, two) == m.shared_keys(two, one) == 2
+    assert m.numbered(np.concatenate([one, two])).tolist() == [0, 1, 2, 3, 1, 2, 4, 5, 6]
