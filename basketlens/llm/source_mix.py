@@ -126,14 +126,27 @@ def _places(key, passes, blocks, source, seed):
             F.xxhash64(F.lit(seed), F.col(passes), F.col(key)).alias("place"))
 
 
+def _free(taken, names):
+    """The names, with underscores after those that are taken (column names don't tell upper from lower case)."""
+    taken, out = {c.lower() for c in taken}, []
+    for name in names:
+        while name and name.lower() in taken:
+            name += "_"
+        taken.add((name or "").lower())
+        out.append(name)
+    return out
+
+
 def mix(docs, plan, id_column="doc_id", text_column="text", source_column="source", pass_name="pass", seed=42,
         order_names=None):
     """The drawn documents with the number of the pass (from 0) that drew them.
 
     ``order_names``: names of two more columns, the order of a document's block in its pass and its place in the block.
-    Sorted by them, the rows of a source and pass are a permutation of its blocks.
+    Sorted by them, the rows of a source and pass are a permutation of its blocks. Where ``docs`` has a column of such a
+    name, the new column's name gets underscores until it is free.
     """
     keep = docs.columns
+    pass_name, *order_names = _free(keep, [pass_name, *(order_names or [])])
     rows = docs.select(F.struct(*keep).alias("row"), F.coalesce(F.col(source_column).cast("string"), F.lit("")).alias("source"),
                        F.xxhash64(F.col(id_column), F.col(text_column), F.lit(seed)).alias("key"))
     decided = attach_by_key(rows, plan.select("source", "passes", "rest", "blocks", "cut_block", "cut_place", "documents"),
@@ -151,5 +164,5 @@ def mix(docs, plan, id_column="doc_id", text_column="text", source_column="sourc
 
 @query("op8_source_mix")
 def op8(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mix(docs, plan_mix(docs), order_names=("block", "place")).select("doc_id", "source", "pass", "block", "place")

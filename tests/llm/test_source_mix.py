@@ -76,3 +76,38 @@ def test_odd_rows(spark):
     got = m.mix(docs, m.plan_mix(docs, m.COVER, most_repeats=1.0), pass_name=None)
     assert got.columns == docs.columns and got.count() == len(rows)
     assert m.mix(docs.limit(0), m.plan_mix(docs.limit(0)), pass_name=None).count() == 0
+
+
+def test_names_that_docs_has_already(spark, tmp_path):
+    rows = [(i, "w " * (3 + i % 4), f"s{i % 3}", 1, 2, 3, 4) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, source STRING, pass INT, block INT, place INT, Pass_ INT")
+    got = m.mix(docs, m.plan_mix(docs, block_tokens=20), order_names=("block", "place"))
+    assert got.columns == [*docs.columns, "pass__", "block_", "place_"] and got.count() > 0
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    assert m.op8(spark, str(tmp_path)).columns == ["doc_id", "source", "pass", "block", "place"]
+
+
+def test_draws_by_a_plain_loop(spark):
+    """The same (document, pass, block, place) by sorting every source's blocks and filling the quota in a loop."""
+    rows = [(i, "w " * (1 + i * i % 9), ("big", "big", "big", "mid", "small")[i % 5]) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, source STRING")
+    plan = m.plan_mix(docs, target_entropy=0.97, most_repeats=None, block_tokens=60)
+    got = sorted(tuple(r) for r in m.mix(docs, plan, order_names=("block", "place")).select("doc_id", "pass", "block", "place").collect())
+    planned = {r["source"]: r for r in plan.collect()}
+    # The hashes are the definition of the orders; everything else is done here.
+    hashed = docs.select("doc_id", "source", F.xxhash64("doc_id", "text", F.lit(42)).alias("key"),
+                         F.regexp_count("text", F.lit(r"\S+")).alias("tokens"))
+    want = []
+    for source, p in planned.items():
+        for k in range(p["passes"] + 1):
+            block = F.pmod(F.col("key"), F.lit(p["blocks"]))
+            placed = hashed.where(F.col("source") == source).select(
+                "doc_id", "tokens", F.xxhash64(F.lit(42), F.lit(k).cast("long"), "source", block).alias("b"),
+                F.xxhash64(F.lit(42), F.lit(k).cast("long"), "key").alias("p")).collect()
+            left = p["rest"] if k == p["passes"] else math.inf
+            for r in sorted(placed, key=lambda r: (r["b"], r["p"])):
+                left -= r["tokens"]
+                if left < 0:
+                    break
+                want.append((r["doc_id"], k, r["b"], r["p"]))
+    assert got == sorted(want)
