@@ -124,3 +124,56 @@ def test_no_secret_among_labels_and_empty_table(spark):
 def test_no_python_in_the_plan(spark, ratios):
     plan = m.find_secrets(spark.createDataFrame([(1, "x")], "doc_id LONG, text STRING"), ratios)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def plain_ratio(ratios, value):
+    """The sum over all pairs, by a loop."""
+    return sum(ratios[m.ALPHABET.index(a) * len(m.ALPHABET) + m.ALPHABET.index(b)] for a, b in zip(value, value[1:]))
+
+
+def brute_markov(text, ratios):
+    """Every run outside the base spans, scored in a loop."""
+    inside = [False] * len(text)
+    for part in filter(None, brute(text).split(",")):
+        _, a, b = part.split(":")
+        inside[int(a):int(b)] = [True] * (int(b) - int(a))
+    rest = "".join(" " if x else c for c, x in zip(text, inside))
+    out = []
+    for run in re.finditer("[A-Za-z0-9+/_=-]+", rest):
+        n = len(run[0])
+        if plain_ratio(ratios, run[0]) > m.THRESHOLD * (m.SHORT_PAIRS if n < m.ASSIGN_LEAST else n - 1):
+            out.append(f"markov:{run.start()}:{run.end()}")
+    return out
+
+
+def test_markov_spans_and_segments_by_brute_force(spark, ratios, monkeypatch):
+    """Random mixtures of all that may lie next to a cut, in texts of many short segments."""
+    monkeypatch.setattr(m, "SEGMENTS", m.SEGMENTS.replace(str(m.SEGMENT), "20"))
+    monkeypatch.setattr(m, "SEGMENT", 20)
+    draw = random.Random(21)
+    pieces = ["token", "API_key", "passwd", "=", ": ", " = ", '"', "'", " ", "  ", ",", "\n", "😀", "é", ".", "*", "AKIA" + "7" * 15, "AKIAX",
+              "deadbeefdeadbeef", "0123456789abcdef0", "Zx9A1F4B27C0D3E5F6A8B9", "configuration", "word", "the", "a", "-", "/", "abcdefghijkl"]
+    texts = ["".join(draw.choice(pieces) for _ in range(draw.randrange(1, 80))) for _ in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING")
+    got = {r["doc_id"]: r for r in m.find_secrets(docs, ratios).select(
+        "doc_id", m.written(F.col("base")).alias("b"), m.written(F.col("spans")).alias("s")).collect()}
+    for k, text in enumerate(texts):
+        assert got[k]["b"] == brute(text)
+        want = sorted(filter(None, [*brute(text).split(","), *brute_markov(text, ratios)]),
+                      key=lambda x: (int(x.split(":")[1]), m.KINDS.index(x.split(":")[0])))
+        assert got[k]["s"] == ",".join(want)
+    # Masked segment by segment as at once.
+    parts = m.scan_segments(F.col("text"), ratios)
+    _, spans = m.scan(F.col("text"), ratios)
+    both = docs.select(F.coalesce(m.masked_text(parts), "text").alias("a"), m.masked(F.col("text"), spans).alias("b")).collect()
+    assert sum(r["a"] != r["b"] for r in both if "[SECRET][SECRET]" not in r["a"]) == 0
+
+
+def test_many_matches_in_one_text(spark, ratios):
+    """A list of 40,000 hashes: the work grows with the text, not with its square."""
+    hashes = [hashlib.sha256(str(k).encode()).hexdigest()[:40] for k in range(40_000)]
+    docs = spark.createDataFrame([(1, ",".join(hashes)), (2, " ".join(hashes))], "doc_id LONG, text STRING")
+    got = m.find_secrets(docs, ratios).select("doc_id", F.size("base").alias("n"), F.element_at("base", -1)["end"].alias("end"),
+                                              F.sha2(m.written(F.col("base")), 256).alias("h")).collect()
+    want = ",".join(f"hex:{41 * k}:{41 * k + 40}" for k in range(40_000))
+    assert {(r["n"], r["end"], r["h"]) for r in got} == {(40_000, 41 * 39_999 + 40, hashlib.sha256(want.encode()).hexdigest())}
