@@ -34,7 +34,7 @@ WINDOW = 50
 KEY = ["k1", "k2"]
 NO_WORDS = hashlib.sha256(b"").hexdigest()
 FACTS = "k1 BIGINT, k2 BIGINT, first BIGINT, copies BIGINT, n_words BIGINT, sha256 STRING, marks ARRAY<STRUCT<h: BIGINT, place: INT>>"
-CANDIDATES = "k1 BIGINT, k2 BIGINT, first BIGINT, windows ARRAY<STRUCT<place: INT, a: BIGINT, b: BIGINT>>"
+CANDIDATES = "row BIGINT, first BIGINT, windows ARRAY<STRUCT<place: INT, a: BIGINT, b: BIGINT>>"
 
 
 def with_key(docs, id_column, text_column):
@@ -119,14 +119,14 @@ def _extend(length):
                 a, b = found.keys(places)
                 lists = _lists(np.bincount(owner, minlength=n), {
                     "place": (places - found.first[owner]).astype(np.int32), "a": _signed(a), "b": _signed(b)})
-                yield pa.RecordBatch.from_arrays([some["k1"], some["k2"], some["first"], lists], ["k1", "k2", "first", "windows"])
+                yield pa.RecordBatch.from_arrays([some["row"], some["first"], lists], ["row", "first", "windows"])
     return run
 
 
 def _double(length):
     """From the windows of a level that repeat, in one list for each text, the candidates of twice the length."""
     def run(batches):
-        for batch in batches:
+        for batch in filter(len, batches):
             counts, places, keys = [], [], ([], [])
             for at in range(len(batch)):
                 found = batch["windows"][at].values
@@ -141,58 +141,62 @@ def _double(length):
                 places.append(place[have])
             lists = _lists(counts, {"place": np.concatenate(places).astype(np.int32), "a": _signed(np.concatenate(keys[0])),
                                     "b": _signed(np.concatenate(keys[1]))})
-            yield pa.RecordBatch.from_arrays([batch["k1"], batch["k2"], batch["first"], lists], ["k1", "k2", "first", "windows"])
+            yield pa.RecordBatch.from_arrays([batch["row"], batch["first"], lists], ["row", "first", "windows"])
     return run
 
 
 def _cut(length):
     """Number and digest of the words that no window at ``places`` covers."""
     def run(batches):
-        for batch in batches:
+        for batch in filter(len, batches):
             rows = []
-            for k1, k2, text, places in zip(batch["k1"].to_pylist(), batch["k2"].to_pylist(), batch["text"], batch["places"]):
+            for row, text, places in zip(batch["row"].to_pylist(), batch["text"], batch["places"]):
                 words = text.as_buffer().to_pybytes().split()
                 places = places.values.to_numpy()
                 edges = np.bincount(places, minlength=len(words) + 1) - np.bincount(places + length, minlength=len(words) + 1)
                 kept = [w for w, covered in zip(words, np.cumsum(edges).tolist()) if not covered]
-                rows.append((k1, k2, len(words) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                                             ["k1", "k2", "n_removed", "kept_sha256"])
+                rows.append((row, len(words) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()))
+            kinds = [pa.int64(), pa.int64(), pa.string()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["row", "n_removed", "kept_sha256"])
     return run
 
 
 # ---- levels ---------------------------------------------------------------------------------
 
 def _repeating(windows, key):
-    """The windows that occur in texts with different ids, each with the ``least`` of these."""
+    """(key, row, place, least) of the windows that occur in texts with different ids; ``least`` is the smallest of these.
+
+    The table of repeated windows grows with the data, so it is never broadcast; the windows that most texts share are.
+    """
     found = windows.groupBy(*key).agg(F.min("first").alias("least"), F.max("first").alias("most"), F.count("*").alias("n"))
-    return attach_by_key(windows, found.where("least < most").drop("most"), key, "n").where("n IS NOT NULL").drop("n")
+    rows = windows.select(*key, "row", "place")
+    return attach_by_key(rows, found.where("least < most").drop("most"), key, "n", broadcast_bytes=0).where("n IS NOT NULL").drop("n")
 
 
 def repeated(texts, facts, length):
-    """(places of removed windows by text, longest repeated length by text) of ``texts`` under their smallest id."""
-    marks = facts.where("first IS NOT NULL").select(*KEY, "first", F.explode("marks").alias("m")).select(*KEY, "first", "m.*")
-    near = (_repeating(marks, ["h"]).groupBy(*KEY).agg(F.collect_list("place").alias("places")))
-    joined = texts.select(*KEY, "first", "text").join(near.hint("shuffle_hash"), KEY)
+    """(row, places of removed windows) and (row, longest repeated length) of ``texts`` under their smallest id."""
+    rows = facts.where("first IS NOT NULL")
+    marks = rows.select("row", "first", F.explode("marks").alias("m")).select("row", "first", "m.*")
+    near = _repeating(marks, ["h"]).groupBy("row").agg(F.collect_list("place").alias("places"))
+    near = rows.select("row", "first", *KEY).join(near, "row")
+    joined = texts.select(*KEY, "text").join(near.hint("shuffle_hash"), KEY)
     candidates = materialize(joined.mapInArrow(_extend(length), CANDIDATES))
-    removed, reached, level = None, [], length
+    levels, level = [], length
     while True:
-        rows = candidates.select(*KEY, "first", F.explode("windows").alias("w")).select(*KEY, "first", "w.*")
-        windows = materialize(_repeating(rows, ["a", "b"]))
-        later = windows.where("least < first")
-        if removed is None:
-            removed = later.groupBy(*KEY).agg(F.collect_list("place").alias("places"))
-        if windows.isEmpty():
+        windows = candidates.select("row", "first", F.explode("windows").alias("w")).select("row", "first", "w.*")
+        lists = _repeating(windows, ["a", "b"]).groupBy("row").agg(F.collect_list(F.struct("place", "a", "b", "least")).alias("windows"))
+        # A text's repeated windows in one list; ``later`` are the places that repeat from a smaller id.
+        later = F.filter("windows", lambda w: w["least"] < F.col("first"))["place"].alias("later")
+        kept = materialize(lists.join(rows.select("row", "first"), "row").select("row", "first", "windows", later))
+        levels.append(kept.where(F.size("later") > 0).select("row", "later", F.lit(level).cast("long").alias("longest")))
+        if kept.isEmpty():
             break
-        reached.append(later.select(*KEY, F.lit(level).cast("long").alias("longest")).distinct())
-        grouped = windows.groupBy(*KEY, "first").agg(F.collect_list(F.struct("place", "a", "b")).alias("windows"))
-        candidates = materialize(grouped.mapInArrow(_double(level), CANDIDATES).where(F.size("windows") > 0))
+        candidates = materialize(kept.mapInArrow(_double(level), CANDIDATES).where(F.size("windows") > 0))
         level *= 2
-    longest = None
-    for one in reached:
-        longest = one if longest is None else longest.union(one)
-    return removed, longest.groupBy(*KEY).agg(F.max("longest").alias("longest")) if longest is not None else None
+    longest = levels[0].select("row", "longest")
+    for more in levels[1:]:
+        longest = longest.union(more.select("row", "longest"))
+    return levels[0].select("row", F.col("later").alias("places")), longest.groupBy("row").agg(F.max("longest").alias("longest"))
 
 
 def without_repeats(docs, length=WINDOW, id_column="doc_id", text_column="text"):
@@ -206,13 +210,13 @@ def without_repeats(docs, length=WINDOW, id_column="doc_id", text_column="text")
     keyed = with_key(docs, id_column, text_column)
     texts = materialize_bucketed(keyed.groupBy(*KEY).agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"),
                                                          F.any_value("text").alias("text")), KEY)
-    facts = materialize(texts.mapInArrow(_facts(length), FACTS))
+    facts = materialize(texts.mapInArrow(_facts(length), FACTS).withColumn("row", F.monotonically_increasing_id()))
     removed, longest = repeated(texts, facts, length)
+    removed = facts.select("row", *KEY).join(removed, "row")
     cut = texts.select(*KEY, "text").join(removed.hint("shuffle_hash"), KEY).mapInArrow(
-        _cut(length), "k1 BIGINT, k2 BIGINT, n_removed BIGINT, kept_sha256 STRING")
-    judged = facts.select(*KEY, "first", "copies", "n_words", "sha256").join(cut, KEY, "left")
-    judged = judged.join(longest, KEY, "left") if longest is not None else judged.withColumn("longest", F.lit(0).cast("long"))
-    rows = attach_by_key(keyed.select("doc_id", *KEY), judged, KEY, "copies")
+        _cut(length), "row BIGINT, n_removed BIGINT, kept_sha256 STRING")
+    judged = (facts.select("row", *KEY, "first", "copies", "n_words", "sha256").join(cut, "row", "left").join(longest, "row", "left"))
+    rows = attach_by_key(keyed.select("doc_id", *KEY), judged.drop("row"), KEY, "copies", broadcast_bytes=0)
     copy = (F.col("doc_id") > F.col("first")) & (F.col("n_words") >= length)
     known = F.col("doc_id").isNotNull()
     whole = F.lit(length).cast("long") * F.pow(F.lit(2.0), F.floor(F.log2(F.col("n_words") / length))).cast("long")
