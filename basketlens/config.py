@@ -61,6 +61,8 @@ DENSITY_POINTS = 200
 CLUSTERS = 3
 ELBOW_RANGE = range(2, 9)
 KMEANS_STARTS = 10  # each start is itself chosen by several oversampling passes (k-means||)
+FITS_AT_ONCE = 8  # K-Means fits side by side
+VECTOR_BYTES = 8 << 20  # of a partition of the vectors that they pass over
 SEED = 42
 
 

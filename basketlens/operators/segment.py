@@ -1,5 +1,9 @@
 """Customer table, standardization, K-Means, silhouette and cluster reports."""
 
+from multiprocessing.pool import ThreadPool
+
+import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -69,27 +73,61 @@ def as_vectors(scaled, columns, suffix="_z"):
 
 # ---- K-Means ----------------------------------------------------------------------------
 
+def _some_different(names, most):
+    """Up to ``most`` different rows of a partition, which is read no further than needed."""
+    def run(batches):
+        seen = set()
+        for batch in batches:
+            for row in zip(*(batch[c].to_pylist() for c in names)):
+                seen.add(row)
+                if len(seen) >= most:
+                    break
+            if len(seen) >= most:
+                break
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.float64()) for c in (zip(*seen) if seen else [[]] * len(names))], names)
+    return run
+
+
+def _count_different(points, most):
+    """How many different points there are, counted up to ``most``."""
+    few = points.mapInArrow(_some_different(points.columns, most), points.schema)
+    return few.distinct().limit(most).count()
+
+
 def fit_kmeans(scaled, columns, ks=(config.CLUSTERS,), starts=config.KMEANS_STARTS, seed=config.SEED,
-               max_iter=300, tolerance=1e-4, suffix="_z"):
+               max_iter=300, tolerance=1e-4, suffix="_z", at_once=config.FITS_AT_ONCE):
     """{k: (centres, inertia)}: the best of several seeded fits for every k, each over all rows.
 
     A k below two, or beyond the number of different points, has no fit and is left out. The vectors are kept on the
-    executors' disks and memory while the fits pass over them.
+    executors' disks and memory, in as many partitions as their bytes need, while the fits pass over them. A fit is a
+    chain of many short jobs, so up to ``at_once`` fits run side by side, each in a thread of the driver; what a fit
+    finds doesn't depend on the others.
     """
     names = [c + suffix for c in columns]
     ks = sorted(set(ks))
     if not ks:
         return {}
-    # Only whether there are k different points matters, so counting stops at the largest k.
-    different = scaled.select(names).distinct().limit(max(ks)).count()
-    vectors = as_vectors(scaled, columns, suffix).select("features").persist()
+    points = scaled.select(*[F.col(c).cast("double").alias(c) for c in names])
+    different = _count_different(points, max(ks))
+    partitions = max(1, -(-scaled.count() * len(names) * 8 // config.VECTOR_BYTES))
+    vectors = as_vectors(scaled, columns, suffix).select("features").coalesce(partitions).persist()
+    spark = scaled.sparkSession
     try:
+        vectors.count()  # kept before the fits start together
+
+        @inheritable_thread_target(spark)
+        def fit(job):
+            k, start = job
+            model = KMeans(k=k, seed=seed + start, maxIter=max_iter, tol=tolerance).fit(vectors)
+            return k, float(model.summary.trainingCost), start, [list(c) for c in model.clusterCenters()]
+
+        jobs = [(k, start) for start in range(starts) for k in reversed(ks) if 2 <= k <= different]
+        with ThreadPool(max(1, min(at_once, len(jobs)))) as threads:
+            found = threads.map(fit, jobs, chunksize=1)
         fits = {}
-        for k in (k for k in ks if 2 <= k <= different):
-            models = [KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=tolerance).fit(vectors) for i in range(starts)]
-            best = min(models, key=lambda m: m.summary.trainingCost)
-            fits[k] = ([list(c) for c in best.clusterCenters()], float(best.summary.trainingCost))
-        return fits
+        for k, cost, _, centres in sorted(found, key=lambda f: f[:3], reverse=True):
+            fits[k] = centres, cost
+        return dict(sorted(fits.items()))
     finally:
         vectors.unpersist()
 

@@ -1,5 +1,7 @@
 """Customer table, K-Means and silhouette against known groups and brute force."""
 
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -98,3 +100,35 @@ def test_profile_and_interpretation(spark):
     assert text[1] == ("Cluster 1: Promedios: purchase_count alto, amount_sum alto, recency_min bajo, age_mean similar. "
                        "Clientes frecuentes y de mayor valor.")
     assert text[0].endswith("Clientes menos activos con mayor recencia.")
+
+
+def lloyd(x, centres, rounds=300):
+    """The plain algorithm from given centres: (centres, inertia)."""
+    for _ in range(rounds):
+        away = ((x[:, None, :] - centres[None]) ** 2).sum(axis=2)
+        nearest = away.argmin(axis=1)
+        fresh = np.array([x[nearest == k].mean(axis=0) for k in range(len(centres))])
+        if np.allclose(fresh, centres, atol=1e-12):
+            break
+        centres = fresh
+    return centres, ((x[:, None, :] - centres[None]) ** 2).sum(axis=2).min(axis=1).sum()
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="the given tables are not here")
+def test_fits_stay_where_plain_lloyd_puts_them(spark):
+    """On the customers of the given tables: the returned centres are nearly fixed points and the inertia is their own sum."""
+    from basketlens.plans import segment_queries
+    names = [f"{c}_z" for c in segment_queries.FEATURES]
+    frame = segment_queries.scaled(spark, "/root/testdata/sf0.01")
+    x = frame.select(names).toPandas().to_numpy()
+    for k, (centres, cost) in segment.fit_kmeans(frame, segment_queries.FEATURES, (2, 3, 5, 8), starts=3).items():
+        centres = np.array(centres)
+        own = ((x[:, None, :] - centres[None]) ** 2).sum(axis=2).min(axis=1).sum()
+        assert cost == pytest.approx(own, rel=1e-9)
+        moved, further = lloyd(x, centres)
+        assert further <= own and further == pytest.approx(own, rel=2e-3) and np.abs(moved - centres).max() < 0.15, k
+
+
+def test_fits_side_by_side_are_those_one_after_the_other(blobs):
+    alone = segment.fit_kmeans(blobs, COLUMNS, range(2, 6), starts=4, at_once=1)
+    assert segment.fit_kmeans(blobs, COLUMNS, range(2, 6), starts=4, at_once=8) == alone
