@@ -1,11 +1,10 @@
-"""Shapiro–Wilk W and p of one bounded block (Royston 1995, algorithm AS R94)."""
+"""Shapiro–Wilk W and p (Royston 1995, algorithm AS R94) as Columns: scores by rank, sums by group, arithmetic on the sums."""
 
 import math
-from functools import lru_cache
 
-import numpy as np
+from pyspark.sql import functions as F
 
-from basketlens.functions.tails import NORMAL
+from basketlens.functions.normal import normal_cdf, normal_quantile
 
 # Royston's published polynomial coefficients, highest power first.
 WEIGHT_LAST = [-2.706056, 4.434685, -2.071190, -0.147981, 0.221157, 0.0]
@@ -15,53 +14,46 @@ SMALL_MEAN = [-0.0006714, 0.025054, -0.39978, 0.5440]
 SMALL_LOG_SD = [-0.0020322, 0.062767, -0.77857, 1.3822]
 LARGE_MEAN = [0.0038915, -0.083751, -0.31082, -1.5861]
 LARGE_LOG_SD = [0.0030302, -0.082676, -0.4803]
-
-
-@lru_cache(maxsize=64)
-def weights(n):
-    """Antisymmetric weights of the ordered sample."""
-    if n == 3:
-        return np.array([-math.sqrt(0.5), 0.0, math.sqrt(0.5)])
-    m = np.array([NORMAL.inv_cdf((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)])
-    squares = float(m @ m)
-    u = 1 / math.sqrt(n)
-    last = np.polyval(WEIGHT_LAST, u) + m[-1] / math.sqrt(squares)
-    a = m.copy()
-    if n > 5:
-        following = np.polyval(WEIGHT_NEXT, u) + m[-2] / math.sqrt(squares)
-        rest = (squares - 2 * m[-1] ** 2 - 2 * m[-2] ** 2) / (1 - 2 * last ** 2 - 2 * following ** 2)
-        a /= math.sqrt(rest)
-        a[-2], a[1] = following, -following
-    else:
-        a /= math.sqrt((squares - 2 * m[-1] ** 2) / (1 - 2 * last ** 2))
-    a[-1], a[0] = last, -last
-    return a
-
-
-def shapiro_wilk(values):
-    """(W, p); (nan, nan) below three values, (1, 1) for a constant sample."""
-    x = np.sort(np.asarray(values, dtype=float))
-    n = x.size
-    if n < 3 or not np.isfinite(x).all():
-        return math.nan, math.nan
-    if x[-1] == x[0]:
-        return 1.0, 1.0
-    x = (x - x[n // 2]) / (x[-1] - x[0])
-    centred = x - x.mean()
-    w = min(1.0, float(weights(n) @ x) ** 2 / float(centred @ centred))
-    if n == 3:
-        p = 6 / math.pi * (math.asin(math.sqrt(w)) - math.asin(math.sqrt(0.75)))
-        return w, max(0.0, p)
-    if w >= 1.0:
-        return w, 1.0
-    y = math.log(1 - w)
-    if n <= 11:
-        gamma = np.polyval(SMALL_GAMMA, n)
-        if y >= gamma:
-            return w, 1e-99
-        y = -math.log(gamma - y)
-        mean, sd = np.polyval(SMALL_MEAN, n), math.exp(np.polyval(SMALL_LOG_SD, n))
-    else:
-        logn = math.log(n)
-        mean, sd = np.polyval(LARGE_MEAN, logn), math.exp(np.polyval(LARGE_LOG_SD, logn))
-    return w, 0.5 * math.erfc((y - mean) / sd / math.sqrt(2))
+HEAVIEST = 99.0  # −log10 of the p given to samples beyond the small-sample range
+
+
+def polynomial(coefficients, x):
+    total = F.lit(coefficients[0])
+    for c in coefficients[1:]:
+        total = total * x + c
+    return total
+
+
+def normal_score(rank, n):
+    """Blom's approximate normal score of a 1-based rank among n values."""
+    return normal_quantile((rank - 0.375) / (n + 0.25))
+
+
+def with_w_and_p(sums):
+    """Add ``w`` and ``p`` to sums over samples in ascending order; each step is a column that the next ones use.
+
+    ``n``; ``scored``: sum of normal score times value; ``squares``: of squared scores; ``spread``: of squared deviations
+    from the mean; ``ends``: last value minus first; ``next_ends``: last but one minus second. The weights are antisymmetric,
+    proportional to the scores but for the two outermost pairs.
+    """
+    n, ends, beside = F.col("n"), F.col("ends"), F.col("next_ends")
+    top, second, last, following = (F.col(c) for c in ("_top", "_second", "_last", "_following"))
+    root = 1 / F.sqrt(n)
+    step = sums.withColumns({"_top": normal_score(n, n), "_second": normal_score(n - 1, n)})
+    step = step.withColumns({"_last": polynomial(WEIGHT_LAST, root) + top / F.sqrt("squares"),
+                             "_following": polynomial(WEIGHT_NEXT, root) + second / F.sqrt("squares")})
+    long_rest = (F.col("squares") - 2 * top * top - 2 * second * second) / (1 - 2 * last * last - 2 * following * following)
+    short_rest = (F.col("squares") - 2 * top * top) / (1 - 2 * last * last)
+    long = (F.col("scored") - top * ends - second * beside) / F.sqrt(long_rest) + following * beside + last * ends
+    short = (F.col("scored") - top * ends) / F.sqrt(short_rest) + last * ends
+    step = step.withColumn("_product", F.when(n == 3, math.sqrt(0.5) * ends).when(n > 5, long).otherwise(short))
+    w = F.col("w")
+    step = step.withColumn("w", F.when(ends == 0, 1.0).when(n >= 3, F.least(F.lit(1.0), F.col("_product") * F.col("_product") / F.col("spread"))))
+    three = F.greatest(F.lit(0.0), 6 / math.pi * (F.asin(F.sqrt(w)) - math.asin(math.sqrt(0.75))))
+    step = step.withColumns({"_y": F.log(1 - w), "_gamma": polynomial(SMALL_GAMMA, n), "_log": F.log(n)})
+    small = (-F.log(F.col("_gamma") - F.col("_y")) - polynomial(SMALL_MEAN, n)) / F.exp(polynomial(SMALL_LOG_SD, n))
+    large = (F.col("_y") - polynomial(LARGE_MEAN, F.col("_log"))) / F.exp(polynomial(LARGE_LOG_SD, F.col("_log")))
+    step = step.withColumn("_z", -F.when(n <= 11, small).otherwise(large))
+    p = (F.when(w.isNull(), F.lit(None).cast("double")).when(w >= 1, 1.0).when(n == 3, three)
+         .when((n <= 11) & (F.col("_y") >= F.col("_gamma")), 10.0 ** -HEAVIEST).otherwise(normal_cdf(F.col("_z"))))
+    return step.withColumn("p", p).select(*sums.columns, "w", "p")

@@ -81,8 +81,10 @@ def tukey(df, value=config.ANOVA_VALUE, factors=config.ANOVA_FACTORS, alpha=conf
     """
     pairs = with_anova_p(pairwise(df, value, factors)).where(
         F.col("pvalue") <= (alpha if only_if is None else only_if))
-    judged = (pairs.withColumn("p_adj", tails.studentized_range_tail("q", "n_groups", "df_within"))
-              .withColumn("_critical", tails.studentized_range_quantile(F.lit(1 - alpha), "n_groups", "df_within")))
+    # The critical value is a factor's: one search for each, not for each pair.
+    factors = pairs.select("factor", "n_groups", "df_within").distinct().withColumn(
+        "_critical", tails.studentized_range_quantile(F.lit(1 - alpha), "n_groups", "df_within")).select("factor", "_critical")
+    judged = pairs.withColumn("p_adj", tails.studentized_range_tail("q", "n_groups", "df_within")).join(factors, "factor")
     reach = F.col("_critical") * F.col("se")
     return judged.select(
         "factor", "group1", "group2", "meandiff", "p_adj", (F.col("meandiff") - reach).alias("lower"),

@@ -1,34 +1,20 @@
 """Shapiro–Wilk on bounded blocks, Kolmogorov–Smirnov on blocks and on the full data."""
 
-import math
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from basketlens import config
-from basketlens.functions import tails
-from basketlens.functions.normal import normal_cdf, normal_cdf_array
+from basketlens.functions import shapiro, tails
+from basketlens.functions.normal import normal_cdf
 from basketlens.functions.columns import number
-from basketlens.functions.shapiro import shapiro_wilk
 from basketlens.operators import order_stats
 from basketlens.operators.describe import per_column
+from basketlens.operators.order_stats import long_values
 from basketlens.operators.skew import with_blocks
 
 
-def block_statistics(x):
-    """(n, W, p, D, p) of one block; the normal is fitted with the population deviation."""
-    n = x.size
-    if n < 3:
-        return n, None, None, None, None
-    w, p = shapiro_wilk(x)
-    sd = x.std()
-    if sd == 0 or not math.isfinite(sd):
-        return n, w, p, None, None
-    cdf = normal_cdf_array((np.sort(x) - x.mean()) / sd)
-    steps = np.arange(n + 1) / n
-    d = max((steps[1:] - cdf).max(), (cdf - steps[:-1]).max())
-    return n, w, p, d, tails.kolmogorov_sf(d, n)
+def block_key(columns):
+    """A hash of a row's values (to 1/1000) that has nothing to do with their order."""
+    return F.md5(F.concat_ws("|", *[F.floor(F.col(c) * 1000).cast("string") for c in columns]))
 
 
 def normality_blocks(df, columns, block_rows=config.BLOCK_ROWS):
@@ -36,19 +22,27 @@ def normality_blocks(df, columns, block_rows=config.BLOCK_ROWS):
 
     Both tests are defined for small samples only, so rows are dealt into blocks: in the order of a hash of
     the used values, which has nothing to do with the values' order nor with the layout of the data. Equal
-    rows are interchangeable, so every layout gives the same blocks. A task holds one block at a time.
+    rows are interchangeable, so every layout gives the same blocks. Within a block's column values are ranked by a
+    window, whose partitions are never larger than a block; all else is sums. The normal is fitted with the population deviation.
     """
     wide = df.select(*[number(df, c).alias(c) for c in columns])
-    blocked = with_blocks(wide.withColumn("_key", F.xxhash64(*columns)), ["_key", *columns], block_rows, "_block")
-
-    def judge(rows):
-        block = int(rows["_block"].iloc[0])
-        found = [(c, block, *block_statistics(rows[c].dropna().to_numpy(dtype=float))) for c in columns]
-        return pd.DataFrame([r for r in found if r[2]], columns=[
-            "variable", "block", "n", "shapiro_stat", "shapiro_p", "ks_stat", "ks_p"])
-
-    return blocked.drop("_key").groupBy("_block").applyInPandas(
-        judge, "variable STRING, block BIGINT, n BIGINT, shapiro_stat DOUBLE, shapiro_p DOUBLE, ks_stat DOUBLE, ks_p DOUBLE")
+    blocked = with_blocks(wide.withColumn("_key", block_key(columns)), ["_key", *columns], block_rows, "block")
+    rows = long_values(blocked.drop("_key"), columns, ["block"])
+    sample = Window.partitionBy("block", "variable")
+    ranked = rows.select(
+        "block", "variable", "value", F.row_number().over(sample.orderBy("value")).alias("rank"), F.count("*").over(sample).cast("double").alias("n"),
+        (F.col("value") - F.avg("value").over(sample)).alias("x"), F.stddev_pop("value").over(sample).alias("sd"))
+    scored = ranked.withColumns({"score": shapiro.normal_score(F.col("rank"), F.col("n")),
+                                 "cdf": F.when(F.col("sd") > 0, normal_cdf(F.col("x") / F.col("sd")))})
+    at = (lambda rank: F.max(F.when(F.col("rank") == rank, F.col("value"))))
+    sums = scored.groupBy("variable", "block").agg(
+        F.first("n").alias("n"), F.sum(F.col("score") * F.col("x")).alias("scored"), F.sum(F.col("score") * F.col("score")).alias("squares"),
+        F.sum(F.col("x") * F.col("x")).alias("spread"), (F.max("value") - F.min("value")).alias("ends"),
+        (at(F.col("n") - 1) - at(F.lit(2))).alias("next_ends"),
+        F.max(F.greatest(F.col("rank") / F.col("n") - F.col("cdf"), F.col("cdf") - (F.col("rank") - 1) / F.col("n"))).alias("d"))
+    found = shapiro.with_w_and_p(sums).withColumn("ks_stat", F.when(F.col("n") >= 3, F.col("d")))
+    return found.select("variable", "block", F.col("n").cast("bigint").alias("n"), F.col("w").alias("shapiro_stat"),
+                        F.col("p").alias("shapiro_p"), "ks_stat", tails.kolmogorov_tail("ks_stat", "n").alias("ks_p"))
 
 
 def normality_table(df, columns, block_rows=config.BLOCK_ROWS):

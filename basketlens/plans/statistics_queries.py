@@ -5,6 +5,7 @@ from itertools import combinations_with_replacement
 from pyspark.sql import functions as F
 
 from basketlens import config
+from basketlens.functions import shapiro
 from basketlens.functions.normal import normal_cdf_sql, normal_quantile, normal_quantile_sql
 from basketlens.operators import anova, association, correlation, normality, order_stats, skew
 from basketlens.plans.catalog import query
@@ -49,9 +50,32 @@ def corr_matrix_derived(spark, d):
     return rounded(correlation.correlation_matrix(derived(spark, d), config.DERIVED_NUMERIC), 6, "corr")
 
 
-@query("corr_pvalues")
+# Tail probabilities as power series of the lower tail, whose terms are all positive: another expansion than the
+# library's, and one that SQL can sum. A lower tail of 1 needs no terms.
+SERIES = "(SELECT CAST(unnest(range(4000)) AS DOUBLE) AS i)"
+
+
+def beta_series_sql(x, a, b):
+    """Term i of the lower tail of a beta distribution at x."""
+    return f"exp(lgamma({a} + {b} + i) - lgamma({a} + 1 + i) - lgamma({b}) + ({a} + i) * ln({x}) + {b} * ln(1 - {x}))"
+
+
+def beta_tail_sql(frame, keys, columns, x, a, b, certain):
+    """``pvalue`` = 1 - lower tail, and 0 where ``certain`` says that it is below 1e-100; one row for each of the frame's keys."""
+    term = beta_series_sql(x, a, b)
+    return f"""SELECT {", ".join(f"any_value({c}) AS {c}" for c in columns)},
+  round(greatest(0, 1 - sum(CASE WHEN {certain} THEN CASE WHEN i = 0 THEN 1 ELSE 0 END ELSE {term} END)), 7) AS pvalue
+FROM {frame}, {SERIES} GROUP BY {keys}"""
+
+
+@query("corr_pvalues", oracle("derived", "c AS (" + union_sql([
+    f"SELECT '{a}' AS var1, '{b}' AS var2, corr({a}, {b}) AS r, "
+    f"count(*) FILTER (WHERE {a} IS NOT NULL AND {b} IS NOT NULL) AS n FROM derived" for a, b in PAIRS])
+    + "), e AS (SELECT var1, var2, n, round(r, 6) AS corr, r * r AS x FROM c) "
+    + beta_tail_sql("e", "var1, var2", ["var1", "var2", "corr", "n"], "x", "0.5::DOUBLE", "((n - 2) / 2.0::DOUBLE)", "n * x > 500")))
 def corr_pvalues(spark, d):
-    return correlation.with_correlation_p(correlation.pearson_pairs(derived(spark, d), PAIRS))
+    found = correlation.with_correlation_p(correlation.pearson_pairs(derived(spark, d), PAIRS))
+    return rounded(rounded(found, 6, "corr"), 7, "pvalue")
 
 
 def spearman_sql(a, b, extra=""):
@@ -167,10 +191,16 @@ def chi2_test(spark, d):
     return rounded(found, 4, "chi2").select("var1", "var2", "chi2", "dof", "n")
 
 
-@query("chi2_pvalues")
+@query("chi2_pvalues", oracle("derived", "s AS (" + union_sql([chi2_sql(a, b) for a, b in ASSOCIATED]) + f""")
+SELECT var1, var2, round(any_value(chi2), 4) AS chi2, any_value(dof) AS dof, any_value(n) AS n,
+  round(any_value(sqrt(chi2 / n / nullif(smaller, 0))), 6) AS cramers_v,
+  round(greatest(0, 1 - sum(CASE WHEN dof = 0 THEN 0 WHEN chi2 > 1000 + 3 * dof THEN CASE WHEN i = 0 THEN 1 ELSE 0 END
+    ELSE exp((dof / 2.0::DOUBLE + i) * ln(chi2 / 2) - chi2 / 2 - lgamma(dof / 2.0::DOUBLE + 1 + i)) END)), 7) AS pvalue
+FROM s, {SERIES} GROUP BY var1, var2"""))
 def chi2_pvalues(spark, d):
     found = association.chi_square(derived(spark, d, "amount_segment", "is_weekend"), ASSOCIATED)
-    return association.with_chi_square_p(found)
+    found = association.with_chi_square_p(found).select("var1", "var2", "chi2", "dof", "n", "cramers_v", "pvalue")
+    return rounded(rounded(rounded(found, 4, "chi2"), 6, "cramers_v"), 7, "pvalue")
 
 
 @query("cramers_v", oracle("derived", "s AS (" + union_sql([chi2_sql(a, b) for a, b in ASSOCIATED])
@@ -217,9 +247,18 @@ def anova_oneway(spark, d):
     return rounded(rounded(found, 0, "ms_within"), 6, "f_stat")
 
 
-@query("anova_pvalues")
+# F is a quotient of beta variables: x = d1 F / (d2 + d1 F).
+ANOVA_P_SQL = """e AS (SELECT factor, n_groups, n, n_groups - 1 AS df_between, n - n_groups AS df_within, ms_within,
+  ms_between / ms_within AS f_stat FROM s), x AS (SELECT *, df_between * f_stat / (df_within + df_between * f_stat) AS x FROM e),
+p AS (""" + beta_tail_sql("x", "factor", ["factor", "n_groups", "n", "df_between", "df_within", "ms_within", "f_stat"], "x",
+                          "(df_between / 2.0::DOUBLE)", "(df_within / 2.0::DOUBLE)", "df_within * x > 1000 + 10 * df_between") + ")"
+
+
+@query("anova_pvalues", oracle("valid", f"s AS ({one_way_sql('valid')}), {ANOVA_P_SQL}" + """
+SELECT factor, n_groups, n, df_between, df_within, round(ms_within, 0) AS ms_within, round(f_stat, 6) AS f_stat, pvalue FROM p"""))
 def anova_pvalues(spark, d):
-    return anova.with_anova_p(anova.anova(valid(spark, d)))
+    found = anova.with_anova_p(anova.anova(valid(spark, d)))
+    return rounded(rounded(rounded(found, 0, "ms_within"), 6, "f_stat"), 7, "pvalue")
 
 
 @query("anova_blocks", oracle("valid", BLOCKED_SQL + f", s AS ({one_way_sql('b', 'block')})" + """
@@ -230,55 +269,140 @@ def anova_blocks(spark, d):
     return rounded(anova.anova_by_block(blocked), 6, "f_stat").drop("pvalue")
 
 
-@query("tukey_hsd", oracle("valid", "g AS (" + union_sql([
+# Groups, and one row for each pair of them with Tukey's statistics.
+TUKEY_SQL = "g AS (" + union_sql([
     f"SELECT '{f}' AS factor, CAST({f} AS VARCHAR) AS level, count(*) AS n, avg(amount) AS mean, var_pop(amount) * count(*) AS ss "
     f"FROM valid WHERE {f} IS NOT NULL AND amount IS NOT NULL GROUP BY {f}" for f in config.ANOVA_FACTORS]) + """),
-w AS (SELECT factor, sum(ss) / (sum(n) - count(*)) AS ms_within FROM g GROUP BY factor)
-SELECT factor, a.level AS group1, b.level AS group2, round(b.mean - a.mean, 4) AS meandiff,
-  round(sqrt(ms_within / 2 * (1.0::DOUBLE / a.n + 1.0::DOUBLE / b.n)), 4) AS se,
-  round(abs(b.mean - a.mean) / sqrt(ms_within / 2 * (1.0::DOUBLE / a.n + 1.0::DOUBLE / b.n)), 6) AS q
-FROM g a JOIN g b USING (factor) JOIN w USING (factor) WHERE a.level < b.level"""))
+w AS (SELECT factor, count(*) AS k, sum(n) - count(*) AS dof, sum(ss) / (sum(n) - count(*)) AS ms_within FROM g GROUP BY factor),
+t AS (SELECT factor, a.level AS group1, b.level AS group2, b.mean - a.mean AS meandiff, k, dof,
+    sqrt(ms_within / 2 * (1.0::DOUBLE / a.n + 1.0::DOUBLE / b.n)) AS se
+  FROM g a JOIN g b USING (factor) JOIN w USING (factor) WHERE a.level < b.level)"""
+
+
+@query("tukey_hsd", oracle("valid", TUKEY_SQL + """
+SELECT factor, group1, group2, round(meandiff, 4) AS meandiff, round(se, 4) AS se, round(abs(meandiff) / se, 6) AS q FROM t"""))
 def tukey_hsd(spark, d):
     pairs = anova.pairwise(valid(spark, d)).select("factor", "group1", "group2", "meandiff", "se", "q")
     return rounded(rounded(pairs, 4, "meandiff", "se"), 6, "q")
 
 
-@query("tukey_pvalues")
+def range_sql(q, frame, columns, keys):
+    """(columns, cdf) of the studentized range at q, by equal steps over values and scales."""
+    z, t = "(-8.5 + y.j * 17 / 200.0::DOUBLE)", "(-9 / sqrt(2 * dof) + v.j * 18 / sqrt(2 * dof) / 120.0::DOUBLE)"
+    share = f"exp(dof * (ln(1 + {t}) - {t} - {t} * {t} / 2) - ln(1 + {t}))"
+    return f"""SELECT {columns}, sum(share * k * inner_sum) / sum(share) AS cdf FROM (
+  SELECT {columns}, k, v.j AS scale, any_value({share}) AS share, sum(17 / 200.0::DOUBLE * exp(-{z} * {z} / 2) / sqrt(2 * pi())
+      * power(greatest(0, {normal_cdf_sql(z)} - ({normal_cdf_sql(f'({z} - {q} * (1 + {t}))')})), k - 1)) AS inner_sum
+  FROM {frame}, (SELECT unnest(range(121)) AS j) v, (SELECT unnest(range(201)) AS j) y GROUP BY {columns}, k, v.j) GROUP BY {keys}"""
+
+
+def secant_sql(steps):
+    """q0 … with cdf(q) = 1 - alpha by secant steps, each a table of (factor, k, dof, q, cdf)."""
+    tables = []
+    for n, start in enumerate((3.0, 4.0)):
+        tables.append(f"c{n} AS ({range_sql('q', f'(SELECT factor, k, dof, {start}::DOUBLE AS q FROM w)', 'factor, dof, q', 'factor, dof, q')})")
+    for n in range(2, steps):
+        before, last = f"c{n - 2}", f"c{n - 1}"
+        q = (f"(SELECT factor, w.k, w.dof, CASE WHEN b.cdf = a.cdf THEN b.q ELSE b.q + ({1 - config.ALPHA}::DOUBLE - b.cdf) * (b.q - a.q) "
+             f"/ (b.cdf - a.cdf) END AS q FROM {before} a JOIN {last} b USING (factor) JOIN w USING (factor))")
+        tables.append(f"c{n} AS ({range_sql('q', q, 'factor, dof, q', 'factor, dof, q')})")
+    return ", ".join(tables)
+
+
+SECANTS = 9
+TUKEY_P_SQL = f"""{TUKEY_SQL}, {secant_sql(SECANTS)}, l AS (SELECT *, abs(meandiff) / se AS q FROM t),
+u AS ({range_sql('q', 'l', 'factor, group1, group2, meandiff, se, dof, q', 'ALL')}),
+tukey AS (SELECT u.factor, group1, group2, round(meandiff, 4) AS meandiff, round(1 - u.cdf, 6) AS p_adj,
+  round(meandiff - c.q * se, 4) AS lower, round(meandiff + c.q * se, 4) AS upper, 1 - u.cdf < {config.ALPHA} AS reject
+  FROM u JOIN c{SECANTS - 1} c ON u.factor = c.factor)"""
+
+
+def tukey_rows(found):
+    return rounded(rounded(found, 4, "meandiff", "lower", "upper"), 6, "p_adj")
+
+
+@query("tukey_pvalues", oracle("valid", f"{TUKEY_P_SQL} SELECT * FROM tukey"))
 def tukey_pvalues(spark, d):
     """The comparison for every factor, whatever its F test says."""
-    return anova.tukey(valid(spark, d), only_if=1.0)
+    return tukey_rows(anova.tukey(valid(spark, d), only_if=1.0))
 
 
-@query("tukey_gated")
+@query("tukey_gated", oracle("valid", f"""{TUKEY_P_SQL}, s AS ({one_way_sql('valid')}), {ANOVA_P_SQL}
+SELECT tukey.* FROM tukey JOIN p USING (factor) WHERE pvalue <= {config.ALPHA}"""))
 def tukey_gated(spark, d):
     """The comparison for the factors whose F test is significant."""
-    return anova.tukey(valid(spark, d))
+    return tukey_rows(anova.tukey(valid(spark, d)))
 
 
 # ---- normality --------------------------------------------------------------------------
 
-@query("shapiro_blocks")
+def shapiro_sql(table, columns):
+    """Royston's W the long way: a weight for each value of each block's column. ``judged`` holds a row for each."""
+    key = "md5(concat_ws('|', " + ", ".join(f"CAST(floor({c} * 1000) AS BIGINT)" for c in columns) + "))"
+    order = ", ".join(f"{c} ASC NULLS FIRST" for c in columns)
+    poly = (lambda coefficients, x: shapiro_polynomial(coefficients, x))
+    u, ln_n = "(1 / sqrt(n))", "ln(n)"
+    return f"""hashed AS (SELECT *, {key} AS key FROM {table}),
+dealt AS (SELECT *, (row_number() OVER (ORDER BY key, {order}) - 1) // {config.BLOCK_ROWS} AS block FROM hashed),
+long AS ({union_sql([f"SELECT block, '{c}' AS variable, CAST({c} AS DOUBLE) AS v FROM dealt WHERE {c} IS NOT NULL" for c in columns])}),
+r AS (SELECT *, row_number() OVER (PARTITION BY block, variable ORDER BY v) AS i, CAST(count(*) OVER (PARTITION BY block, variable) AS DOUBLE) AS n,
+  v - avg(v) OVER (PARTITION BY block, variable) AS x, stddev_pop(v) OVER (PARTITION BY block, variable) AS sd FROM long),
+m AS (SELECT *, {normal_quantile_sql('((i - 0.375) / (n + 0.25))')} AS m, {normal_quantile_sql('((n - 0.375) / (n + 0.25))')} AS m1,
+  {normal_quantile_sql('((n - 1.375) / (n + 0.25))')} AS m2 FROM r),
+a1 AS (SELECT *, sum(m * m) OVER (PARTITION BY block, variable) AS mm FROM m),
+a2 AS (SELECT *, {poly(shapiro.WEIGHT_LAST, u)} + m1 / sqrt(mm) AS w1, {poly(shapiro.WEIGHT_NEXT, u)} + m2 / sqrt(mm) AS w2 FROM a1),
+a3 AS (SELECT *, CASE WHEN i = n THEN w1 WHEN i = 1 THEN -w1 WHEN i = n - 1 THEN w2 WHEN i = 2 THEN -w2
+  ELSE m / sqrt((mm - 2 * m1 * m1 - 2 * m2 * m2) / (1 - 2 * w1 * w1 - 2 * w2 * w2)) END AS a FROM a2),
+s AS (SELECT variable, block, CAST(any_value(n) AS BIGINT) AS n, power(sum(a * x), 2) / sum(x * x) AS w,
+  max(greatest(i / n - ({normal_cdf_sql('(x / sd)')}), ({normal_cdf_sql('(x / sd)')}) - (i - 1) / n)) AS d FROM a3 GROUP BY variable, block),
+z AS (SELECT *, (ln(1 - w) - ({poly(shapiro.LARGE_MEAN, ln_n)})) / exp({poly(shapiro.LARGE_LOG_SD, ln_n)}) AS z,
+  d * sqrt(n) + 1 / (6 * sqrt(n)) + (d * sqrt(n) - 1) / (4 * n) AS kz FROM s),
+judged AS (SELECT variable, block, n, w, 1 - ({normal_cdf_sql('z')}) AS shapiro_p, d, {kolmogorov_sql('kz')} AS ks_p FROM z)"""
+
+
+def shapiro_polynomial(coefficients, x):
+    text = f"{coefficients[0]!r}::DOUBLE"
+    for c in coefficients[1:]:
+        text = f"({text} * {x} + ({c!r}::DOUBLE))"
+    return text
+
+
+def kolmogorov_sql(z):
+    """The alternating series, with as many terms as small arguments need."""
+    return (f"least(1, greatest(0, CASE WHEN {z} < 0.15 THEN 1 ELSE 2 * list_sum([(1 - 2 * ((j - 1) % 2)) * exp(-2 * j * j * {z} * {z}) "
+            "FOR j IN range(1, 120)]) END))")
+
+
+@query("shapiro_blocks", oracle("valid", shapiro_sql("valid", config.MEASURES) + """
+SELECT variable, block, n, round(w, 7) AS shapiro_stat, round(shapiro_p, 7) AS shapiro_p FROM judged"""))
 def shapiro_blocks(spark, d):
-    return normality.normality_blocks(valid(spark, d), config.MEASURES).select(
+    found = normality.normality_blocks(valid(spark, d), config.MEASURES).select(
         "variable", "block", "n", "shapiro_stat", "shapiro_p")
+    return rounded(found, 7, "shapiro_stat", "shapiro_p")
 
 
-@query("ks_normal", oracle("valid", "f AS (" + union_sql([
+KS_SQL = "f AS (" + union_sql([
     f"SELECT '{c}' AS variable, {c} AS x, count(*) OVER () AS n, avg({c}) OVER () AS mean, stddev_pop({c}) OVER () AS sd "
     f"FROM valid WHERE {c} IS NOT NULL" for c in config.MEASURES]) + f"""),
 d AS (SELECT variable, x, any_value(n) AS n, any_value((x - mean) / sd) AS z, count(*) AS copies FROM f GROUP BY variable, x),
 r AS (SELECT *, sum(copies) OVER (PARTITION BY variable ORDER BY x) - copies AS before FROM d),
-g AS (SELECT variable, n, before, copies, {normal_cdf_sql('z')} AS cdf FROM r)
-SELECT variable, any_value(n) AS n,
+g AS (SELECT variable, n, before, copies, {normal_cdf_sql('z')} AS cdf FROM r)"""
+
+
+@query("ks_normal", oracle("valid", KS_SQL + """ SELECT variable, any_value(n) AS n,
   round(max(greatest(cdf - before / n::DOUBLE, (before + copies) / n::DOUBLE - cdf)), 6) AS ks_stat FROM g GROUP BY variable"""))
 def ks_normal(spark, d):
     found = normality.ks_normal(staged(valid(spark, d), *config.MEASURES), config.MEASURES)
     return rounded(found, 6, "ks_stat").drop("ks_p")
 
 
-@query("ks_normal_pvalues")
+@query("ks_normal_pvalues", oracle("valid", KS_SQL + f""", k AS (SELECT variable, any_value(n) AS n,
+  max(greatest(cdf - before / n::DOUBLE, (before + copies) / n::DOUBLE - cdf)) AS d FROM g GROUP BY variable),
+z AS (SELECT *, d * sqrt(n) + 1 / (6 * sqrt(n)) + (d * sqrt(n) - 1) / (4 * n) AS z FROM k)
+SELECT variable, n, round(d, 6) AS ks_stat, round({kolmogorov_sql('z')}, 7) AS ks_p FROM z"""))
 def ks_normal_pvalues(spark, d):
-    return normality.ks_normal(staged(valid(spark, d), *config.MEASURES), config.MEASURES)
+    found = normality.ks_normal(staged(valid(spark, d), *config.MEASURES), config.MEASURES)
+    return rounded(rounded(found, 6, "ks_stat"), 7, "ks_p")
 
 
 # Two columns that are normal by construction, from a number of the row, so that a pair takes Pearson's branch.
@@ -299,7 +423,14 @@ def corr_auto_normal(spark, d):
     return rounded(correlation.correlations(staged(lines.select("amount", *normals)), pairs), 6, "corr")
 
 
-@query("normality_verdict")
+NORMALS = [*config.MEASURES, *config.DERIVED_NUMERIC]
+
+
+@query("normality_verdict", oracle("derived", shapiro_sql("derived", NORMALS) + f"""
+SELECT variable, CAST(sum(n) AS BIGINT) AS n, count(*) AS n_blocks, round(avg(w), 7) AS shapiro_stat, round(avg(shapiro_p), 7) AS shapiro_p,
+  round(avg(d), 6) AS ks_stat, round(avg(ks_p), 7) AS ks_p,
+  CASE WHEN avg(shapiro_p) > {config.ALPHA} AND avg(ks_p) > {config.ALPHA} THEN '{config.NORMAL_NOT_REJECTED}'
+       ELSE '{config.NORMAL_REJECTED}' END AS verdict FROM judged GROUP BY variable"""))
 def normality_verdict(spark, d):
-    lines = derived(spark, d)
-    return normality.verdict(normality.normality_table(lines, [*config.MEASURES, *config.DERIVED_NUMERIC]))
+    judged = normality.verdict(normality.normality_table(derived(spark, d), NORMALS))
+    return rounded(rounded(judged, 7, "shapiro_stat", "shapiro_p", "ks_p"), 6, "ks_stat")

@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketlens import config
-from basketlens.functions import normal, tails
+import scalar_tails as tails
+from basketlens.functions import normal
 from basketlens.operators import anova, association, correlation, describe, normality, plotdata
 
 
