@@ -61,6 +61,7 @@ DENSITY_POINTS = 200
 CLUSTERS = 3
 ELBOW_RANGE = range(2, 9)
 KMEANS_STARTS = 10  # each start is itself chosen by several oversampling passes (k-means||)
+SILHOUETTE_TOLERANCE = 1e-3  # of the silhouette in the segmentation's metrics
 FITS_AT_ONCE = 8  # K-Means fits side by side
 VECTOR_BYTES = 8 << 20  # of a partition of the vectors that they pass over
 SEED = 42
@@ -72,6 +73,15 @@ def present(df, columns):
     return [c for c in columns if c in have]
 
 
+# What is left out where a stage's optional column is absent.
+EXPECTED = {
+    "features": {"units": "amount_per_unit", "amount": "amount_per_unit, amount_segment, gross_amount", "birth_date": "age", "ts": "hour, recency_days, is_weekend",
+                 "customer_id": "purchase_freq", "receipt_id": "purchase_freq", "discount_pct": "gross_amount"},
+    "association": {"channel": "channel x store, channel x gender, is_weekend x channel", "store": "channel x store", "gender": "channel x gender, amount_segment x gender"},
+    "customers": {"amount": "amount_mean, amount_sum", "discount_pct": "discount_mean", "birth_date": "age_mean", "ts": "recency_min", "units": "amount_per_unit_mean"},
+}
+
+
 def missing(df, columns):
     """The expected columns that the frame lacks."""
     have = set(df.columns)

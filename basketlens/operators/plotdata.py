@@ -14,7 +14,9 @@ from basketlens.operators.order_stats import long_values
 from basketlens.operators.skew import attach_by_key
 
 RANK_CHUNK = 1_000
-STRETCH = 10  # grid points that are summed side by side
+CELL = 0.5  # width of a cell in bandwidths
+MOMENTS = 12
+KERNEL_REACH = 9.0  # bandwidths; beyond, a kernel is below 1e-17
 
 
 def histogram(df, columns, bins=config.HISTOGRAM_BINS):
@@ -41,31 +43,40 @@ def histogram(df, columns, bins=config.HISTOGRAM_BINS):
 
 
 def density(df, columns, points=config.DENSITY_POINTS):
-    """(variable, point, x, density): Gaussian kernel density with Scott's bandwidth.
+    """(variable, point, x, density): Gaussian kernel density with Scott's bandwidth h.
 
-    A distinct value is repeated for each stretch of the grid, whose points are aggregates side by side; the
-    sums are combined on the map side, so what is shuffled afterwards is ``points`` sums per task and column.
+    The values are counted into cells of half a bandwidth, each with its moments: sums of powers s**k / k! of the values' places s
+    (in bandwidths from the cell's middle, a quarter at most). As exp(-(t - s)**2 / 2) is the sum of s**k / k! · He_k(t) · exp(-t**2 / 2) with
+    Hermite's polynomials, a cell adds to a grid point the sum of its moments times He_k: with ``MOMENTS`` terms the remainder is
+    below 1e-11 for each value. One pass over the rows, combined on the map side; the cells' number depends on the range in bandwidths.
     """
     columns = present(df, columns)
     fitted = per_column(df, columns, n=F.count, sd=F.stddev_samp, low=F.min, high=F.max).where("n > 1 AND sd > 0")
     # One row per requested column.
     fitted = F.broadcast(fitted.withColumn("h", F.col("sd") * F.pow("n", F.lit(-0.2)))
                          .withColumn("step", (F.col("high") - F.col("low")) / (points - 1)))
-    weighted = long_values(df, columns).groupBy("variable", "value").agg(F.count("*").alias("w"))
-    stretch = F.explode(F.sequence(F.lit(0), F.lit((points - 1) // STRETCH))).alias("stretch")
-    placed = weighted.join(fitted, "variable").select("*", stretch)
-
-    def kernel(k):
-        x = F.col("low") + (F.col("stretch") * STRETCH + k) * F.col("step")
-        z = (x - F.col("value")) / F.col("h")
-        return F.sum(F.col("w") * F.exp(-z * z / 2)).alias(f"k{k}")
-
-    summed = placed.groupBy("variable", "stretch", "n", "h", "low", "step").agg(*[kernel(k) for k in range(STRETCH)])
-    point = (F.col("stretch") * STRETCH + F.col("k")).cast("bigint")
-    return (summed.select("*", F.posexplode(F.array(*[f"k{k}" for k in range(STRETCH)])).alias("k", "kernels"))
-            .select("variable", point.alias("point"), (F.col("low") + point * F.col("step")).alias("x"),
-                    (F.col("kernels") / (F.col("n") * F.col("h") * math.sqrt(2 * math.pi))).alias("density"))
-            .where(F.col("point") < points))
+    placed = (long_values(df, columns).join(fitted, "variable")
+              .withColumn("cell", F.floor((F.col("value") - F.col("low")) / F.col("h") / CELL))
+              .withColumn("s", (F.col("value") - F.col("low")) / F.col("h") - (F.col("cell") + 0.5) * CELL))
+    power, sums = F.lit(1.0), []
+    for k in range(MOMENTS):
+        sums.append(F.sum(power).alias(f"m{k}"))
+        power = power * F.col("s") / (k + 1)
+    cells = placed.groupBy("variable", "cell", "n", "h", "low", "step").agg(*sums)
+    grid = cells.select("*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point")).withColumn(
+        "t", F.col("point") * F.col("step") / F.col("h") - (F.col("cell") + 0.5) * CELL).where(F.abs("t") < KERNEL_REACH)
+    hermite, kernels = F.lit(1.0), F.lit(0.0)
+    for k in range(MOMENTS):
+        name = f"e{k}"
+        grid = grid.withColumn(name, hermite)
+        kernels = kernels + F.col(f"m{k}") * F.col(name)
+        hermite = F.col("t") * F.col(name) - k * (F.col(f"e{k - 1}") if k else F.lit(0.0))
+    summed = grid.groupBy("variable", "point", "n", "h", "low", "step").agg(F.sum(kernels * F.exp(-F.col("t") * F.col("t") / 2)).alias("kernels"))
+    every = fitted.select("variable", "n", "h", "low", "step", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
+    found = every.join(summed.select("variable", "point", "kernels"), ["variable", "point"], "left")
+    point = F.col("point").cast("bigint")
+    return found.select("variable", point.alias("point"), (F.col("low") + point * F.col("step")).alias("x"),
+                        (F.coalesce("kernels", F.lit(0.0)) / (F.col("n") * F.col("h") * math.sqrt(2 * math.pi))).alias("density"))
 
 
 def qq_points(df, columns):

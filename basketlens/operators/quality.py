@@ -1,12 +1,16 @@
 """Validation rules, null and duplicate profiles, outliers and the tiered null policy."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 from pyspark.sql import types as T
 
 from basketlens import config
 from basketlens.config import present
 from basketlens.functions import columns as C
 from basketlens.operators import order_stats
+from basketlens.operators.skew import attach_by_key
+from basketlens.sources.staging import materialize
+
+WIDE_COLUMNS = 4  # rows of more are counted by a digest before they are compared
 
 
 # ---- coercion and rules -----------------------------------------------------------------
@@ -94,12 +98,41 @@ def null_profile_groups(df, groups=None):
     return profile.select(group.alias("column_group"), "variable", "nulls", "pct")
 
 
-def duplicate_count(df, columns=None):
-    """One row: rows beyond the first of each identical set. Nulls equal each other."""
-    copies = df.groupBy(*(columns or df.columns)).agg(F.count("*").alias("n"))
+def row_digest(columns):
+    """128 bits of a row's values, nulls told from other values."""
+    given = [F.col(f"`{c}`") for c in columns]
+    absent = F.concat_ws("", *[F.when(c.isNull(), "1").otherwise("0") for c in given])
+    return F.struct(F.xxhash64(F.lit(1), absent, *given).alias("d1"), F.xxhash64(F.lit(2), *given, absent).alias("d2"))
+
+
+def duplicate_count(df, columns=None, wide=WIDE_COLUMNS):
+    """One row: rows beyond the first of each identical set. Nulls equal each other.
+
+    Rows of more than ``wide`` columns are counted by a digest of 16 bytes first; whole rows are only compared, by grouping them, where
+    a digest occurs again. A digest that very many rows share is not joined in one task.
+    """
+    columns = list(columns or df.columns)
+    rows = df.select(*[F.col(f"`{c}`") for c in columns])
+    if len(columns) > wide:
+        marked = rows.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), row_digest(columns).alias("digest")).select("row", "digest.*")
+        again = marked.groupBy("d1", "d2").agg(F.count("*").alias("n")).where("n > 1")
+        rows = attach_by_key(marked, again, ["d1", "d2"], "n").where("n IS NOT NULL").select("row.*")
+    copies = rows.groupBy(*[F.col(f"`{c}`") for c in columns]).agg(F.count("*").alias("n"))
     return copies.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicates"))
 
 
+def missing_columns(df, expected=None):
+    """(stage, variable, present, consequence): the optional columns of each stage, and what is left out without them."""
+    expected = expected or config.EXPECTED
+    rows = [(stage, c, lost) for stage, columns in expected.items() for c, lost in columns.items()]
+    wanted = df.sparkSession.createDataFrame(rows, "stage STRING, variable STRING, lost STRING")
+    # The schema of the frame, one row for each column; nothing of the frame is read.
+    schema = df.sparkSession.createDataFrame([(c,) for c in df.columns], "variable STRING").withColumn("found", F.lit(True))
+    present_ = F.coalesce("found", F.lit(False))
+    return wanted.join(F.broadcast(schema), "variable", "left").select(
+        "stage", "variable", present_.alias("present"), F.when(~present_, F.concat(F.lit("left out: "), F.col("lost"))).alias("consequence"))
+
+
 def type_table(df):
     """(variable, dtype, non_null): declared type and how many rows have a value."""
     counts = df.agg(*[F.count(c).alias(c) for c in df.columns])
@@ -161,15 +194,30 @@ def missingness_mechanism(df, targets=config.MISSINGNESS_TARGETS, probes=config.
         "not_mcar", F.col("relative_difference") > config.MISSINGNESS_SIGNAL)
 
 
+class StageLog:
+    """Row and column counts of stages as a by-product of writing them: the write observes its rows, no pass is added."""
+
+    def __init__(self, spark):
+        self.spark, self.stages = spark, []
+
+    def write(self, name, df):
+        """The frame written to the shared folder (see ``materialize``), logged under a name."""
+        seen = Observation(name)
+        written = materialize(df.observe(seen, F.count(F.lit(1)).alias("n_rows")))
+        self.stages.append((name, seen.get["n_rows"], len(df.columns)))
+        return written
+
+    def table(self):
+        """(stage, n_rows, n_columns) of the stages so far."""
+        return self.spark.createDataFrame(self.stages, "stage STRING, n_rows BIGINT, n_columns BIGINT")
+
+
 def stage_metrics(stages):
-    """(stage, n_rows, n_columns) for {stage name: frame}."""
-    metrics = [df.agg(F.count("*").alias("n_rows")).select(
-        F.lit(name).alias("stage"), "n_rows", F.lit(len(df.columns)).cast("bigint").alias("n_columns"))
-        for name, df in stages.items()]
-    out = metrics[0]
-    for more in metrics[1:]:
-        out = out.unionByName(more)
-    return out
+    """(stage, n_rows, n_columns) for {stage name: frame}, written one after the other."""
+    log = StageLog(next(iter(stages.values())).sparkSession)
+    for name, df in stages.items():
+        log.write(name, df)
+    return log.table()
 
 
 def _pct(part, total):

@@ -13,6 +13,7 @@ from basketlens import config
 from basketlens.config import present
 from basketlens.functions import columns as C
 from basketlens.operators import features, order_stats
+from basketlens.operators.silhouette import silhouette_euclidean
 from basketlens.sources.staging import materialize
 
 
@@ -222,7 +223,7 @@ def segment_customers(df, k=config.CLUSTERS, starts=config.KMEANS_STARTS, seed=c
     if k not in fits:
         raise ValueError(f"there are fewer than {k} different customers to cluster")
     assigned = assign_to_centres(scaled, [c + "_z" for c in columns], fits[k][0])
-    score = silhouette_squared(as_vectors(assigned, columns))
+    score = silhouette_euclidean(assigned, [c + "_z" for c in columns], tolerance=config.SILHOUETTE_TOLERANCE)
     return {
         "customers": assigned,
         "elbow": elbow_table(df.sparkSession, {n: fits[n] for n in ks if n in fits}),

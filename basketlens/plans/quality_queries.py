@@ -1,5 +1,7 @@
 """Sources, coercion, rules, profiles, outliers and the null policy."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from basketlens import config
@@ -9,6 +11,7 @@ from basketlens.plans.catalog import query
 from basketlens.plans.sales_view import (
     DERIVED_SQL, FEATURES_SQL, customers, derived, oracle, sales, staged, valid)
 from basketlens.sources import delimited
+from basketlens.sources.staging import remember, shared_folder
 
 ALL = ["receipt_id", "line_no", "sku", "units", "discount_pct", "amount", "store", "gender", "channel",
        "status", "product", "first_name", "last_name", "customer_run", "customer_id", "ts", "birth_date"]
@@ -28,13 +31,37 @@ def union_sql(parts):
 TEXT_COLUMNS = ["receipt_id", "units", "amount", "channel", "customer_id"]
 
 
-def sales_text(spark, d):
+def sales_text(spark, d, *extra):
     """Every sales line as delimited text, with a bad number on each thirteenth receipt."""
     lines = sales(spark, d)
     units = F.when(F.col("receipt_id") % 13 == 0, "abc").otherwise(F.col("units").cast("int").cast("string"))
     cents = F.round(F.col("amount") * 100).cast("bigint").cast("string")
     fields = [F.col("receipt_id").cast("string"), units, cents, F.col("channel"), F.col("customer_id")]
-    return lines.select(F.concat_ws(";", *[F.coalesce(f, F.lit("")) for f in fields]).alias("line"))
+    return lines.select(*extra, F.concat_ws(";", *[F.coalesce(f, F.lit("")) for f in fields]).alias("line"))
+
+
+def as_files(lines, *by):
+    """The lines as text files in the shared folder, one folder for each value of ``by``."""
+    spark = lines.sparkSession
+    path = remember(spark, f"{shared_folder(spark)}/text/{uuid.uuid4().hex}")
+    lines.write.partitionBy(*by).text(path)
+    return path
+
+
+@query("scan_bad_lines", oracle("sales", """
+SELECT CAST(store AS BIGINT) AS store, count(*) AS n_lines, count(*) FILTER (WHERE receipt_id % 19 = 0 OR receipt_id % 31 = 0) AS n_bad,
+  count(CASE WHEN receipt_id % 13 <> 0 AND receipt_id % 19 <> 0 AND receipt_id % 31 <> 0 THEN units END) AS units_parsed
+FROM sales GROUP BY store"""))
+def scan_bad_lines(spark, d):
+    """Files with short lines (each 19th receipt) and quotes that never end (each 31st), one folder for each store."""
+    lines = sales_text(spark, d, F.col("store").cast("bigint").alias("store"), F.col("receipt_id").alias("r"))
+    line = (F.when(F.col("r") % 19 == 0, F.substring_index("line", ";", 2))
+            .when(F.col("r") % 31 == 0, F.regexp_replace("line", "^([^;]*;[^;]*;[^;]*;)", '$1"')).otherwise(F.col("line")))
+    path = as_files(lines.select("store", line.alias("line")), "store")
+    scanned = delimited.scan_delimited(spark, path + "/*", TEXT_COLUMNS, header=False, bad="bad_line")
+    report = delimited.line_report(scanned, "bad_line", {"units_parsed": F.count(F.when(F.col("bad_line").isNull(), C.number(scanned, "units")))})
+    folder = F.regexp_extract("file", r"store=(\d+)", 1).cast("bigint")
+    return report.groupBy(folder.alias("store")).agg(*[F.sum(c).alias(c) for c in ("n_lines", "n_bad", "units_parsed")])
 
 
 @query("scan_delimited", oracle("sales", """
@@ -44,8 +71,8 @@ SELECT count(*) AS n_rows, count(CASE WHEN receipt_id % 13 <> 0 THEN units END)
   count(DISTINCT customer_id) AS customers
 FROM sales"""))
 def scan_delimited(spark, d):
-    lines = sales_text(spark, d)
-    fields = delimited.parse_delimited(lines, "line", TEXT_COLUMNS)
+    """Files of the lines, scanned as such."""
+    fields = delimited.scan_delimited(spark, as_files(sales_text(spark, d)), TEXT_COLUMNS, header=False)
     parsed = quality.coerce_numeric(fields, ["units", "amount"])
     return parsed.agg(F.count("*").alias("n_rows"), F.count("units").alias("units_parsed"),
                       F.sum("units").alias("units_sum"), F.count("amount").alias("amount_parsed"),
@@ -255,9 +282,23 @@ UNION ALL SELECT 'derived', count(*), 25 FROM derived
 UNION ALL SELECT 'complete', count(*), 25 FROM derived
   WHERE units IS NOT NULL AND discount_pct IS NOT NULL AND amount IS NOT NULL AND gender IS NOT NULL"""))
 def stage_metrics(spark, d):
-    lines, checked, full = sales(spark, d), valid(spark, d), derived(spark, d)
-    return quality.stage_metrics({"loaded": lines, "validated": checked, "derived": full,
-                                  "complete": quality.drop_null_rows(full, config.NUMERIC)})
+    """Each stage is written once and read by the next; its metrics come from the write."""
+    log = quality.StageLog(spark)
+    checked = log.write("validated", quality.validate_base(log.write("loaded", sales(spark, d))))
+    full = log.write("derived", quality.validate_derived(features.derive_features(checked)))
+    log.write("complete", quality.drop_null_rows(full, config.NUMERIC))
+    return log.table()
+
+
+# Optional columns that the frame lacks; the statement takes the column names from a row.
+@query("missing_columns", oracle("sales", """
+names AS (SELECT DISTINCT unnest(json_keys(to_json(s))) AS variable FROM (SELECT * EXCLUDE (birth_date, channel) FROM sales LIMIT 1) s)
+SELECT stage, e.variable, n.variable IS NOT NULL AS present,
+  CASE WHEN n.variable IS NULL THEN 'left out: ' || lost END AS consequence
+FROM (VALUES """ + ", ".join(f"('{stage}', '{c}', '{lost}')" for stage, columns in config.EXPECTED.items() for c, lost in columns.items())
+    + """) e(stage, variable, lost) LEFT JOIN names n ON e.variable = n.variable"""))
+def missing_columns(spark, d):
+    return quality.missing_columns(sales(spark, d).drop("birth_date", "channel"))
 
 
 # ---- outliers ---------------------------------------------------------------------------

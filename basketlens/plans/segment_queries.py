@@ -4,6 +4,7 @@ from pyspark.sql import Window, functions as F
 
 from basketlens import config
 from basketlens.operators import features, plotdata, quality, segment
+from basketlens.operators.silhouette import silhouette_euclidean
 from basketlens.plans.catalog import query
 from basketlens.plans.plot_queries import grid_sql
 from basketlens.plans.quality_queries import rounded
@@ -138,6 +139,20 @@ def silhouette(spark, d):
     return frame.agg(F.lit("squared euclidean").alias("measure"), F.round(F.lit(score), 6).alias("silhouette"))
 
 
+DISTANCE = "sqrt(" + " + ".join(f"power(a.{c} - b.{c}, 2)" for c in FEATURES) + ")"
+
+
+@query("silhouette_euclidean", oracle("customers", f"""{SCALED_SQL},
+t AS (SELECT a.customer_id, a.cluster, b.cluster AS other, sum({DISTANCE}) AS away, count(*) AS n FROM z a, z b GROUP BY ALL),
+s AS (SELECT customer_id, max(away / (n - 1)) FILTER (WHERE cluster = other) AS a,
+        min(away / n) FILTER (WHERE cluster <> other) AS b FROM t GROUP BY customer_id)
+SELECT 'euclidean' AS measure, round(avg((b - a) / greatest(a, b)), 6) AS silhouette FROM s"""))
+def silhouette_by_distance(spark, d):
+    frame = scaled(spark, d).withColumn("cluster", F.pmod("purchase_count", F.lit(3)))
+    score = silhouette_euclidean(frame, [f"{c}_z" for c in FEATURES], tolerance=1e-9)
+    return frame.agg(F.lit("euclidean").alias("measure"), F.round(F.lit(score), 6).alias("silhouette"))
+
+
 METRICS_NAMES = ", ".join(FEATURES)
 
 
@@ -200,8 +215,9 @@ def kmeans_assign(spark, d):
 
 @query("clustering_metrics")
 def clustering_metrics(spark, d):
+    """The metrics of the fitted clusters, with the silhouette by distance."""
     assigned = clustered(spark, d)
-    score = segment.silhouette_squared(segment.as_vectors(assigned, FEATURES))
+    score = silhouette_euclidean(assigned, [f"{c}_z" for c in FEATURES], tolerance=config.SILHOUETTE_TOLERANCE)
     return segment.clustering_metrics(assigned, config.CLUSTERS, FEATURES, score)
 
 

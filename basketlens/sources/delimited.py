@@ -14,18 +14,34 @@ def text_schema(columns):
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def scan_delimited(spark, path, columns=None, sep=";", header=True):
+def scan_delimited(spark, path, columns=None, sep=";", header=True, bad=None):
     """Lazy scan of delimited files; every field is text until it is validated.
 
     With ``columns`` there is no inference job and only the header is skipped. Split size is
-    ``spark.sql.files.maxPartitionBytes``.
+    ``spark.sql.files.maxPartitionBytes``. ``bad`` names a further text column that holds a malformed line as it is (too few
+    or too many fields, a quote that never ends) and is null otherwise; whole lines are parsed for it, whatever columns are read.
     """
     reader = spark.read.option("sep", sep).option("header", header).option("enforceSchema", True)
+    if bad is not None:
+        if columns is None:
+            raise ValueError("malformed lines can only be told by the expected columns")
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", bad).option("columnPruning", False)
+        columns = [*columns, bad]
     if columns is not None:
         reader = reader.schema(text_schema(columns))
     return reader.csv(path)
 
 
+def line_report(scanned, bad, more=None):
+    """(file, n_lines, n_bad) of a scan with a column of malformed lines, and further aggregates by name."""
+    extra = [a.alias(name) for name, a in (more or {}).items()]
+    # Spark doesn't read the column of malformed lines without any other.
+    other = next(c for c in scanned.columns if c != bad)
+    malformed = F.concat(F.col(bad), F.coalesce(F.col(other), F.lit("")))
+    return scanned.select("*", F.col("_metadata.file_path").alias("file")).groupBy("file").agg(
+        F.count("*").alias("n_lines"), F.count(malformed).alias("n_bad"), *extra)
+
+
 def parse_delimited(df, line, columns, sep=";"):
     """Parse a column of delimited lines into text fields."""
     ddl = ", ".join(f"{c} STRING" for c in columns)

@@ -7,6 +7,7 @@ from basketlens import config
 from basketlens.functions import columns as C
 from basketlens.operators import features, quality
 from basketlens.sources import delimited
+from basketlens.sources.staging import materialize
 
 
 def values(df, c, order="id"):
@@ -176,3 +177,51 @@ def test_head_and_seeded_sample(spark):
     assert sample.count() == 50
     assert sorted(values(sample, "id")) == sorted(values(delimited.seeded_sample(df.repartition(7), ["id"], 50), "id"))
     assert values(sample, "id") != values(delimited.seeded_sample(df, ["id"], 50, seed=1), "id")
+
+
+def test_bad_lines_of_files(spark, tmp_path):
+    (tmp_path / "one.csv").write_text('a;b;c\n1;2;3\n4;5\n"6;7;8\n9;10;11;12\n;;\n"x;y";z;\n')
+    (tmp_path / "two.csv").write_text("a;b;c\n1;2;3\n")
+    scanned = delimited.scan_delimited(spark, str(tmp_path), ["a", "b", "c"], bad="bad")
+    assert sorted(r["bad"] for r in scanned.collect() if r["bad"]) == ['"6;7;8', "4;5", "9;10;11;12"]
+    assert ("x;y", "z", None, None) in [tuple(r) for r in scanned.collect()]
+    report = {r["file"][-7:]: (r["n_lines"], r["n_bad"]) for r in delimited.line_report(scanned, "bad").collect()}
+    assert report == {"one.csv": (6, 3), "two.csv": (1, 0)}
+    with pytest.raises(ValueError):
+        delimited.scan_delimited(spark, str(tmp_path), bad="bad")
+
+
+def test_stage_log_adds_no_job(spark):
+    """Writing with the log starts as many jobs as writing alone, and an empty stage counts 0 rows."""
+    frame, tracker = spark.range(1000).repartition(3), spark.sparkContext.statusTracker()
+
+    def jobs(group, work):
+        spark.sparkContext.setJobGroup(group, group)
+        work()
+        return len(tracker.getJobIdsForGroup(group))
+
+    log = quality.StageLog(spark)
+    alone = jobs("alone", lambda: materialize(frame))
+    assert jobs("logged", lambda: log.write("all", frame)) == alone
+    log.write("none", frame.where("id < 0").withColumn("x", F.lit(1)))
+    spark.sparkContext.setJobGroup("rest", "rest")
+    assert [tuple(r) for r in log.table().collect()] == [("all", 1000, 1), ("none", 0, 2)]
+
+
+def test_missing_columns(spark):
+    df = spark.createDataFrame([(1.0, 2.0)], "amount DOUBLE, units DOUBLE")
+    found = {(r["stage"], r["variable"]): (r["present"], r["consequence"]) for r in quality.missing_columns(
+        df, {"features": {"units": "a", "ts": "hour"}, "customers": {"amount": "b", "ts": "recency"}}).collect()}
+    assert found == {("features", "units"): (True, None), ("features", "ts"): (False, "left out: hour"),
+                     ("customers", "amount"): (True, None), ("customers", "ts"): (False, "left out: recency")}
+
+
+def test_duplicates_by_digest(spark):
+    """Wide rows: nulls in different places differ, zeros of both signs don't, many copies of one row count."""
+    rows = [(None, "a", "b", 0.0, 1, "x y"), ("a", None, "b", 0.0, 1, "x y"), ("a", "b", None, -0.0, 1, "x y"), ("a", "b", None, 0.0, 1, "x y")]
+    rows += [("q", "r", "s", 2.5, 7, "t")] * 50 + [(None,) * 6] * 3
+    df = spark.createDataFrame(rows, "a STRING, b STRING, c STRING, d DOUBLE, e INT, `f.g` STRING").repartition(5)
+    assert [quality.duplicate_count(df, wide=w).first()[0] for w in (4, 10)] == [52, 52]
+    assert quality.duplicate_count(df.limit(0)).first()[0] == 0
+    digests = df.select(quality.row_digest(df.columns).alias("d"))
+    assert digests.schema["d"].dataType.simpleString() == "struct<d1:bigint,d2:bigint>"

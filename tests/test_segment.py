@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from basketlens.operators import segment
+from basketlens.operators import segment, silhouette
 
 COLUMNS = ["a", "b"]
 
@@ -132,3 +132,43 @@ def test_fits_stay_where_plain_lloyd_puts_them(spark):
 def test_fits_side_by_side_are_those_one_after_the_other(blobs):
     alone = segment.fit_kmeans(blobs, COLUMNS, range(2, 6), starts=4, at_once=1)
     assert segment.fit_kmeans(blobs, COLUMNS, range(2, 6), starts=4, at_once=8) == alone
+
+
+def brute_euclidean(x, label):
+    away = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=2))
+    scores = []
+    for i, own in enumerate(label):
+        if (label == own).sum() == 1:
+            scores.append(0.0)
+            continue
+        a = away[i][label == own].sum() / ((label == own).sum() - 1)
+        b = min(away[i][label == c].mean() for c in set(label) if c != own)
+        scores.append((b - a) / max(a, b) if max(a, b) > 0 else 0.0)
+    return np.mean(scores)
+
+
+@pytest.mark.parametrize("tolerance, block", [(1e-9, 16), (1e-3, 16), (0.05, 8), (1e-9, 4096)])
+def test_silhouette_by_distance(spark, blobs, tolerance, block):
+    """Within the tolerance, with blocks of any size; repeated points and a cluster of one point."""
+    rows = [(r["a_z"], r["b_z"], r["blob"]) for r in blobs.collect()] + [(0.5, 0.5, 1)] * 60 + [(9.0, 9.0, 7), (None, 1.0, 1)]
+    df = spark.createDataFrame(rows, "a DOUBLE, b DOUBLE, cluster INT").repartition(3)
+    whole = [r for r in rows if r[0] is not None]
+    want = brute_euclidean(np.array([r[:2] for r in whole]), np.array([r[2] for r in whole]))
+    assert silhouette.silhouette_euclidean(df, ["a", "b"], tolerance=tolerance, block_points=block) == pytest.approx(want, abs=tolerance)
+
+
+def test_far_cells_are_not_opened(spark):
+    """Two far clusters: the other cluster's summary stands for its points, so few blocks meet as points."""
+    draw = np.random.default_rng(8)
+    rows = [(float(x), float(y), k) for k in (0, 1) for x, y in draw.normal(2000 * k, 1, size=(400, 2))]
+    df = spark.createDataFrame(rows, "a DOUBLE, b DOUBLE, cluster INT")
+    opened = []
+    plain = silhouette._score
+    silhouette._score = lambda d, sizes: opened.append(1) or plain(d, sizes)
+    try:
+        got = silhouette.silhouette_euclidean(df, ["a", "b"], tolerance=1e-5, block_points=50)
+    finally:
+        silhouette._score = plain
+    assert opened and got == pytest.approx(brute_euclidean(np.array([r[:2] for r in rows]), np.array([r[2] for r in rows])), abs=1e-5)
+    with pytest.raises(ValueError):
+        silhouette.silhouette_euclidean(df.where("cluster = 0"), ["a", "b"])
