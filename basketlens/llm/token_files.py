@@ -32,7 +32,7 @@ from basketlens.llm import textbytes
 from basketlens.llm.registry import query, table
 from basketlens.sources.staging import shared_folder
 
-CACHED_CHUNKS = 2_000_000  # a worker's memory for chunks; it starts anew beyond that
+CACHED_CHUNKS = 1_000_000  # a worker's memory for chunks; it starts anew beyond that
 CHUNKS_AT_ONCE = 1024
 LETTERS_BELOW = 0x530  # Latin, Greek, Cyrillic
 LETTER = np.zeros(256, dtype=bool)
@@ -104,6 +104,8 @@ class _Chunks:
             given = "".join(byte_signs[b] for b in (c.lower() if self.folds else c).encode())
             if all(self._model_ids(a + given + b) == self._ids(a + c + b) for a, b in (("", ""), ("x", ""), ("", "x"), ("x", "x"))):
                 self.letters[ord(c)] = given
+        plain = [chr(c) for c in range(128) if chr(c).isalpha() and (chr(c).islower() or not self.folds)]
+        self.ascii = all(self.letters.get(ord(c)) == c for c in plain)
         letters, marks = "".join(map(chr, self.letters)), re.escape("".join(map(chr, self.marks)))
         self.word = re.compile(f"([{letters}]+)([{marks}]?)" if marks else f"([{letters}]+)()") if letters else re.compile("(?!)")
 
@@ -112,12 +114,13 @@ class _Chunks:
 
     def _learn(self, chunks):
         """Encode new chunks and keep them; the number of the first one's slot."""
-        found, rest = [None] * len(chunks), []
+        found, rest, tokenize, match = [None] * len(chunks), [], self.tokenizer.model.tokenize, self.word.fullmatch
         for k, chunk in enumerate(chunks):
             text = chunk.decode("utf-8", "replace")
-            word = self.word.fullmatch(text)
-            if word:
-                found[k] = self._model_ids(word[1].translate(self.letters))
+            if self.ascii and text.isalpha() and text.isascii() and (not self.folds or text.islower()):
+                found[k] = [t.id for t in tokenize(text)]  # every letter stands for itself
+            elif word := match(text):
+                found[k] = [t.id for t in tokenize(word[1].translate(self.letters))]
                 if word[2]:
                     found[k] += self.mark_ids[word[2]]
             else:
@@ -133,13 +136,15 @@ class _Chunks:
         at = np.empty(different.size, np.int64)
         at[back[::-1]] = np.arange(back.size)[::-1]
         keys = different.tolist()
-        fresh = [k for k, key in enumerate(keys) if key not in self.slots]
-        raw, low, high = data.tobytes(), starts[at].tolist(), ends[at].tolist()
-        for few in range(0, len(fresh), CHUNKS_AT_ONCE):
+        known = np.array([self.slots.get(key, -1) for key in keys], np.int64)
+        fresh = np.flatnonzero(known < 0)
+        raw = data.tobytes()
+        for few in range(0, fresh.size, CHUNKS_AT_ONCE):
             some = fresh[few:few + CHUNKS_AT_ONCE]
-            slot = self._learn([raw[low[k]:high[k]] for k in some])
-            self.slots.update(zip((keys[k] for k in some), range(slot, slot + len(some))))
-        slot = np.fromiter(map(self.slots.__getitem__, keys), np.int64, len(keys))[back] if keys else np.empty(0, np.int64)
+            first = self._learn([raw[a:b] for a, b in zip(starts[at[some]].tolist(), ends[at[some]].tolist())])
+            known[some] = np.arange(first, first + some.size)
+            self.slots.update(zip([keys[k] for k in some.tolist()], range(first, first + some.size)))
+        slot = known[back]
         for k in np.flatnonzero(~self._same(data, starts, ends, slot)).tolist():
             chunk = raw[starts[k]:ends[k]]
             if chunk not in self.rare:
