@@ -102,6 +102,46 @@ def seeded_sample(spark, d):
     return delimited.seeded_sample(customers(spark, d).select("customer_id", "purchase_count"), ["customer_id"], 500)
 
 
+# ---- sinks: written and read back -------------------------------------------------------
+
+def sink(spark, kind):
+    return remember(spark, f"{shared_folder(spark)}/{kind}/{uuid.uuid4().hex}")
+
+
+@query("sink_table", oracle("valid", """
+SELECT channel, CAST(store AS BIGINT) AS store, count(*) AS n, CAST(sum(units) AS BIGINT) AS units
+FROM valid GROUP BY channel, store"""))
+def sink_table(spark, d):
+    """A result table as CSV."""
+    cells = valid(spark, d).groupBy("channel", F.col("store").cast("bigint").alias("store")).agg(
+        F.count("*").alias("n"), F.sum("units").cast("bigint").alias("units"))
+    path = sink(spark, "csv")
+    delimited.write_table(cells, path)
+    return spark.read.option("header", True).schema(cells.schema).csv(path)
+
+
+@query("sink_parameters", oracle("valid", union_sql([
+    f"SELECT '{c}' AS variable, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std FROM valid" for c in config.MEASURES])))
+def sink_parameters(spark, d):
+    """Scaling parameters as JSON."""
+    path = sink(spark, "json")
+    delimited.write_parameters(features.scaling_parameters(valid(spark, d), config.MEASURES), path)
+    found = delimited.read_parameters(spark, path)
+    return rounded(found.withColumnRenamed("column", "variable"), 6, "mean", "std")
+
+
+@query("sink_report", oracle("valid", "p AS (" + union_sql([
+    f"SELECT '{c}' AS variable, count(*) - count({c}) AS nulls FROM valid" for c in ALL]) + """)
+SELECT variable || ': ' || nulls || ' nulls' AS line FROM p"""))
+def sink_report(spark, d):
+    """Report lines as text."""
+    lines = quality.null_profile(valid(spark, d)).select(
+        F.concat(F.col("variable"), F.lit(": "), F.col("nulls").cast("string"), F.lit(" nulls")).alias("line"))
+    path = sink(spark, "report")
+    delimited.write_report(lines, path)
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
 # ---- coercion and rules -----------------------------------------------------------------
 
 @query("coerce_numeric", oracle("sales", """

@@ -7,7 +7,8 @@ from basketlens.operators import features, plotdata, quality, segment
 from basketlens.operators.silhouette import silhouette_euclidean
 from basketlens.plans.catalog import query
 from basketlens.plans.plot_queries import grid_sql
-from basketlens.plans.quality_queries import rounded
+from basketlens.plans.quality_queries import rounded, sink
+from basketlens.sources import delimited
 from basketlens.plans.sales_view import customers, oracle, staged, valid
 
 FEATURES = config.CLUSTER_FEATURES
@@ -73,6 +74,17 @@ def assign_to_centres(spark, d):
     return segment.assign_to_centres(complete(spark, d), CENTRE_COLUMNS, CENTRES).select("customer_id", "cluster")
 
 
+@query("sink_clusters", oracle("customers", f"""{LABELLED_SQL},
+s AS (SELECT customer_id, {', '.join(f'{distance_sql(c)} AS d{i}' for i, c in enumerate(CENTRES))} FROM k)
+SELECT customer_id, CAST(CASE WHEN d0 <= d1 AND d0 <= d2 THEN 0 WHEN d1 <= d2 THEN 1 ELSE 2 END AS BIGINT) AS cluster
+FROM s"""))
+def sink_clusters(spark, d):
+    """The assignment as files, read back."""
+    path = sink(spark, "clusters")
+    delimited.write_clusters(assign_to_centres(spark, d), path)
+    return spark.read.parquet(path)
+
+
 PROFILE = [f"{c}_{s}" for c in FEATURES for s in ("mean", "median", "min", "max")]
 
 
