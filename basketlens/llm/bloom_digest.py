@@ -29,7 +29,7 @@ from pyspark.sql import Window, functions as F
 
 from basketlens.llm import textbytes
 from basketlens.llm.registry import query, table
-from basketlens.sources.staging import shared_folder
+from basketlens.sources.staging import remember, shared_folder
 
 WINDOW = 16
 REACH = 10
@@ -215,7 +215,7 @@ def compare_with_next(docs, id_column="doc_id", text_column="text"):
     ordered = (texts.withColumn("tie", F.xxhash64("text")).orderBy(F.desc_nulls_last("doc_id"), "tie", "place")
                .select("doc_id", "text"))
     # Hexadecimal digests shrink to half under a stronger codec.
-    path = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
+    path = remember(spark, f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}")
     ordered.mapInArrow(_neighbours(information), ROWS).write.option("compression", "zstd").parquet(path)
     walked = spark.read.schema(ROWS).parquet(path)
     # One row for each sorted part; the part after the last is the first.

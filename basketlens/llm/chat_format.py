@@ -28,7 +28,7 @@ from pyspark.sql import Window, functions as F
 
 from basketlens.llm.ordered import running_totals
 from basketlens.llm.registry import query, table
-from basketlens.sources.staging import shared_folder
+from basketlens.sources.staging import remember, shared_folder
 
 BUDGET = 1024
 RESERVE = 256
@@ -154,6 +154,6 @@ def op1(spark, sf_dir):
     odd = r"\### Assistant: </turn> ok"
     extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
                                   F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(odd).alias("text"))
-    path = f"{shared_folder(spark)}/windows/{uuid.uuid4().hex}"
+    path = remember(spark, f"{shared_folder(spark)}/windows/{uuid.uuid4().hex}")
     format_windows(turns.unionByName(extra)).write.parquet(path)
     return conversation_digests(spark.read.parquet(path))

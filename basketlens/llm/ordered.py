@@ -34,9 +34,13 @@ def running_totals(df, group, order, value):
 def bounded_sample(df, key, most, seed):
     """At most ``most`` rows, chosen by a hash of a key column; all rows where there are no more.
 
-    A threshold on the hash leaves about that many rows before the limit, so the limit gathers few.
+    A threshold on the hash leaves somewhat fewer rows, whatever the layout of the table; only where many rows share a
+    key can there be more, and then the smallest hashes are taken.
     """
     total = df.count()
     if total <= most:
         return df
-    return df.where(F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 30)) < int((1 << 30) * most / total)).limit(most)
+    place = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 30))
+    # Five deviations of a sample of this size below the bound.
+    drawn = df.where(place < int((1 << 30) * max(0.5 * most, most - 5 * most ** 0.5) / total))
+    return drawn if drawn.count() <= most else drawn.orderBy(place, *df.columns).limit(most)

@@ -30,7 +30,7 @@ from pyspark.sql import Window, functions as F
 
 from basketlens.llm import textbytes
 from basketlens.llm.registry import query, table
-from basketlens.sources.staging import shared_folder
+from basketlens.sources.staging import remember, shared_folder
 
 CACHED_CHUNKS = 1_000_000  # a worker's memory for chunks; it starts anew beyond that
 CHUNKS_AT_ONCE = 1024
@@ -281,7 +281,7 @@ def _checksums(batches):
 def op6(spark, sf_dir):
     import public_tokenizers
 
-    path = f"{shared_folder(spark)}/tokens/{uuid.uuid4().hex}"
+    path = remember(spark, f"{shared_folder(spark)}/tokens/{uuid.uuid4().hex}")
     write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     return read_tokens(spark, path).mapInArrow(
         _checksums, "doc_id BIGINT, start BIGINT, n_tokens BIGINT, ids_crc32 BIGINT")

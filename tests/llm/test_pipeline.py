@@ -17,7 +17,7 @@ ROWS = ([(1, "a b c d e f g", "en", "x", 13, 9, 0)] * 3 + [(None, None, None, No
 
 def test_every_number_has_its_query():
     names = registry.load()[0]
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 14))
 
 
 def test_stages_on_odd_rows(spark, tmp_path):
