@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from basketlens.llm import minhash_dedup, piece_lattice, secret_scan, source_mix, toxicity
 from basketlens.llm.registry import table
 from basketlens.shipping import ship
-from basketlens.sources.staging import materialize, shared_folder
+from basketlens.sources.staging import materialize, remember, shared_folder
 
 MIX_REPEATS = 1.5
 SENT_IDS = 2_000_000  # (id, hash) pairs of 16 bytes that are broadcast; a longer list is joined by a shuffle
@@ -72,9 +72,8 @@ def drop_near_duplicates(spark, docs, sf_dir):
 def mask_secrets(spark, docs, sf_dir):
     ship(spark)
     ratios = secret_scan.learn(docs, table(spark, sf_dir, "labels"))
-    _, spans = secret_scan.scan(F.col("text"), ratios)
-    marked = docs.select(_rows(docs), F.col("text"), F.when(F.col("text").isNotNull(), spans).alias("spans"))
-    marked = marked.withColumn("masked", F.when(F.size("spans") > 0, secret_scan.masked(F.col("text"), F.col("spans"))))
+    parts = F.when(F.col("text").isNotNull(), secret_scan.scan_segments(F.col("text"), ratios))
+    marked = docs.select(_rows(docs), parts.alias("parts")).select("row", secret_scan.masked_text(F.col("parts")).alias("masked"))
     row = F.when(F.col("masked").isNull(), F.col("row")).otherwise(
         F.col("row").withField("text", F.col("masked")).withField("n_chars", F.length("masked").cast("long")))
     return marked.select(row.alias("row")).select("row.*")
@@ -100,7 +99,7 @@ def run(spark, sf_dir):
     """All stages over the documents; the tables between them lie in the shared folder."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        path = f"{shared_folder(spark)}/corpus/{name}-{uuid.uuid4().hex}"
+        path = remember(spark, f"{shared_folder(spark)}/corpus/{name}-{uuid.uuid4().hex}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
