@@ -367,11 +367,17 @@ def _confirm(batches):
         yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _shingle_sets(texts, classes, wanted):
-    """(class, shingles) of the wanted classes, one row each, from the texts that stand for them."""
-    named = materialize(classes.join(wanted, "class", "left_semi").select("class", "c1", "c2", "known.*"))
+def _held(texts, classes, members):
+    """(class, c1, c2, text): one text of each class that shares a bucket with another, moved once for all that follows."""
+    named = materialize(classes.join(members.select("class").distinct(), "class", "left_semi").select("class", "c1", "c2", "known.*"))
     same = texts["id"].eqNullSafe(named["known_id"]) & (texts["digest"] == named["known_digest"])
-    sets = texts.join(named, same).select("text", "class", "c1", "c2").mapInArrow(_sets, "class BIGINT, shingles BINARY")
+    # The same join at every size: the texts are shuffled once, the named rows grow with them.
+    return materialize(texts.join(named.hint("merge"), same).select("class", "c1", "c2", "text"))
+
+
+def _shingle_sets(held, wanted):
+    """(class, shingles) of the wanted classes, one row each."""
+    sets = held.join(wanted, "class", "left_semi").mapInArrow(_sets, "class BIGINT, shingles BINARY")
     return materialize(sets.groupBy("class").agg(F.first("shingles").alias("shingles")))
 
 
@@ -408,13 +414,14 @@ def near_duplicates(docs, id_column="doc_id", text_column="text"):
     buckets = stats.groupBy("size", "x", "y").agg(F.min("band").alias("band"))
     members = materialize(bands.join(buckets.select("band", "size"), "band")
                           .select(F.col("band").alias("bucket"), "size", "class").distinct())
+    held = _held(texts, classes, members)
     tried = materialize(_candidates(_dealt(_labelled(members, None), BLOCK_MEMBERS), signed, forest=True).select("a", "b").distinct())
-    links = materialize(_confirmed(tried, _shingle_sets(texts, classes, _ends(tried).distinct())))
+    links = materialize(_confirmed(tried, _shingle_sets(held, _ends(tried).distinct())))
     mixed = materialize(_labelled(members, components(links)))
     rest = materialize(_candidates(_dealt(mixed, BLOCK_MEMBERS), signed, forest=False))
     pairs = materialize(rest.where("a is not null").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
     dense = _dealt(mixed.join(rest.where("a is null").select("bucket").distinct(), "bucket", "left_semi"), SET_BLOCK_MEMBERS)
-    sets = _shingle_sets(texts, classes, _ends(pairs).union(dense.select("class")).distinct())
+    sets = _shingle_sets(held, _ends(pairs).union(dense.select("class")).distinct())
     linked = (dense.join(sets, "class").select("bucket", "blocks", "class", "label", "side", "shingles")
               .repartition("bucket", "blocks").sortWithinPartitions("bucket", "blocks")
               .mapInArrow(_link_dense, "a BIGINT, b BIGINT"))
