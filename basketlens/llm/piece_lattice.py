@@ -1,7 +1,9 @@
 """SentencePiece encoding as a relational lattice, and decoding.
 
-A text is split at its blanks into words (each with the blank marks before it). Every different word goes
-through the lattice once: its substrings of bounded length are exploded, joined to the table of pieces by
+A text is split at its blanks into words (each with the blank marks before it), and these where no piece has the two
+characters side by side, which changes nothing and leaves fewer and shorter words. Every different word goes
+through the lattice once: its substrings of bounded length (no longer than the longest piece with their first three
+characters, by a join with these) are exploded, joined to the table of pieces by
 equality, the matches grouped by word as edges, and a fold over the edges in order of their ends
 keeps the best score and the edge behind it for every position (Viterbi). On equal scores the longer last
 piece wins. A character without a piece is an edge below all scores and is written as its UTF-8 bytes.
@@ -12,8 +14,7 @@ their batch, so texts and lists aren't shuffled. The most frequent words of a sm
 beforehand by the same lattice and sent to the tasks (at most ``SENT_WORDS``, each of at most ``SENT_LENGTH``
 characters); this saves their copies in every batch and changes no result.
 
-Words of more than ``FOLD_LENGTH`` characters are first cut where no piece has the two characters side by side, which
-changes nothing. What is still longer takes the same recurrence in a loop over its characters, as a fold over arrays
+Words of more than ``FOLD_LENGTH`` characters that no cut shortens take the same recurrence in a loop over its characters, as a fold over arrays
 would copy them at every step.
 
 Pieces and scores are read from the model file (never trained): the score of a path is the sum of its pieces' scores
@@ -29,11 +30,12 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from basketlens.llm import textbytes
 from basketlens.llm.registry import query, table
-from basketlens.sources.staging import materialize, shared_folder
+from basketlens.sources.staging import materialize, materialize_bucketed
 
 BLANK = "▁"
 FOLD_LENGTH = 200
@@ -41,6 +43,8 @@ BATCH_BYTES = 16 << 20
 SENT_WORDS = 300_000
 SENT_LENGTH = 32
 SAMPLE_TEXTS = 20_000
+IDS_AT_ONCE = 1 << 18
+CUTS_KEPT = 200_000  # words whose parts a task remembers
 WORDS_AT_ONCE = 20_000  # per partition of the lattice, so that its edges fit a task's memory
 RUNS = re.compile(" *[^ ]+| +")
 UNKNOWN_PENALTY = 10.0
@@ -74,6 +78,7 @@ class Pieces:
         self.table = {model.id_to_piece(i): (i, s) for i, s in zip(plain, scores)}
         self.unknown = min(s for _, s in self.table.values()) - UNKNOWN_PENALTY
         self.longest = max(map(len, self.table))
+        self.kept = {}
         self.pairs = {p[k:k + 2] for p in self.table for k in range(len(p) - 1)}
         self.texts = [b""] * model.get_piece_size()
         for p, (i, _) in self.table.items():
@@ -89,6 +94,24 @@ class Pieces:
         rows = [(p, i, float(s)) for p, (i, s) in self.table.items()]
         return spark.createDataFrame(rows, "piece STRING, id INT, score DOUBLE")
 
+    def reach(self, spark):
+        """(head, reach): the longest piece by the first three characters."""
+        longest = {}
+        for p in self.table:
+            longest[p[:3]] = max(longest.get(p[:3], 0), len(p))
+        return spark.createDataFrame(list(longest.items()), "head STRING, reach INT")
+
+    def parts(self, word):
+        """``cuts`` of a word, remembered."""
+        found = self.kept.get(word)
+        if found is None:
+            found = self.cuts(word)
+            if len(word) <= SENT_LENGTH:
+                if len(self.kept) >= CUTS_KEPT:
+                    self.kept.clear()
+                self.kept[word] = found
+        return found
+
     def cuts(self, word):
         """The word in parts between which no piece can reach."""
         at = [0] + [k for k in range(1, len(word)) if word[k - 1:k + 1] not in self.pairs] + [len(word)]
@@ -120,25 +143,28 @@ class Pieces:
 # ---- the lattice ------------------------------------------------------------------------
 
 def encode_words(words, pieces):
-    """(word, ids, places) of a frame (word, place) in which words repeat: their places are gathered.
+    """(word, ids, place) of a frame (word, place) in which words repeat.
 
-    One exchange by word serves all: places, edges and path of a word are grouped where the word is.
+    One exchange by word serves all: the different words, their edges and paths, and the places that these go back to.
     """
     spark = words.sparkSession
     size = F.length("word")
     parts = max(1, -(-words.count() // WORDS_AT_ONCE))
-    words = words.repartition(parts, "word").groupBy("word").agg(F.collect_list("place").alias("places"))
-    short = words.where(size <= FOLD_LENGTH)
-    # As many pieces as the model has: a table of fixed size.
-    known = F.broadcast(pieces.frame(spark))
-    edges = (short.where(size > 0).select("word", "places", F.explode(F.sequence(F.lit(0), size - 1)).alias("start"))
-             .select("word", "places", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(pieces.longest), size - F.col("start")))).alias("width"))
+    words = words.repartition(parts, "word")
+    different = words.select("word").distinct()
+    short = different.where(size <= FOLD_LENGTH)
+    # As many pieces as the model has: tables of fixed size.
+    known, reach = F.broadcast(pieces.frame(spark)), F.broadcast(pieces.reach(spark))
+    width = F.least(F.coalesce("reach", F.lit(2)), size - F.col("start"))
+    edges = (short.where(size > 0).select("word", F.explode(F.sequence(F.lit(0), size - 1)).alias("start"))
+             .withColumn("head", F.substring("word", F.col("start") + 1, F.lit(3))).join(reach, "head", "left")
+             .select("word", "start", F.explode(F.sequence(F.lit(1), width)).alias("width"))
              .withColumn("piece", F.substring("word", F.col("start") + 1, F.col("width")))
              .join(known, "piece", "left").where("id is not null or width = 1")
-             .select("word", "places", F.struct((F.col("start") + F.col("width")).alias("end"), "start",
+             .select("word", F.struct((F.col("start") + F.col("width")).alias("end"), "start",
                                       F.coalesce("id", F.lit(BYTE_PIECE)).alias("id"),
                                       F.coalesce("score", F.lit(pieces.unknown)).alias("score")).alias("edge")))
-    lattice = edges.groupBy("word").agg(F.array_sort(F.collect_list("edge")).alias("edges"), F.first("places").alias("places"))
+    lattice = edges.groupBy("word").agg(F.array_sort(F.collect_list("edge")).alias("edges"))
 
     node = "STRUCT<score: DOUBLE, start: INT, id: INT>"
     first = F.struct(F.array().cast(f"ARRAY<{node}>").alias("nodes"), F.lit(0).alias("end"),
@@ -152,7 +178,7 @@ def encode_words(words, pieces):
         better = closed | (score > state["best"]["score"])
         return F.struct(nodes.alias("nodes"), e["end"].alias("end"), F.when(better, own).otherwise(state["best"]).alias("best"))
 
-    nodes = lattice.select("word", "places", F.aggregate("edges", first, step, lambda s: F.concat(s["nodes"], F.array(s["best"]))).alias("nodes"))
+    nodes = lattice.select("word", F.aggregate("edges", first, step, lambda s: F.concat(s["nodes"], F.array(s["best"]))).alias("nodes"))
     part = "STRUCT<start: INT, end: INT, id: INT>"
 
     def back(state, _):
@@ -163,7 +189,7 @@ def encode_words(words, pieces):
 
     end = F.struct(F.size("nodes").alias("at"), F.array().cast(f"ARRAY<{part}>").alias("path"))
     end = end.withField("at", F.size("nodes") - 1)
-    path = nodes.select("word", "places", F.aggregate(F.sequence(F.lit(1), F.size("nodes") - 1), end, back, lambda s: s["path"]).alias("path"))
+    path = nodes.select("word", F.aggregate(F.sequence(F.lit(1), F.size("nodes") - 1), end, back, lambda s: s["path"]).alias("path"))
     lowest = pieces.byte_ids[0] if pieces.byte_ids else 0
 
     def ids_of(x):
@@ -172,16 +198,17 @@ def encode_words(words, pieces):
                              lambda k: F.conv(F.substring(character, k, F.lit(2)), 16, 10).cast("int") + lowest)
         return F.when(x["id"] == BYTE_PIECE, bytes_).otherwise(F.array(x["id"]))
 
-    folded = path.select("word", F.flatten(F.transform("path", ids_of)).alias("ids"), "places")
+    folded = path.select("word", F.flatten(F.transform("path", ids_of)).alias("ids"))
 
     def by_characters(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
-                [batch["word"], pa.array([pieces.viterbi(w) for w in batch["word"].to_pylist()], pa.list_(pa.int32())), batch["places"]],
-                ["word", "ids", "places"])
+                [batch["word"], pa.array([pieces.viterbi(w) for w in batch["word"].to_pylist()], pa.list_(pa.int32()))], ["word", "ids"])
 
-    schema = folded.schema
-    return folded.union(words.where(size > FOLD_LENGTH).mapInArrow(by_characters, schema))
+    long = different.where(size > FOLD_LENGTH).mapInArrow(by_characters, folded.schema)
+    # Each kind of word goes back to its places on its own, by the same exchange.
+    return (folded.join(words.where(size <= FOLD_LENGTH), "word").select("word", "ids", "place")
+            .union(long.join(words.where(size > FOLD_LENGTH), "word").select("word", "ids", "place")))
 
 
 # ---- texts as lists of words ------------------------------------------------------------
@@ -194,9 +221,7 @@ def split_words(text, pieces):
         words = [w.replace(" ", BLANK) for w in RUNS.findall(" " + text)]
     else:
         words = [BLANK + w for w in text.split(" ")]
-    if len(max(words, key=len)) > FOLD_LENGTH:
-        words = [x for w in words for x in (pieces.cuts(w) if len(w) > FOLD_LENGTH else (w,))]
-    return words
+    return [part for w in words for part in pieces.parts(w)]
 
 
 def _count_words(pieces):
@@ -303,14 +328,10 @@ def encode(docs, model_path, id_column="doc_id", text_column="text"):
     values, bounds = _flat(frequent["ids"].to_pylist())
     sent = spark.sparkContext.broadcast((frequent["word"].to_pylist(), (values, bounds)))
 
-    name = f"word_batches_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (texts.mapInArrow(_batches_of(pieces, sent), BATCHED).write.bucketBy(buckets, "batch").option("compression", "zstd")
-     .option("path", f"{shared_folder(spark)}/tables/{name}").saveAsTable(name))
-    words = spark.table(name).where("word is not null").select("word", F.struct("batch", "code").alias("place"))
-    encoded = (encode_words(words, pieces).select(F.explode("places").alias("place"), "ids")
-               .select(F.col("place.batch").alias("of"), F.col("place.code").alias("code"), "ids"))
-    lists = spark.table(name).where("codes is not null").select("batch", "id", "codes")
+    batched = materialize_bucketed(texts.mapInArrow(_batches_of(pieces, sent), BATCHED), ["batch"])
+    words = batched.where("word is not null").select("word", F.struct("batch", "code").alias("place"))
+    encoded = encode_words(words, pieces).select(F.col("place.batch").alias("of"), F.col("place.code").alias("code"), "ids")
+    lists = batched.where("codes is not null").select("batch", "id", "codes")
     found = (lists.groupBy("batch").cogroup(encoded.groupBy("of"))
              .applyInArrow(_assemble(sent), "id BIGINT, ids ARRAY<INT>"))
     return found.withColumnRenamed("id", id_column)
@@ -319,11 +340,33 @@ def encode(docs, model_path, id_column="doc_id", text_column="text"):
 def decode(ids, model_path):
     """The text of a column of ids."""
     texts = Pieces(model_path).texts
+    sizes = np.array([len(t) for t in texts], np.int64)
+    starts, flat = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(texts), np.uint8)
+
+    def some(lists):
+        """Texts of a slice of id lists, by places in the bytes of all pieces."""
+        bounds, values = lists.offsets.to_numpy().astype(np.int64), lists.values.to_numpy()
+        values, bounds = values[bounds[0]:bounds[-1]], bounds - bounds[0]
+        lengths = sizes[values]
+        until = np.concatenate([[0], np.cumsum(lengths)])
+        data = flat[np.arange(until[-1]) + np.repeat(starts[values] - until[:-1], lengths)]
+        edges = until[bounds]
+        low, high = edges[:-1], edges[1:]
+        # The blank that was put before the first word.
+        low = low + ((high > low) & (np.append(data, 0)[low] == 32))
+        raw = data.tobytes()
+        return [raw[a:b].decode("utf-8", "replace") for a, b in zip(low.tolist(), high.tolist())]
 
     @F.arrow_udf("STRING")
     def joined(column: pa.Array) -> pa.Array:
-        return pa.array([None if x is None else b"".join([texts[i] for i in x]).decode("utf-8", "replace").removeprefix(" ")
-                         for x in column.to_pylist()], pa.string())
+        filled = column.fill_null(pa.scalar([], column.type)) if column.null_count else column
+        counts = np.diff(filled.offsets.to_numpy().astype(np.int64))
+        # Slices of about so many ids; a longer text is one.
+        cuts = np.flatnonzero(np.diff(np.cumsum(counts) // IDS_AT_ONCE, prepend=0)).tolist()
+        cuts = [0, *(k for k in cuts if k), len(counts)]
+        made = [pa.array(some(filled.slice(a, b - a)), pa.string()) for a, b in zip(cuts, cuts[1:]) if b > a]
+        out = pa.concat_arrays(made) if made else pa.array([], pa.string())
+        return pc.if_else(column.is_null(), pa.scalar(None, pa.string()), out) if column.null_count else out
 
     return joined(ids)
 

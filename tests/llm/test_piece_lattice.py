@@ -57,8 +57,10 @@ def score(model, ids):
 def test_words_against_the_library(spark, pieces, unigram):
     words = [m.BLANK + w for w in ("oftionnten", "zyxw", "über", "naïve", "\x00a", "aaaaaaaaaaaaaaaaaaaaaaaaaaa", "b")] + ["é", m.BLANK * 20]
     rows = [(w, k) for k, w in enumerate(words + words[:2])]
-    got = {r["word"]: (list(r["ids"]), sorted(r["places"])) for r in
-           m.encode_words(spark.createDataFrame(rows, "word STRING, place INT"), pieces).collect()}
+    got = {}
+    for r in m.encode_words(spark.createDataFrame(rows, "word STRING, place INT"), pieces).collect():
+        got.setdefault(r["word"], (list(r["ids"]), []))[1].append(r["place"])
+    got = {w: (ids, sorted(places)) for w, (ids, places) in got.items()}
     assert got == {w: (pieces.viterbi(w), [k for x, k in rows if x == w]) for w in words}
     for w in words[:-2]:
         assert unigram.encode(w.removeprefix(m.BLANK)) == got[w][0]
@@ -79,3 +81,12 @@ def test_cutting_changes_nothing(pieces, text):
 
 def test_empty_table(spark):
     assert m.encode(spark.createDataFrame([], "doc_id LONG, text STRING"), MODEL).count() == 0
+
+
+def test_decoding_slices_and_invalid_bytes(spark, pieces, monkeypatch):
+    """Short slices, nulls, empty lists, and bytes that are no text."""
+    monkeypatch.setattr(m, "IDS_AT_ONCE", 3)
+    odd = [[pieces.byte_ids[0xE9], pieces.byte_ids[65]], [], None, by_loop(pieces, "naïve 日本語 x"), by_loop(pieces, "  two blanks "), [pieces.byte_ids[32]]]
+    frame = spark.createDataFrame([(k, x) for k, x in enumerate(odd * 5)], "k INT, ids ARRAY<INT>").repartition(2)
+    got = [r["t"] for r in frame.select("k", m.decode(F.col("ids"), MODEL).alias("t")).orderBy("k").collect()]
+    assert got == ["\ufffdA", "", None, "naïve 日本語 x", "  two blanks ", ""] * 5
