@@ -67,3 +67,66 @@ def test_copies_ties_and_single_rows(spark):
     alone = m.compare_with_next(docs.where("doc_id is null")).collect()
     assert [(r["n_chars"], r["near_next"]) for r in alone] == [(1, 1.0)]
     assert m.compare_with_next(docs.limit(0)).count() == 0
+
+
+# ---- the digest by plain loops, sharing only the constants -------------------------------
+
+def plain_hash(window):
+    """The polynomial of a window's bytes, scrambled."""
+    full, base = (1 << 64) - 1, 0x9E3779B97F4A7C15 | 1
+    x = sum((b + 1) * pow(base, k, 1 << 64) for k, b in enumerate(window)) & full
+    x ^= x >> 30
+    x = x * 0xBF58476D1CE4E5B9 & full
+    x ^= x >> 27
+    x = x * 0x94D049BB133111EB & full
+    return x ^ (x >> 31)
+
+
+def plain_filters(text, information):
+    """(number of windows, set of bits) of each filter of a text."""
+    data = text.encode()
+    if not data:
+        return []
+    if len(data) < m.SHORT_TEXT:
+        chosen = [data[k:k + m.SHORT_WINDOW] for k in range(max(1, len(data) - m.SHORT_WINDOW + 1))]
+    else:
+        ranks = []
+        for k in range(len(data) - m.WINDOW + 1):
+            w = data[k:k + m.WINDOW]
+            rare = sum(int(information[a * 256 + b]) for a, b in zip(w, w[1:]))
+            ranks.append((rare, (w[0] * 0x9E37 + w[-1] * 0x85EB) & 0xFFFF))
+        chosen = [data[k:k + m.WINDOW] for k, r in enumerate(ranks) if r == max(ranks[max(0, k - m.REACH):k + m.REACH + 1])]
+    kept = [w for k, w in enumerate(chosen) if not k or plain_hash(w) != plain_hash(chosen[k - 1])]
+    out = []
+    for low in range(0, len(kept), m.FILTER_FEATURES):
+        some = kept[low:low + m.FILTER_FEATURES]
+        out.append((len(some), {(plain_hash(w) >> (11 * k)) % m.FILTER_BITS for w in some for k in range(m.HASHES)}))
+    return out
+
+
+def plain_likeness(one, two):
+    if one == two:
+        return 1.0
+    if not one or not two:
+        return 0.0
+    if len(one) > len(two):
+        one, two = two, one
+    total = 0.0
+    for n, bits in one:
+        best = 0.0
+        for _, other in two:
+            chance, most = len(bits) * len(other) / m.FILTER_BITS, min(len(bits), len(other))
+            best = max(best, min(1.0, max(0.0, (len(bits & other) - chance) / max(most - chance, 1e-9))))
+        total += n * best
+    return total / sum(n for n, _ in one)
+
+
+def test_digest_by_plain_loops(rows):
+    information = np.random.default_rng(4).integers(0, 3000, 65536).astype(np.int32)
+    texts = [t or "" for _, t in rows][:24] + ["", "ab", "a" * 300, "short text", "😀" * 40]
+    plain, ours = [plain_filters(t, information) for t in texts], [m.fingerprint(t, information) for t in texts]
+    for p, (counts, bits) in zip(plain, ours):
+        assert [n for n, _ in p] == counts.tolist()
+        assert [sorted(b) for _, b in p] == [np.flatnonzero(np.unpackbits(row)).tolist() for row in bits]
+    for k in range(len(texts) - 1):
+        assert m.likeness(ours[k], ours[k + 1]) == pytest.approx(plain_likeness(plain[k], plain[k + 1]), abs=1e-12)

@@ -61,3 +61,36 @@ def test_no_labels(spark):
     labels = spark.createDataFrame([(1, 0), (None, 1), (1, None)], "doc_id LONG, toxic INT")
     assert m.train(docs, labels) is None
     assert m.without_toxic(docs, None).count() == 1
+
+
+def plain_loss(theta, x, grades):
+    """Minus the mean log-likelihood, by a loop over rows."""
+    w, t = theta[:2], sorted(theta[2:])
+    total = 0.0
+    for row, grade in zip(x, grades):
+        score = row @ w
+        above = [1.0] + [1 / (1 + np.exp(c - score)) for c in t] + [0.0]
+        total -= np.log(max(above[grade] - above[grade + 1], 1e-12))
+    return total / len(grades)
+
+
+def test_fit_against_a_plain_optimiser():
+    """Pattern search on the loss finds the same weights and thresholds."""
+    draw = np.random.default_rng(5)
+    x = draw.integers(0, 2, (150, 2)).astype(float)
+    noise = np.log(1 / draw.uniform(1e-9, 1, 150) - 1)
+    score = x @ np.array([1.5, -1.0]) + noise
+    grades = (score > 0.2).astype(int) + (score > 1.5)
+    theta, step = np.array([0.0, 0.0, 0.0, 1.0]), 1.0
+    best = plain_loss(theta, x, grades)
+    while step > 1e-4:
+        tries = [theta + step * s * np.eye(4)[k] for k in range(4) for s in (1, -1)]
+        losses = [plain_loss(t, x, grades) for t in tries]
+        if min(losses) < best:
+            best, theta = min(losses), tries[int(np.argmin(losses))]
+        else:
+            step /= 2
+    rows, columns = np.nonzero(x)
+    w, t = m.fit_ordinal(rows, columns, np.ones(rows.size), grades, 2, steps=3000, ridge=0.0)
+    assert plain_loss(np.concatenate([w, t]), x, grades) == pytest.approx(best, abs=1e-6)
+    assert np.allclose(np.concatenate([w, t]), theta, atol=2e-2)
