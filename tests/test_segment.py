@@ -88,6 +88,24 @@ def test_customer_table(spark):
         segment.usable_features(df.select("customer_id"))
 
 
+def test_recency_comes_from_the_latest_lines_in_one_pass(spark):
+    rows = [("a", "2024-01-01 10:00:00"), ("a", "2024-01-03 12:00:00"), ("b", "2024-01-09 13:00:00"), ("c", None), (None, "2024-01-10 12:00:00")]
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.createDataFrame(rows, "customer_id STRING, ts STRING").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    found = segment.customer_table(df.mapInArrow(counted, df.schema))
+    assert found.columns == ["customer_id", "recency_min", "purchase_count"]
+    # The latest line has no customer, and counts all the same.
+    assert {r["customer_id"]: r["recency_min"] for r in found.collect()} == {"a": 7.0, "b": 0.0, "c": None}
+    found.count()
+    assert seen.value == len(rows)
+
+
 def test_profile_and_interpretation(spark):
     rows = [("a", 1, 10.0, 100.0, 5.0), ("b", 3, 30.0, 10.0, 5.0), ("c", 9, 900.0, 1.0, 5.0)]
     df = spark.createDataFrame(rows, "customer_id STRING, purchase_count BIGINT, amount_sum DOUBLE, recency_min DOUBLE, age_mean DOUBLE")
