@@ -3,6 +3,7 @@
 import os
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -190,3 +191,32 @@ def test_far_cells_are_not_opened(spark):
     assert opened and got == pytest.approx(brute_euclidean(np.array([r[:2] for r in rows]), np.array([r[2] for r in rows])), abs=1e-5)
     with pytest.raises(ValueError):
         silhouette.silhouette_euclidean(df.where("cluster = 0"), ["a", "b"])
+
+
+def test_distances_of_points_that_nearly_agree():
+    """Far from the origin and close to each other, products would lose the digits that differences keep."""
+    draw = np.random.default_rng(3)
+    a = np.concatenate([1e6 + draw.normal(0, 1e-3, size=(300, 3)), np.full((40, 3), 1e6)])
+    b = np.concatenate([a[:280], draw.normal(0, 1, size=(20, 3))])
+    away = np.sqrt(((a[:, None, :] - b[None, :, :]) ** 2).sum(axis=2))
+    by_a, by_b = silhouette._distance_sums(a, b)
+    np.testing.assert_allclose(by_a, away.sum(axis=1), rtol=1e-10)
+    np.testing.assert_allclose(by_b, away.sum(axis=0), rtol=1e-10)
+
+
+def test_near_blocks_meet_once(monkeypatch):
+    """Two blocks that ask for each other are computed once, and a block is sent once for all that it meets in a group."""
+    draw = np.random.default_rng(4)
+    points = {(c, b): draw.normal(size=(5, 2)) for c, b in ((0, 0), (0, 1), (1, 1))}
+    rows = [{"kind": 0, "cluster": c, "block": b, "values": x.ravel().tolist()} for (c, b), x in points.items()]
+    rows += [{"kind": 1, "q_cluster": q[0], "q_block": q[1], "cluster": o[0], "block": o[1]} for q in points for o in points]
+    schema = pa.schema([(c, pa.int64()) for c in ("ga", "gb", "kind", "q_cluster", "q_block", "cluster", "block")] + [("values", pa.list_(pa.float64()))])
+    batches = [pa.RecordBatch.from_pylist([{"ga": 0, "gb": 0, **r} for r in part], schema) for part in (rows[:5], rows[5:])]
+    met, plain = [], silhouette._distance_sums
+    monkeypatch.setattr(silhouette, "_distance_sums", lambda a, b: met.append(1) or plain(a, b))
+    found = {(r["q_cluster"], r["q_block"], r["cluster"]): r["sums"] for batch in silhouette._near(2)(batches) for r in batch.to_pylist()}
+    assert len(met) == 6 and len(found) == 6
+    for (c, b, other), sums in found.items():
+        theirs = np.concatenate([x for (k, _), x in points.items() if k == other])
+        want = np.sqrt(((points[c, b][:, None, :] - theirs[None, :, :]) ** 2).sum(axis=2)).sum(axis=1)
+        np.testing.assert_allclose(sums, want, rtol=1e-10)
