@@ -115,7 +115,9 @@ def duplicate_count(df, columns=None, wide=WIDE_COLUMNS):
     rows = df.select(*[F.col(f"`{c}`") for c in columns])
     if len(columns) > wide:
         marked = rows.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), row_digest(columns).alias("digest")).select("row", "digest.*")
-        again = marked.groupBy("d1", "d2").agg(F.count("*").alias("n")).where("n > 1")
+        again = materialize(marked.groupBy("d1", "d2").agg(F.count("*").alias("n")).where("n > 1"))
+        if again.isEmpty():  # no two rows can agree, so the rows needn't be read again
+            return again.agg(F.count("*").alias("duplicates"))
         rows = attach_by_key(marked, again, ["d1", "d2"], "n").where("n IS NOT NULL").select("row.*")
     copies = rows.groupBy(*[F.col(f"`{c}`") for c in columns]).agg(F.count("*").alias("n"))
     return copies.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicates"))

@@ -269,7 +269,8 @@ SELECT 'channel and product', count(*) - (SELECT count(*) FROM (SELECT DISTINCT
 UNION ALL
 SELECT 'receipt line', count(*) - (SELECT count(*) FROM (SELECT DISTINCT receipt_id, line_no FROM sales)) FROM sales"""))
 def duplicate_count(spark, d):
-    lines = sales(spark, d)
+    """The joined lines are written once for the three scopes."""
+    lines = staged(sales(spark, d))
     scopes = {"line": None, "channel and product": ["channel", "product"], "receipt line": ["receipt_id", "line_no"]}
     counts = [quality.duplicate_count(lines, cols).select(F.lit(s).alias("scope"), "duplicates")
               for s, cols in scopes.items()]

@@ -225,3 +225,17 @@ def test_duplicates_by_digest(spark):
     assert quality.duplicate_count(df.limit(0)).first()[0] == 0
     digests = df.select(quality.row_digest(df.columns).alias("d"))
     assert digests.schema["d"].dataType.simpleString() == "struct<d1:bigint,d2:bigint>"
+
+
+def test_rows_without_a_repeated_digest_are_read_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(50).select(*[(F.col("id") * k).alias(f"c{k}") for k in range(6)])
+    found = quality.duplicate_count(df.mapInArrow(counted, df.schema))
+    assert found.schema.simpleString() == "struct<duplicates:bigint>" and found.first()[0] == 0 and seen.value == 50
+    assert quality.duplicate_count(df.union(df.where("id < 7")).mapInArrow(counted, df.schema)).first()[0] == 7
