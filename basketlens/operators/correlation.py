@@ -10,7 +10,7 @@ from basketlens.functions.columns import number
 from basketlens.operators import normality, order_stats, plotdata
 from basketlens.operators.association import present_pairs
 from basketlens.operators.quality import numeric_columns
-from basketlens.operators.skew import attach_by_key
+from basketlens.operators.skew import attach_by_key, tasks_for
 
 
 def all_pairs(columns):
@@ -82,13 +82,16 @@ def with_average_ranks(df):
 def correlation_by_block(blocked, pairs, block="block"):
     """(var1, var2, pearson, spearman, n, n_blocks): both coefficients per block, averaged.
 
-    Blocks are bounded (see skew.with_blocks), so ranking one in a window is bounded too.
+    Blocks are bounded (see skew.with_blocks), so ranking one in a window is bounded too; so are the blocks that a task
+    takes, as they are dealt to tasks by their number.
     """
     cells = F.array(*[F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"), number(blocked, a).alias("x"),
                                number(blocked, b).alias("y")) for a, b in present_pairs(blocked, pairs)])
     rows = (blocked.select(block, F.explode(cells).alias("c")).select(block, "c.*")
             .where("x IS NOT NULL AND y IS NOT NULL"))
     keys = [block, "var1", "var2"]
+    tasks = tasks_for(blocked.sparkSession, blocked.count() * len(present_pairs(blocked, pairs)))
+    rows = rows.repartition(tasks, *keys)
     ranked = rows.withColumns({f"rank_{c}": F.rank().over(Window.partitionBy(*keys).orderBy(c))
                                + (F.count("*").over(Window.partitionBy(*keys, c)) - 1) / 2 for c in ("x", "y")})
 

@@ -6,6 +6,12 @@ from basketlens.sources.staging import checkpoint, materialize, written_bytes
 
 BROADCAST_BYTES = 8 << 20  # as written; a few times that in memory
 HOT_KEYS = 1_000
+SORTED_ROWS = 250_000  # of one task
+
+
+def tasks_for(spark, rows):
+    """As many tasks as leave each at most about ``SORTED_ROWS`` rows to sort, and no fewer than there are cores."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // SORTED_ROWS))
 
 
 def attach_by_key(rows, table, keys, weight, broadcast_bytes=BROADCAST_BYTES, hot_keys=HOT_KEYS):
@@ -40,12 +46,14 @@ def attach_by_key(rows, table, keys, weight, broadcast_bytes=BROADCAST_BYTES, ho
 def with_row_number(df, order_by, name="row_number"):
     """Consecutive 1-based numbers in a total order, without a single-task window.
 
-    One distributed sort, written to the checkpoint folder so its partitions are fixed; then
-    a count per partition gives each partition its offset. Identical rows are told apart by
+    The rows are written first, as the sort reads them twice (its ranges are sampled) and their number sets its tasks, so that
+    a task's memory doesn't grow with the table. Then one distributed sort, written to the checkpoint folder so its partitions
+    are fixed; a count per partition gives each partition its offset. Identical rows are told apart by
     their scan position, so a large group of copies also spreads over the sort partitions.
     """
-    tied = df.withColumn("_tie", F.monotonically_increasing_id())
-    placed = checkpoint(tied.orderBy(*order_by, "_tie").drop("_tie"))
+    tied = materialize(df.withColumn("_tie", F.monotonically_increasing_id()))
+    ranges = tied.repartitionByRange(tasks_for(df.sparkSession, tied.count()), *order_by, "_tie")
+    placed = checkpoint(ranges.sortWithinPartitions(*order_by, "_tie").drop("_tie"))
     placed = placed.withColumn("_id", F.monotonically_increasing_id())
     part = F.shiftright("_id", 33)
     place = F.col("_id").bitwiseAND((1 << 33) - 1)

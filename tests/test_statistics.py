@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from basketlens import config
 import scalar_tails as tails
 from basketlens.functions import normal
-from basketlens.operators import anova, association, correlation, describe, normality, plotdata
+from basketlens.operators import anova, association, correlation, describe, normality, plotdata, skew
 
 
 def pairs_frame(spark, table):
@@ -223,3 +223,19 @@ def test_frequencies_keep_nulls(spark):
     df = spark.createDataFrame([("a",), ("a",), (None,), ("b",)], "channel STRING")
     assert [(r["value"], r["n"]) for r in describe.frequencies(df, ["channel"]).collect()] == [("a", 2), (None, 1), ("b", 1)]
     assert [r["value"] for r in describe.top_frequencies(df, "channel", 1).collect()] == ["a"]
+
+
+def test_sorts_take_more_tasks_for_more_rows(spark, monkeypatch):
+    """What a task sorts is bounded by its rows, for the numbering and for the blocks' windows, and changes no result."""
+    df = spark.range(600).select(F.pmod(F.col("id") * 7, F.lit(600)).alias("a"), F.pmod(F.col("id") * 11, F.lit(13)).alias("b"))
+
+    def run():
+        blocked = skew.with_blocks(df, ["a", "b"], 100)
+        found = correlation.correlation_by_block(blocked, [("a", "b")])
+        return sorted(blocked.collect()), found.collect(), blocked.rdd.getNumPartitions()
+
+    few = run()
+    monkeypatch.setattr(skew, "SORTED_ROWS", 50)
+    many = run()
+    assert many[0] == few[0] and many[2] == 12 > few[2]
+    assert tuple(many[1][0][:2]) == ("a", "b") and many[1][0]["spearman"] == pytest.approx(few[1][0]["spearman"])
