@@ -318,25 +318,25 @@ def _labelled(members, labels):
     return labelled.join(mixed.where("low <> high").select("bucket"), "bucket", "left_semi")
 
 
-def _dealt(labelled, block_members):
-    """(bucket, blocks, class, label, side): each member in every task of its bucket that it belongs to."""
-    # A bucket of one block is a task's group as it is.
-    whole = labelled.where(F.col("size") <= block_members).select(
-        "bucket", F.lit(0).cast("long").alias("blocks"), "class", "label", F.lit(0).alias("side"))
+def _dealt(members, block_members, payload):
+    """(bucket, blocks, class, label, side, payload): each member in every task of its bucket that it belongs to.
+
+    The payload is joined before, so a join makes one row for each member of a bucket, however many tasks the member goes to.
+    A bucket of one block is a task's group as it is.
+    """
     blocks = F.ceil(F.col("size") / block_members).cast("int")
-    own = F.pmod(F.col("class"), blocks).cast("int")
+    own = F.pmod(F.col("class"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     # A block's members join the tasks of its pairs once; the block with itself is side 0.
     side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)
     pair = F.least("own", "other").cast("long") * F.col("blocks") + F.greatest("own", "other")
-    cut = (labelled.where(F.col("size") > block_members).withColumn("blocks", blocks).withColumn("own", own)
-           .select("*", other).select("bucket", pair.alias("blocks"), "class", "label", side.alias("side")))
-    return whole.union(cut)
+    return (members.withColumn("blocks", blocks).withColumn("own", own).select("*", other)
+            .select("bucket", pair.alias("blocks"), "class", "label", side.alias("side"), payload))
 
 
-def _candidates(dealt, classes, forest):
+def _candidates(labelled, signed, forest):
     """Surviving pairs (a, b) of members with different labels, and null pairs for dense groups."""
-    rows = (dealt.join(classes, "class").select("bucket", "blocks", "class", "label", "side", "signature")
+    rows = (_dealt(labelled.join(signed, "class"), BLOCK_MEMBERS, "signature")
             .repartition("bucket", "blocks").sortWithinPartitions("bucket", "blocks"))
     return rows.mapInArrow(_compare(forest), "a BIGINT, b BIGINT, bucket BIGINT, blocks BIGINT")
 
@@ -415,14 +415,14 @@ def near_duplicates(docs, id_column="doc_id", text_column="text"):
     members = materialize(bands.join(buckets.select("band", "size"), "band")
                           .select(F.col("band").alias("bucket"), "size", "class").distinct())
     held = _held(texts, classes, members)
-    tried = materialize(_candidates(_dealt(_labelled(members, None), BLOCK_MEMBERS), signed, forest=True).select("a", "b").distinct())
+    tried = materialize(_candidates(_labelled(members, None), signed, forest=True).select("a", "b").distinct())
     links = materialize(_confirmed(tried, _shingle_sets(held, _ends(tried).distinct())))
     mixed = materialize(_labelled(members, components(links)))
-    rest = materialize(_candidates(_dealt(mixed, BLOCK_MEMBERS), signed, forest=False))
+    rest = materialize(_candidates(mixed, signed, forest=False))
     pairs = materialize(rest.where("a is not null").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
-    dense = _dealt(mixed.join(rest.where("a is null").select("bucket").distinct(), "bucket", "left_semi"), SET_BLOCK_MEMBERS)
+    dense = mixed.join(rest.where("a is null").select("bucket").distinct(), "bucket", "left_semi")
     sets = _shingle_sets(held, _ends(pairs).union(dense.select("class")).distinct())
-    linked = (dense.join(sets, "class").select("bucket", "blocks", "class", "label", "side", "shingles")
+    linked = (_dealt(dense.join(sets, "class"), SET_BLOCK_MEMBERS, "shingles")
               .repartition("bucket", "blocks").sortWithinPartitions("bucket", "blocks")
               .mapInArrow(_link_dense, "a BIGINT, b BIGINT"))
     labels = components(links.union(_confirmed(pairs, sets)).union(linked))

@@ -125,3 +125,20 @@ def test_sets_with_keys_equal_in_one_lane():
     two = m.distinct_keys(np.array([5, 7, 9, 11, 12], np.uint64), np.array([2, 3, 5, 1, 1], np.uint64))
     assert m.shared_keys(one, two) == m.shared_keys(two, one) == 2
     assert m.numbered(np.concatenate([one, two])).tolist() == [0, 1, 2, 3, 1, 2, 4, 5, 6]
+
+
+def test_members_are_joined_once_and_dealt_with_what_they_bring(spark):
+    rows = [(7, 10, c, c, bytes([c])) for c in range(10)] + [(8, 2, c, c, bytes([c])) for c in (3, 4)]
+    members = spark.createDataFrame(rows, "bucket LONG, size LONG, class LONG, label LONG, signature BINARY")
+    dealt = m._dealt(members, 4, "signature").collect()
+    assert all(bytes(r["signature"]) == bytes([r["class"]]) for r in dealt)
+    # Ten members in three blocks: each pair meets in one task, in the other tasks on the same side.
+    for bucket, classes in ((7, range(10)), (8, (3, 4))):
+        for a in classes:
+            for b in classes:
+                if a < b:
+                    sides = [{r["class"]: r["side"] for r in dealt if (r["bucket"], r["blocks"]) == (bucket, k)}
+                             for k in {r["blocks"] for r in dealt if r["bucket"] == bucket}]
+                    met = [s for s in sides if a in s and b in s and (s[a] == 0 or s[a] != s[b])]
+                    assert len(met) == 1, (a, b)
+    assert {(r["blocks"], r["side"]) for r in dealt if r["bucket"] == 8} == {(0, 0)}
