@@ -44,7 +44,8 @@ SENT_WORDS = 300_000
 SENT_LENGTH = 32
 SAMPLE_TEXTS = 20_000
 IDS_AT_ONCE = 1 << 18
-CUTS_KEPT = 200_000  # words whose parts a task remembers
+CUTS_KEPT = 200_000  # words and parts that a task remembers
+COUNTED_AT_ONCE = 50_000  # different words that a task of the sample counts before it hands them on
 WORDS_AT_ONCE = 20_000  # per partition of the lattice, so that its edges fit a task's memory
 RUNS = re.compile(" *[^ ]+| +")
 UNKNOWN_PENALTY = 10.0
@@ -78,7 +79,7 @@ class Pieces:
         self.table = {model.id_to_piece(i): (i, s) for i, s in zip(plain, scores)}
         self.unknown = min(s for _, s in self.table.values()) - UNKNOWN_PENALTY
         self.longest = max(map(len, self.table))
-        self.kept = {}
+        self.kept, self.kept_parts = {}, 0
         self.pairs = {p[k:k + 2] for p in self.table for k in range(len(p) - 1)}
         self.texts = [b""] * model.get_piece_size()
         for p, (i, _) in self.table.items():
@@ -105,12 +106,16 @@ class Pieces:
         """``cuts`` of a word, remembered."""
         found = self.kept.get(word)
         if found is None:
-            found = self.cuts(word)
+            cut = self.cuts(word)
+            # Most words have no cut; they are kept as themselves.
+            found = (word,) if len(cut) == 1 else tuple(cut)
             if len(word) <= SENT_LENGTH:
-                if len(self.kept) >= CUTS_KEPT:
+                if self.kept_parts + len(cut) > CUTS_KEPT:
                     self.kept.clear()
-                self.kept[word] = found
-        return found
+                    self.kept_parts = 0
+                self.kept[word] = found if len(cut) > 1 else word
+                self.kept_parts += len(cut)
+        return (found,) if type(found) is str else found
 
     def cuts(self, word):
         """The word in parts between which no piece can reach."""
@@ -225,15 +230,22 @@ def split_words(text, pieces):
 
 
 def _count_words(pieces):
+    """(word, n), words again and again: a task never holds many, and sums are Spark's."""
     def run(batches):
         from collections import Counter
-        for batch in batches:
-            seen = Counter()
-            for text in batch["text"].to_pylist():
-                seen.update(split_words(text, pieces))
+
+        def rows(seen):
             kept = [(w, n) for w, n in seen.items() if len(w) <= SENT_LENGTH]
-            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in kept], pa.string()), pa.array([n for _, n in kept], pa.int64())],
-                                             ["word", "n"])
+            return pa.RecordBatch.from_arrays([pa.array([w for w, _ in kept], pa.string()), pa.array([n for _, n in kept], pa.int64())],
+                                              ["word", "n"])
+        seen = Counter()
+        for batch in batches:
+            for text in batch["text"]:
+                seen.update(split_words(text.as_py(), pieces))
+                if len(seen) >= COUNTED_AT_ONCE:
+                    yield rows(seen)
+                    seen.clear()
+        yield rows(seen)
     return run
 
 
@@ -243,7 +255,7 @@ BATCHED = "batch BIGINT, id BIGINT, codes BINARY, code INT, word STRING"
 def _batches_of(pieces, sent):
     """Rows of texts (batch, id, codes) and of their words (batch, code, word)."""
     def run(batches):
-        known = {w: k for k, w in enumerate(sent.value[0])}
+        known = sent.value
         ids, codes, local, held = [], [], {}, 0
 
         def rows():
@@ -263,9 +275,9 @@ def _batches_of(pieces, sent):
         for batch in batches:
             for low, data, offsets in textbytes.slices(batch["text"]):
                 n = offsets.size - 1
-                for i, text in zip(batch["id"].slice(low, n).to_pylist(), batch["text"].slice(low, n).to_pylist()):
+                for i, text in zip(batch["id"].slice(low, n).to_pylist(), batch["text"].slice(low, n)):
                     # Words sent beforehand count from 0 up, the batch's own from -1 down.
-                    numbers = [known[w] if w in known else -1 - local.setdefault(w, len(local)) for w in split_words(text, pieces)]
+                    numbers = [known[w] if w in known else -1 - local.setdefault(w, len(local)) for w in split_words(text.as_py(), pieces)]
                     ids.append(i)
                     codes.append(pa.compress(np.array(numbers, np.int32).tobytes(), codec="zstd", asbytes=True) if numbers else b"")
                 held += data.size
@@ -284,29 +296,35 @@ def _flat(lists):
     return values, bounds
 
 
-def _assemble(sent):
+def _assemble(sent_ids):
     def run(texts, words):
         # Ids of all words: those sent, then the batch's own by number.
-        values, bounds = sent.value[1]
+        values, bounds = sent_ids.value
         order = np.argsort(words["code"].to_numpy())
         lists = words["ids"].combine_chunks()
         own = lists.take(pa.array(order)) if len(order) else lists
         sizes = np.concatenate([np.diff(bounds), np.diff(own.offsets.to_numpy()) if len(order) else np.empty(0, np.int64)]).astype(np.int64)
         starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]) if sizes.size else np.empty(0, np.int64)
         flat = np.concatenate([values, own.flatten().to_numpy() if len(order) else np.empty(0, np.int32)])
-        out, lengths = [], []
-        for code in texts["codes"].to_pylist():
-            if not code:
-                lengths.append(0)
-                continue
-            numbers = np.frombuffer(_plain(code), np.int32)
-            numbers = np.where(numbers >= 0, numbers, bounds.size - 2 - numbers)
-            n = sizes[numbers]
-            ends = np.cumsum(n)
-            out.append(flat[np.arange(ends[-1]) + np.repeat(starts[numbers] - ends + n, n)])
-            lengths.append(int(ends[-1]))
-        joined = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()),
-                                          pa.array(np.concatenate(out) if out else np.empty(0, np.int32), pa.int32()))
+        codes, lengths = texts["codes"], np.zeros(texts.num_rows, np.int64)
+
+        def numbers_of(code):
+            numbers = np.frombuffer(_plain(code.as_py()), np.int32)
+            return np.where(numbers >= 0, numbers, bounds.size - 2 - numbers)
+
+        for k, code in enumerate(codes):
+            if len(code.as_buffer()):
+                lengths[k] = sizes[numbers_of(code)].sum()
+        ends = np.cumsum(lengths)
+        # The ids are written once, to their places.
+        out = np.empty(int(ends[-1]) if ends.size else 0, np.int32)
+        for k, code in enumerate(codes):
+            if lengths[k]:
+                numbers = numbers_of(code)
+                n = sizes[numbers]
+                upto = np.cumsum(n)
+                out[ends[k] - lengths[k]:ends[k]] = flat[np.arange(lengths[k]) + np.repeat(starts[numbers] - upto + n, n)]
+        joined = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(out))
         return pa.table({"id": texts["id"], "ids": joined})
     return run
 
@@ -326,14 +344,16 @@ def encode(docs, model_path, id_column="doc_id", text_column="text"):
                .orderBy(F.desc("n"), "word").limit(SENT_WORDS).select("word"))
     frequent = encode_words(materialize(counted.withColumn("place", F.lit(0))), pieces).toArrow()
     values, bounds = _flat(frequent["ids"].to_pylist())
-    sent = spark.sparkContext.broadcast((frequent["word"].to_pylist(), (values, bounds)))
+    # The numbers of the words and their ids are sent apart: no task needs both.
+    sent = spark.sparkContext.broadcast({w: k for k, w in enumerate(frequent["word"].to_pylist())})
+    sent_ids = spark.sparkContext.broadcast((values, bounds))
 
     batched = materialize_bucketed(texts.mapInArrow(_batches_of(pieces, sent), BATCHED), ["batch"])
     words = batched.where("word is not null").select("word", F.struct("batch", "code").alias("place"))
     encoded = encode_words(words, pieces).select(F.col("place.batch").alias("of"), F.col("place.code").alias("code"), "ids")
     lists = batched.where("codes is not null").select("batch", "id", "codes")
     found = (lists.groupBy("batch").cogroup(encoded.groupBy("of"))
-             .applyInArrow(_assemble(sent), "id BIGINT, ids ARRAY<INT>"))
+             .applyInArrow(_assemble(sent_ids), "id BIGINT, ids ARRAY<INT>"))
     return found.withColumnRenamed("id", id_column)
 
 

@@ -90,3 +90,20 @@ def test_decoding_slices_and_invalid_bytes(spark, pieces, monkeypatch):
     frame = spark.createDataFrame([(k, x) for k, x in enumerate(odd * 5)], "k INT, ids ARRAY<INT>").repartition(2)
     got = [r["t"] for r in frame.select("k", m.decode(F.col("ids"), MODEL).alias("t")).orderBy("k").collect()]
     assert got == ["\ufffdA", "", None, "naïve 日本語 x", "  two blanks ", ""] * 5
+
+
+def test_a_task_remembers_and_counts_a_bounded_number_of_words(monkeypatch):
+    import pyarrow as pa
+
+    pieces = m.Pieces(MODEL)
+    monkeypatch.setattr(m, "CUTS_KEPT", 50)
+    monkeypatch.setattr(m, "COUNTED_AT_ONCE", 10)
+    words = [f"qz{k}x一{k}" for k in range(200)]
+    for word in words * 2:
+        assert list(pieces.parts(word)) == pieces.cuts(word) and pieces.kept_parts <= 50
+        assert sum(1 if isinstance(found, str) else len(found) for found in pieces.kept.values()) == pieces.kept_parts
+    texts = pa.RecordBatch.from_arrays([pa.array([" ".join(words), None, "", " ".join(words)])], ["text"])
+    parts = list(m._count_words(pieces)([texts]))
+    assert len(parts) == 3  # two long texts fill one each; what is left, nothing, is the last
+    expected = [w for w in m.split_words(" ".join(words), pieces) if len(w) <= m.SENT_LENGTH]
+    assert sum(sum(p["n"].to_pylist()) for p in parts) == 2 * len(expected)
