@@ -69,6 +69,18 @@ def normal_quantile(p):
     return F.when((p > 0) & (p < 1), value)
 
 
+def normal_quantile_array(p):
+    p = np.asarray(p, dtype=float)
+    q = p - 0.5
+    r = 0.180625 - q * q
+    middle = q * _polynomial(r, MIDDLE_ABOVE) / _polynomial(r, MIDDLE_BELOW)
+    t = np.sqrt(-np.log(np.minimum(p, 1 - p)))
+    near = _polynomial(t - 1.6, NEAR_ABOVE) / _polynomial(t - 1.6, NEAR_BELOW)
+    far = _polynomial(t - 5, FAR_ABOVE) / _polynomial(t - 5, FAR_BELOW)
+    outer = np.where(t <= 5, near, far)
+    return np.where(np.abs(q) <= 0.425, middle, np.where(q < 0, -outer, outer))
+
+
 # ---- the same in SQL, for checks --------------------------------------------------------
 
 def _polynomial_sql(x, coefficients):

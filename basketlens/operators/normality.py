@@ -1,14 +1,17 @@
 """Shapiro–Wilk on bounded blocks, Kolmogorov–Smirnov on blocks and on the full data."""
 
-from pyspark.sql import Window, functions as F
+from functools import lru_cache
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
 
 from basketlens import config
 from basketlens.functions import shapiro, tails
-from basketlens.functions.normal import normal_cdf
+from basketlens.functions.normal import normal_cdf, normal_cdf_array, normal_quantile_array
 from basketlens.functions.columns import number
 from basketlens.operators import order_stats
 from basketlens.operators.describe import per_column
-from basketlens.operators.order_stats import long_values
 from basketlens.operators.skew import with_blocks
 
 
@@ -17,29 +20,53 @@ def block_key(columns):
     return F.md5(F.concat_ws("|", *[F.floor(F.col(c) * 1000).cast("string") for c in columns]))
 
 
+@lru_cache(maxsize=256)
+def _scores(n):
+    """Blom's scores of a sample of n values in ascending order (see shapiro.normal_score)."""
+    return normal_quantile_array((np.arange(1, n + 1) - 0.375) / (n + 0.25))
+
+
+def _sums_of(values):
+    """What both tests need of one sample; the distance is null where the values have no spread."""
+    v = np.sort(values)
+    n = v.size
+    with np.errstate(invalid="ignore", over="ignore"):  # infinite values
+        x = v - v.mean()
+        spread = float(np.dot(x, x))
+        score, ends = _scores(n), float(v[-1] - v[0])
+        d = None
+        if v[0] != v[-1]:
+            cdf = normal_cdf_array(x / np.sqrt(spread / n))
+            cdf[np.isnan(cdf)] = 1.0
+            rank = np.arange(1, n + 1)
+            d = float(np.maximum(rank / n - cdf, cdf - (rank - 1) / n).max())
+        return (float(n), float(np.dot(score, x)), float(np.dot(score, score)), spread, ends,
+                float(v[-2] - v[1]) if n > 1 else None, d)
+
+
+def _sample_sums(columns):
+    def run(key, block):
+        rows = [(c, key[0].as_py(), *_sums_of(values)) for c in columns
+                if len(values := block[c].drop_null().to_numpy())]
+        names = ["variable", "block", "n", "scored", "squares", "spread", "ends", "next_ends", "d"]
+        types = [pa.string(), pa.int64(), *[pa.float64()] * 7]
+        return pa.table([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names=names)
+    return run
+
+
 def normality_blocks(df, columns, block_rows=config.BLOCK_ROWS):
     """(variable, block, n, shapiro_stat, shapiro_p, ks_stat, ks_p) of blocks of ``block_rows`` rows.
 
     Both tests are defined for small samples only, so rows are dealt into blocks: in the order of a hash of
     the used values, which has nothing to do with the values' order nor with the layout of the data. Equal
-    rows are interchangeable, so every layout gives the same blocks. Within a block's column values are ranked by a
-    window, whose partitions are never larger than a block; all else is sums. The normal is fitted with the population deviation.
+    rows are interchangeable, so every layout gives the same blocks. Wide rows are shuffled by block; a task takes one block after the
+    other and sorts its columns, a bounded number of values each, into a few sums. The normal is fitted with the population deviation.
     """
     wide = df.select(*[number(df, c).alias(c) for c in columns])
     blocked = with_blocks(wide.withColumn("_key", block_key(columns)), ["_key", *columns], block_rows, "block")
-    rows = long_values(blocked.drop("_key"), columns, ["block"])
-    sample = Window.partitionBy("block", "variable")
-    ranked = rows.select(
-        "block", "variable", "value", F.row_number().over(sample.orderBy("value")).alias("rank"), F.count("*").over(sample).cast("double").alias("n"),
-        (F.col("value") - F.avg("value").over(sample)).alias("x"), F.stddev_pop("value").over(sample).alias("sd"))
-    scored = ranked.withColumns({"score": shapiro.normal_score(F.col("rank"), F.col("n")),
-                                 "cdf": F.when(F.col("sd") > 0, normal_cdf(F.col("x") / F.col("sd")))})
-    at = (lambda rank: F.max(F.when(F.col("rank") == rank, F.col("value"))))
-    sums = scored.groupBy("variable", "block").agg(
-        F.first("n").alias("n"), F.sum(F.col("score") * F.col("x")).alias("scored"), F.sum(F.col("score") * F.col("score")).alias("squares"),
-        F.sum(F.col("x") * F.col("x")).alias("spread"), (F.max("value") - F.min("value")).alias("ends"),
-        (at(F.col("n") - 1) - at(F.lit(2))).alias("next_ends"),
-        F.max(F.greatest(F.col("rank") / F.col("n") - F.col("cdf"), F.col("cdf") - (F.col("rank") - 1) / F.col("n"))).alias("d"))
+    sums = blocked.select("block", *columns).groupBy("block").applyInArrow(
+        _sample_sums(columns), "variable STRING, block BIGINT, n DOUBLE, scored DOUBLE, squares DOUBLE, spread DOUBLE, ends DOUBLE, "
+                               "next_ends DOUBLE, d DOUBLE")
     found = shapiro.with_w_and_p(sums).withColumn("ks_stat", F.when(F.col("n") >= 3, F.col("d")))
     return found.select("variable", "block", F.col("n").cast("bigint").alias("n"), F.col("w").alias("shapiro_stat"),
                         F.col("p").alias("shapiro_p"), "ks_stat", tails.kolmogorov_tail("ks_stat", "n").alias("ks_p"))

@@ -2,7 +2,7 @@
 
 from pyspark.sql import Window, functions as F
 
-from basketlens.sources.staging import checkpoint, materialize, written_bytes
+from basketlens.sources.staging import materialize, written_bytes
 
 BROADCAST_BYTES = 8 << 20  # as written; a few times that in memory
 HOT_KEYS = 1_000
@@ -47,14 +47,13 @@ def with_row_number(df, order_by, name="row_number"):
     """Consecutive 1-based numbers in a total order, without a single-task window.
 
     The rows are written first, as the sort reads them twice (its ranges are sampled) and their number sets its tasks, so that
-    a task's memory doesn't grow with the table. Then one distributed sort, written to the checkpoint folder so its partitions
-    are fixed; a count per partition gives each partition its offset. Identical rows are told apart by
+    a task's memory doesn't grow with the table. Then one distributed sort, written once with each row's partition and place in it;
+    a count per partition gives each partition its offset. Identical rows are told apart by
     their scan position, so a large group of copies also spreads over the sort partitions.
     """
     tied = materialize(df.withColumn("_tie", F.monotonically_increasing_id()))
     ranges = tied.repartitionByRange(tasks_for(df.sparkSession, tied.count()), *order_by, "_tie")
-    placed = checkpoint(ranges.sortWithinPartitions(*order_by, "_tie").drop("_tie"))
-    placed = placed.withColumn("_id", F.monotonically_increasing_id())
+    placed = materialize(ranges.sortWithinPartitions(*order_by, "_tie").drop("_tie").withColumn("_id", F.monotonically_increasing_id()))
     part = F.shiftright("_id", 33)
     place = F.col("_id").bitwiseAND((1 << 33) - 1)
     # One row per sort partition.
