@@ -1,5 +1,6 @@
 """Pearson and Spearman correlation over all pairs at once, and the analysis of column pairs."""
 
+import math
 from itertools import combinations_with_replacement
 
 from pyspark.sql import Window, functions as F
@@ -11,6 +12,9 @@ from basketlens.operators import normality, order_stats, plotdata
 from basketlens.operators.association import present_pairs
 from basketlens.operators.quality import numeric_columns
 from basketlens.operators.skew import attach_by_key, tasks_for
+from basketlens.sources.staging import materialize
+
+LOOKUP_VALUES = 20_000  # different values of a column whose ranks are broadcast
 
 
 def all_pairs(columns):
@@ -47,36 +51,83 @@ def pearson_pairs(df, pairs):
 def spearman_pairs(df, pairs):
     """Pearson on average ranks, each pair ranked over the rows where both values are present.
 
-    A column is ranked once for all partners without nulls, and again only for partners that
-    hide some of its rows. All rankings share one pass: count distinct values, rank those, and
-    hand the ranks back to the rows.
+    Ranks are counted from their mean, so they sum to zero and a pair's covariance is a sum of products. The ranks of a column with few
+    different values are a small table that is broadcast to the rows. A column with many is met once: its values are counted,
+    for each pair with the other side's ranks summed, and numbered in order, so its own ranks needn't go back to the rows. They do
+    only for a partner that has many values too: rows and ranks are joined by the value.
     """
     pairs = present_pairs(df, pairs)
     names = sorted({c for pair in pairs for c in pair})
-    df = df.select(*[number(df, c).alias(c) for c in names])
-    gaps = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in names]).first().asDict()
-    sides, columns_of = {}, {}
+    # Plain names of our own for columns and ranks.
+    at = {c: f"c{i}" for i, c in enumerate(names)}
+    rows = df.select(*[number(df, c).alias(at[c]) for c in names])
+    edges = sorted({tuple(sorted((at[a], at[b]))) for a, b in pairs})
+    given = {e: F.col(e[0]).isNotNull() & F.col(e[1]).isNotNull() for e in edges}
+    one = rows.agg(*[F.count_if(given[e]).alias(f"n{i}") for i, e in enumerate(edges)],
+                   *[F.approx_count_distinct(c).alias(c) for c in at.values()]).first()
+    total = {e: one[f"n{i}"] for i, e in enumerate(edges)}
+    of = {c: [i for i, e in enumerate(edges) if c in e] for c in at.values()}  # the column's pairs
+    few = [c for c in at.values() if one[c] <= LOOKUP_VALUES]
+    # Those with most partners first, so that few others' ranks go back to the rows.
+    many = sorted((c for c in at.values() if c not in few), key=lambda c: (-len(of[c]), c))
+    squares, products = {}, {}
+
+    def other(c, i):
+        a, b = edges[i]
+        return b if a == c else a
+
+    def ranked(c, counts):
+        """The counts by value with the values' ranks r<pair>, and the sums of squares in them."""
+        located = order_stats.running_totals(counts, c, [f"n{i}" for i in of[c]])
+        return located.withColumns({f"r{i}": F.col(f"before_n{i}") + (F.col(f"n{i}") - total[edges[i]]) / 2 for i in of[c]})
+
+    def squares_of(c):
+        return [F.sum(F.col(f"n{i}") * F.col(f"r{i}") * F.col(f"r{i}")).alias(f"s{i}") for i in of[c]]
+
+    def counted(c, *sums):
+        present = [F.count_if(given[edges[i]]).alias(f"n{i}") for i in of[c]]
+        return rows.where(F.col(c).isNotNull()).groupBy(c).agg(*present, *sums)
+
+    def keep(c, found):
+        squares.update({(c, i): found[f"s{i}"] for i in of[c]})
+
+    done = set()
+    for c in few:
+        table = materialize(ranked(c, counted(c)))
+        keep(c, table.agg(*squares_of(c)).first())
+        ranks = table.select(F.col(c).alias("_value"), *[F.col(f"r{i}").alias(f"{c}_{i}") for i in of[c]])
+        # At most about LOOKUP_VALUES rows.
+        rows = rows.join(F.broadcast(ranks), F.col(c) == F.col("_value"), "left").drop("_value")
+        done.add(c)
+    both = [i for i, e in enumerate(edges) if set(e) <= done]
+    if both:
+        sums = [F.sum(F.when(given[edges[i]], F.col(f"{edges[i][0]}_{i}") * F.col(f"{edges[i][1]}_{i}"))).alias(f"p{i}") for i in both]
+        products.update(rows.agg(*sums).first().asDict())
+    for c in many:
+        known = [i for i in of[c] if other(c, i) in done]
+        later = [i for i in of[c] if other(c, i) not in done and other(c, i) != c]
+        sums = [F.sum(F.when(given[edges[i]], F.col(f"{other(c, i)}_{i}"))).alias(f"t{i}") for i in known]
+        table = ranked(c, counted(c, *sums, F.count("*").alias("copies")))
+        table = materialize(table) if later else table
+        found = table.agg(*squares_of(c), *[F.sum(F.col(f"t{i}") * F.col(f"r{i}")).alias(f"p{i}") for i in known]).first()
+        keep(c, found)
+        products.update({f"p{i}": found[f"p{i}"] for i in known})
+        done.add(c)
+        if later:
+            ranks = table.select(c, "copies", *[F.col(f"r{i}").alias(f"{c}_{i}") for i in later])
+            rows = attach_by_key(rows, ranks, [c], "copies").drop("copies")
+            rest = [x for x in many if x not in done]
+            wanted = [x for x in rows.columns if x in at.values() or any(x == f"{q}_{i}" for r in rest for i in of[r] for q in edges[i])]
+            rows = materialize(rows.select(*wanted))
+    result = []
     for a, b in pairs:
-        for c, partner in ((a, b), (b, a)):
-            if gaps[partner] and c != partner:
-                sides[f"{c} given {partner}"] = F.when(F.col(partner).isNotNull(), F.col(c))
-            else:
-                sides[c] = F.col(c)
-        columns_of[a, b] = tuple(f"`{c} given {p}`" if gaps[p] and c != p else c for c, p in ((a, b), (b, a)))
-    return _correlate(with_average_ranks(df.select(*[e.alias(n) for n, e in sides.items()])), columns_of)
-
-
-def with_average_ranks(df):
-    """Replace every (numeric) column by its average ranks; nulls stay null."""
-    names = df.columns
-    wide = df.withColumn("_row", F.monotonically_increasing_id())
-    pairs = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(f"`{c}`").alias("value")) for c in names])
-    long = (wide.select("_row", F.explode(pairs).alias("v")).select("_row", "v.*")
-            .where("value IS NOT NULL"))
-    ranks = order_stats.average_ranks(df, names)
-    ranked = attach_by_key(long, ranks, ["variable", "value"], "copies")
-    return ranked.groupBy("_row").agg(*[F.max(F.when(F.col("variable") == c, F.col("mean_rank"))).alias(c)
-                                        for c in names])
+        edge = tuple(sorted((at[a], at[b])))
+        i = edges.index(edge)
+        x, y = squares[edge[0], i], squares[edge[1], i]
+        product = x if a == b else products[f"p{i}"]
+        corr = product / math.sqrt(x) / math.sqrt(y) if x and y and product is not None else None
+        result.append((a, b, corr, total[edge]))
+    return df.sparkSession.createDataFrame(result, "var1 STRING, var2 STRING, corr DOUBLE, n BIGINT")
 
 
 def correlation_by_block(blocked, pairs, block="block"):

@@ -13,6 +13,7 @@ from pyspark.sql import Window, functions as F, types as T
 
 from basketlens.functions.columns import INF, number
 from basketlens.operators.skew import attach_by_key
+from basketlens.sources.staging import materialize
 
 ACCURACY = 10_000
 GROUP_ACCURACY = 50_000
@@ -291,6 +292,28 @@ def value_ranks(df, columns, buckets=None):
         "variable", "value", "copies", (F.col("_offset") + F.col("_inside")).alias("before"))
 
 
+def running_totals(counts, value, names, buckets=None):
+    """``before_<name>`` for each count column: its sum over the smaller values of a table with one row per value.
+
+    The values are spread over buckets cut at sketch quantiles and summed up inside their bucket; the offsets are running totals
+    over the buckets. The cuts only balance the work.
+    """
+    spark = counts.sparkSession
+    buckets = buckets or max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    counts = materialize(counts)
+    cuts = counts.approxQuantile(value, [i / buckets for i in range(1, buckets)], 0.5 / buckets)
+    inner = sorted({x for x in cuts if -INF < x < INF})
+    placed = Bucketizer(inputCol=value, outputCol="_bucket", splits=[-INF, *(inner or [0.0]), INF]).transform(counts)
+    inside = Window.partitionBy("_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    located = placed.withColumns({f"_{c}": F.coalesce(F.sum(c).over(inside), F.lit(0)) for c in names})
+    earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = placed.groupBy("_bucket").agg(*[F.sum(c).alias(c) for c in names])
+    # At most as many rows as there are buckets.
+    offsets = totals.select("_bucket", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_offset_{c}") for c in names])
+    return located.join(F.broadcast(offsets), "_bucket").select(
+        *counts.columns, *[(F.col(f"_{c}") + F.col(f"_offset_{c}")).alias(f"before_{c}") for c in names])
+
+
 def average_ranks(df, columns, buckets=None):
     """(variable, value, copies, mean_rank): ties share the mean of the ranks they cover."""
     ranks = value_ranks(df, columns, buckets)

@@ -239,3 +239,40 @@ def test_sorts_take_more_tasks_for_more_rows(spark, monkeypatch):
     many = run()
     assert many[0] == few[0] and many[2] == 12 > few[2]
     assert tuple(many[1][0][:2]) == ("a", "b") and many[1][0]["spearman"] == pytest.approx(few[1][0]["spearman"])
+
+
+@pytest.mark.parametrize("few", [0, 6, 1000])
+def test_spearman_is_the_same_whichever_columns_have_many_values(spark, monkeypatch, few):
+    import random
+
+    draw = random.Random(5)
+    rows = [(draw.choice([None, 1.0, 2.0, 3.0, 3.0]), draw.choice([None, draw.random()]), draw.choice([0.0, float(draw.randrange(40))]),
+             draw.random(), 4.0) for _ in range(300)]
+    frame = spark.createDataFrame(rows, "a DOUBLE, b DOUBLE, c DOUBLE, d DOUBLE, e DOUBLE").repartition(3)
+
+    def ranks(values):
+        return [sum(y < x for y in values) + (sum(y == x for y in values) + 1) / 2 for x in values]
+
+    def expected(i, j):
+        both = [r for r in rows if r[i] is not None and r[j] is not None]
+        x, y = (ranks([r[k] for r in both]) for k in (i, j))
+        mean = (len(both) + 1) / 2
+        xy, xx, yy = (sum((p - mean) * (q - mean) for p, q in zip(u, v)) for u, v in ((x, y), (x, x), (y, y)))
+        return xy / (xx * yy) ** 0.5 if xx and yy else None, len(both)
+
+    monkeypatch.setattr(correlation, "LOOKUP_VALUES", few)
+    pairs = [("a", "b"), ("d", "b"), ("c", "d"), ("b", "c"), ("d", "d"), ("a", "e"), ("c", "a")]
+    found = {(r["var1"], r["var2"]): (r["corr"], r["n"]) for r in correlation.spearman_pairs(frame, pairs).collect()}
+    for a, b in pairs:
+        corr, n = expected("abcde".index(a), "abcde".index(b))
+        assert found[a, b][1] == n
+        assert found[a, b][0] is None if corr is None else abs(found[a, b][0] - corr) < 1e-12
+
+
+def test_sums_of_a_sample_need_no_window():
+    import numpy as np
+
+    n, scored, squares, spread, ends, beside, d = normality._sums_of(np.array([3.0, 1.0, 2.0, 2.0]))
+    assert (n, spread, ends, beside) == (4.0, 2.0, 2.0, 0.0) and 0 < scored < squares and 0 < d < 1
+    assert normality._sums_of(np.array([0.1] * 7))[4:] == (0.0, 0.0, None)
+    assert normality._sums_of(np.array([5.0]))[4:] == (0.0, None, None)
