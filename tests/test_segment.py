@@ -153,6 +153,20 @@ def test_fits_side_by_side_are_those_one_after_the_other(blobs):
     assert segment.fit_kmeans(blobs, COLUMNS, range(2, 6), starts=4, at_once=8) == alone
 
 
+def test_all_fits_step_in_one_pass(blobs, monkeypatch):
+    """Every fit is Spark's own, and more fits don't mean more passes over the points than the longest fit needs."""
+    passes, plain = [], segment._cluster_sums
+    monkeypatch.setattr(segment, "_cluster_sums", lambda fits, width: passes.append(len(fits)) or plain(fits, width))
+    found = segment.fit_kmeans(blobs, COLUMNS, range(2, 6), starts=2)
+    vectors = segment.as_vectors(blobs, COLUMNS).select("features").coalesce(1)
+    models = {(k, s): segment.KMeans(k=k, seed=segment.config.SEED + s, maxIter=300, tol=1e-4).fit(vectors) for k in range(2, 6) for s in range(2)}
+    assert len(passes) == max(m.summary.numIter for m in models.values()) and passes[0] == len(models)
+    for k, (centres, cost) in found.items():
+        best = min((models[k, s] for s in range(2)), key=lambda m: m.summary.trainingCost)
+        assert cost == pytest.approx(best.summary.trainingCost, rel=1e-9)
+        assert np.allclose(sorted(centres), sorted(map(list, best.clusterCenters())))
+
+
 def brute_euclidean(x, label):
     away = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=2))
     scores = []
