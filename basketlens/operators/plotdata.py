@@ -2,11 +2,14 @@
 
 import math
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from basketlens import config
 from basketlens.config import present
-from basketlens.functions.normal import normal_quantile
+from basketlens.functions.normal import normal_quantile, normal_quantile_array
 from basketlens.functions.columns import number
 from basketlens.operators import order_stats
 from basketlens.operators.describe import per_column
@@ -14,6 +17,7 @@ from basketlens.operators.order_stats import long_values
 from basketlens.operators.skew import attach_by_key
 
 RANK_CHUNK = 1_000
+RANKS_AT_ONCE = 1 << 18
 CELL = 0.5  # width of a cell in bandwidths
 MOMENTS = 12
 KERNEL_REACH = 9.0  # bandwidths; beyond, a kernel is below 1e-17
@@ -106,23 +110,56 @@ def with_normal_quantiles(points):
         "quantile_last", normal_quantile("position_last"))
 
 
+def _position_sums(batches):
+    """(variable, n, centre and sums) of each batch of rows (variable, value, a, b, n, centre): the ranks from a to b have the value.
+
+    Sums of the ranks' normal quantiles, their squares and products with the centred value, of the values and their squares.
+    """
+    for batch in batches:
+        names, low, high = batch["variable"], batch["a"].to_numpy(), batch["b"].to_numpy()
+        for name in names.unique().to_pylist():
+            mine = np.flatnonzero(pc.equal(names, name).to_numpy(zero_copy_only=False))
+            n, centre = batch["n"][int(mine[0])].as_py(), batch["centre"][int(mine[0])].as_py()
+            v = batch["value"].to_numpy()[mine] - centre
+            sizes = high[mine] - low[mine] + 1
+            sums = np.zeros(5)
+            # So many rows at once that their ranks stay a bounded array.
+            at = np.cumsum(sizes) // RANKS_AT_ONCE
+            for part in np.split(np.arange(len(mine)), np.flatnonzero(np.diff(at)) + 1):
+                many, ends = sizes[part], np.cumsum(sizes[part])
+                rank = np.arange(ends[-1]) + np.repeat(low[mine][part] - (ends - many), many)
+                q, x = normal_quantile_array(positions(rank, n)), np.repeat(v[part], many)
+                sums += [q.sum(), (q * q).sum(), (q * x).sum(), x.sum(), (x * x).sum()]
+            yield pa.RecordBatch.from_pydict({"variable": [name], "n": [n], "centre": [centre],
+                                              **{c: [float(s)] for c, s in zip(("sq", "sqq", "sqv", "sv", "svv"), sums)}})
+
+
+def positions(rank, n):
+    """``plotting_position`` of an array of ranks."""
+    last = 0.5 ** (1 / n)
+    return np.where(rank == 1, 1 - last, np.where(rank == n, last, (rank - 0.3175) / (n + 0.365)))
+
+
 def qq_fit(df, columns, chunk=RANK_CHUNK):
     """(variable, n, slope, intercept, r): least squares of the values on the normal quantiles.
 
-    A run of equal values is cut into chunks of ranks that spread over all tasks, so a value
-    that owns a third of the rows is not summed in one place.
+    The quantiles of a batch's ranks are taken as arrays and summed up in the task. A run of more than ``chunk`` equal values is cut
+    into chunks of ranks that spread over all tasks, so a value that owns a third of the rows is not summed in one place; other
+    runs are summed where they were ranked.
     """
-    runs = qq_points(df, columns).select("variable", "value", "rank_first", "rank_last", "n")
-    chunks = (runs.withColumn("a", F.explode(F.sequence("rank_first", "rank_last", F.lit(chunk).cast("bigint"))))
-              .withColumn("b", F.least(F.col("a") + chunk - 1, F.col("rank_last"))))
     # The quantiles have mean zero; values are centred so that large amounts keep their digits.
     centres = F.broadcast(per_column(df, columns, centre=F.avg))
-    ranks = (chunks.repartition("variable", "a").withColumn("rank", F.explode(F.sequence("a", "b")))
-             .withColumn("q", normal_quantile(plotting_position("rank", "n"))))
-    summed = (ranks.join(centres, "variable").withColumn("v", F.col("value") - F.col("centre"))
-              .groupBy("variable", "n", "centre").agg(
-                  F.sum("q").alias("sq"), F.sum(F.col("q") * F.col("q")).alias("sqq"), F.sum(F.col("q") * F.col("v")).alias("sqv"),
-                  F.sum("v").alias("sv"), F.sum(F.col("v") * F.col("v")).alias("svv")))
+    runs = qq_points(df, columns).select("variable", "value", F.col("rank_first").alias("a"), F.col("rank_last").alias("b"), "n")
+    step = F.lit(chunk).cast("bigint")
+    size = F.col("b") - F.col("a") + 1
+    cut = (runs.where(size > step).withColumn("end", F.col("b")).withColumn("a", F.explode(F.sequence("a", "b", step)))
+           .withColumn("b", F.least(F.col("a") + step - 1, F.col("end"))).drop("end").repartition("variable", "a"))
+    wanted = ["variable", "value", "a", "b", "n", "centre"]
+    parts = [x.join(centres, "variable").select(*wanted).mapInArrow(
+        _position_sums, "variable STRING, n BIGINT, centre DOUBLE, sq DOUBLE, sqq DOUBLE, sqv DOUBLE, sv DOUBLE, svv DOUBLE")
+        for x in (runs.where(size <= step), cut)]
+    summed = parts[0].unionAll(parts[1]).groupBy("variable", "n", "centre").agg(
+        *[F.sum(c).alias(c) for c in ("sq", "sqq", "sqv", "sv", "svv")])
     n = F.col("n")
     cqq = F.col("sqq") - F.col("sq") * F.col("sq") / n
     cvv = F.col("svv") - F.col("sv") * F.col("sv") / n

@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -189,6 +190,26 @@ def test_qq_fit(skewed, chunk):
     assert found["r"] == pytest.approx(np.corrcoef(q, np.sort(values))[0, 1])
 
 
+def test_qq_fit_of_hot_and_single_values(spark, monkeypatch):
+    """Runs longer than a chunk, runs of a few and single values, summed in small arrays in the tasks; an empty column has no fit."""
+    values = np.array([5.0] * 500 + [float(i % 40) for i in range(200)] + [i / 7 for i in range(300)])
+    df = spark.createDataFrame([(float(x), float(-x) if i % 3 else None, None) for i, x in enumerate(values)], "amount DOUBLE, units DOUBLE, none DOUBLE")
+
+    fit = plotdata.qq_fit(df, ["amount", "units", "none"], 100)
+    assert "MapInArrow" in fit._jdf.queryExecution().executedPlan().toString()
+    found = {r["variable"]: r for r in fit.collect()}
+    assert set(found) == {"amount", "units"}
+    for name, x in (("amount", values), ("units", np.array([-v for i, v in enumerate(values) if i % 3]))):
+        q = [tails.NORMAL.inv_cdf(p) for p in tails.filliben(np.arange(1, len(x) + 1), len(x))]
+        slope, intercept = np.polyfit(q, np.sort(x), 1)
+        assert found[name]["n"] == len(x) and (found[name]["slope"], found[name]["intercept"]) == (pytest.approx(slope), pytest.approx(intercept))
+    batch = pa.RecordBatch.from_pydict({"variable": ["x", "x", "x"], "value": [1.0, 2.0, 4.0], "a": [1, 11, 151], "b": [10, 150, 200], "n": [200] * 3, "centre": [2.0] * 3})
+    whole = next(plotdata._position_sums([batch])).to_pylist()
+    monkeypatch.setattr(plotdata, "RANKS_AT_ONCE", 16)
+    parts = next(plotdata._position_sums([batch])).to_pylist()
+    assert parts[0] == pytest.approx(whole[0]) and whole[0]["sv"] == pytest.approx(-10 + 2 * 50)
+
+
 def test_boxes(skewed):
     values, df = skewed
     for r in plotdata.box_stats(df, [("amount", "channel")]).collect():
