@@ -239,3 +239,16 @@ def test_rows_without_a_repeated_digest_are_read_once(spark):
     found = quality.duplicate_count(df.mapInArrow(counted, df.schema))
     assert found.schema.simpleString() == "struct<duplicates:bigint>" and found.first()[0] == 0 and seen.value == 50
     assert quality.duplicate_count(df.union(df.where("id < 7")).mapInArrow(counted, df.schema)).first()[0] == 7
+
+
+def test_column_roles_move_numbers_not_texts(spark):
+    """Numbers are counted as such (no text of theirs is shuffled), whatever their type; nulls are no value."""
+    rows = [(1, 0.5, "a", None, 2 ** 60), (2, 0.5, "b", None, 2 ** 60 + 1), (2, float("nan"), None, None, None), (None, float("nan"), "a", None, 1),
+            (3, 0.0, "a", None, 1), (3, -0.0, "a", None, 1)]
+    df = spark.createDataFrame(rows, "sku INT, amount DOUBLE, `a.b` STRING, empty DATE, big BIGINT")
+    found = quality.column_roles(df)
+    assert {r["variable"]: (r["role"], r["n_values"]) for r in found.collect()} == {
+        "sku": ("categorical", 3), "amount": ("numeric", 4), "a.b": ("categorical", 2), "empty": ("temporal", 0), "big": ("numeric", 3)}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "whole" in plan and "real" in plan
+    assert quality.column_roles(df.limit(0)).count() == 0
