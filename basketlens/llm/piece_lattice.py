@@ -8,11 +8,12 @@ equality, the matches grouped by word as edges, and a fold over the edges in ord
 keeps the best score and the edge behind it for every position (Viterbi). On equal scores the longer last
 piece wins. A character without a piece is an edge below all scores and is written as its UTF-8 bytes.
 
-The words of a text are kept as numbers: a task writes its texts as lists of word numbers, together with the
+The words of a text are kept as numbers: a task writes its texts, slice by slice, as lists of word numbers, together with the
 words of its batch, to a table bucketed by batch. The encoded words come back by (batch, number) and meet the lists of
 their batch, so texts and lists aren't shuffled. The most frequent words of a small sample are encoded
 beforehand by the same lattice and sent to the tasks (at most ``SENT_WORDS``, each of at most ``SENT_LENGTH``
-characters); this saves their copies in every batch and changes no result.
+characters), the most frequent with the least numbers, which take one byte; this saves their copies in every batch and
+changes no result.
 
 Words of more than ``FOLD_LENGTH`` characters that no cut shortens take the same recurrence in a loop over its characters, as a fold over arrays
 would copy them at every step.
@@ -26,11 +27,12 @@ mark U+2581 in a text is a blank. Defined cases: null and empty texts have no id
 
 import math
 import re
-import uuid
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from basketlens.llm import textbytes
@@ -47,6 +49,7 @@ IDS_AT_ONCE = 1 << 18
 CUTS_KEPT = 200_000  # words and parts that a task remembers
 COUNTED_AT_ONCE = 50_000  # different words that a task of the sample counts before it hands them on
 WORDS_AT_ONCE = 20_000  # per partition of the lattice, so that its edges fit a task's memory
+ONE_BYTE = 255  # numbers below take one byte
 RUNS = re.compile(" *[^ ]+| +")
 UNKNOWN_PENALTY = 10.0
 BYTE_PIECE = -1  # an edge of a character without a piece
@@ -81,6 +84,12 @@ class Pieces:
         self.longest = max(map(len, self.table))
         self.kept, self.kept_parts = {}, 0
         self.pairs = {p[k:k + 2] for p in self.table for k in range(len(p) - 1)}
+        # The same pairs for arrays of code points, where a blank stands for its mark: a table of the ASCII pairs and all, sorted.
+        codes = np.array(sorted(tuple(map(ord, x.replace(BLANK, " "))) for x in self.pairs), np.int64).reshape(-1, 2)
+        self.sorted_pairs = codes[:, 0] << 32 | codes[:, 1]
+        self.ascii_pairs = np.zeros(1 << 14, bool)
+        plain_codes = codes[(codes < 128).all(axis=1)]
+        self.ascii_pairs[plain_codes[:, 0] << 7 | plain_codes[:, 1]] = True
         self.texts = [b""] * model.get_piece_size()
         for p, (i, _) in self.table.items():
             self.texts[i] = p.replace(BLANK, " ").encode()
@@ -122,6 +131,34 @@ class Pieces:
         at = [0] + [k for k in range(1, len(word)) if word[k - 1:k + 1] not in self.pairs] + [len(word)]
         return [word[a:b] for a, b in zip(at, at[1:])]
 
+    def parts_of(self, texts):
+        """(words, counts): the parts of all words of some texts, a blank for each mark, and how many each text has.
+
+        No piece has a mark after another character, so the words' starts are cuts like all others.
+        """
+        texts = [" " + t.replace(BLANK, " ") if t else "" for t in texts]
+        whole = "".join(texts)
+        data, codes = whole.encode(), np.frombuffer(whole.encode("utf-32-le"), np.uint32)
+        bounds = np.concatenate([[0], np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))])
+        left, right = codes[:-1], codes[1:]
+        plain = (left | right) < 128
+        joined = plain & self.ascii_pairs[(left << 7 | right) & 0x3FFF]
+        other = np.flatnonzero(~plain)
+        if other.size and self.sorted_pairs.size:
+            wanted = left[other].astype(np.int64) << 32 | right[other]
+            place = np.minimum(np.searchsorted(self.sorted_pairs, wanted), self.sorted_pairs.size - 1)
+            joined[other] = self.sorted_pairs[place] == wanted
+        cut = np.concatenate([[True], ~joined, [True]])[:codes.size + 1]
+        cut[bounds] = True
+        at = np.flatnonzero(cut)
+        counts = np.diff(np.searchsorted(at, bounds))
+        if len(data) > codes.size:  # places in bytes
+            widths = np.ones(codes.size, np.uint8)
+            for limit in (0x80, 0x800, 0x10000):
+                widths += codes >= limit
+            at = np.concatenate([[0], np.cumsum(np.add.reduceat(widths, at[:-1], dtype=np.int64))])
+        return pa.LargeStringArray.from_buffers(at.size - 1, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(data)), counts
+
     def viterbi(self, word):
         """Ids of a word by the lattice's recurrence, position by position."""
         best, back = [0.0], [(0, 0)]
@@ -148,7 +185,7 @@ class Pieces:
 # ---- the lattice ------------------------------------------------------------------------
 
 def encode_words(words, pieces):
-    """(word, ids, place) of a frame (word, place) in which words repeat.
+    """(word, ids, …) of a frame (word, …) in which words repeat; the other columns say where.
 
     One exchange by word serves all: the different words, their edges and paths, and the places that these go back to.
     """
@@ -212,8 +249,9 @@ def encode_words(words, pieces):
 
     long = different.where(size > FOLD_LENGTH).mapInArrow(by_characters, folded.schema)
     # Each kind of word goes back to its places on its own, by the same exchange.
-    return (folded.join(words.where(size <= FOLD_LENGTH), "word").select("word", "ids", "place")
-            .union(long.join(words.where(size > FOLD_LENGTH), "word").select("word", "ids", "place")))
+    wanted = ["word", "ids", *(c for c in words.columns if c != "word")]
+    return (folded.join(words.where(size <= FOLD_LENGTH), "word").select(wanted)
+            .union(long.join(words.where(size > FOLD_LENGTH), "word").select(wanted)))
 
 
 # ---- texts as lists of words ------------------------------------------------------------
@@ -249,42 +287,80 @@ def _count_words(pieces):
     return run
 
 
-BATCHED = "batch BIGINT, id BIGINT, codes BINARY, code INT, word STRING"
+class Numbers:
+    """Numbers of the words of a batch, from 1 up: those sent beforehand, then the batch's own in order of appearance.
+
+    The first appearance of an own word is 0: its number is one more than that of the own word before it.
+    """
+
+    def __init__(self, sent):
+        self.sent, self.own = sent, {}
+
+    def of(self, words):
+        """The numbers of a column of words, each different one looked up once."""
+        coded = words.dictionary_encode()
+        places, different = coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False)
+        numbers = np.fromiter(map(self.sent.get, different, repeat(0)), np.int64, different.size)
+        own, low = np.flatnonzero(numbers == 0), len(self.sent) + len(self.own)
+        numbers[own] = [self.own.setdefault(w, len(self.sent) + len(self.own) + 1) for w in different[own]]
+        if not places.size:
+            return numbers
+        # Different words are listed as they appear, so a first appearance is above all places before it.
+        appears = places > np.concatenate([[-1], np.maximum.accumulate(places)[:-1]])
+        return np.where(appears & (numbers > low)[places], 0, numbers[places])
+
+
+def pack(numbers):
+    """Bytes of an array of numbers: one for each, and for those that need more what is left, by place value."""
+    rest = (numbers[numbers >= ONE_BYTE] - ONE_BYTE).astype("<u4").view(np.uint8).reshape(-1, 4)
+    return pa.compress(np.minimum(numbers, ONE_BYTE).astype(np.uint8).tobytes() + rest.T.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpack(packed, n):
+    data = np.frombuffer(_plain(packed), np.uint8)
+    numbers = data[:n].astype(np.int64)
+    numbers[numbers == ONE_BYTE] += np.ascontiguousarray(data[n:].reshape(4, -1).T).view("<u4").ravel()
+    return numbers
+
+
+BATCHED = "batch BIGINT, ids ARRAY<BIGINT>, sizes ARRAY<INT>, before INT, packed BINARY, code INT, word STRING"
 
 
 def _batches_of(pieces, sent):
-    """Rows of texts (batch, id, codes) and of their words (batch, code, word)."""
+    """Rows of slices of texts (batch, ids, sizes in words, own words before the slice, packed) and of a batch's own words (batch, code, word)."""
+    schema = pa.schema([("batch", pa.int64()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("before", pa.int32()),
+                        ("packed", pa.binary()), ("code", pa.int32()), ("word", pa.string())])
+
     def run(batches):
-        known = sent.value
-        ids, codes, local, held = [], [], {}, 0
+        # No other task of this stage has the number, and a repeated task writes the same.
+        batch_number = TaskContext.get().partitionId() << 32
+        numbers, slices, held = Numbers(sent.value), [], 0
+
+        def frame(n, **columns):
+            return pa.RecordBatch.from_arrays([pa.array([batch_number] * n, pa.int64()) if f.name == "batch" else
+                                               pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type)
+                                               for f in schema], schema=schema)
 
         def rows():
-            batch = int(uuid.uuid4().int >> 65)
-            n, m = len(ids), len(local)
-            table = pa.schema([("batch", pa.int64()), ("id", pa.int64()), ("codes", pa.binary()), ("code", pa.int32()), ("word", pa.string())])
-            for k in range(0, n, 2000):
-                some = codes[k:k + 2000]
-                yield pa.RecordBatch.from_arrays([pa.array([batch] * len(some)), pa.array(ids[k:k + 2000], pa.int64()), pa.array(some, pa.binary()),
-                                                  pa.nulls(len(some), pa.int32()), pa.nulls(len(some), pa.string())], schema=table)
-            words = list(local)
-            for k in range(0, m, 50_000):
-                some = words[k:k + 50_000]
-                yield pa.RecordBatch.from_arrays([pa.array([batch] * len(some)), pa.nulls(len(some), pa.int64()), pa.nulls(len(some), pa.binary()),
-                                                  pa.array(np.arange(k, k + len(some), dtype=np.int32)), pa.array(some, pa.string())], schema=table)
+            for ids, sizes, before, packed in slices:
+                yield frame(1, ids=[ids], sizes=[sizes], before=[before], packed=[packed])
+            own = list(numbers.own)
+            for k in range(0, len(own), 50_000):
+                some = own[k:k + 50_000]
+                yield frame(len(some), code=np.arange(k, k + len(some), dtype=np.int32), word=[w.replace(" ", BLANK) for w in some])
 
         for batch in batches:
             for low, data, offsets in textbytes.slices(batch["text"]):
                 n = offsets.size - 1
-                for i, text in zip(batch["id"].slice(low, n).to_pylist(), batch["text"].slice(low, n)):
-                    # Words sent beforehand count from 0 up, the batch's own from -1 down.
-                    numbers = [known[w] if w in known else -1 - local.setdefault(w, len(local)) for w in split_words(text.as_py(), pieces)]
-                    ids.append(i)
-                    codes.append(pa.compress(np.array(numbers, np.int32).tobytes(), codec="zstd", asbytes=True) if numbers else b"")
+                before = len(numbers.own)
+                words, sizes = pieces.parts_of(batch["text"].slice(low, n).to_pylist())
+                slices.append((batch["id"].slice(low, n).to_pylist(), sizes, before, pack(numbers.of(words))))
                 held += data.size
                 if held >= BATCH_BYTES:
                     yield from rows()
-                    ids, codes, local, held = [], [], {}, 0
-        if ids:
+                    batch_number += 1
+                    numbers, slices, held = Numbers(sent.value), [], 0
+        if slices:
             yield from rows()
     return run
 
@@ -306,26 +382,19 @@ def _assemble(sent_ids):
         sizes = np.concatenate([np.diff(bounds), np.diff(own.offsets.to_numpy()) if len(order) else np.empty(0, np.int64)]).astype(np.int64)
         starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]) if sizes.size else np.empty(0, np.int64)
         flat = np.concatenate([values, own.flatten().to_numpy() if len(order) else np.empty(0, np.int32)])
-        codes, lengths = texts["codes"], np.zeros(texts.num_rows, np.int64)
-
-        def numbers_of(code):
-            numbers = np.frombuffer(_plain(code.as_py()), np.int32)
-            return np.where(numbers >= 0, numbers, bounds.size - 2 - numbers)
-
-        for k, code in enumerate(codes):
-            if len(code.as_buffer()):
-                lengths[k] = sizes[numbers_of(code)].sum()
-        ends = np.cumsum(lengths)
-        # The ids are written once, to their places.
-        out = np.empty(int(ends[-1]) if ends.size else 0, np.int32)
-        for k, code in enumerate(codes):
-            if lengths[k]:
-                numbers = numbers_of(code)
-                n = sizes[numbers]
-                upto = np.cumsum(n)
-                out[ends[k] - lengths[k]:ends[k]] = flat[np.arange(lengths[k]) + np.repeat(starts[numbers] - upto + n, n)]
-        joined = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(out))
-        return pa.table({"id": texts["id"], "ids": joined})
+        out, ends = [], [np.zeros(1, np.int64)]
+        for counts, before, packed in zip(texts["sizes"], texts["before"].to_pylist(), texts["packed"]):
+            until = np.concatenate([[0], np.cumsum(counts.values.to_numpy(), dtype=np.int64)])
+            numbers = unpack(packed.as_py(), int(until[-1]))
+            new = np.flatnonzero(numbers == 0)
+            numbers[new] = bounds.size + before + np.arange(new.size)
+            numbers -= 1
+            n = sizes[numbers]
+            upto = np.concatenate([[0], np.cumsum(n)])
+            out.append(flat[np.arange(upto[-1]) + np.repeat(starts[numbers] - upto[:-1], n)])
+            ends.append(ends[-1][-1] + upto[until[1:]])
+        joined = pa.ListArray.from_arrays(pa.array(np.concatenate(ends), pa.int32()), pa.array(np.concatenate(out)))
+        return pa.table({"id": pc.list_flatten(texts["ids"]), "ids": joined})
     return run
 
 
@@ -341,17 +410,17 @@ def encode(docs, model_path, id_column="doc_id", text_column="text"):
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
     sample = texts.select("text").sample(min(1.0, SAMPLE_TEXTS / max(1, texts.count())), seed=5)
     counted = (sample.mapInArrow(_count_words(pieces), "word STRING, n BIGINT").groupBy("word").agg(F.sum("n").alias("n"))
-               .orderBy(F.desc("n"), "word").limit(SENT_WORDS).select("word"))
-    frequent = encode_words(materialize(counted.withColumn("place", F.lit(0))), pieces).toArrow()
+               .orderBy(F.desc("n"), "word").limit(SENT_WORDS))
+    frequent = encode_words(materialize(counted), pieces).toArrow().sort_by([("n", "descending"), ("word", "ascending")])
     values, bounds = _flat(frequent["ids"].to_pylist())
     # The numbers of the words and their ids are sent apart: no task needs both.
-    sent = spark.sparkContext.broadcast({w: k for k, w in enumerate(frequent["word"].to_pylist())})
+    sent = spark.sparkContext.broadcast({w.replace(BLANK, " "): k for k, w in enumerate(frequent["word"].to_pylist(), 1)})
     sent_ids = spark.sparkContext.broadcast((values, bounds))
 
     batched = materialize_bucketed(texts.mapInArrow(_batches_of(pieces, sent), BATCHED), ["batch"])
-    words = batched.where("word is not null").select("word", F.struct("batch", "code").alias("place"))
-    encoded = encode_words(words, pieces).select(F.col("place.batch").alias("of"), F.col("place.code").alias("code"), "ids")
-    lists = batched.where("codes is not null").select("batch", "id", "codes")
+    words = batched.where("word is not null").select("word", "batch", "code")
+    encoded = encode_words(words, pieces).select(F.col("batch").alias("of"), "code", "ids")
+    lists = batched.where("packed is not null").select("batch", "ids", "sizes", "before", "packed")
     found = (lists.groupBy("batch").cogroup(encoded.groupBy("of"))
              .applyInArrow(_assemble(sent_ids), "id BIGINT, ids ARRAY<INT>"))
     return found.withColumnRenamed("id", id_column)

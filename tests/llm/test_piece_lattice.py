@@ -107,3 +107,91 @@ def test_a_task_remembers_and_counts_a_bounded_number_of_words(monkeypatch):
     assert len(parts) == 3  # two long texts fill one each; what is left, nothing, is the last
     expected = [w for w in m.split_words(" ".join(words), pieces) if len(w) <= m.SENT_LENGTH]
     assert sum(sum(p["n"].to_pylist()) for p in parts) == 2 * len(expected)
+
+
+@settings(max_examples=100, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.one_of(st.none(), st.text(max_size=40), st.text("a b\né▁.日", max_size=40)), max_size=6))
+def test_texts_of_a_slice_are_cut_at_once(pieces, texts):
+    words, counts = pieces.parts_of(texts)
+    got, at = words.to_pylist(), 0
+    for text, n in zip(texts, counts.tolist(), strict=True):
+        assert [w.replace(" ", m.BLANK) for w in got[at:at + n]] == m.split_words(text, pieces)
+        at += n
+    assert at == len(got)
+
+
+def test_lists_of_numbers_are_small_and_each_word_is_looked_up_once():
+    """Before, a list took 4 bytes a word before compression, each text by itself, and every word was looked up."""
+    import random
+
+    import numpy as np
+    import pyarrow as pa
+
+    class Sent(dict):
+        asked = 0
+
+        def get(self, *key):
+            self.asked += 1
+            return super().get(*key)
+
+    sent = Sent({f"s{k}": k for k in range(1, 5001)})
+    draw = random.Random(3)
+    texts = [[f"s{min(5000, int(draw.paretovariate(0.6)))}" if draw.random() < 0.95 else f"own{draw.randrange(2000)}" for _ in range(300)]
+             for _ in range(100)]
+    numbers, packed = m.Numbers(sent), []
+    for k in (0, 50):
+        words, before = [w for t in texts[k:k + 50] for w in t], len(numbers.own)
+        sent.asked = 0
+        got = numbers.of(pa.array(words, pa.large_string()))
+        assert sent.asked == len(set(words))
+        packed.append(m.pack(got))
+        assert m.unpack(packed[-1], len(words)).tolist() == got.tolist()
+        # Read back: a 0 is the next own word.
+        own, new, back = list(numbers.own), before, []
+        for n in got.tolist():
+            new += n == 0
+            back.append(own[new - 1] if n == 0 else own[n - len(sent) - 1] if n > len(sent) else f"s{n}")
+        assert back == words
+    known = {w: k for k, w in enumerate([*sent, *numbers.own])}
+    plain = sum(len(pa.compress(np.array([known[w] for w in t], np.int32).tobytes(), codec="zstd", asbytes=True)) for t in texts)
+    assert sum(map(len, packed)) < 0.8 * plain
+    assert m.unpack(m.pack(np.array([0, 254, 255, 256, 2 ** 31])), 5).tolist() == [0, 254, 255, 256, 2 ** 31]
+    assert m.Numbers(sent).of(pa.array([], pa.large_string())).size == 0 == m.unpack(m.pack(np.array([], np.int64)), 0).size
+
+
+def test_batches_of_few_bytes_and_slices(pieces, monkeypatch):
+    """Many batches and slices in a task, own words in several slices of a batch."""
+    import pyarrow as pa
+
+    class Sent:
+        value = {" the": 1, " and": 2}
+
+    class Context:
+        @staticmethod
+        def get():
+            return Context
+
+        @staticmethod
+        def partitionId():
+            return 3
+
+    monkeypatch.setattr(m, "TaskContext", Context)
+    monkeypatch.setattr(m, "BATCH_BYTES", 200)
+    monkeypatch.setattr(m.textbytes.slices, "__defaults__", (60,))
+    texts = [f"the cat qz{k % 7} and qz{k % 5}\n\nqz{k} " for k in range(40)] + ["", None]
+    given_rows = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["id", "text"])
+    rows = pa.Table.from_batches(list(m._batches_of(pieces, Sent)([given_rows]))).to_pylist()
+    assert len({r["batch"] for r in rows}) > 3 and {r["batch"] >> 32 for r in rows} == {3}
+    words = {(r["batch"], r["code"]): r["word"] for r in rows if r["word"] is not None}
+    got = {}
+    for r in rows:
+        if r["packed"] is not None:
+            numbers, new = iter(m.unpack(r["packed"], sum(r["sizes"])).tolist()), r["before"]
+            for i, n in zip(r["ids"], r["sizes"], strict=True):
+                got[i] = []
+                for _ in range(n):
+                    x = next(numbers)
+                    if x == 0:
+                        new, x = new + 1, 3 + new
+                    got[i].append(words[r["batch"], x - 3] if x > 2 else m.BLANK + ("the", "and")[x - 1])
+    assert got == {k: m.split_words(t, pieces) for k, t in enumerate(texts)}
