@@ -12,7 +12,7 @@ from basketlens.operators import normality, order_stats, plotdata
 from basketlens.operators.association import present_pairs
 from basketlens.operators.quality import numeric_columns
 from basketlens.operators.skew import attach_by_key, tasks_for
-from basketlens.sources.staging import materialize
+from basketlens.sources.staging import discard, materialize, shuffles_deleted, temporary
 
 LOOKUP_VALUES = 20_000  # different values of a column whose ranks are broadcast
 
@@ -54,8 +54,14 @@ def spearman_pairs(df, pairs):
     Ranks are counted from their mean, so they sum to zero and a pair's covariance is a sum of products. The ranks of a column with few
     different values are a small table that is broadcast to the rows. A column with many is met once: its values are counted,
     for each pair with the other side's ranks summed, and numbered in order, so its own ranks needn't go back to the rows. They do
-    only for a partner that has many values too: rows and ranks are joined by the value.
+    only for a partner that has many values too: rows and ranks are joined by the value. Each table is deleted when the next is written.
     """
+    with temporary(df.sparkSession), shuffles_deleted(df.sparkSession):
+        return _spearman(df, pairs)
+
+
+def _spearman(df, pairs):
+    spark = df.sparkSession
     pairs = present_pairs(df, pairs)
     names = sorted({c for pair in pairs for c in pair})
     # Plain names of our own for columns and ranks.
@@ -93,7 +99,8 @@ def spearman_pairs(df, pairs):
 
     done = set()
     for c in few:
-        table = materialize(ranked(c, counted(c)))
+        with temporary(spark) as only:
+            table = only(materialize(ranked(c, counted(c))))
         keep(c, table.agg(*squares_of(c)).first())
         ranks = table.select(F.col(c).alias("_value"), *[F.col(f"r{i}").alias(f"{c}_{i}") for i in of[c]])
         # At most about LOOKUP_VALUES rows.
@@ -103,22 +110,28 @@ def spearman_pairs(df, pairs):
     if both:
         sums = [F.sum(F.when(given[edges[i]], F.col(f"{edges[i][0]}_{i}") * F.col(f"{edges[i][1]}_{i}"))).alias(f"p{i}") for i in both]
         products.update(rows.agg(*sums).first().asDict())
+    written = None  # the rows as written last
     for c in many:
         known = [i for i in of[c] if other(c, i) in done]
         later = [i for i in of[c] if other(c, i) not in done and other(c, i) != c]
         sums = [F.sum(F.when(given[edges[i]], F.col(f"{other(c, i)}_{i}"))).alias(f"t{i}") for i in known]
-        table = ranked(c, counted(c, *sums, F.count("*").alias("copies")))
-        table = materialize(table) if later else table
-        found = table.agg(*squares_of(c), *[F.sum(F.col(f"t{i}") * F.col(f"r{i}")).alias(f"p{i}") for i in known]).first()
+        with temporary(spark) as only:
+            table = ranked(c, counted(c, *sums, F.count("*").alias("copies")))
+            table = only(materialize(table)) if later else table
+            found = table.agg(*squares_of(c), *[F.sum(F.col(f"t{i}") * F.col(f"r{i}")).alias(f"p{i}") for i in known]).first()
         keep(c, found)
         products.update({f"p{i}": found[f"p{i}"] for i in known})
         done.add(c)
         if later:
             ranks = table.select(c, "copies", *[F.col(f"r{i}").alias(f"{c}_{i}") for i in later])
-            rows = attach_by_key(rows, ranks, [c], "copies").drop("copies")
             rest = [x for x in many if x not in done]
-            wanted = [x for x in rows.columns if x in at.values() or any(x == f"{q}_{i}" for r in rest for i in of[r] for q in edges[i])]
-            rows = materialize(rows.select(*wanted))
+            # Of the rows only what the columns still to come need is moved and written.
+            open_ = {x for r in rest for i in of[r] for x in [*edges[i], *[f"{q}_{i}" for q in edges[i]]]}
+            with temporary(spark) as only:
+                rows = attach_by_key(rows.select(*[x for x in rows.columns if x in open_ or x == c]), ranks, [c], "copies")
+                rows = only(materialize(rows.select(*[x for x in rows.columns if x in open_])))
+            discard(table, *([written] if written else []))
+            written = rows
     result = []
     for a, b in pairs:
         edge = tuple(sorted((at[a], at[b])))

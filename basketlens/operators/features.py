@@ -65,16 +65,24 @@ FEATURES = {
     "amount_segment": (["amount"], lambda df: segment(F.col("amount"), segment_cutoffs(df))),
     "gross_amount": (["amount", "discount_pct"], lambda df: gross_amount()),
 }
+PURCHASE_FREQUENCY = ["customer_id", "receipt_id"]  # what purchase_freq comes from
 
 
 def derive_features(df, only=config.DERIVED):
     """The wanted derived columns (default: all) whose inputs are present."""
     wanted = [c for c in FEATURES if c in only and not config.missing(df, FEATURES[c][0])]
-    derived = df.withColumns({c: FEATURES[c][1](df) for c in wanted})
-    if "purchase_freq" in only and not config.missing(df, ["customer_id", "receipt_id"]):
-        # Count on the lean input, so the derived columns are not part of the counting scan.
-        derived = with_purchase_frequency(derived)
-    return derived
+    features = {c: FEATURES[c][1](df) for c in wanted}
+    if "purchase_freq" in only and not config.missing(df, PURCHASE_FREQUENCY):
+        # Counted and joined before the others are derived: what they come from has fewer bytes than they have.
+        derived = with_purchase_frequency(df).withColumns(features)
+        return derived.select(*[c for c in derived.columns if c != "purchase_freq"], "purchase_freq")
+    return df.withColumns(features)
+
+
+def needed_for(features):
+    """The columns of the lines that the given derived columns come from."""
+    inputs = [name for c in features if c in FEATURES for name in FEATURES[c][0]]
+    return list(dict.fromkeys([*inputs, *(PURCHASE_FREQUENCY if "purchase_freq" in features else [])]))
 
 
 # ---- standardization --------------------------------------------------------------------

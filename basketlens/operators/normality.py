@@ -13,6 +13,7 @@ from basketlens.functions.columns import number
 from basketlens.operators import order_stats
 from basketlens.operators.describe import per_column
 from basketlens.operators.skew import with_blocks
+from basketlens.sources.staging import materialize, temporary
 
 
 def block_key(columns):
@@ -61,12 +62,14 @@ def normality_blocks(df, columns, block_rows=config.BLOCK_ROWS):
     the used values, which has nothing to do with the values' order nor with the layout of the data. Equal
     rows are interchangeable, so every layout gives the same blocks. Wide rows are shuffled by block; a task takes one block after the
     other and sorts its columns, a bounded number of values each, into a few sums. The normal is fitted with the population deviation.
+    The sums are written, one row for each column and block, and the sorted rows deleted.
     """
     wide = df.select(*[number(df, c).alias(c) for c in columns])
-    blocked = with_blocks(wide.withColumn("_key", block_key(columns)), ["_key", *columns], block_rows, "block")
-    sums = blocked.select("block", *columns).groupBy("block").applyInArrow(
-        _sample_sums(columns), "variable STRING, block BIGINT, n DOUBLE, scored DOUBLE, squares DOUBLE, spread DOUBLE, ends DOUBLE, "
-                               "next_ends DOUBLE, d DOUBLE")
+    with temporary(df.sparkSession) as keep:
+        blocked = with_blocks(wide, [block_key(columns), *columns], block_rows, "block")
+        sums = keep(materialize(blocked.select("block", *columns).groupBy("block").applyInArrow(
+            _sample_sums(columns), "variable STRING, block BIGINT, n DOUBLE, scored DOUBLE, squares DOUBLE, spread DOUBLE, ends DOUBLE, "
+                                   "next_ends DOUBLE, d DOUBLE")))
     found = shapiro.with_w_and_p(sums).withColumn("ks_stat", F.when(F.col("n") >= 3, F.col("d")))
     return found.select("variable", "block", F.col("n").cast("bigint").alias("n"), F.col("w").alias("shapiro_stat"),
                         F.col("p").alias("shapiro_p"), "ks_stat", tails.kolmogorov_tail("ks_stat", "n").alias("ks_p"))

@@ -2,7 +2,7 @@
 
 from pyspark.sql import Window, functions as F
 
-from basketlens.sources.staging import materialize, written_bytes
+from basketlens.sources.staging import discard, materialize, written_bytes
 
 BROADCAST_BYTES = 8 << 20  # as written; a few times that in memory
 HOT_KEYS = 1_000
@@ -49,11 +49,19 @@ def with_row_number(df, order_by, name="row_number"):
     The rows are written first, as the sort reads them twice (its ranges are sampled) and their number sets its tasks, so that
     a task's memory doesn't grow with the table. Then one distributed sort, written once with each row's partition and place in it;
     a count per partition gives each partition its offset. Identical rows are told apart by
-    their scan position, so a large group of copies also spreads over the sort partitions.
+    their scan position, so a large group of copies also spreads over the sort partitions. What is sorted by may be
+    columns or expressions of them; the latter are neither moved nor written.
     """
+    return _numbered(df, order_by, name)[0]
+
+
+def _numbered(df, order_by, name):
+    """The numbered rows, and the tasks that sorted them."""
     tied = materialize(df.withColumn("_tie", F.monotonically_increasing_id()))
-    ranges = tied.repartitionByRange(tasks_for(df.sparkSession, tied.count()), *order_by, "_tie")
+    tasks = tasks_for(df.sparkSession, tied.count())
+    ranges = tied.repartitionByRange(tasks, *order_by, "_tie")
     placed = materialize(ranges.sortWithinPartitions(*order_by, "_tie").drop("_tie").withColumn("_id", F.monotonically_increasing_id()))
+    discard(tied)
     part = F.shiftright("_id", 33)
     place = F.col("_id").bitwiseAND((1 << 33) - 1)
     # One row per sort partition.
@@ -63,10 +71,13 @@ def with_row_number(df, order_by, name="row_number"):
     return (placed.withColumn("_part", part)
             .join(F.broadcast(offsets), "_part")
             .withColumn(name, F.col("_offset") + place + 1)
-            .drop("_id", "_part", "_offset"))
+            .drop("_id", "_part", "_offset")), tasks
 
 
 def with_blocks(df, order_by, block_rows, name="block"):
-    """Number blocks of exactly ``block_rows`` consecutive rows (the last may be shorter)."""
-    numbered = with_row_number(df, order_by, "_number")
-    return numbered.withColumn(name, F.floor((F.col("_number") - 1) / block_rows)).drop("_number")
+    """Number blocks of exactly ``block_rows`` consecutive rows (the last may be shorter).
+
+    Whole blocks are dealt to as many tasks as sorted the rows, so grouping by block needs no further shuffle.
+    """
+    numbered, tasks = _numbered(df, order_by, "_number")
+    return numbered.withColumn(name, F.floor((F.col("_number") - 1) / block_rows)).drop("_number").repartition(tasks, name)

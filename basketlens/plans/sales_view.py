@@ -7,7 +7,7 @@ what follows from a customer's number is computed from it after the last join.
 
 from basketlens import config
 from basketlens.operators import features, quality, segment
-from basketlens.sources.staging import materialize, spread
+from basketlens.sources.staging import materialize, spread, temporary
 
 TABLES = ["lineitem", "orders", "customer", "part"]
 
@@ -108,6 +108,14 @@ def staged(frame, *columns):
     return materialize(frame.select(*columns) if columns else frame)
 
 
+def staged_derived(spark, sf_dir, *columns):
+    """The wanted columns of the derived lines, written once. Of the validated lines only what these need is written, and deleted then."""
+    needed = dict.fromkeys([*[c for c in columns if c not in config.DERIVED], *features.needed_for(config.DERIVED)])
+    with temporary(spark) as keep:
+        lines = staged(valid(spark, sf_dir), *needed)
+        return keep(staged(quality.validate_derived(features.derive_features(lines)), *columns))
+
+
 def customers(spark, sf_dir):
     """Recency comes from the customers' latest lines, which the customer table keeps: the join runs once."""
     return segment.customer_table(derived(spark, sf_dir, "amount_per_unit", "age"))

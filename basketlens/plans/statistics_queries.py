@@ -10,7 +10,7 @@ from basketlens.functions.normal import normal_cdf_sql, normal_quantile, normal_
 from basketlens.operators import anova, association, correlation, normality, order_stats, skew
 from basketlens.plans.catalog import query
 from basketlens.plans.quality_queries import ALL, TOTAL_ORDER, rounded, union_sql
-from basketlens.plans.sales_view import derived, oracle, staged, valid
+from basketlens.plans.sales_view import derived, oracle, staged, staged_derived, valid
 
 NUMBERS = ["units", "discount_pct", "amount", "sku"]
 DERIVED_NUMBERS = [*config.DERIVED_NUMERIC, "amount"]
@@ -87,7 +87,7 @@ def spearman_sql(a, b, extra=""):
 
 @query("spearman_pairs", oracle("derived", union_sql([spearman_sql(a, b) for a, b in RANK_PAIRS])))
 def spearman_pairs(spark, d):
-    lines = staged(derived(spark, d), "units", "discount_pct", "amount", *config.DERIVED_NUMERIC)
+    lines = staged_derived(spark, d, "units", "discount_pct", "amount", *config.DERIVED_NUMERIC)
     return rounded(correlation.spearman_pairs(lines, RANK_PAIRS), 6, "corr")
 
 
@@ -131,7 +131,7 @@ GROUPED_DERIVED_PAIRS = config.DERIVED_PAIRS[6:]
     + [f"SELECT '{a}', '{b}', 'boxplot', CAST(NULL AS DOUBLE), count(*) FILTER (WHERE {a} IS NOT NULL AND {b} IS NOT NULL) "
        "FROM derived" for a, b in GROUPED_DERIVED_PAIRS])))
 def derived_pairs(spark, d):
-    return rounded(correlation.pair_analysis(staged(derived(spark, d), "amount", *config.DERIVED)), 6, "corr")
+    return rounded(correlation.pair_analysis(staged_derived(spark, d, "amount", *config.DERIVED)), 6, "corr")
 
 
 @query("regression_line", oracle("derived", union_sql([

@@ -2,11 +2,17 @@
 
 Both forms outlive any executor. The folder is the session's checkpoint directory
 (``spark.checkpoint.dir``); only a local session without one gets a temporary folder.
+What is written is deleted as soon as nothing reads it any more, where its writer can tell
+(``discard``, ``temporary``), else by ``release``.
 """
 
+import contextlib
 import tempfile
 import uuid
 
+# Spark's own setting: shuffle files go when their query ends, not when the driver next collects its garbage.
+DELETE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _written = {}  # paths by application
 _tables = {}  # names of bucketed tables by application
 
@@ -29,13 +35,31 @@ def checkpoint(df):
     return df.checkpoint()
 
 
+@contextlib.contextmanager
+def shuffles_deleted(spark):
+    """The shuffle files of each query that is run inside are deleted when it ends."""
+    before = spark.conf.get(DELETE_SHUFFLES, None)
+    spark.conf.set(DELETE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(DELETE_SHUFFLES)
+        else:
+            spark.conf.set(DELETE_SHUFFLES, before)
+
+
 def materialize(df):
     """A columnar copy for frames that are read several times: later scans prune columns, and
     the planner knows the true size."""
-    path = f"{shared_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _written.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
+    with shuffles_deleted(spark):
+        df.write.option("compression", "zstd").parquet(path)
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._written_path = path
+    return table
 
 
 def materialize_bucketed(df, keys, sort_by=()):
@@ -63,14 +87,46 @@ def written_bytes(table):
     return int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def _delete(spark, path):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def discard(*tables):
+    """Delete tables that ``materialize`` returned and that no frame reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        paths = _written.get(spark.sparkContext.applicationId, [])
+        if table._written_path in paths:
+            paths.remove(table._written_path)
+            _delete(spark, table._written_path)
+
+
+@contextlib.contextmanager
+def temporary(spark):
+    """Tables that are written inside are deleted at the end, but for those that are passed to the function it gives."""
+    before, kept = set(_written.get(spark.sparkContext.applicationId, [])), set()
+
+    def keep(table):
+        kept.add(table._written_path)
+        return table
+
+    try:
+        yield keep
+    finally:
+        paths = _written.get(spark.sparkContext.applicationId, [])
+        for path in [p for p in paths if p not in before and p not in kept]:
+            paths.remove(path)
+            _delete(spark, path)
+
+
 def release(spark):
     """Delete the tables this session has written, once results that read them are written themselves."""
     context = spark.sparkContext
     for name in _tables.pop(context.applicationId, []):
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     for path in _written.pop(context.applicationId, []):
-        place = context._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+        _delete(spark, path)
 
 
 def spread(scan):
