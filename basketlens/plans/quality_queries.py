@@ -11,7 +11,7 @@ from basketlens.plans.catalog import query
 from basketlens.plans.sales_view import (
     DERIVED_SQL, FEATURES_SQL, customers, derived, oracle, sales, staged, valid)
 from basketlens.sources import delimited
-from basketlens.sources.staging import remember, shared_folder
+from basketlens.sources.staging import discard, remember, shared_folder, temporary
 
 ALL = ["receipt_id", "line_no", "sku", "units", "discount_pct", "amount", "store", "gender", "channel",
        "status", "product", "first_name", "last_name", "customer_run", "customer_id", "ts", "birth_date"]
@@ -436,9 +436,17 @@ SELECT receipt_id, CAST(CAST(amount_per_unit AS FLOAT) AS DOUBLE) AS amount_per_
   hour, purchase_freq, recency_days, CAST(CAST(gross_amount AS FLOAT) AS DOUBLE) AS gross_amount, is_weekend, amount_segment
 FROM derived, a"""))
 def null_policy_derived(spark, d):
-    # Each stage fits its decisions on the previous one, so stages are written once.
-    cleaned = staged(quality.clean_base(staged(valid(spark, d))))
-    frame = staged(quality.validate_derived(features.derive_features(cleaned)))
+    # Each stage fits its decisions on the previous one, so stages are written once, with the columns that a later one reads, and
+    # deleted when the next is written. A column that the policy has dropped is not asked for.
+    inputs, outputs = features.needed_for(config.DERIVED), ["receipt_id", *config.DERIVED]
+    with temporary(spark) as keep:
+        lines = staged(valid(spark, d), *dict.fromkeys([*config.NUMERIC, *inputs]))
+        cleaned = quality.clean_base(lines)
+        cleaned = keep(staged(cleaned, *config.present(cleaned, inputs)))
+    with temporary(spark) as keep:
+        frame = quality.validate_derived(features.derive_features(cleaned))
+        frame = keep(staged(frame, *config.present(frame, outputs)))
+    discard(cleaned)
     treated = quality.apply_null_policy(frame, config.DERIVED).select("receipt_id", *config.DERIVED)
     return treated.withColumns({c: F.col(c).cast("float").cast("double") for c in ("amount_per_unit", "gross_amount")})
 
