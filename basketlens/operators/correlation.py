@@ -12,7 +12,7 @@ from basketlens.operators import normality, order_stats, plotdata
 from basketlens.operators.association import present_pairs
 from basketlens.operators.quality import numeric_columns
 from basketlens.operators.skew import attach_by_key, tasks_for
-from basketlens.sources.staging import discard, materialize, shuffles_deleted, temporary
+from basketlens.sources.staging import discard, materialize, temporary
 
 LOOKUP_VALUES = 20_000  # different values of a column whose ranks are broadcast
 
@@ -56,7 +56,7 @@ def spearman_pairs(df, pairs):
     for each pair with the other side's ranks summed, and numbered in order, so its own ranks needn't go back to the rows. They do
     only for a partner that has many values too: rows and ranks are joined by the value. Each table is deleted when the next is written.
     """
-    with temporary(df.sparkSession), shuffles_deleted(df.sparkSession):
+    with temporary(df.sparkSession):
         return _spearman(df, pairs)
 
 
@@ -129,7 +129,7 @@ def _spearman(df, pairs):
             open_ = {x for r in rest for i in of[r] for x in [*edges[i], *[f"{q}_{i}" for q in edges[i]]]}
             with temporary(spark) as only:
                 rows = attach_by_key(rows.select(*[x for x in rows.columns if x in open_ or x == c]), ranks, [c], "copies")
-                rows = only(materialize(rows.select(*[x for x in rows.columns if x in open_])))
+                rows = only(materialize(rows.select(*[x for x in rows.columns if x in open_]), compact=True))
             discard(table, *([written] if written else []))
             written = rows
     result = []

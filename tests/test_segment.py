@@ -234,3 +234,22 @@ def test_near_blocks_meet_once(monkeypatch):
         theirs = np.concatenate([x for (k, _), x in points.items() if k == other])
         want = np.sqrt(((points[c, b][:, None, :] - theirs[None, :, :]) ** 2).sum(axis=2)).sum(axis=1)
         np.testing.assert_allclose(sums, want, rtol=1e-10)
+
+
+@pytest.mark.parametrize("limit, how", [(silhouette.BROADCAST_BYTES, "broadcast"), (0, "merge")])
+def test_pairs_of_blocks_are_never_broadcast(spark, blobs, monkeypatch, limit, how):
+    """There are far more pairs than cells, in fewer bytes on disk: each join states that the cells are the side to broadcast, while small."""
+    df = blobs.withColumn("cluster", F.col("blob"))
+    rows = np.array(blobs.select("a", "b", "blob").collect())
+    away = np.sqrt(((rows[:, None, :2] - rows[None, :, :2]) ** 2).sum(axis=2))
+    means = np.array([[away[i, rows[:, 2] == c].sum() / (sum(rows[:, 2] == c) - (own == c)) for c in range(4)] for i, own in enumerate(rows[:, 2])])
+    a, b = (np.array([f(m, int(own)) for m, own in zip(means, rows[:, 2])]) for f in (lambda m, own: m[own], lambda m, own: np.delete(m, own).min()))
+    plans, write = [], silhouette.materialize
+    monkeypatch.setattr(silhouette, "BROADCAST_BYTES", limit)
+    monkeypatch.setattr(silhouette, "materialize", lambda found: plans.append((found.columns, found._jdf.queryExecution().optimizedPlan().toString()))
+                        or write(found))
+    got = silhouette.silhouette_euclidean(df, ["a", "b"], tolerance=1e-6, block_points=5)
+    joins = [line for columns, plan in plans if "stands" in columns for line in plan.splitlines() if "Join Inner" in line or "Join Cross" in line]
+    assert len(joins) > 3 and all("rightHint=(strategy=" in line for line in joins)
+    assert any(f"strategy={how})" in line for line in joins if "Join Inner" in line)
+    assert got == pytest.approx(np.mean((b - a) / np.maximum(a, b)), abs=1e-6)

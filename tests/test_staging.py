@@ -26,9 +26,9 @@ def written(monkeypatch):
     """The columns of each table that is written from now on."""
     seen, write = [], staging.materialize
 
-    def noted(df):
+    def noted(df, **how):
         seen.append(list(df.columns))
-        return write(df)
+        return write(df, **how)
 
     for module in (staging, skew, normality, correlation):
         monkeypatch.setattr(module, "materialize", noted)
@@ -62,7 +62,7 @@ def folder(spark, tmp_path_factory):
 
 def test_a_written_table_leaves_no_shuffle_files(spark):
     before, setting = shuffle_files(spark), spark.conf.get(staging.DELETE_SHUFFLES, None)
-    table = staging.materialize(spark.range(1000).repartition(3, "id"))
+    table = staging.materialize(spark.range(1000).repartition(3, "id"), compact=True)
     for _ in range(50):  # the executors are told, not waited for
         if not (left := shuffle_files(spark) - before):
             break
