@@ -1,5 +1,6 @@
 """What is written on the way is narrow, and deleted when nothing reads it any more."""
 
+import functools
 import os
 import time
 
@@ -7,8 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketlens import config
-from basketlens.operators import correlation, features, normality, skew
-from basketlens.plans import quality_queries, statistics_queries
+from basketlens.operators import correlation, features, normality, segment, skew
+from basketlens.plans import quality_queries, segment_queries, statistics_queries
 from basketlens.sources import staging
 
 
@@ -122,3 +123,15 @@ def test_null_policy_derived_leaves_one_narrow_table(spark, folder, monkeypatch)
     assert not any({"product", "status", "first_name", "customer_run"} & set(columns) for columns in seen)
     left = [spark.read.parquet(f"{staging.shared_folder(spark)}/tables/{t}").columns for t in tables(spark) - before]
     assert left == [["receipt_id", *config.DERIVED]]
+
+
+def test_segment_customers_leaves_only_the_scaled_customers(spark, folder, monkeypatch):
+    before, seen = tables(spark), written(monkeypatch)
+    # One fit instead of seventy.
+    monkeypatch.setattr(segment, "segment_customers", functools.partial(segment.segment_customers, starts=1, ks=(3,)))
+    profile = segment_queries.segment_customers(spark, folder)
+    assert sum(r["size"] for r in profile.collect()) > 3
+    assert not any({"product", "status", "first_name", "customer_run"} & set(columns) for columns in seen)
+    left = [set(spark.read.parquet(f"{staging.shared_folder(spark)}/tables/{t}").columns) for t in tables(spark) - before]
+    # The profile's medians keep a table of brackets, one row for each cluster and feature.
+    assert [columns for columns in left if "purchase_count_z" in columns] and len(left) == 2
