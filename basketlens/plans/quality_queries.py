@@ -440,12 +440,12 @@ def null_policy_derived(spark, d):
     # deleted when the next is written. A column that the policy has dropped is not asked for.
     inputs, outputs = features.needed_for(config.DERIVED), ["receipt_id", *config.DERIVED]
     with temporary(spark) as keep:
-        lines = staged(valid(spark, d), *dict.fromkeys([*config.NUMERIC, *inputs]))
+        lines = staged(valid(spark, d), *dict.fromkeys([*config.NUMERIC, *inputs]), compact=True)
         cleaned = quality.clean_base(lines)
-        cleaned = keep(staged(cleaned, *config.present(cleaned, inputs)))
+        cleaned = keep(staged(cleaned, *config.present(cleaned, inputs), compact=True))
     with temporary(spark) as keep:
         frame = quality.validate_derived(features.derive_features(cleaned))
-        frame = keep(staged(frame, *config.present(frame, outputs)))
+        frame = keep(staged(frame, *config.present(frame, outputs), compact=True))
     discard(cleaned)
     treated = quality.apply_null_policy(frame, config.DERIVED).select("receipt_id", *config.DERIVED)
     return treated.withColumns({c: F.col(c).cast("float").cast("double") for c in ("amount_per_unit", "gross_amount")})
